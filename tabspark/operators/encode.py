@@ -7,7 +7,7 @@ in one final task: at 100 TB of distinct doubles that task does not fit.
 ``quantiles`` computes the same numbers (linear interpolation between
 order statistics, like ``quantile_cont``) without any unbounded state:
 
-1. unpivot to ``(column, value)`` and count per distinct value (map-side
+1. unpivot to ``(feature, value)`` and count per distinct value (map-side
    combine: a value that holds a third of all rows becomes one row);
 2. running counts along the values, blocked by approximate-quantile cuts
    (``ordering.running_sum_by_value``): each distinct value learns the
@@ -40,15 +40,15 @@ def probs_i_over_n_plus_1(n: int) -> list[float]:
 
 
 def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
-            name: str = "column", value: str = "value") -> DataFrame:
-    """Wide numeric columns -> long ``(keep..., column, value DOUBLE)``."""
+            name: str = "feature", value: str = "value") -> DataFrame:
+    """Wide numeric columns -> long ``(keep..., feature, value DOUBLE)``."""
     pairs = F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias(value)) for c in cols])
     return df.select(*keep, F.explode(pairs).alias("_kv")).select(*keep, f"_kv.{name}", f"_kv.{value}")
 
 
 def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
               approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Per column and probability: ``(column, idx, prob, value)``.
+    """Per column and probability: ``(feature, idx, prob, value)``.
 
     ``idx`` is the 0-based position of the probability. Nulls are ignored.
     Exact mode equals ``quantile_cont``: with ``n`` values and
@@ -59,45 +59,47 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     long = unpivot(df, cols).where(F.col("value").isNotNull())
     ptab = spark.createDataFrame([(i, p) for i, p in enumerate(probs)], "idx long, prob double")
     if approx:
-        arr = long.groupBy("column").agg(
+        arr = long.groupBy("feature").agg(
             F.percentile_approx("value", probs, accuracy).alias("_q"))
-        return (arr.select("column", F.posexplode("_q").alias("idx", "value"))
+        return (arr.select("feature", F.posexplode("_q").alias("idx", "value"))
                 .withColumn("idx", F.col("idx").cast("bigint"))
-                .join(F.broadcast(ptab), "idx").select("column", "idx", "prob", "value"))
+                .join(F.broadcast(ptab), "idx").select("feature", "idx", "prob", "value"))
 
-    counts = long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("cnt"))
-    cum = running_sum_by_value(counts, "value", ["cnt"], groups=["column"])
+    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    cum = running_sum_by_value(counts, "value", ["cnt"], groups=["feature"])
     # Wanted 0-based ranks per (column, probability); bounded by cols x probs.
-    n = counts.groupBy("column").agg(F.sum("cnt").alias("n"))
+    n = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
     want = (n.crossJoin(F.broadcast(ptab))
             .withColumn("rn", (F.col("n") - 1).cast("double") * F.col("prob"))
             .withColumn("lo_rank", F.floor("rn").cast("bigint"))
             .withColumn("hi_rank", F.ceil("rn").cast("bigint")))
-    ranks = (want.select("column", "idx", F.col("lo_rank").alias("r"))
-             .union(want.select("column", "idx", F.col("hi_rank").alias("r"))).distinct())
-    hit = cum.join(F.broadcast(ranks),
-                   (cum["column"] == ranks["column"])
-                   & (ranks["r"] >= cum["cum_cnt"] - cum["cnt"]) & (ranks["r"] < cum["cum_cnt"]))
-    picked = hit.select(ranks["column"].alias("column"), "idx", "r", cum["value"].alias("v"))
+    ranks = (want.select("feature", "idx", F.col("lo_rank").alias("r"))
+             .union(want.select("feature", "idx", F.col("hi_rank").alias("r"))).distinct())
+    c, rk = cum.alias("c"), F.broadcast(ranks.alias("rk"))
+    hit = c.join(rk, (F.col("c.feature") == F.col("rk.feature"))
+                 & (F.col("rk.r") >= F.col("c.cum_cnt") - F.col("c.cnt"))
+                 & (F.col("rk.r") < F.col("c.cum_cnt")))
+    picked = hit.select(F.col("rk.feature").alias("feature"), F.col("rk.idx").alias("idx"),
+                        F.col("rk.r").alias("r"), F.col("c.value").alias("v"))
     lo = picked.alias("lo")
     hi = picked.alias("hi")
     w = want.alias("w")
-    res = (w.join(lo, (F.col("lo.column") == F.col("w.column")) & (F.col("lo.idx") == F.col("w.idx"))
+    res = (w.join(lo, (F.col("lo.feature") == F.col("w.feature")) & (F.col("lo.idx") == F.col("w.idx"))
                   & (F.col("lo.r") == F.col("w.lo_rank")))
-           .join(hi, (F.col("hi.column") == F.col("w.column")) & (F.col("hi.idx") == F.col("w.idx"))
+           .join(hi, (F.col("hi.feature") == F.col("w.feature")) & (F.col("hi.idx") == F.col("w.idx"))
                  & (F.col("hi.r") == F.col("w.hi_rank"))))
     value = F.when(F.col("w.lo_rank") == F.col("w.hi_rank"), F.col("lo.v")).otherwise(
         F.col("lo.v") + (F.col("hi.v") - F.col("lo.v")) * (F.col("w.rn") - F.col("w.lo_rank")))
-    return res.select(F.col("w.column").alias("column"), F.col("w.idx").alias("idx"),
+    return res.select(F.col("w.feature").alias("feature"), F.col("w.idx").alias("idx"),
                       F.col("w.prob").alias("prob"), value.alias("value"))
 
 
 def boundaries_row(q: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Quantile table -> one row with an ordered ``<col>__bounds`` array per column."""
-    per = q.groupBy("column").agg(
+    per = q.groupBy("feature").agg(
         F.transform(F.array_sort(F.collect_list(F.struct("idx", "value"))), lambda s: s["value"])
         .alias("b"))
-    return per.agg(*[F.first(F.when(F.col("column") == c, F.col("b")), ignorenulls=True)
+    return per.agg(*[F.first(F.when(F.col("feature") == c, F.col("b")), ignorenulls=True)
                      .alias(f"{c}__bounds") for c in cols])
 
 

@@ -19,13 +19,13 @@ from tabspark.operators.encode import quantiles
 
 def _long(row: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
     """One-row wide stats ``<col>__<field>`` -> one row per column."""
-    items = F.array(*[F.struct(F.lit(c).alias("column"),
+    items = F.array(*[F.struct(F.lit(c).alias("feature"),
                                *[F.col(f"{c}__{f}").alias(f) for f in fields]) for c in cols])
     return row.select(F.explode(items).alias("_s")).select("_s.*")
 
 
 def min_max_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(column, min, max, range)``."""
+    """``(feature, min, max, range)``."""
     aggs = []
     for c in cols:
         aggs += [F.min(c).cast("double").alias(f"{c}__min"), F.max(c).cast("double").alias(f"{c}__max")]
@@ -43,11 +43,11 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFr
                  F.max(x).alias(f"{c}__max")]
     base = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
     q = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
-    qw = q.groupBy("column").agg(
+    qw = q.groupBy("feature").agg(
         *[F.max(F.when(F.col("idx") == i, F.col("value"))).alias(n)
           for i, n in enumerate(["p25", "p50", "p75"])])
-    return base.join(qw, "column", "left").select(
-        "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    return base.join(qw, "feature", "left").select(
+        "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
