@@ -68,15 +68,15 @@ def hash_block(h: str | Column, digits: int = HASH_BLOCK_HEX_DIGITS) -> Column:
 
 
 def row_number_by_hash(df: DataFrame, h: str, tiebreak: Sequence[str], out: str = "rank",
-                       digits: int = HASH_BLOCK_HEX_DIGITS) -> DataFrame:
-    """Global 1-based ``row_number() over (order by h, *tiebreak)``.
+                       digits: int = HASH_BLOCK_HEX_DIGITS, groups: Sequence[str] = ()) -> DataFrame:
+    """Global 1-based ``row_number() over ([partition by groups] order by h, *tiebreak)``.
 
     ``h`` is an md5 hex column: uniform, so its leading digits split the
     order into balanced blocks without sampling.
     """
     blk = "_blk"
     framed = df.withColumn(blk, hash_block(h, digits)).withColumn("_one", F.lit(1))
-    ranked = blocked_running_sum(framed, [h, *tiebreak], ["_one"], blk, prefix="_rn")
+    ranked = blocked_running_sum(framed, [h, *tiebreak], ["_one"], blk, groups=groups, prefix="_rn")
     return ranked.withColumn(out, F.col("_rn_one").cast("bigint")).drop(blk, "_one", "_rn_one")
 
 
