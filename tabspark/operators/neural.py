@@ -1,0 +1,173 @@
+"""Feed-forward ReLU regressor trained data-parallel.
+
+MLlib has no neural regressor. Each step is one Spark job:
+
+* ``mapInPandas`` runs forward + backward passes of the current network on
+  the rows of each partition (numpy on Arrow batches) and emits one
+  partial-gradient row per batch;
+* Spark sums the partials by parameter position (``posexplode`` +
+  ``groupBy``: partial aggregation, then one small shuffle);
+* the driver receives the summed gradient (the parameter count, a
+  bound fixed by the layer sizes), clips it to norm 5 and applies an
+  Adam update.
+
+Rows never reach the driver; the training table is checkpointed once to
+the cluster's shared checkpoint folder.
+"""
+
+from __future__ import annotations
+
+import math
+import sys
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+import numpy as np
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tabspark.session import ensure_checkpoint_dir
+
+try:  # ship this module's helpers inside the task closures: executors need no install
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except (ImportError, AttributeError, ValueError):  # pragma: no cover
+    pass
+
+
+def _shapes(n_in: int, hidden: Sequence[int]) -> list[tuple[int, int]]:
+    dims = [n_in, *hidden, 1]
+    return [(dims[i], dims[i + 1]) for i in range(len(dims) - 1)]
+
+
+def _unpack(theta: np.ndarray, shapes):
+    out, off = [], 0
+    for a, b in shapes:
+        w = theta[off:off + a * b].reshape(a, b)
+        off += a * b
+        bias = theta[off:off + b]
+        off += b
+        out.append((w, bias))
+    return out
+
+
+def init_params(n_in: int, hidden: Sequence[int], seed: int = 0) -> np.ndarray:
+    rng = np.random.default_rng(seed)
+    parts = []
+    for a, b in _shapes(n_in, hidden):
+        parts.append(rng.normal(0.0, math.sqrt(2.0 / a), size=a * b))
+        parts.append(np.zeros(b))
+    return np.concatenate(parts)
+
+
+def forward(theta: np.ndarray, x: np.ndarray, shapes) -> np.ndarray:
+    h = x
+    layers = _unpack(theta, shapes)
+    for i, (w, b) in enumerate(layers):
+        h = h @ w + b
+        if i < len(layers) - 1:
+            h = np.maximum(h, 0.0)
+    return h[:, 0]
+
+
+def _grad(theta: np.ndarray, x: np.ndarray, y: np.ndarray, shapes) -> tuple[np.ndarray, float]:
+    """Sum over rows of d(squared error)/d(theta), and the sum of squared errors."""
+    layers = _unpack(theta, shapes)
+    acts = [x]
+    h = x
+    for i, (w, b) in enumerate(layers):
+        h = h @ w + b
+        if i < len(layers) - 1:
+            h = np.maximum(h, 0.0)
+        acts.append(h)
+    err = acts[-1][:, 0] - y
+    delta = (2.0 * err)[:, None]
+    grads = []
+    for i in range(len(layers) - 1, -1, -1):
+        w, _ = layers[i]
+        a_prev = acts[i]
+        grads.append((a_prev.T @ delta, delta.sum(axis=0)))
+        if i > 0:
+            delta = (delta @ w.T) * (acts[i] > 0)
+    flat = []
+    for gw, gb in reversed(grads):
+        flat.append(gw.ravel())
+        flat.append(gb)
+    return np.concatenate(flat), float((err * err).sum())
+
+
+@dataclass
+class NetResult:
+    theta: np.ndarray
+    shapes: list
+    curve: DataFrame   # (period, split, rmse)
+
+
+def train_relu_regressor(df: DataFrame, features: Sequence[str], label: str, hidden: Sequence[int] = (10, 10),
+                         lr: float = 0.01, periods: int = 10, steps_per_period: int = 5,
+                         split_col: str = "split", train_value: str = "train", clip_norm: float = 5.0,
+                         seed: int = 0) -> NetResult:
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    feats = list(features)
+    data = df.select(*feats, label, split_col).checkpoint(eager=True)
+    train = data.where(F.col(split_col) == train_value).select(*feats, label)
+    shapes = _shapes(len(feats), hidden)
+    theta = init_params(len(feats), hidden, seed)
+    m = np.zeros_like(theta)
+    v = np.zeros_like(theta)
+    b1, b2, eps = 0.9, 0.999, 1e-8
+    t = 0
+    history = [theta.copy()]
+
+    for _ in range(periods):
+        for _ in range(steps_per_period):
+            th = theta.copy()
+
+            def partial(batches, th=th):
+                import pandas as pd
+
+                for pdf in batches:
+                    if len(pdf) == 0:
+                        continue
+                    x = pdf[feats].to_numpy(dtype=float)
+                    y = pdf[label].to_numpy(dtype=float)
+                    g, _ = _grad(th, x, y, shapes)
+                    # the row count rides along as the last position
+                    yield pd.DataFrame({"g": [g.tolist() + [float(len(pdf))]]})
+
+            parts = train.mapInPandas(partial, "g array<double>")
+            summed = (parts.select(F.posexplode("g").alias("pos", "v"))
+                      .groupBy("pos").agg(F.sum("v").alias("v")))
+            acc = np.zeros(theta.size + 1)
+            for r in summed.collect():   # one value per parameter, plus the count
+                acc[r["pos"]] = r["v"]
+            g = acc[:-1] / max(acc[-1], 1.0)
+            norm = float(np.linalg.norm(g))
+            if clip_norm and norm > clip_norm:
+                g *= clip_norm / norm
+            t += 1
+            m = b1 * m + (1 - b1) * g
+            v = b2 * v + (1 - b2) * g * g
+            theta = theta - lr * (m / (1 - b1 ** t)) / (np.sqrt(v / (1 - b2 ** t)) + eps)
+        history.append(theta.copy())
+
+    hist = [h.copy() for h in history]
+
+    def score(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = pdf[feats].to_numpy(dtype=float)
+            y = pdf[label].to_numpy(dtype=float)
+            sp = pdf[split_col].to_numpy()
+            for period, th in enumerate(hist):
+                yield pd.DataFrame({"period": period, "split": sp, "se": (forward(th, x, shapes) - y) ** 2})
+
+    # every period's network scored in one pass over the data
+    curve = (data.mapInPandas(score, "period long, split string, se double").groupBy("period", "split")
+             .agg(F.sqrt(F.avg("se")).alias("rmse")))
+    return NetResult(theta, shapes, curve)
