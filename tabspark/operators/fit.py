@@ -152,8 +152,9 @@ def matrix_weights(spark, model, class_names: Sequence[str] | None = None) -> Da
 def mlp_weights(spark, model) -> DataFrame:
     """The flat MLP weight vector split into per-layer matrices.
 
-    MLlib packs, per layer, a column-major ``in x out`` weight matrix
-    followed by ``out`` biases.
+    MLlib packs, per layer, a column-major ``out x in`` weight matrix
+    (entry ``(o, i)`` at ``i * out + o``) followed by ``out`` biases.
+    Exported as ``row = input unit, col = output unit``.
     """
     layers = list(model.getLayers())
     flat = model.weights.toArray()
@@ -163,7 +164,7 @@ def mlp_weights(spark, model) -> DataFrame:
         for c in range(n_out):
             for r in range(n_in):
                 rows.append((f"hidden{li}" if li < len(layers) - 2 else "logits", r, c,
-                             f"w{li}", float(flat[off + c * n_in + r])))
+                             f"w{li}", float(flat[off + r * n_out + c])))
         off += n_in * n_out
         for c in range(n_out):
             rows.append((f"bias{li}", 0, c, f"b{li}", float(flat[off + c])))
