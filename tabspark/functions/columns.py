@@ -171,3 +171,23 @@ def terms_of(text: ColumnOrName) -> Column:
 
 # Fixed value: the token pattern, words of a-z letters or one of ? . !
 TERM_PATTERN = "[a-z]+|[?.!]"
+
+
+def with_count_le(df, sorted_arr: str, x: ColumnOrName, length: int, out: str):
+    """``df`` plus ``out`` = number of entries of ``sorted_arr`` that are ``<= x``.
+
+    Equal to ``size(filter(arr, b -> b <= x))`` for an ascending array
+    (duplicates allowed), at O(log length) per row. Null ``x`` -> null.
+    """
+    x = _c(x)
+    step = 1
+    while step * 2 <= length:
+        step *= 2
+    cur = f"{out}__p"
+    df = df.withColumn(cur, F.lit(0))
+    while step >= 1:
+        nxt = F.col(cur) + F.lit(step)
+        probe = F.try_element_at(F.col(sorted_arr), nxt)
+        df = df.withColumn(cur, F.when((nxt <= F.lit(length)) & (probe <= x), nxt).otherwise(F.col(cur)))
+        step //= 2
+    return df.withColumn(out, F.when(x.isNull(), F.lit(None)).otherwise(F.col(cur).cast("bigint"))).drop(cur)

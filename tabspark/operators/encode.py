@@ -26,7 +26,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import bucket_of, in_range, md5_bucket
+from tabspark.operators.joins import bounded_broadcast
 from tabspark.operators.ordering import running_sum_by_value
+from tabspark.session import materialize
 
 
 def probs_i_over_n(n: int) -> list[float]:
@@ -65,7 +67,8 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 .withColumn("idx", F.col("idx").cast("bigint"))
                 .join(F.broadcast(ptab), "idx").select("feature", "idx", "prob", "value"))
 
-    counts = long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    # Consumed by four branches (cuts, window, totals, n): materialize once.
+    counts = materialize(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
     cum = running_sum_by_value(counts, "value", ["cnt"], groups=["feature"])
     # Wanted 0-based ranks per (column, probability); bounded by cols x probs.
     n = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
@@ -199,28 +202,33 @@ def vocab_from_terms(spark, terms: Sequence[str]) -> DataFrame:
     return spark.createDataFrame([(t, i) for i, t in enumerate(terms)], "term string, pos long")
 
 
-def vocab_lookup(df: DataFrame, vocab: DataFrame, terms: str = "terms", key: str = "id") -> DataFrame:
+def vocab_lookup(df: DataFrame, vocab: DataFrame, terms: str = "terms", key: str = "id",
+                 vocab_rows: int | None = None) -> DataFrame:
     """``(id, term_pos, n)``: in-vocabulary terms with their counts.
 
-    Terms outside the vocabulary are dropped (inner join). The vocabulary
-    is a top-k (bounded) or a literal, so it is broadcast.
+    Terms outside the vocabulary are dropped (inner join). ``vocab_rows``
+    is the vocabulary's size bound (top-k, literal list); the broadcast is
+    size-checked (``joins.bounded_broadcast``).
     """
-    v = F.broadcast(vocab.select("term", F.col("pos").alias("term_pos")))
+    v = bounded_broadcast(vocab.select("term", F.col("pos").alias("term_pos")), vocab_rows)
     return (explode_terms(df, terms, key).join(v, "term")
             .groupBy(key, "term_pos").agg(F.count(F.lit(1)).alias("n")))
 
 
-def vocab_semi(df: DataFrame, vocab: DataFrame, terms: str = "terms", key: str = "id") -> DataFrame:
+def vocab_semi(df: DataFrame, vocab: DataFrame, terms: str = "terms", key: str = "id",
+               vocab_rows: int | None = None) -> DataFrame:
     """E5: keep term occurrences whose term is in the vocabulary (semi-join)."""
-    return explode_terms(df, terms, key).join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    return explode_terms(df, terms, key).join(bounded_broadcast(vocab.select("term"), vocab_rows), "term",
+                                              "left_semi")
 
 
-def multi_hot_indices(df: DataFrame, vocab: DataFrame, terms: str = "terms", key: str = "id") -> DataFrame:
+def multi_hot_indices(df: DataFrame, vocab: DataFrame, terms: str = "terms", key: str = "id",
+                      vocab_rows: int | None = None) -> DataFrame:
     """Sorted vocabulary positions present in each row: the sparse
     multi-hot vector ``(id, idx ARRAY<BIGINT>)``. Rows without a hit keep
     an empty array (left join). Each array is bounded by the vocabulary.
     """
-    hits = vocab_lookup(df, vocab, terms, key)
+    hits = vocab_lookup(df, vocab, terms, key, vocab_rows)
     idx = hits.groupBy(key).agg(F.array_sort(F.collect_list("term_pos")).alias("idx"))
     return (df.select(key).join(idx, key, "left")
             .select(key, F.coalesce("idx", F.array().cast("array<bigint>")).alias("idx")))
@@ -234,19 +242,19 @@ def multi_hot_dense(df: DataFrame, vocab_terms: Sequence[str], terms: str = "ter
 
 
 def oov_buckets(df: DataFrame, vocab: DataFrame, n_oov: int, terms: str = "terms",
-                key: str = "id") -> DataFrame:
+                key: str = "id", vocab_rows: int | None = None) -> DataFrame:
     """In-vocabulary terms keep their position; other terms hash into
     ``n_oov`` extra slots after it. ``(id, slot, n)``."""
     size = vocab.agg(F.count(F.lit(1)).alias("_v"))
     ex = explode_terms(df, terms, key)
-    j = (ex.join(F.broadcast(vocab.select("term", "pos")), "term", "left")
+    j = (ex.join(bounded_broadcast(vocab.select("term", "pos"), vocab_rows), "term", "left")
          .crossJoin(F.broadcast(size)))
     slot = F.coalesce(F.col("pos"), F.col("_v") + md5_bucket("term", n_oov)).cast("bigint")
     return j.groupBy(key, slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
 
 
 def embed(df: DataFrame, table: DataFrame, dims: int, combiner: str = "mean",
-          terms: str = "terms", key: str = "id") -> DataFrame:
+          terms: str = "terms", key: str = "id", table_rows: int | None = None) -> DataFrame:
     """Combine the vectors of the terms present.
 
     ``table`` is ``(term, e0..e{dims-1})`` (bounded by the vocabulary, so
@@ -254,5 +262,29 @@ def embed(df: DataFrame, table: DataFrame, dims: int, combiner: str = "mean",
     Every occurrence counts; ``combiner`` is ``sum`` or ``mean``.
     """
     agg = F.sum if combiner == "sum" else F.avg
-    j = explode_terms(df, terms, key).join(F.broadcast(table), "term")
+    j = explode_terms(df, terms, key).join(bounded_broadcast(table, table_rows), "term")
     return j.groupBy(key).agg(*[agg(f"e{i}").alias(f"e{i}") for i in range(dims)])
+
+
+def nearest_by_dot(table: DataFrame, dims: int, k: int, key: str = "term") -> DataFrame:
+    """For each row of a small embedding table, the ``k`` other rows of
+    largest dot product ``(key, rank, other, dot)``; ties by ``other``.
+
+    The table is a vocabulary (bounded by its top-k parameter): it is
+    packed into one broadcast array and every row scores against that
+    array, so no pair table is ever materialized or shuffled.
+    """
+    vec = F.array(*[F.col(f"e{i}").cast("double") for i in range(dims)])
+    packed = table.agg(F.collect_list(F.struct(F.col(key).alias("o"), vec.alias("ov"))).alias("_all"))
+    me = table.select(F.col(key), vec.alias("v"))
+    j = me.crossJoin(F.broadcast(packed))
+    scored = F.transform(
+        F.filter("_all", lambda s: s["o"] != F.col(key)),
+        lambda s: F.struct(
+            (-F.aggregate(F.zip_with(F.col("v"), s["ov"], lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x))
+            .alias("neg_dot"),
+            s["o"].alias("other")))
+    top = j.select(key, F.slice(F.sort_array(scored), 1, k).alias("_top"))
+    return top.select(key, F.posexplode("_top").alias("_r", "_s")).select(
+        key, (F.col("_r") + 1).cast("bigint").alias("rank"), F.col("_s.other").alias("other"),
+        (-F.col("_s.neg_dot")).alias("dot"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from tabspark.functions.columns import LOG_LOSS_EPS, argmax, bucket_of
 from tabspark.operators.ordering import running_sum_by_value
+from tabspark.session import materialize
 
 
 def _valid(df: DataFrame, *cols: str) -> DataFrame:
@@ -94,25 +95,32 @@ def threshold(prob: str | Column, t: float = 0.5) -> Column:
     return (p >= F.lit(t)).cast("double")
 
 
-def score_counts(df: DataFrame, score: str, label: str) -> DataFrame:
-    """Distinct scores with positive and negative counts (one shuffle)."""
+def score_counts(df: DataFrame, score: str, label: str, groups: Sequence[str] = ()) -> DataFrame:
+    """Distinct scores with positive and negative counts (one shuffle,
+    map-side combined), materialized: the ROC/AUC plans read it from
+    several branches."""
     d = _valid(df, score, label)
-    return d.groupBy(F.col(score).cast("double").alias("score")).agg(
+    c = d.groupBy(*groups, F.col(score).cast("double").alias("score")).agg(
         F.sum(F.when(F.col(label) > 0, 1).otherwise(0)).cast("bigint").alias("pos"),
         F.sum(F.when(F.col(label) > 0, 0).otherwise(1)).cast("bigint").alias("neg"))
+    return materialize(c)
 
 
-def auc(df: DataFrame, score: str = "probability", label: str = "label") -> DataFrame:
+def auc(df: DataFrame, score: str = "probability", label: str = "label",
+        groups: Sequence[str] = ()) -> DataFrame:
     """exact area under ROC with mid-ranks for tied scores.
 
     ``AUC = sum_s pos_s * (negatives below s + neg_s / 2) / (P * N)``;
     every term is a multiple of 1/2, so the sum is exact in doubles.
+    With ``groups`` (e.g. the split) all AUCs come from one pass.
     """
-    c = score_counts(df, score, label)
-    cum = running_sum_by_value(c, "score", ["neg"])
-    part = cum.agg(F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2.0)).alias("_u"),
-                   F.sum("pos").alias("_p"), F.sum("neg").alias("_n"))
-    return part.select(F.try_divide(F.col("_u"), F.col("_p") * F.col("_n")).alias("auc"),
+    groups = list(groups)
+    c = score_counts(df, score, label, groups)
+    cum = running_sum_by_value(c, "score", ["neg"], groups=groups)
+    aggs = [F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2.0)).alias("_u"),
+            F.sum("pos").alias("_p"), F.sum("neg").alias("_n")]
+    part = cum.groupBy(*groups).agg(*aggs) if groups else cum.agg(*aggs)
+    return part.select(*groups, F.try_divide(F.col("_u"), F.col("_p") * F.col("_n")).alias("auc"),
                        F.col("_p").alias("positives"), F.col("_n").alias("negatives"))
 
 

@@ -21,12 +21,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import seeded_hash
+from tabspark.functions.columns import seeded_hash, with_count_le
 
-# Number of order blocks for seeded hash orders: 16^3 prefixes of the md5 hex.
-HASH_BLOCK_HEX_DIGITS = 3
-# Blocks for data-driven orders (scores, values): approximate-quantile cuts.
-DEFAULT_VALUE_BLOCKS = 256
+# Number of order blocks for seeded hash orders: 16^4 prefixes of the md5
+# hex. The offsets table has at most this many rows per group.
+HASH_BLOCK_HEX_DIGITS = 4
+# Data-driven orders (scores, values): approximate-quantile cuts, sized to
+# about ROWS_PER_BLOCK rows per block, within [MIN_BLOCKS, MAX_BLOCKS].
+ROWS_PER_BLOCK = 1_000_000
+MIN_BLOCKS = 32
+MAX_BLOCKS = 65536
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
@@ -90,31 +94,42 @@ def seeded_rank(df: DataFrame, key: str, seed: int, out: str = "rank") -> DataFr
     return row_number_by_hash(with_h, "_h", [key], out=out).drop("_h")
 
 
+def blocks_for(rows: int) -> int:
+    """Block count for a data-driven order over ``rows`` rows."""
+    return max(MIN_BLOCKS, min(MAX_BLOCKS, -(-rows // ROWS_PER_BLOCK)))
+
+
 def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
-                 blocks: int = DEFAULT_VALUE_BLOCKS, descending: bool = False,
-                 out: str = "_blk", accuracy: int = 10000) -> DataFrame:
+                 blocks: int | None = None, descending: bool = False,
+                 out: str = "_blk", accuracy: int = 1000) -> DataFrame:
     """Attach a block id monotone in ``value`` (per group) from approximate
-    quantile cuts. The cut table holds ``groups x blocks`` numbers.
+    quantile cuts; each row finds its block by binary search.
 
-    Rows should be pre-aggregated to distinct values, so a hot value is one
-    row and cannot overload a block.
+    ``blocks=None`` sizes the blocks from the row count (call on a
+    materialized input). The cut table holds ``groups x blocks`` numbers;
+    it is materialized so both consumers below read it once. Rows should
+    be pre-aggregated to distinct values, so a hot value is one row and
+    cannot overload a block.
     """
+    from tabspark.session import materialize
+
     groups = list(groups)
+    if blocks is None:
+        blocks = blocks_for(df.count())
     probs = [i / blocks for i in range(1, blocks)]
-    cuts = df.groupBy(*groups).agg(
-        F.percentile_approx(F.col(value).cast("double"), probs, accuracy).alias("_cuts"))
-    v = F.col(value).cast("double")
-    n_le = F.size(F.filter(F.col("_cuts"), lambda b: b <= v))
-    blk = (F.lit(blocks - 1) - n_le) if descending else n_le
+    cuts = materialize(df.groupBy(*groups).agg(
+        F.array_sort(F.percentile_approx(F.col(value).cast("double"), probs, accuracy)).alias("_cuts")))
     if groups:
         joined = df.join(F.broadcast(cuts), on=groups, how="inner")
     else:
         joined = df.crossJoin(F.broadcast(cuts))
-    return joined.withColumn(out, blk.cast("int")).drop("_cuts")
+    joined = with_count_le(joined, "_cuts", F.col(value).cast("double"), blocks - 1, "_n_le")
+    blk = (F.lit(blocks - 1) - F.col("_n_le")) if descending else F.col("_n_le")
+    return joined.withColumn(out, blk.cast("int")).drop("_cuts", "_n_le")
 
 
 def running_sum_by_value(df: DataFrame, value: str, sums: Sequence[str], groups: Sequence[str] = (),
-                         descending: bool = False, blocks: int = DEFAULT_VALUE_BLOCKS,
+                         descending: bool = False, blocks: int | None = None,
                          prefix: str = "cum_") -> DataFrame:
     """Running sums of ``sums`` along ``value`` (asc or desc) within groups.
 

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import hex8_unit, md5_bucket, round6
-from tabspark.operators import encode, split
+from tabspark.operators import encode, joins, split
 from tabspark.plans.q_core import FEATURES, TRAIN_SQL, ex, train_rows
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views
@@ -150,7 +149,7 @@ HITS_SQL = """hits as (select r.id, v.pos as term_pos, count(*) as n
 @query("vocab_lookup", "D8", with_views("en_terms", "reviews", ctes=VOCAB_CTES + ",\n" + HITS_SQL,
                                         body="select id, term_pos, n from hits"))
 def vocab_lookup(spark, d):
-    return encode.vocab_lookup(views.reviews(spark, d), vocab(spark, d))
+    return encode.vocab_lookup(views.reviews(spark, d), vocab(spark, d), vocab_rows=VOCAB_K)
 
 
 @query("multi_hot", "D9", with_views("en_terms", "reviews", ctes=VOCAB_CTES + ",\n" + HITS_SQL, body="""
@@ -158,7 +157,7 @@ select r.id, cast(count(h.term_pos) as bigint) as n_hits,
        coalesce(array_to_string(list_sort(list(h.term_pos) filter (where h.term_pos is not null)), ','), '') as idx
 from reviews r left join hits h on r.id = h.id group by r.id"""))
 def multi_hot(spark, d):
-    mh = encode.multi_hot_indices(views.reviews(spark, d), vocab(spark, d))
+    mh = encode.multi_hot_indices(views.reviews(spark, d), vocab(spark, d), vocab_rows=VOCAB_K)
     return mh.select("id", F.size("idx").cast("bigint").alias("n_hits"), F.array_join("idx", ",").alias("idx"))
 
 
@@ -166,7 +165,7 @@ def multi_hot(spark, d):
 select id, count(*) as n_in_vocab from (select id, unnest(terms) as term from reviews) r
 where term in (select term from vocab) group by id"""))
 def vocab_semi(spark, d):
-    return encode.vocab_semi(views.reviews(spark, d), vocab(spark, d)).groupBy("id").agg(
+    return encode.vocab_semi(views.reviews(spark, d), vocab(spark, d), vocab_rows=VOCAB_K).groupBy("id").agg(
         F.count(F.lit(1)).alias("n_in_vocab"))
 
 
@@ -176,7 +175,7 @@ select id, coalesce(v.pos, (select count(*) from vocab)
 from (select id, unnest(terms) as term from reviews) r left join vocab v on r.term = v.term
 group by 1, 2"""))
 def oov_hash(spark, d):
-    return encode.oov_buckets(views.reviews(spark, d), vocab(spark, d), N_OOV)
+    return encode.oov_buckets(views.reviews(spark, d), vocab(spark, d), N_OOV, vocab_rows=VOCAB_K)
 
 
 def embedding_table(voc):
@@ -191,10 +190,52 @@ select id, """ + ", ".join(
     for i in range(EMB_DIMS)) + """
 from (select id, unnest(terms) as term from reviews) r join vocab v on r.term = v.term group by id"""))
 def embed_docs(spark, d):
-    e = encode.embed(views.reviews(spark, d), embedding_table(vocab(spark, d)), EMB_DIMS, "mean")
+    e = encode.embed(views.reviews(spark, d), embedding_table(vocab(spark, d)), EMB_DIMS, "mean",
+                     table_rows=VOCAB_K)
     return e.select("id", *[round6(f"e{i}").alias(f"e{i}") for i in range(EMB_DIMS)])
 
 
+@query("dot_topk", "D16", with_views("en_terms", ctes=VOCAB_CTES + """,
+emb as (select term, """ + ", ".join(
+    f"cast(('0x' || substr(md5('e{i}-' || term), 1, 8)) as bigint) / 4294967296.0 * 2.0 - 1.0 as e{i}"
+    for i in range(EMB_DIMS)) + """ from vocab),
+pairs as (select a.term, b.term as other, """ + " + ".join(f"a.e{i} * b.e{i}" for i in range(EMB_DIMS)) + """ as dot
+          from emb a join emb b on a.term <> b.term),
+r as (select *, row_number() over (partition by term order by dot desc, other) as rank from pairs)""", body="""
+select term, rank, other, round(dot * 1e6) / 1e6 as dot from r where rank <= 3"""))
+def dot_topk(spark, d):
+    nn = encode.nearest_by_dot(embedding_table(vocab(spark, d)), EMB_DIMS, 3)
+    return nn.select("term", "rank", "other", round6("dot").alias("dot"))
+
+
+# The reference's 54 informative review terms, in its order.
+INFORMATIVE_TERMS = (
+    "bad", "great", "best", "worst", "fun", "beautiful",
+    "excellent", "poor", "boring", "awful", "terrible",
+    "definitely", "perfect", "liked", "worse", "waste",
+    "entertaining", "loved", "unfortunately", "amazing",
+    "enjoyed", "favorite", "horrible", "brilliant", "highly",
+    "simple", "annoying", "today", "hilarious", "enjoyable",
+    "dull", "fantastic", "poorly", "fails", "disappointing",
+    "disappointment", "not", "him", "her", "good", "time",
+    "?", ".", "!", "movie", "film", "action", "comedy",
+    "drama", "family", "man", "woman", "boy", "girl",
+)
+
+
+def _inline_vocab_sql() -> str:
+    terms = ", ".join("'" + t + "'" for t in INFORMATIVE_TERMS)
+    return f"iv as (select unnest([{terms}]) as term, unnest(range(0, {len(INFORMATIVE_TERMS)})) as pos)"
+
+
+@query("vocab_inline_lookup", "A5,D8", with_views("reviews", ctes=_inline_vocab_sql(), body="""
+select r.id, iv.pos as term_pos, count(*) as n
+from (select id, unnest(terms) as term from reviews) r join iv on r.term = iv.term group by r.id, iv.pos"""))
+def vocab_inline_lookup(spark, d):
+    voc = encode.vocab_from_terms(spark, INFORMATIVE_TERMS)
+    return encode.vocab_lookup(views.reviews(spark, d), voc, vocab_rows=len(INFORMATIVE_TERMS))
+
+
 # ------------------------------------------------------ one-hot and crosses
 
 @query("one_hot", "D10", with_views("digits", body="""
@@ -242,7 +283,7 @@ select ex.id, ex.gross, tr.net_k from ex left join tr on ex.id = tr.id"""))
 def attach_target(spark, d):
     feats = ex(spark, d).select("id", "gross")
     targets = train_rows(spark, d).select("id", "net_k")
-    return feats.join(targets, "id", "left")
+    return joins.attach_target(feats, targets)
 
 
 # Fixed regression score used by metric checks: 95 % of gross, in thousands.
@@ -260,7 +301,7 @@ def calibration_table(spark, d):
     e = ex(spark, d)
     preds = e.select("id", fixed_pred_k().alias("prediction"))
     targets = e.select("id", F.col("net_k").alias("target"))
-    return preds.join(targets, "id")
+    return joins.pair_by_key(preds, targets)
 
 
 @query("gather_by_key", "E3", with_views("ex", ctes="""
@@ -270,7 +311,6 @@ select k.ordinal, ex.id, ex.gross, ex.net_k from keys k join ex on k.id = ex.id"
 def gather_by_key(spark, d):
     e = ex(spark, d)
     keys = split.sample_n(e.select("id"), 300, "id", seed=7)
-    # The key list is a bounded sample: number it with a window over 300 rows.
-    w = Window.orderBy(F.md5(F.concat(F.lit("7-"), F.col("id").cast("string"))), "id")
-    keys = keys.select("id", F.row_number().over(w).cast("bigint").alias("ordinal"))
-    return F.broadcast(keys).join(e.select("id", "gross", "net_k"), "id").select("ordinal", "id", "gross", "net_k")
+    order = [F.md5(F.concat(F.lit("7-"), F.col("id").cast("string"))), F.col("id")]
+    g = joins.gather_by_key(e.select("id", "gross", "net_k"), keys, order, n_keys=300)
+    return g.select("ordinal", "id", "gross", "net_k")

@@ -24,6 +24,7 @@ from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, ex
 from tabspark.plans.q_encode import VOCAB_K, vocab
 from tabspark.plans.registry import query
+from tabspark.session import materialize
 from tabspark.sources import views
 
 SCALED = list(FEATURES)
@@ -52,17 +53,18 @@ def _reg_metrics(pred: DataFrame, label: str, model: str) -> DataFrame:
 
 
 def _cls_metrics(pred: DataFrame, label: str, model: str) -> DataFrame:
-    p = pred.withColumn("p1", vector_to_array("probability")[1])
-    out = None
-    for name in ("train", "valid"):
-        part = p.where(F.col("split") == name)
-        ll = evaluate.log_loss(part, "p1", label).select("log_loss")
-        acc = evaluate.accuracy(part, "prediction", label).select("accuracy")
-        au = evaluate.auc(part, "p1", label).select("auc")
-        row = ll.crossJoin(acc).crossJoin(au).withColumn("split", F.lit(name))
-        m = evaluate.metrics_long(row, ["log_loss", "accuracy", "auc"], keep=["split"])
-        out = m if out is None else out.unionByName(m)
-    return out.select(F.lit(model).alias("model"), "split", "metric", "value")
+    """Log loss, accuracy (one grouped pass) and exact AUC (one grouped
+    pass) per split, over a materialized 4-column scored table."""
+    p = materialize(pred.select("split", F.col(label).cast("double").alias("y"),
+                                vector_to_array("probability")[1].alias("p1"), "prediction"))
+    pc = evaluate.clipped("p1")
+    la = p.groupBy("split").agg(
+        (-F.avg(F.col("y") * F.ln(pc) + (F.lit(1.0) - F.col("y")) * F.ln(F.lit(1.0) - pc))).alias("log_loss"),
+        F.avg((F.col("prediction") == F.col("y")).cast("double")).alias("accuracy"))
+    au = evaluate.auc(p, "p1", "y", groups=["split"]).select("split", "auc")
+    row = la.join(au, "split")
+    m = evaluate.metrics_long(row, ["log_loss", "accuracy", "auc"], keep=["split"])
+    return m.select(F.lit(model).alias("model"), "split", "metric", "value")
 
 
 def _crossed(spark, d, label: str) -> tuple[DataFrame, list[str]]:
@@ -217,16 +219,14 @@ def _digits(spark, d) -> DataFrame:
 
 
 def _multi_metrics(pred: DataFrame, model: str) -> DataFrame:
-    p = pred.withColumn("probs", vector_to_array("probability"))
-    out = None
-    for name in ("train", "valid"):
-        part = p.where(F.col("split") == name)
-        acc = evaluate.accuracy(part, "prediction", "label").select("accuracy")
-        ll = evaluate.log_loss_multi(part, "probs", "label", "soft").select("log_loss")
-        row = acc.crossJoin(ll).withColumn("split", F.lit(name))
-        m = evaluate.metrics_long(row, ["accuracy", "log_loss"], keep=["split"])
-        out = m if out is None else out.unionByName(m)
-    return out.select(F.lit(model).alias("model"), "split", "metric", "value")
+    """Accuracy and soft log loss per split in one grouped pass."""
+    p = pred.select("split", "label", "prediction", vector_to_array("probability").alias("probs"))
+    p_y = F.element_at(F.col("probs"), F.col("label").cast("int") + 1)
+    row = p.groupBy("split").agg(
+        F.avg((F.col("prediction") == F.col("label")).cast("double")).alias("accuracy"),
+        (-F.avg(F.ln(evaluate.clipped(p_y)))).alias("log_loss"))
+    m = evaluate.metrics_long(row, ["accuracy", "log_loss"], keep=["split"])
+    return m.select(F.lit(model).alias("model"), "split", "metric", "value")
 
 
 @query("softmax_linear", "I7,F9,F10")

@@ -51,3 +51,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="tabspark-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and read it back.
+
+    For intermediates consumed by several branches of a plan (distinct
+    value counts, score counts, scored tables): the upstream work runs
+    once, and a lost executor re-reads the files instead of replaying the
+    lineage. Never ``localCheckpoint``: executor-local blocks die with the
+    executor.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
