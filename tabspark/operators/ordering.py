@@ -52,6 +52,8 @@ def blocked_running_sum(df: DataFrame, order: Sequence[str | Column], sums: Sequ
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     local = df.select("*", *[F.sum(s).over(within).alias(f"_loc_{s}") for s in sums])
 
+    # Per-block totals: a partial aggregate over the input. Column pruning
+    # narrows this branch's scan to the order/group/sum columns only.
     totals = df.groupBy(*groups, block).agg(*[F.sum(s).alias(f"_tot_{s}") for s in sums])
     before = (Window.partitionBy(*groups).orderBy(block)
               .rowsBetween(Window.unboundedPreceding, -1))
