@@ -4,10 +4,15 @@ Spark rows have no position, so "the first n rows of a random
 permutation" is defined by a seeded hash order ``md5('<seed>-<id>'), id``
 that both Spark and SQL can evaluate. Two plans give the same rows:
 
-* ``n <= TOP_N_LIMIT``: ``orderBy(...).limit(n)`` -> ``TakeOrderedAndProject``,
-  a bounded heap per partition and no full shuffle;
-* larger ``n``: a distributed global rank (``ordering.seeded_rank``) and a
-  filter, so no task ever holds more than one order block.
+* a *candidate prefix*: the order key is a uniform hash, so the rows whose
+  60-bit hash prefix lies below a threshold sized for ``n + 8 sqrt(n)``
+  rows are exactly the first rows of the order. One key-only count sizes
+  the threshold, one narrow filter keeps the candidates, a check confirms
+  at least ``n`` of them, and a top-n heap over the candidates finishes.
+  The single merge task sees about ``n`` rows, not ``partitions x n``;
+* if the check fails (vanishingly rare) or ``n > TOP_N_LIMIT``: a
+  distributed global rank (``ordering.seeded_rank``) and a filter, so no
+  task ever holds more than one order block.
 
 The fraction split (B6) needs neither: one narrow pass, disjoint by
 construction.
@@ -19,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import hex8_unit, seeded_hash, seeded_key
-from tabspark.operators.ordering import seeded_rank
+from tabspark.operators.ordering import running_sum_by_value, seeded_rank
 
 # Largest n served by a top-n heap; beyond it the distributed rank is used.
 TOP_N_LIMIT = 200_000
@@ -41,17 +46,47 @@ def _order(key: str, seed: int, descending: bool) -> list[Column]:
     return [h.asc(), F.col(key).asc()]
 
 
+# 2^60: range of the 15-hex-digit hash prefix used for candidate cuts.
+_PREFIX_RANGE = float(1 << 60)
+
+
+def _prefix60(key: str, seed: int) -> Column:
+    return F.conv(F.substring(seeded_hash(seed, key), 1, 15), 16, 10).cast("bigint")
+
+
+def _candidates(df: DataFrame, n: int, key: str, seed: int, from_top: bool) -> DataFrame | None:
+    """Rows forming an exact prefix (or suffix) of the seeded order with at
+    least ``n`` rows, or None when the check fails."""
+    total = df.select(key).count()
+    if n >= total:
+        return df
+    share = min(1.0, (n + 8.0 * n ** 0.5 + 16.0) / total)
+    if share >= 1.0:
+        return df
+    if from_top:
+        cut = F.lit(int((1.0 - share) * _PREFIX_RANGE))
+        cand = df.where(_prefix60(key, seed) >= cut)
+    else:
+        cut = F.lit(int(share * _PREFIX_RANGE))
+        cand = df.where(_prefix60(key, seed) <= cut)
+    return cand if cand.select(key).count() >= n else None
+
+
 def head(df: DataFrame, n: int, key: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
     """B2: first ``n`` rows of the permutation (training set)."""
     if n <= TOP_N_LIMIT:
-        return df.orderBy(*_order(key, seed, False)).limit(n)
+        cand = _candidates(df, n, key, seed, from_top=False)
+        if cand is not None:
+            return cand.orderBy(*_order(key, seed, False)).limit(n)
     return permute(df, key, seed, "_rank").where(F.col("_rank") <= n).drop("_rank")
 
 
 def tail(df: DataFrame, n: int, key: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
     """Last ``n`` rows of the permutation (validation set)."""
     if n <= TOP_N_LIMIT:
-        return df.orderBy(*_order(key, seed, True)).limit(n)
+        cand = _candidates(df, n, key, seed, from_top=True)
+        if cand is not None:
+            return cand.orderBy(*_order(key, seed, True)).limit(n)
     ranked = permute(df, key, seed, "_rank")
     total = ranked.agg(F.max("_rank").alias("_n"))
     return (ranked.crossJoin(F.broadcast(total))
@@ -65,9 +100,36 @@ def slice_rows(df: DataFrame, start: int, stop: int, key: str = "id",
     return ranked.where((F.col(out) > start) & (F.col(out) <= stop))
 
 
+# Rank accuracy of the sketch that cuts candidates for a key-ordered prefix.
+_PREFIX_ACCURACY = 100_000
+
+
 def prefix(df: DataFrame, n: int, key: str = "id") -> DataFrame:
-    """The ``n`` smallest keys (a cap to a prefix, or a peek)."""
-    return df.orderBy(F.col(key)).limit(n)
+    """The ``n`` smallest keys (a cap to a prefix, or a peek).
+
+    Keys are unique. An approximate quantile (rank error below
+    ``rows / _PREFIX_ACCURACY``) plus a margin cuts a candidate prefix; a
+    count confirms at least ``n`` candidates and a top-n heap finishes. If
+    the check fails, the exact blocked rank by key is used.
+    """
+    total = df.select(key).count()
+    if n >= total:
+        return df
+    margin = n + 8.0 * n ** 0.5 + 16.0 + 2.0 * total / _PREFIX_ACCURACY
+    share = min(1.0, margin / total)
+    if share < 1.0:
+        cut = df.agg(F.percentile_approx(F.col(key), share, _PREFIX_ACCURACY).alias("_cut"))
+        cand = df.crossJoin(F.broadcast(cut)).where(F.col(key) <= F.col("_cut")).drop("_cut")
+        if cand.select(key).count() >= n:
+            return cand.orderBy(F.col(key)).limit(n)
+    return prefix_by_rank(df, n, key)
+
+
+def prefix_by_rank(df: DataFrame, n: int, key: str = "id") -> DataFrame:
+    """The exact, fully distributed form of ``prefix``: blocked rank by key."""
+    ones = df.withColumn("_one", F.lit(1))
+    ranked = running_sum_by_value(ones, key, ["_one"], prefix="_rank")
+    return ranked.where(F.col("_rank_one") <= n).drop("_one", "_rank_one")
 
 
 def fraction_split(df: DataFrame, fractions: dict[str, float], key: str = "id",

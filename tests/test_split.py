@@ -32,3 +32,10 @@ def test_slice_and_sample(spark):
     assert sl.count() == 150
     assert sl.agg(F.min("rank"), F.max("rank")).first() == (101, 250)
     assert split.sample_n(df, 37).count() == 37
+
+
+def test_prefix_candidates_and_fallback(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") * 7 % 5003).alias("id"))
+    want = sorted(r.id for r in df.orderBy("id").limit(321).collect())
+    assert sorted(r.id for r in split.prefix(df, 321).collect()) == want
+    assert sorted(r.id for r in split.prefix_by_rank(df, 321).collect()) == want
