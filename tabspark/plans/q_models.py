@@ -36,8 +36,12 @@ MAX_SIZE = 600
 MAX_LOG_LOSS = 0.35
 
 
+MODEL_COLS = ["id", *FEATURES, "net_k", "is_high"]
+
+
 def _split_ex(spark, d) -> DataFrame:
-    return split.fraction_split(ex(spark, d), split.TRAIN_VALID)
+    """The split example table, materialized once as the fits' input."""
+    return fit.fit_input(split.fraction_split(ex(spark, d).select(*MODEL_COLS), split.TRAIN_VALID))
 
 
 def _scaled(spark, d, label: str) -> DataFrame:
@@ -192,17 +196,24 @@ def logreg_l1(spark, d):
 
 @query("l1_constrained_pick", "I21,I6,F5")
 def l1_constrained_pick(spark, d):
+    """One L1 fit per strength, run concurrently (independent Spark jobs
+    over the same persisted training table), then the constrained pick."""
+    from concurrent.futures import ThreadPoolExecutor
+
     data, names = _crossed(spark, d, "is_high")
     data = data.select("features", "is_high", "split").persist()
-    rows = []
+
+    def one(lam: float):
+        m = _l1_fit(data, lam)
+        size = int(sum(1 for v in m.coefficients.toArray() if v != 0))
+        valid = m.transform(data.where(F.col("split") == "valid")).withColumn(
+            "p1", vector_to_array("probability")[1])
+        ll = evaluate.log_loss(valid, "p1", "is_high").first()["log_loss"]
+        return (lam, size, float(ll))
+
     try:
-        for lam in L1_GRID:
-            m = _l1_fit(data, lam)
-            size = int(sum(1 for v in m.coefficients.toArray() if v != 0))
-            valid = m.transform(data.where(F.col("split") == "valid")).withColumn(
-                "p1", vector_to_array("probability")[1])
-            ll = evaluate.log_loss(valid, "p1", "is_high").first()["log_loss"]
-            rows.append((lam, size, float(ll)))
+        with ThreadPoolExecutor(max_workers=len(L1_GRID)) as pool:
+            rows = list(pool.map(one, L1_GRID))
     finally:
         data.unpersist()
     grid = spark.createDataFrame(rows, "lambda double, size long, log_loss double")
@@ -214,8 +225,8 @@ def l1_constrained_pick(spark, d):
 
 def _digits(spark, d) -> DataFrame:
     dg = split.fraction_split(views.digits(spark, d), split.TRAIN_VALID)
-    return dg.select("id", F.col("label").cast("double").alias("label"), "split",
-                     array_to_vector(F.col("v")).alias("features"))
+    return fit.fit_input(dg.select("id", F.col("label").cast("double").alias("label"), "split",
+                                   array_to_vector(F.col("v")).alias("features")))
 
 
 def _multi_metrics(pred: DataFrame, model: str) -> DataFrame:
@@ -257,7 +268,7 @@ def mlp_weights_q(spark, d):
 def _text(spark, d):
     """Reviews as binary multi-hot vectors over the top-k vocabulary."""
     terms = [r["term"] for r in vocab(spark, d).orderBy("pos").collect()]  # k rows, a parameter
-    rv = split.fraction_split(views.reviews(spark, d), split.TRAIN_VALID)
+    rv = fit.fit_input(split.fraction_split(views.reviews(spark, d), split.TRAIN_VALID))
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="features", binary=True)
     return cv.transform(rv), terms
 
