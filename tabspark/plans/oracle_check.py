@@ -44,11 +44,22 @@ def _norm(v: Any) -> Any:
 
 
 def _kind(type_name: str) -> str:
-    t = type_name.lower()
-    if any(k in t for k in ("int", "long", "short", "byte")):
-        return "int"
-    if any(k in t for k in ("double", "float", "decimal", "real")):
-        return "float"
+    """Type family with width: int32 / int64 / float32 / float64 / str / array / bool."""
+    t = type_name.lower().strip()
+    if t in ("int", "integer", "int32"):
+        return "int32"
+    if t in ("bigint", "long", "int64"):
+        return "int64"
+    if t in ("smallint", "short", "tinyint", "byte"):
+        return "int16"
+    if t in ("hugeint", "int128"):
+        return "int128"
+    if t in ("float", "real", "float32"):
+        return "float32"
+    if t in ("double", "float64"):
+        return "float64"
+    if "decimal" in t:
+        return "decimal"
     if any(k in t for k in ("char", "string", "text")):
         return "str"
     if any(k in t for k in ("array", "[]", "list")):
