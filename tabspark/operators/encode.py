@@ -67,8 +67,21 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                 .withColumn("idx", F.col("idx").cast("bigint"))
                 .join(F.broadcast(ptab), "idx").select("feature", "idx", "prob", "value"))
 
-    # Consumed by four branches (cuts, window, totals, n): materialize once.
-    counts = materialize(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    return quantiles_from_counts(value_counts(df, cols), probs)
+
+
+def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(feature, value, cnt)``: distinct non-null values per column with
+    their counts, materialized (read by several branches downstream)."""
+    long = unpivot(df, cols).where(F.col("value").isNotNull())
+    return materialize(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """Exact quantiles from a ``value_counts`` table (see ``quantiles``)."""
+    spark = counts.sparkSession
+    probs = [float(p) for p in probs]
+    ptab = spark.createDataFrame([(i, p) for i, p in enumerate(probs)], "idx long, prob double")
     cum = running_sum_by_value(counts, "value", ["cnt"], groups=["feature"])
     # Wanted 0-based ranks per (column, probability); bounded by cols x probs.
     n = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))

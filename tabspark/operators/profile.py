@@ -14,7 +14,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.operators.encode import quantiles
+from tabspark.operators.encode import quantiles, quantiles_from_counts, value_counts
 
 
 def _long(row: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -34,15 +34,34 @@ def min_max_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
-    """count, mean, std (sample), min, 25 %, 50 %, 75 %, max per column."""
-    aggs = []
-    for c in cols:
-        x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.max(x).alias(f"{c}__max")]
-    base = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
-    q = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx)
+    """count, mean, std (sample), min, 25 %, 50 %, 75 %, max per column.
+
+    Exact mode makes one pass over ``df``: the materialized distinct-value
+    counts feed both the moments (weighted sums; two-pass variance) and the
+    exact quartiles.
+    """
+    if approx:
+        aggs = []
+        for c in cols:
+            x = F.col(c).cast("double")
+            aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
+                     F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
+                     F.max(x).alias(f"{c}__max")]
+        base = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+        q = quantiles(df, cols, [0.25, 0.5, 0.75], approx=True)
+    else:
+        counts = value_counts(df, cols)
+        m = counts.groupBy("feature").agg(
+            F.sum("cnt").alias("count"),
+            (F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
+            F.min("value").alias("min"), F.max("value").alias("max"))
+        dev = counts.join(F.broadcast(m.select("feature", "mean")), "feature").groupBy("feature").agg(
+            F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mean"), 2)).alias("_ss"))
+        base = (m.join(dev, "feature")
+                .select("feature", "count", "mean",
+                        F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double"))).alias("std"),
+                        "min", "max"))
+        q = quantiles_from_counts(counts, [0.25, 0.5, 0.75])
     qw = q.groupBy("feature").agg(
         *[F.max(F.when(F.col("idx") == i, F.col("value"))).alias(n)
           for i, n in enumerate(["p25", "p50", "p75"])])
