@@ -13,7 +13,13 @@ from tabspark.session import local_session
 
 sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
 names = sys.argv[2:] or list(catalog.queries())
-spark = local_session(shuffle_partitions=8)
+import os
+if os.environ.get("VANILLA"):
+    from pyspark.sql import SparkSession
+    spark = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").getOrCreate()
+    spark.sparkContext.setLogLevel("ERROR")
+else:
+    spark = local_session(shuffle_partitions=8)
 con = duckdb_connection(sf)
 bad = 0
 for n in names:
