@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import (
-    as_flag, binary_threshold, cap_upper, clip, hex8_unit, log_normalize, round6, safe_ratio,
-    seeded_key, vector_scale,
+    as_flag, binary_threshold, cap_upper, clip, log_normalize, round6, safe_ratio, vector_scale,
 )
 from tabspark.operators import split, transform
 from tabspark.operators.transform import Step

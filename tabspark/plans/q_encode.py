@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import hex8_unit, md5_bucket, round6
+from tabspark.functions.columns import hex8_unit, round6
 from tabspark.operators import encode, joins, split
 from tabspark.plans.q_core import FEATURES, TRAIN_SQL, ex, train_rows
 from tabspark.plans.registry import query, sqlf

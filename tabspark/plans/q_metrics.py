@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tabspark.functions.columns import argmax, round6, sigmoid
 from tabspark.operators import evaluate, profile, split, transform
-from tabspark.plans.q_core import FEATURES, SEED, U_SQL, ex
+from tabspark.plans.q_core import FEATURES, U_SQL, ex
 from tabspark.plans.q_encode import FIXED_PRED_SQL, _quantile_ctes, fixed_pred_k
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views

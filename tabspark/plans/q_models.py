@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tabspark.operators import encode, evaluate, fit, neural, split, transform
 from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, ex
-from tabspark.plans.q_encode import VOCAB_K, vocab
+from tabspark.plans.q_encode import vocab
 from tabspark.plans.registry import query
 from tabspark.session import materialize
 from tabspark.sources import views
@@ -308,5 +308,3 @@ def evaluate_text(spark, d):
         out = r if out is None else out.unionByName(r)
     return out
 
-
-__all__ = ["VOCAB_K"]

@@ -59,3 +59,13 @@ def test_quantile_hand_example(spark):
     assert q4 == [3.0, 5.0, 7.0]
     q4b = [r["value"] for r in encode.quantiles(df, ["x"], encode.probs_i_over_n_plus_1(4)).orderBy("idx").collect()]
     assert [round(v, 10) for v in q4b] == [2.6, 4.2, 5.8, 7.4]
+
+
+def test_corr_wide_path_matches_pairwise(spark, monkeypatch):
+    rows = [(float(i), float(i * i % 17), float((i * 7) % 11)) for i in range(200)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    narrow = {(r.col_a, r.col_b): r.r for r in profile.corr_matrix(df, ["a", "b", "c"]).collect()}
+    monkeypatch.setattr(profile, "WIDE_CORR_COLS", 1)
+    wide = {(r.col_a, r.col_b): r.r for r in profile.corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert narrow.keys() == wide.keys()
+    assert all(abs(narrow[k] - wide[k]) < 1e-9 for k in narrow)
