@@ -191,3 +191,15 @@ def with_count_le(df, sorted_arr: str, x: ColumnOrName, length: int, out: str):
         df = df.withColumn(cur, F.when((nxt <= F.lit(length)) & (probe <= x), nxt).otherwise(F.col(cur)))
         step //= 2
     return df.withColumn(out, F.when(x.isNull(), F.lit(None)).otherwise(F.col(cur).cast("bigint"))).drop(cur)
+
+
+def attach_row(df, row_df, cols=None):
+    """``df`` plus the columns of a one-row DataFrame (statistics, a fitted
+    line, cut points), as scalar subqueries rather than a join.
+
+    Each value is computed once (Spark merges scalar subqueries over the
+    same aggregate into one struct and reuses it), then travels into every
+    task as a constant; the big side is not shuffled and no join is planned.
+    """
+    cols = list(cols) if cols is not None else list(row_df.columns)
+    return df.select("*", *[row_df.select(c).scalar().alias(c) for c in cols])

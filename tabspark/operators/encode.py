@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import bucket_of, in_range, md5_bucket
+from tabspark.functions.columns import attach_row, bucket_of, in_range, md5_bucket
 from tabspark.operators.joins import bounded_broadcast
 from tabspark.operators.ordering import running_sum_by_value
 from tabspark.session import materialize
@@ -79,13 +79,13 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def quantiles_from_counts(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles from a ``value_counts`` table (see ``quantiles``)."""
-    spark = counts.sparkSession
     probs = [float(p) for p in probs]
-    ptab = spark.createDataFrame([(i, p) for i, p in enumerate(probs)], "idx long, prob double")
     cum = running_sum_by_value(counts, "value", ["cnt"], groups=["feature"])
     # Wanted 0-based ranks per (column, probability); bounded by cols x probs.
     n = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
-    want = (n.crossJoin(F.broadcast(ptab))
+    grid = F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("idx"), F.lit(p).alias("prob"))
+                               for i, p in enumerate(probs)]))
+    want = (n.select("feature", "n", grid.alias("_p")).select("feature", "n", "_p.idx", "_p.prob")
             .withColumn("rn", (F.col("n") - 1).cast("double") * F.col("prob"))
             .withColumn("lo_rank", F.floor("rn").cast("bigint"))
             .withColumn("hi_rank", F.ceil("rn").cast("bigint")))
@@ -122,7 +122,7 @@ def boundaries_row(q: DataFrame, cols: Sequence[str]) -> DataFrame:
 def bucketize(df: DataFrame, bounds: DataFrame, cols: Sequence[str], keep: Sequence[str] = ("id",),
               suffix: str = "") -> DataFrame:
     """Bucket id per column = number of boundaries <= x."""
-    j = df.crossJoin(F.broadcast(bounds))
+    j = attach_row(df, bounds)
     return j.select(*keep, *[bucket_of(c, f"{c}__bounds").alias(f"{c}{suffix}") for c in cols])
 
 
@@ -260,8 +260,7 @@ def oov_buckets(df: DataFrame, vocab: DataFrame, n_oov: int, terms: str = "terms
     ``n_oov`` extra slots after it. ``(id, slot, n)``."""
     size = vocab.agg(F.count(F.lit(1)).alias("_v"))
     ex = explode_terms(df, terms, key)
-    j = (ex.join(bounded_broadcast(vocab.select("term", "pos"), vocab_rows), "term", "left")
-         .crossJoin(F.broadcast(size)))
+    j = attach_row(ex.join(bounded_broadcast(vocab.select("term", "pos"), vocab_rows), "term", "left"), size)
     slot = F.coalesce(F.col("pos"), F.col("_v") + md5_bucket("term", n_oov)).cast("bigint")
     return j.groupBy(key, slot.alias("slot")).agg(F.count(F.lit(1)).alias("n"))
 
@@ -290,7 +289,7 @@ def nearest_by_dot(table: DataFrame, dims: int, k: int, key: str = "term") -> Da
     vec = F.array(*[F.col(f"e{i}").cast("double") for i in range(dims)])
     packed = table.agg(F.collect_list(F.struct(F.col(key).alias("o"), vec.alias("ov"))).alias("_all"))
     me = table.select(F.col(key), vec.alias("v"))
-    j = me.crossJoin(F.broadcast(packed))
+    j = attach_row(me, packed)
     scored = F.transform(
         F.filter("_all", lambda s: s["o"] != F.col(key)),
         lambda s: F.struct(

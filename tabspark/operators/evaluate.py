@@ -16,7 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import LOG_LOSS_EPS, argmax, bucket_of
+from tabspark.functions.columns import LOG_LOSS_EPS, argmax, attach_row, bucket_of
 from tabspark.operators.ordering import running_sum_by_value
 from tabspark.session import materialize
 
@@ -130,7 +130,7 @@ def roc_curve(df: DataFrame, score: str = "probability", label: str = "label") -
     c = score_counts(df, score, label)
     cum = running_sum_by_value(c, "score", ["pos", "neg"], descending=True)
     totals = c.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    pts = cum.crossJoin(F.broadcast(totals)).select(
+    pts = attach_row(cum, totals).select(
         F.col("score").alias("threshold"),
         F.try_divide(F.col("cum_neg").cast("double"), F.col("_N")).alias("fpr"),
         F.try_divide(F.col("cum_pos").cast("double"), F.col("_P")).alias("tpr"))

@@ -21,7 +21,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import sigmoid
+from tabspark.functions.columns import attach_row, sigmoid
 from tabspark.session import ensure_checkpoint_dir
 
 # Fixed value: gradient L2-norm clip used throughout the reference.
@@ -49,7 +49,7 @@ def linreg_2d(df: DataFrame, x1: str, x2: str, y: str) -> DataFrame:
 
 def predict_line(fit: DataFrame, df: DataFrame, x: str, out: str = "prediction") -> DataFrame:
     """Score with a one-row 1-D fit (I16)."""
-    j = df.crossJoin(F.broadcast(fit.select("slope", "intercept")))
+    j = attach_row(df, fit, ["slope", "intercept"])
     return j.withColumn(out, F.col("slope") * F.col(x) + F.col("intercept")).drop("slope", "intercept")
 
 

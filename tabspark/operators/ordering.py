@@ -21,7 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import seeded_hash, with_count_le
+from tabspark.functions.columns import attach_row, seeded_hash, with_count_le
 
 # Number of order blocks for seeded hash orders: 16^4 prefixes of the md5
 # hex. The offsets table has at most this many rows per group.
@@ -124,7 +124,7 @@ def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
     if groups:
         joined = df.join(F.broadcast(cuts), on=groups, how="inner")
     else:
-        joined = df.crossJoin(F.broadcast(cuts))
+        joined = attach_row(df, cuts)
     joined = with_count_le(joined, "_cuts", F.col(value).cast("double"), blocks - 1, "_n_le")
     blk = (F.lit(blocks - 1) - F.col("_n_le")) if descending else F.col("_n_le")
     return joined.withColumn(out, blk.cast("int")).drop("_cuts", "_n_le")

@@ -14,6 +14,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tabspark.functions.columns import attach_row
 from tabspark.operators.encode import quantiles, quantiles_from_counts, value_counts
 
 
@@ -119,10 +120,10 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     w = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
     x = F.col(col)
     b = F.least(F.floor(F.try_divide(x - F.col("_lo"), w)), F.lit(bins - 1)).cast("bigint")
-    counted = (df.where(x.isNotNull()).crossJoin(F.broadcast(stats))
+    counted = (attach_row(df.where(x.isNotNull()), stats)
                .select(F.coalesce(b, F.lit(0).cast("bigint")).alias("bin"))
                .groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
-    grid = spark.range(bins).select(F.col("id").alias("bin")).crossJoin(F.broadcast(stats))
+    grid = attach_row(spark.range(bins).select(F.col("id").alias("bin")), stats)
     return (grid.join(counted, "bin", "left")
             .select("bin", (F.col("_lo") + F.col("bin") * w).alias("lo"),
                     (F.col("_lo") + (F.col("bin") + 1) * w).alias("hi"),

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import hex8_unit, seeded_hash, seeded_key
+from tabspark.functions.columns import attach_row, hex8_unit, seeded_hash, seeded_key
 from tabspark.operators.ordering import running_sum_by_value, seeded_rank
 
 # Largest n served by a top-n heap; beyond it the distributed rank is used.
@@ -89,7 +89,7 @@ def tail(df: DataFrame, n: int, key: str = "id", seed: int = DEFAULT_SEED) -> Da
             return cand.orderBy(*_order(key, seed, True)).limit(n)
     ranked = permute(df, key, seed, "_rank")
     total = ranked.agg(F.max("_rank").alias("_n"))
-    return (ranked.crossJoin(F.broadcast(total))
+    return (attach_row(ranked, total)
             .where(F.col("_rank") > F.col("_n") - n).drop("_rank", "_n"))
 
 
@@ -119,7 +119,7 @@ def prefix(df: DataFrame, n: int, key: str = "id") -> DataFrame:
     share = min(1.0, margin / total)
     if share < 1.0:
         cut = df.agg(F.percentile_approx(F.col(key), share, _PREFIX_ACCURACY).alias("_cut"))
-        cand = df.crossJoin(F.broadcast(cut)).where(F.col(key) <= F.col("_cut")).drop("_cut")
+        cand = attach_row(df, cut).where(F.col(key) <= F.col("_cut")).drop("_cut")
         if cand.select(key).count() >= n:
             return cand.orderBy(F.col(key)).limit(n)
     return prefix_by_rank(df, n, key)

@@ -2,10 +2,9 @@
 
 Stateful normalisers come as a pair: ``fit_*`` returns a one-row
 statistics DataFrame (a single ``agg`` over all columns: one pass, partial
-aggregation map-side), and ``apply_*`` cross-joins that row. One row is a
-proven bound, so the broadcast is always safe: the plan shows a
-BroadcastNestedLoopJoin with a one-row build side and no shuffle of the
-big side.
+aggregation map-side), and ``apply_*`` reads that row's values as scalar
+subqueries (``functions.attach_row``): computed once, shipped to every task
+as constants; no join is planned and the big side is not shuffled.
 
 Statistics are taken from whatever DataFrame is passed to ``fit_*``;
 pass the training split to avoid leakage (the reference used all rows).
@@ -20,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import (
-    binary_threshold, clip, linear_scale_expr, log_normalize, z_score_expr,
+    attach_row, binary_threshold, clip, linear_scale_expr, log_normalize, z_score_expr,
 )
 
 
@@ -30,8 +29,8 @@ def select_features(df: DataFrame, names: Sequence[str], key: str = "id") -> Dat
 
 
 def with_stats(df: DataFrame, stats: DataFrame) -> DataFrame:
-    """Attach a one-row statistics table to every row."""
-    return df.crossJoin(F.broadcast(stats))
+    """Attach a one-row statistics table to every row (scalar subqueries)."""
+    return attach_row(df, stats)
 
 
 def fit_min_max(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import cap_upper, round6
+from tabspark.functions.columns import attach_row, cap_upper, round6
 from tabspark.operators import fit, split, transform
 from tabspark.operators.evaluate import mse_expr
 from tabspark.plans.q_core import U_SQL, ex
@@ -56,7 +56,7 @@ def linprob_baseline(spark, d):
     e = ex(spark, d).select((F.col("gross") / 1000.0).alias("x"), "is_high")
     f = fit.linreg_1d(e, "x", "is_high")
     p = fit.predict_line(f, e, "x", "pr")
-    m = p.crossJoin(F.broadcast(f.select("slope", "intercept"))).agg(
+    m = attach_row(p, f, ["slope", "intercept"]).agg(
         F.first("slope").alias("slope"), F.first("intercept").alias("intercept"),
         F.avg(((F.col("pr") < 0) | (F.col("pr") > 1)).cast("double")).alias("out_of_range"),
         F.sqrt(mse_expr("pr", "is_high")).alias("rmse"))
@@ -135,7 +135,7 @@ def line_endpoints(spark, d):
     f = fit.linreg_1d(e, "x", "y").select("slope", "intercept")
     smp = split.sample_n(e, 300, "id", seed=7)
     r = smp.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("ylo"), F.max("y").alias("yhi"))
-    r = r.crossJoin(F.broadcast(f))
+    r = attach_row(r, f)
 
     def y_at(x):
         return F.greatest(F.least(F.col("slope") * F.col(x) + F.col("intercept"), F.col("yhi")), F.col("ylo"))
@@ -157,7 +157,7 @@ def refit_after_cap(spark, d):
         t = e.select(x.alias("x"), F.col("net_k").alias("y"))
         f = fit.linreg_1d(t, "x", "y")
         p = fit.predict_line(f, t, "x")
-        m = p.crossJoin(F.broadcast(f.select("slope", "intercept"))).agg(
+        m = attach_row(p, f, ["slope", "intercept"]).agg(
             F.first("slope").alias("slope"), F.first("intercept").alias("intercept"),
             F.sqrt(mse_expr("prediction", "y")).alias("rmse"))
         m = m.select(F.lit(variant).alias("variant"), *[round6(c).alias(c) for c in ["slope", "intercept", "rmse"]])
