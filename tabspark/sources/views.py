@@ -75,9 +75,21 @@ def digits(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("vec_id").alias("id"), F.col("label"), F.col("embedding").alias("v"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that yields fewer partitions than the cluster has
+    cores, before CPU-heavy per-row work (tokenising whole texts). A wide
+    scan (the normal case on a large table) is returned untouched, so no
+    shuffle is added at scale."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < par:
+        return df.repartition(par, key)
+    return df
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """English labelled documents: ``(id, terms, label)``."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]).where(F.col("lang") == "en")
+    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+                  .where(F.col("lang") == "en"), "doc_id")
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
     j = docs.join(labels, "doc_id")
     return j.select(F.col("doc_id").alias("id"), terms_of("text").alias("terms"),
@@ -86,7 +98,8 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def english_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All English documents as term lists (vocabulary source)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"]).where(F.col("lang") == "en")
+    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
+                  .where(F.col("lang") == "en"), "doc_id")
     return docs.select(F.col("doc_id").alias("id"), terms_of("text").alias("terms"))
 
 
