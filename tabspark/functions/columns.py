@@ -195,11 +195,14 @@ def with_count_le(df, sorted_arr: str, x: ColumnOrName, length: int, out: str):
 
 def attach_row(df, row_df, cols=None):
     """``df`` plus the columns of a one-row DataFrame (statistics, a fitted
-    line, cut points), as scalar subqueries rather than a join.
+    line, cut points), without a join.
 
-    Each value is computed once (Spark merges scalar subqueries over the
-    same aggregate into one struct and reuses it), then travels into every
-    task as a constant; the big side is not shuffled and no join is planned.
+    The whole row is ONE scalar subquery (a struct of the wanted columns):
+    it runs once, its value reaches every task as a constant, the big side
+    is not shuffled. The struct is unpacked by field access afterwards.
     """
     cols = list(cols) if cols is not None else list(row_df.columns)
-    return df.select("*", *[row_df.select(c).scalar().alias(c) for c in cols])
+    packed = row_df.select(F.struct(*[F.col(c) for c in cols]).alias("_row")).scalar()
+    with_row = df.select("*", packed.alias("__row"))
+    return with_row.select(*[F.col(c) for c in df.columns],
+                           *[F.col("__row")[c].alias(c) for c in cols])
