@@ -5,14 +5,14 @@ permutation" is defined by a seeded hash order ``md5('<seed>-<id>'), id``
 that both Spark and SQL can evaluate. Two plans give the same rows:
 
 * a *candidate prefix*: the order key is a uniform hash, so the rows whose
-  60-bit hash prefix lies below a threshold sized for ``n + 8 sqrt(n)``
-  rows are exactly the first rows of the order. One key-only count sizes
-  the threshold, one narrow filter keeps the candidates, a check confirms
-  at least ``n`` of them, and a top-n heap over the candidates finishes.
-  The single merge task sees about ``n`` rows, not ``partitions x n``;
-* if the check fails (vanishingly rare) or ``n > TOP_N_LIMIT``: a
-  distributed global rank (``ordering.seeded_rank``) and a filter, so no
-  task ever holds more than one order block.
+  60-bit hash prefix lies below a threshold are exactly the first rows of
+  the order. One key-only aggregate counts the rows below every
+  power-of-two threshold; the smallest one holding ``n`` rows keeps at most
+  about ``2n`` candidates, and a top-n heap over them finishes. The single
+  merge task sees about ``n`` rows, not ``partitions x n``; two passes;
+* for ``n > TOP_N_LIMIT``: a distributed global rank
+  (``ordering.seeded_rank``) and a filter, so no task ever holds more
+  than one order block.
 
 The fraction split (B6) needs neither: one narrow pass, disjoint by
 construction.
@@ -46,30 +46,31 @@ def _order(key: str, seed: int, descending: bool) -> list[Column]:
     return [h.asc(), F.col(key).asc()]
 
 
-# 2^60: range of the 15-hex-digit hash prefix used for candidate cuts.
-_PREFIX_RANGE = float(1 << 60)
-
-
 def _prefix60(key: str, seed: int) -> Column:
     return F.conv(F.substring(seeded_hash(seed, key), 1, 15), 16, 10).cast("bigint")
 
 
 def _candidates(df: DataFrame, n: int, key: str, seed: int, from_top: bool) -> DataFrame | None:
     """Rows forming an exact prefix (or suffix) of the seeded order with at
-    least ``n`` rows, or None when the check fails."""
-    total = df.select(key).count()
-    if n >= total:
-        return df
-    share = min(1.0, (n + 8.0 * n ** 0.5 + 16.0) / total)
-    if share >= 1.0:
-        return df
+    least ``n`` and about ``2n`` rows at most.
+
+    One key-only aggregate counts, exactly, the rows below every
+    power-of-two threshold ``2^k`` of the 60-bit hash prefix (61
+    conditional sums, code-generated); the smallest threshold holding at
+    least ``n`` rows is the cut. The count is exact, so no second check.
+    """
+    h = _prefix60(key, seed)
+    top = 1 << 60
     if from_top:
-        cut = F.lit(int((1.0 - share) * _PREFIX_RANGE))
-        cand = df.where(_prefix60(key, seed) >= cut)
+        conds = [h >= F.lit(top - (1 << k)) for k in range(61)]
     else:
-        cut = F.lit(int(share * _PREFIX_RANGE))
-        cand = df.where(_prefix60(key, seed) <= cut)
-    return cand if cand.select(key).count() >= n else None
+        conds = [h < F.lit(1 << k) for k in range(61)]
+    row = df.select(key).agg(*[F.sum(F.when(c, 1).otherwise(0)).alias(f"k{k}") for k, c in enumerate(conds)]).first()
+    counts = [row[f"k{k}"] or 0 for k in range(61)]
+    if counts[60] <= n:
+        return df
+    k = next(k for k in range(61) if counts[k] >= n)
+    return df.where(conds[k])
 
 
 def head(df: DataFrame, n: int, key: str = "id", seed: int = DEFAULT_SEED) -> DataFrame:
@@ -118,8 +119,9 @@ def prefix(df: DataFrame, n: int, key: str = "id") -> DataFrame:
     margin = n + 8.0 * n ** 0.5 + 16.0 + 2.0 * total / _PREFIX_ACCURACY
     share = min(1.0, margin / total)
     if share < 1.0:
-        cut = df.agg(F.percentile_approx(F.col(key), share, _PREFIX_ACCURACY).alias("_cut"))
-        cand = attach_row(df, cut).where(F.col(key) <= F.col("_cut")).drop("_cut")
+        # one number: collected so the later passes do not recompute it
+        cut = df.agg(F.percentile_approx(F.col(key), share, _PREFIX_ACCURACY)).first()[0]
+        cand = df.where(F.col(key) <= F.lit(cut))
         if cand.select(key).count() >= n:
             return cand.orderBy(F.col(key)).limit(n)
     return prefix_by_rank(df, n, key)
