@@ -160,16 +160,12 @@ select split, metric, value from (
   union all select split, 'n', cast(count(*) as double) from sp group by split
   union all select split, 'mean_label', round(avg(label) * 1e6) / 1e6 from sp group by split)"""))
 def metrics_long(spark, d):
+    # every split's metrics row in one grouped pass, then wide -> long
     s = split.fraction_split(scored_reg(spark, d), split.TRAIN_VALID)
-    rows = None
-    for name in ("train", "valid"):
-        part = s.where(F.col("split") == name)
-        wide = part.agg(round6(F.sqrt(evaluate.mse_expr("prediction", "label"))).alias("rmse"),
-                        F.count(F.lit(1)).cast("double").alias("n"),
-                        round6(F.avg("label")).alias("mean_label")).withColumn("split", F.lit(name))
-        long = evaluate.metrics_long(wide, ["rmse", "n", "mean_label"], keep=["split"])
-        rows = long if rows is None else rows.unionByName(long)
-    return rows
+    wide = s.groupBy("split").agg(round6(F.sqrt(evaluate.mse_expr("prediction", "label"))).alias("rmse"),
+                                  F.count(F.lit(1)).cast("double").alias("n"),
+                                  round6(F.avg("label")).alias("mean_label"))
+    return evaluate.metrics_long(wide, ["rmse", "n", "mean_label"], keep=["split"])
 
 
 # ------------------------------------------------------------------ binary
