@@ -39,3 +39,19 @@ def test_prefix_candidates_and_fallback(spark, monkeypatch):
     want = sorted(r.id for r in df.orderBy("id").limit(321).collect())
     assert sorted(r.id for r in split.prefix(df, 321).collect()) == want
     assert sorted(r.id for r in split.prefix_by_rank(df, 321).collect()) == want
+
+
+def test_head_tail_split_guard(spark):
+    import pytest
+
+    df = spark.range(100)
+    s = split.head_tail_split(df, 60, 40)
+    counts = {r["split"]: r["count"] for r in s.groupBy("split").count().collect()}
+    assert counts == {"train": 60, "valid": 40}
+    assert s.select("id").distinct().count() == 100
+    with pytest.raises(ValueError):
+        split.head_tail_split(df, 70, 40)
+    both = split.head_tail_split(df, 70, 40, allow_overlap=True)
+    assert both.count() == 110
+    head = {r.id for r in split.head(df, 70).collect()}
+    assert {r.id for r in both.where(F.col("split") == "train").collect()} == head
