@@ -82,6 +82,16 @@ def split_valid_tail(spark, d):
     return split.tail(ex(spark, d).select("id", *FEATURES, "net_k"), split.VALID_ROWS, "id", SEED)
 
 
+@query("split_head_tail", "B2,B3", with_views("ex", ctes=f"""
+r as (select id, row_number() over (order by {HASH}, id) as rank, count(*) over () as n from ex)""", body=f"""
+select id, 'train' as split from r where rank <= {split.TRAIN_ROWS}
+union all select id, 'valid' from r where rank > n - {split.VALID_ROWS}"""))
+def split_head_tail(spark, d):
+    # The reference's sizes; on fewer than 17000 rows the ends overlap.
+    return split.head_tail_split(ex(spark, d).select("id"), split.TRAIN_ROWS, split.VALID_ROWS, "id", SEED,
+                                 allow_overlap=True)
+
+
 @query("split_slice", "B4", with_views("ex", body=f"""
 select id, rank from (select id, row_number() over (order by {HASH}, id) as rank from ex)
 where rank > 7500 and rank <= 10000"""))
