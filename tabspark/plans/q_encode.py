@@ -132,6 +132,12 @@ def vocab(spark, d):
     return encode.vocab_topk(views.english_terms(spark, d), VOCAB_K)
 
 
+def vocab_and_reviews(spark, d):
+    """Vocabulary and labelled reviews from one tokenising pass."""
+    terms, rv = views.english_text_views(spark, d)
+    return encode.vocab_topk(terms, VOCAB_K), rv
+
+
 @query("vocab_topk", "D17,A5", with_views("en_terms", ctes=VOCAB_CTES, body="select term, pos, df from vocab"))
 def vocab_topk(spark, d):
     return vocab(spark, d)
@@ -149,7 +155,8 @@ HITS_SQL = """hits as (select r.id, v.pos as term_pos, count(*) as n
 @query("vocab_lookup", "D8", with_views("en_terms", "reviews", ctes=VOCAB_CTES + ",\n" + HITS_SQL,
                                         body="select id, term_pos, n from hits"))
 def vocab_lookup(spark, d):
-    return encode.vocab_lookup(views.reviews(spark, d), vocab(spark, d), vocab_rows=VOCAB_K)
+    voc, rv = vocab_and_reviews(spark, d)
+    return encode.vocab_lookup(rv, voc, vocab_rows=VOCAB_K)
 
 
 @query("multi_hot", "D9", with_views("en_terms", "reviews", ctes=VOCAB_CTES + ",\n" + HITS_SQL, body="""
@@ -157,7 +164,8 @@ select r.id, cast(count(h.term_pos) as bigint) as n_hits,
        coalesce(array_to_string(list_sort(list(h.term_pos) filter (where h.term_pos is not null)), ','), '') as idx
 from reviews r left join hits h on r.id = h.id group by r.id"""))
 def multi_hot(spark, d):
-    mh = encode.multi_hot_indices(views.reviews(spark, d), vocab(spark, d), vocab_rows=VOCAB_K)
+    voc, rv = vocab_and_reviews(spark, d)
+    mh = encode.multi_hot_indices(rv, voc, vocab_rows=VOCAB_K)
     return mh.select("id", F.size("idx").cast("bigint").alias("n_hits"), F.array_join("idx", ",").alias("idx"))
 
 
@@ -165,7 +173,8 @@ def multi_hot(spark, d):
 select id, count(*) as n_in_vocab from (select id, unnest(terms) as term from reviews) r
 where term in (select term from vocab) group by id"""))
 def vocab_semi(spark, d):
-    return encode.vocab_semi(views.reviews(spark, d), vocab(spark, d), vocab_rows=VOCAB_K).groupBy("id").agg(
+    voc, rv = vocab_and_reviews(spark, d)
+    return encode.vocab_semi(rv, voc, vocab_rows=VOCAB_K).groupBy("id").agg(
         F.count(F.lit(1)).alias("n_in_vocab"))
 
 
@@ -175,7 +184,8 @@ select id, coalesce(v.pos, (select count(*) from vocab)
 from (select id, unnest(terms) as term from reviews) r left join vocab v on r.term = v.term
 group by 1, 2"""))
 def oov_hash(spark, d):
-    return encode.oov_buckets(views.reviews(spark, d), vocab(spark, d), N_OOV, vocab_rows=VOCAB_K)
+    voc, rv = vocab_and_reviews(spark, d)
+    return encode.oov_buckets(rv, voc, N_OOV, vocab_rows=VOCAB_K)
 
 
 def embedding_table(voc):
@@ -190,7 +200,8 @@ select id, """ + ", ".join(
     for i in range(EMB_DIMS)) + """
 from (select id, unnest(terms) as term from reviews) r join vocab v on r.term = v.term group by id"""))
 def embed_docs(spark, d):
-    e = encode.embed(views.reviews(spark, d), embedding_table(vocab(spark, d)), EMB_DIMS, "mean",
+    voc, rv = vocab_and_reviews(spark, d)
+    e = encode.embed(rv, embedding_table(voc), EMB_DIMS, "mean",
                      table_rows=VOCAB_K)
     return e.select("id", *[round6(f"e{i}").alias(f"e{i}") for i in range(EMB_DIMS)])
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tabspark.operators import encode, evaluate, fit, neural, split, transform
 from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, ex
-from tabspark.plans.q_encode import vocab
+from tabspark.plans.q_encode import vocab_and_reviews
 from tabspark.plans.registry import query
 from tabspark.session import materialize
 from tabspark.sources import views
@@ -267,8 +267,9 @@ def mlp_weights_q(spark, d):
 
 def _text(spark, d):
     """Reviews as binary multi-hot vectors over the top-k vocabulary."""
-    terms = [r["term"] for r in vocab(spark, d).orderBy("pos").collect()]  # k rows, a parameter
-    rv = fit.fit_input(split.fraction_split(views.reviews(spark, d), split.TRAIN_VALID))
+    voc, reviews = vocab_and_reviews(spark, d)
+    terms = [r["term"] for r in voc.orderBy("pos").collect()]  # k rows, a parameter
+    rv = fit.fit_input(split.fraction_split(reviews, split.TRAIN_VALID))
     cv = CountVectorizerModel.from_vocabulary(terms, inputCol="terms", outputCol="features", binary=True)
     return cv.transform(rv), terms
 
