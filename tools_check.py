@@ -36,6 +36,8 @@ for n in names:
     except Exception as e:  # noqa: BLE001
         r = {"name": n, "error": repr(e)[:600]}
         ok = False
+        if "invalidated" in repr(e) or "INTERNAL" in repr(e):
+            con = duckdb_connection(sf)  # a fatal engine error invalidates the connection
     r["sec"] = round(time.time() - t, 2)
     if not ok:
         bad += 1
