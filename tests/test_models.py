@@ -1,7 +1,6 @@
 """Fits: closed forms against numpy, model-size monotonicity, learning curves."""
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from tabspark.operators import fit
 
