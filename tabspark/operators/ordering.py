@@ -103,12 +103,13 @@ def blocks_for(rows: int) -> int:
 
 def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
                  blocks: int | None = None, descending: bool = False,
-                 out: str = "_blk", accuracy: int = 1000) -> DataFrame:
+                 out: str = "_blk", accuracy: int | None = None) -> DataFrame:
     """Attach a block id monotone in ``value`` (per group) from approximate
     quantile cuts; each row finds its block by binary search.
 
     ``blocks=None`` sizes the blocks from the row count (call on a
-    materialized input). The cut table holds ``groups x blocks`` numbers;
+    materialized input); the sketch accuracy follows the block count so a
+    block holds at most about 1.25x its share. The cut table holds ``groups x blocks`` numbers;
     it is materialized so both consumers below read it once. Rows should
     be pre-aggregated to distinct values, so a hot value is one row and
     cannot overload a block.
@@ -118,6 +119,9 @@ def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
     groups = list(groups)
     if blocks is None:
         blocks = blocks_for(df.count())
+    if accuracy is None:
+        # rank error rows/accuracy must stay well below a block (rows/blocks)
+        accuracy = max(1000, 4 * blocks)
     probs = [i / blocks for i in range(1, blocks)]
     cuts = materialize(df.groupBy(*groups).agg(
         F.array_sort(F.percentile_approx(F.col(value).cast("double"), probs, accuracy)).alias("_cuts")))
