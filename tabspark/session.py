@@ -30,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("TABSPARK_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()
