@@ -80,7 +80,8 @@ def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 def quantiles_from_counts(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
     """Exact quantiles from a ``value_counts`` table (see ``quantiles``)."""
     probs = [float(p) for p in probs]
-    cum = running_sum_by_value(counts, "value", ["cnt"], groups=["feature"])
+    # one group per requested column: a parameter
+    cum = running_sum_by_value(counts, "value", ["cnt"], groups=["feature"], groups_bounded=True)
     # Wanted 0-based ranks per (column, probability); bounded by cols x probs.
     n = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
     grid = F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("idx"), F.lit(p).alias("prob"))

@@ -107,7 +107,7 @@ def score_counts(df: DataFrame, score: str, label: str, groups: Sequence[str] =
 
 
 def auc(df: DataFrame, score: str = "probability", label: str = "label",
-        groups: Sequence[str] = ()) -> DataFrame:
+        groups: Sequence[str] = (), groups_bounded: bool = True) -> DataFrame:
     """exact area under ROC with mid-ranks for tied scores.
 
     ``AUC = sum_s pos_s * (negatives below s + neg_s / 2) / (P * N)``;
@@ -116,7 +116,7 @@ def auc(df: DataFrame, score: str = "probability", label: str = "label",
     """
     groups = list(groups)
     c = score_counts(df, score, label, groups)
-    cum = running_sum_by_value(c, "score", ["neg"], groups=groups)
+    cum = running_sum_by_value(c, "score", ["neg"], groups=groups, groups_bounded=groups_bounded)
     aggs = [F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2.0)).alias("_u"),
             F.sum("pos").alias("_p"), F.sum("neg").alias("_n")]
     part = cum.groupBy(*groups).agg(*aggs) if groups else cum.agg(*aggs)

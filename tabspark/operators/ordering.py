@@ -37,8 +37,15 @@ def _cols(cs: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def _small(df: DataFrame, bounded: bool) -> DataFrame:
+    """Broadcast hint only for a side whose size is a parameter; otherwise
+    AQE decides from the runtime size (broadcast or sort-merge)."""
+    return F.broadcast(df) if bounded else df
+
+
 def blocked_running_sum(df: DataFrame, order: Sequence[str | Column], sums: Sequence[str],
-                        block: str, groups: Sequence[str] = (), prefix: str = "cum_") -> DataFrame:
+                        block: str, groups: Sequence[str] = (), prefix: str = "cum_",
+                        groups_bounded: bool = False) -> DataFrame:
     """Add ``<prefix><s>`` = running sum of ``s`` over ``order`` within ``groups``.
 
     ``block`` must be a column of ``df`` that is non-decreasing along
@@ -46,6 +53,9 @@ def blocked_running_sum(df: DataFrame, order: Sequence[str | Column], sums: Sequ
     row, like ``sum(s) over (partition by groups order by order rows
     between unbounded preceding and current row)``; ``order`` should be a
     total order so the running value of tied rows is defined.
+    ``groups_bounded`` declares the group count a parameter (features,
+    splits, epochs): only then is the ``groups x blocks`` offsets table
+    hinted for broadcast; otherwise AQE picks the join from its runtime size.
     """
     groups = list(groups)
     within = (Window.partitionBy(*groups, block).orderBy(*_cols(order))
@@ -60,8 +70,8 @@ def blocked_running_sum(df: DataFrame, order: Sequence[str | Column], sums: Sequ
     offsets = totals.select(
         *groups, block,
         *[F.coalesce(F.sum(f"_tot_{s}").over(before), F.lit(0)).alias(f"_off_{s}") for s in sums])
-    # Bounded: one row per (group, block); block count is a parameter.
-    joined = local.join(F.broadcast(offsets), on=[*groups, block], how="inner")
+    # One row per (group, block): bounded when the groups are.
+    joined = local.join(_small(offsets, not groups or groups_bounded), on=[*groups, block], how="inner")
     return joined.select(
         *[F.col(c) for c in df.columns],
         *[(F.col(f"_off_{s}") + F.col(f"_loc_{s}")).alias(f"{prefix}{s}") for s in sums])
@@ -74,7 +84,8 @@ def hash_block(h: str | Column, digits: int = HASH_BLOCK_HEX_DIGITS) -> Column:
 
 
 def row_number_by_hash(df: DataFrame, h: str, tiebreak: Sequence[str], out: str = "rank",
-                       digits: int = HASH_BLOCK_HEX_DIGITS, groups: Sequence[str] = ()) -> DataFrame:
+                       digits: int = HASH_BLOCK_HEX_DIGITS, groups: Sequence[str] = (),
+                       groups_bounded: bool = False) -> DataFrame:
     """Global 1-based ``row_number() over ([partition by groups] order by h, *tiebreak)``.
 
     ``h`` is an md5 hex column: uniform, so its leading digits split the
@@ -82,7 +93,8 @@ def row_number_by_hash(df: DataFrame, h: str, tiebreak: Sequence[str], out: str
     """
     blk = "_blk"
     framed = df.withColumn(blk, hash_block(h, digits)).withColumn("_one", F.lit(1))
-    ranked = blocked_running_sum(framed, [h, *tiebreak], ["_one"], blk, groups=groups, prefix="_rn")
+    ranked = blocked_running_sum(framed, [h, *tiebreak], ["_one"], blk, groups=groups, prefix="_rn",
+                                 groups_bounded=groups_bounded)
     return ranked.withColumn(out, F.col("_rn_one").cast("bigint")).drop(blk, "_one", "_rn_one")
 
 
@@ -103,7 +115,7 @@ def blocks_for(rows: int) -> int:
 
 def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
                  blocks: int | None = None, descending: bool = False,
-                 out: str = "_blk", accuracy: int | None = None) -> DataFrame:
+                 out: str = "_blk", accuracy: int | None = None, groups_bounded: bool = False) -> DataFrame:
     """Attach a block id monotone in ``value`` (per group) from approximate
     quantile cuts; each row finds its block by binary search.
 
@@ -126,7 +138,7 @@ def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
     cuts = materialize(df.groupBy(*groups).agg(
         F.array_sort(F.percentile_approx(F.col(value).cast("double"), probs, accuracy)).alias("_cuts")))
     if groups:
-        joined = df.join(F.broadcast(cuts), on=groups, how="inner")
+        joined = df.join(_small(cuts, groups_bounded), on=groups, how="inner")
     else:
         joined = attach_row(df, cuts)
     joined = with_count_le(joined, "_cuts", F.col(value).cast("double"), blocks - 1, "_n_le")
@@ -136,11 +148,12 @@ def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
 
 def running_sum_by_value(df: DataFrame, value: str, sums: Sequence[str], groups: Sequence[str] = (),
                          descending: bool = False, blocks: int | None = None,
-                         prefix: str = "cum_") -> DataFrame:
+                         prefix: str = "cum_", groups_bounded: bool = False) -> DataFrame:
     """Running sums of ``sums`` along ``value`` (asc or desc) within groups.
 
     ``value`` must be unique within a group (pre-aggregate first).
     """
-    blocked = value_blocks(df, value, groups, blocks=blocks, descending=descending)
+    blocked = value_blocks(df, value, groups, blocks=blocks, descending=descending, groups_bounded=groups_bounded)
     order = [F.col(value).desc()] if descending else [F.col(value).asc()]
-    return blocked_running_sum(blocked, order, sums, "_blk", groups, prefix=prefix).drop("_blk")
+    return blocked_running_sum(blocked, order, sums, "_blk", groups, prefix=prefix,
+                               groups_bounded=groups_bounded).drop("_blk")
