@@ -61,3 +61,30 @@ def test_mlp_weight_layout_rescoring(spark):
     p = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
     got = m.transform(df.limit(1)).select("probability").first()[0].toArray()
     assert np.allclose(p, got, atol=1e-9)
+
+
+def test_mllib_normal_equations_match_numpy(spark):
+    from pyspark.ml.linalg import Vectors
+    from pyspark.ml.regression import LinearRegression
+
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(400, 5))
+    y = x @ np.array([1.5, -2.0, 0.3, 0.0, 4.0]) + 7.0 + rng.normal(scale=0.05, size=400)
+    df = spark.createDataFrame([(Vectors.dense(r.tolist()), float(v)) for r, v in zip(x, y)], ["features", "label"])
+    m = LinearRegression(solver="normal", regParam=0.0).fit(df)
+    w = np.linalg.lstsq(np.c_[x, np.ones(400)], y, rcond=None)[0]
+    assert np.allclose(m.coefficients.toArray(), w[:5], atol=1e-8) and abs(m.intercept - w[5]) < 1e-8
+    weights = {r["name"]: r["weight"] for r in fit.linear_weights(spark, m, list("abcde")).collect()}
+    assert abs(weights["bias"] - w[5]) < 1e-8 and abs(weights["e"] - w[4]) < 1e-8
+
+
+def test_relu_net_beats_constant_predictor(spark):
+    from pyspark.sql import functions as F
+
+    from tabspark.plans import q_models
+
+    e = q_models._split_ex(spark, SF_SMALL)
+    std = e.where(F.col("split") == "train").agg(F.stddev_pop("net_k")).first()[0]
+    curve = {(r["period"], r["split"]): r["rmse"] for r in q_models.relu_net_regress(spark, SF_SMALL).collect()}
+    last = max(p for p, _ in curve)
+    assert curve[(last, "train")] < std
