@@ -55,3 +55,10 @@ def test_head_tail_split_guard(spark):
     assert both.count() == 110
     head = {r.id for r in split.head(df, 70).collect()}
     assert {r.id for r in both.where(F.col("split") == "train").collect()} == head
+
+
+def test_prefix_near_whole_table_falls_back_exactly(spark):
+    df = spark.range(3000).select((F.col("id") * 11 % 3001).alias("id"))
+    want = sorted(r.id for r in df.orderBy("id").limit(2950).collect())
+    assert sorted(r.id for r in split.prefix(df, 2950).collect()) == want
+    assert split.prefix(df, 5000).count() == 3000
