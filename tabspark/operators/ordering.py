@@ -102,7 +102,9 @@ def seeded_rank(df: DataFrame, key: str, seed: int, out: str = "rank") -> DataFr
     """Rank of each row in the seeded random permutation (B1).
 
     Order: ``md5('<seed>-<key>')`` then ``key``; the same order DuckDB gives
-    for ``order by md5(...), key``.
+    for ``order by md5(...), key``. ``key`` must be unique (every table here
+    carries an explicit row key): with duplicates the order of tied rows,
+    and so their ranks, would not be defined.
     """
     with_h = df.withColumn("_h", seeded_hash(seed, key))
     return row_number_by_hash(with_h, "_h", [key], out=out).drop("_h")

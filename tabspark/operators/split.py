@@ -35,7 +35,8 @@ DEFAULT_SEED = 42
 
 
 def permute(df: DataFrame, key: str = "id", seed: int = DEFAULT_SEED, out: str = "rank") -> DataFrame:
-    """B1: every row with its 1-based position in the seeded permutation."""
+    """B1: every row with its 1-based position in the seeded permutation
+    (``key`` unique)."""
     return seeded_rank(df, key, seed, out)
 
 
