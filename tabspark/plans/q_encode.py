@@ -65,6 +65,12 @@ def quantile_bounds(spark, d):
     return encode.quantiles(ex(spark, d), QCOLS, P7)
 
 
+@query("quantile_bounds_approx", "D1")
+def quantile_bounds_approx(spark, d):
+    # The one-pass sketch opt-in for very large tables (rank error 1/10000).
+    return encode.quantiles(ex(spark, d), QCOLS, P7, approx=True)
+
+
 @query("quantile_bounds_alt", "D2", with_views("ex", ctes=_quantile_ctes("ex", QCOLS, P10_ALT),
                                                body="select feature, idx, prob, value from qd"))
 def quantile_bounds_alt(spark, d):

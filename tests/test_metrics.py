@@ -69,3 +69,18 @@ def test_corr_wide_path_matches_pairwise(spark, monkeypatch):
     wide = {(r.col_a, r.col_b): r.r for r in profile.corr_matrix(df, ["a", "b", "c"]).collect()}
     assert narrow.keys() == wide.keys()
     assert all(abs(narrow[k] - wide[k]) < 1e-9 for k in narrow)
+
+
+def test_approx_quantiles_within_rank_error(spark):
+    import numpy as np
+
+    from tabspark.operators import encode
+
+    xs = [float((i * 37) % 1009) for i in range(5000)]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    probs = encode.probs_i_over_n(7)
+    got = [r["value"] for r in encode.quantiles(df, ["x"], probs, approx=True).orderBy("idx").collect()]
+    srt = np.sort(xs)
+    for p, v in zip(probs, got):
+        rank = np.searchsorted(srt, v, side="right") / len(xs)
+        assert abs(rank - p) < 0.01
