@@ -25,7 +25,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import attach_row, bucket_of, in_range, md5_bucket
+from tabspark.functions.columns import attach_row, bucket_of, in_range, md5_bucket, with_count_le
 from tabspark.operators.joins import bounded_broadcast
 from tabspark.operators.ordering import running_sum_by_value
 from tabspark.session import materialize
@@ -121,10 +121,19 @@ def boundaries_row(q: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def bucketize(df: DataFrame, bounds: DataFrame, cols: Sequence[str], keep: Sequence[str] = ("id",),
-              suffix: str = "") -> DataFrame:
-    """Bucket id per column = number of boundaries <= x."""
+              suffix: str = "", n_bounds: int | None = None) -> DataFrame:
+    """Bucket id per column = number of boundaries <= x.
+
+    With ``n_bounds`` (sorted quantile bounds of known length) each id is a
+    code-generated binary search; otherwise a per-row filter over the bounds
+    (any order, duplicates allowed).
+    """
     j = attach_row(df, bounds)
-    return j.select(*keep, *[bucket_of(c, f"{c}__bounds").alias(f"{c}{suffix}") for c in cols])
+    if n_bounds is None:
+        return j.select(*keep, *[bucket_of(c, f"{c}__bounds").alias(f"{c}{suffix}") for c in cols])
+    for c in cols:
+        j = with_count_le(j, f"{c}__bounds", F.col(c).cast("double"), n_bounds, f"__b_{c}")
+    return j.select(*keep, *[F.col(f"__b_{c}").alias(f"{c}{suffix}") for c in cols])
 
 
 def bucketize_by_quantiles(df: DataFrame, cols: Sequence[str], n_buckets: int,
@@ -132,7 +141,7 @@ def bucketize_by_quantiles(df: DataFrame, cols: Sequence[str], n_buckets: int,
                            approx: bool = False) -> DataFrame:
     """i/n quantile boundaries from ``fit_on`` (training rows), applied to ``df``."""
     q = quantiles(fit_on if fit_on is not None else df, cols, probs_i_over_n(n_buckets), approx=approx)
-    return bucketize(df, boundaries_row(q, cols), cols, keep)
+    return bucketize(df, boundaries_row(q, cols), cols, keep, n_bounds=n_buckets - 1)
 
 
 def bucketize_fixed(x: str | Column, bounds: Sequence[float]) -> Column:

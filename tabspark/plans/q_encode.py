@@ -82,7 +82,7 @@ def quantile_bounds_alt(spark, d):
 def bucketize_quantile(spark, d):
     e = ex(spark, d)
     q = encode.quantiles(e, ["n_lines"], P7)
-    b = encode.bucketize(e, encode.boundaries_row(q, ["n_lines"]), ["n_lines"], suffix="_bucket")
+    b = encode.bucketize(e, encode.boundaries_row(q, ["n_lines"]), ["n_lines"], suffix="_bucket", n_bounds=len(P7))
     return b
 
 
@@ -268,7 +268,7 @@ def _cross_buckets(spark, d):
     e = ex(spark, d)
     q = encode.quantiles(e, ["total_quantity", "gross"], P10)
     return encode.bucketize(e, encode.boundaries_row(q, ["total_quantity", "gross"]),
-                            ["total_quantity", "gross"], suffix="_b")
+                            ["total_quantity", "gross"], suffix="_b", n_bounds=len(P10))
 
 
 CROSS_CTES = _bounds_ctes("ex", ["total_quantity", "gross"], P10) + f""",
