@@ -118,7 +118,8 @@ def gradient_descent(df: DataFrame, features: Sequence[str], label: str, lr: flo
         w = [wi - lr * gi * scale for wi, gi in zip(w, grad[:p])]
         b = b - lr * grad[p] * scale
         history.append((list(w), b))
-    curve = None
+    # Every step's loss in ONE grouped pass (a column per step), then long.
+    metrics = []
     for step, (ws, bs) in enumerate(history):
         z = linear_form(ws, bs, features)
         if loss == "squared":
@@ -126,12 +127,14 @@ def gradient_descent(df: DataFrame, features: Sequence[str], label: str, lr: flo
         else:
             pz = F.greatest(F.least(sigmoid(z), F.lit(1 - 1e-15)), F.lit(1e-15))
             metric = -F.avg(F.col(label) * F.ln(pz) + (F.lit(1.0) - F.col(label)) * F.ln(F.lit(1.0) - pz))
-        grouped = data.groupBy(split_col) if split_col else data.groupBy()
-        part = grouped.agg(metric.alias("loss"))
-        if not split_col:
-            part = part.withColumn("split", F.lit("all"))
-        part = part.select(F.lit(step).cast("bigint").alias("step"), F.col(split_col or "split").alias("split"), "loss")
-        curve = part if curve is None else curve.unionByName(part)
+        metrics.append(metric.alias(f"_s{step}"))
+    if split_col:
+        wide = data.groupBy(split_col).agg(*metrics).withColumnRenamed(split_col, "split")
+    else:
+        wide = data.agg(*metrics).withColumn("split", F.lit("all"))
+    steps_long = F.explode(F.array(*[F.struct(F.lit(k).cast("bigint").alias("step"), F.col(f"_s{k}").alias("loss"))
+                                     for k in range(len(history))]))
+    curve = wide.select("split", steps_long.alias("_c")).select("_c.step", "split", "_c.loss")
     return GDResult(w, b, curve, history)
 
 
