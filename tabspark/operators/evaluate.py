@@ -169,8 +169,9 @@ def confused_pairs(cm: DataFrame, top: int = 5) -> DataFrame:
 
 
 def evaluate_binary(df: DataFrame, prob: str = "probability", label: str = "label",
-                    t: float = 0.5, eps: float = LOG_LOSS_EPS) -> DataFrame:
-    """F16: the full binary evaluation row in one pass."""
+                    t: float = 0.5, eps: float = LOG_LOSS_EPS, groups: Sequence[str] = ()) -> DataFrame:
+    """F16: the full binary evaluation row in one pass (one row per group,
+    e.g. per split, when ``groups`` is given)."""
     d = _valid(df, prob, label)
     y = F.col(label)
     yhat = threshold(prob, t)
@@ -178,15 +179,16 @@ def evaluate_binary(df: DataFrame, prob: str = "probability", label: str = "labe
     tp = F.sum(F.when((yhat == 1) & (y == 1), 1).otherwise(0))
     fp = F.sum(F.when((yhat == 1) & (y == 0), 1).otherwise(0))
     fn = F.sum(F.when((yhat == 0) & (y == 1), 1).otherwise(0))
-    row = d.agg(
+    aggs = [
         F.count(F.lit(1)).alias("n"),
         F.avg((yhat == y).cast("double")).alias("accuracy"),
         F.avg(y).alias("label_mean"),
         F.avg(F.col(prob)).alias("prediction_mean"),
         tp.alias("_tp"), fp.alias("_fp"), fn.alias("_fn"),
-        (-F.avg(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))).alias("log_loss"))
+        (-F.avg(y * F.ln(p) + (F.lit(1.0) - y) * F.ln(F.lit(1.0) - p))).alias("log_loss")]
+    row = d.groupBy(*groups).agg(*aggs) if groups else d.agg(*aggs)
     return row.select(
-        "n", "accuracy",
+        *groups, "n", "accuracy",
         F.greatest(F.col("label_mean"), F.lit(1.0) - F.col("label_mean")).alias("baseline_accuracy"),
         F.try_divide(F.col("_tp").cast("double"), (F.col("_tp") + F.col("_fp")).cast("double")).alias("precision"),
         F.try_divide(F.col("_tp").cast("double"), (F.col("_tp") + F.col("_fn")).cast("double")).alias("recall"),
