@@ -23,10 +23,16 @@ from tabspark.operators import encode, evaluate, fit, neural, split, transform
 from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, ex
 from tabspark.plans.q_encode import vocab_and_reviews
-from tabspark.plans.registry import query
+from tabspark.plans.registry import REGISTRY, query
+from tabspark.functions.columns import attach_row, round6
 from tabspark.session import materialize
 from tabspark.sources import views
 
+def catalog_sql(name: str) -> str:
+    """The oracle of an already registered query (same output columns)."""
+    return REGISTRY[name].sql
+
+
 SCALED = list(FEATURES)
 CROSS_COLS = ["total_quantity", "gross", "acctbal"]
 N_BUCKETS = 10
@@ -96,6 +102,21 @@ def linreg_multi(spark, d):
     return _reg_metrics(m.transform(data), "net_k", "linear_normal")
 
 
+@query("linreg_mllib_2d", "I2,I17", catalog_sql("linreg_2d"))
+def linreg_mllib_2d(spark, d):
+    """MLlib's distributed normal-equation fit on two features, checked
+    against the closed-form (Cramer's rule) SQL of ``linreg_2d``."""
+    e = ex(spark, d).select((F.col("gross") / 1000.0).alias("x1"), F.col("total_quantity").alias("x2"),
+                            F.col("net_k").alias("y"))
+    data = VectorAssembler(inputCols=["x1", "x2"], outputCol="features").transform(fit.fit_input(e))
+    m = LinearRegression(featuresCol="features", labelCol="y", solver="normal", regParam=0.0).fit(data)
+    w = fit.linear_weights(spark, m, ["b1", "b2"])
+    row = w.groupBy().pivot("name", ["b1", "b2", "bias"]).agg(F.first("weight"))
+    n = e.agg(F.count(F.lit(1)).alias("n"))
+    return attach_row(row, n).select(round6("b1").alias("b1"), round6("b2").alias("b2"),
+                                     round6("bias").alias("intercept"), "n")
+
+
 @query("export_weights", "I17")
 def export_weights(spark, d):
     data = _scaled(spark, d, "net_k")
