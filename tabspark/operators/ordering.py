@@ -20,6 +20,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tabspark.functions.columns import attach_row, seeded_hash, with_count_le
 
@@ -131,14 +132,32 @@ def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
     from tabspark.session import materialize
 
     groups = list(groups)
-    if blocks is None:
+    v = F.col(value).cast("double")
+    cuts = None
+    if blocks is None and groups and not groups_bounded:
+        # arbitrary groups: nothing per group is collected to the driver
         blocks = blocks_for(df.count())
+    if blocks is None:
+        # One aggregate: rows per group and a MIN_BLOCKS-cut sketch, collected
+        # (groups x MIN_BLOCKS numbers). Only tables needing more blocks
+        # (over MIN_BLOCKS x ROWS_PER_BLOCK rows) pay for a finer second sketch.
+        base = [i / MIN_BLOCKS for i in range(1, MIN_BLOCKS)]
+        probe = df.groupBy(*groups).agg(
+            F.count(F.lit(1)).alias("_n"),
+            F.array_sort(F.percentile_approx(v, base, max(1000, 4 * MIN_BLOCKS))).alias("_cuts")).collect()
+        blocks = blocks_for(max((r["_n"] for r in probe), default=0))
+        if blocks == MIN_BLOCKS:
+            fields = [f for f in df.schema.fields if f.name in groups]
+            schema = T.StructType([*fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
+            cuts = df.sparkSession.createDataFrame([tuple(r[g] for g in groups) + (r["_cuts"],) for r in probe],
+                                                   schema)
     if accuracy is None:
         # rank error rows/accuracy must stay well below a block (rows/blocks)
         accuracy = max(1000, 4 * blocks)
-    probs = [i / blocks for i in range(1, blocks)]
-    cuts = materialize(df.groupBy(*groups).agg(
-        F.array_sort(F.percentile_approx(F.col(value).cast("double"), probs, accuracy)).alias("_cuts")))
+    if cuts is None:
+        probs = [i / blocks for i in range(1, blocks)]
+        cuts = materialize(df.groupBy(*groups).agg(
+            F.array_sort(F.percentile_approx(v, probs, accuracy)).alias("_cuts")))
     if groups:
         joined = df.join(_small(cuts, groups_bounded), on=groups, how="inner")
     else:
