@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from tabspark.llm import q_chat, q_license, q_near_text, q_near_vectors, q_packing, q_toxicity
+from tabspark.llm import q_chat, q_license, q_near_text, q_near_vectors, q_packing, q_pii, q_toxicity
 
-_MODULES = (q_toxicity, q_packing, q_license, q_chat, q_near_vectors, q_near_text)
+_MODULES = (q_toxicity, q_packing, q_license, q_chat, q_near_vectors, q_near_text, q_pii)
 
 
 def queries() -> dict:
