@@ -9,7 +9,9 @@ the text's length and mapped to 0..1 by a logistic curve.
 The lexicon is learned from labelled texts in Spark: a term's weight is the
 smoothed log-odds of toxic against clean texts that have it, where a text
 counts only if it is the first with some context of the term (the words on
-either side), so copies of one text count once. A phrase of a
+either side), so copies of one text count once. Words that share a stem of
+four or five letters are taken together as the stem if all words with that
+stem are as toxic. A phrase of a
 term and a neighbour becomes an exception when the term is toxic in general
 but the phrase only occurs in texts labelled clean. The curve is fitted on
 all labelled rows. Lexicon, exceptions and curve are bounded by parameters
@@ -29,7 +31,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import ahocorasick
@@ -105,10 +108,11 @@ class Lexicon:
     offset: float = -20.0
 
     def automaton(self) -> ahocorasick.Automaton | None:
-        """Terms and phrases between single spaces; the stored value is (length, weight), 0 for a phrase."""
+        """Words, stems (with a star) and phrases behind a space; the stored value is (length, weight), 0 for a phrase."""
         a = ahocorasick.Automaton()
         for w, x in self.weights.items():
-            a.add_word(f" {w} ", (len(w) + 2, x))
+            form = f" {w[:-1]}" if w.endswith("*") else f" {w} "
+            a.add_word(form, (len(form), x))
         for p in self.exceptions:
             a.add_word(f" {p} ", (len(p) + 2, 0.0))
         a.make_automaton()
@@ -138,27 +142,55 @@ def normalised(weight: float, n_words: int) -> float:
 
 # ---------------------------------------------------------------- learning
 
-def _each(columns: Callable[[str], Iterable[tuple]], schema: pa.Schema) -> Callable:
-    """A task: rows (label, doc, text) -> what ``columns`` yields for each text, behind label and doc, without repeats."""
+#: Letters of a stem: words of the lexicon that share their first letters give way to a term for all such words.
+STEMS, STEM_WORDS = (4, 5), 3
+
+
+def _counted(schema: pa.Schema):
+    """Rows (label, text) -> (term, toxic texts, clean texts), counted within the task."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def out() -> pa.RecordBatch:
+            terms = list(counts[0].keys() | counts[1].keys())
+            rows = record_batch(schema, terms, [counts[1][t] for t in terms], [counts[0][t] for t in terms])
+            counts[0].clear()
+            counts[1].clear()
+            return rows
+
+        for batch in batches:
+            for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                counts[label].update(set(fold(text or "").split()))
+            if len(counts[0]) + len(counts[1]) > 400_000:
+                yield out()
+        yield out()
+
+    return run
+
+
+def _contexts(wanted: set[str], schema: pa.Schema):
+    """Rows (label, doc, text) -> each wanted term (a word, or a stem with a star) with the words around it."""
+    stems = {t[:-1] for t in wanted if t.endswith("*")}
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for label, doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                rows.extend((label, doc, *x) for x in set(columns(text or "")))
+                words = ["", *fold(text or "").split(), ""]
+                for i in range(1, len(words) - 1):
+                    w = words[i]
+                    if w in wanted:
+                        rows.append((label, doc, w, words[i - 1], words[i + 1]))
+                    rows += [(label, doc, w[:k] + "*", words[i - 1], words[i + 1]) for k in STEMS if w[:k] in stems]
             if rows:
-                yield record_batch(schema, *map(list, zip(*rows, strict=True)))
+                yield record_batch(schema, *map(list, zip(*set(rows), strict=True)))
 
     return run
 
 
-def _contexts(text: str, wanted: set[str] | None = None) -> Iterator[tuple]:
-    words = ["", *fold(text).split(" "), ""]
-    for i in range(1, len(words) - 1):
-        if words[i] and (wanted is None or words[i] in wanted):
-            yield words[i], words[i - 1], words[i + 1]
-
-
+_COUNT = T.StructType([T.StructField("term", T.StringType()), T.StructField("toxic", T.LongType()),
+                       T.StructField("clean", T.LongType())])
 _CONTEXT = T.StructType([T.StructField("label", T.IntegerType()), T.StructField("doc", T.LongType()),
                          *[T.StructField(c, T.StringType()) for c in ("term", "before", "after")]])
 
@@ -179,27 +211,32 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     flat = Lexicon(offset=math.log(prior / (1 - prior)) if 0 < prior < 1 else (20.0 if prior else -20.0))
     if not toxic or not clean:
         return flat
-    out = output_type(_CONTEXT)
-
-    def texts(rows: DataFrame) -> DataFrame:
-        """Number of texts that are the first with some context of a term."""
-        first = rows.groupBy("term", "before", "after").agg(F.min("doc").alias("doc"))
-        return first.groupBy("term", "doc").agg(F.lit(1).alias("one")).groupBy("term").agg(F.count("*").alias("n"))
-
-    terms = (texts(own.where("label = 1").mapInArrow(_each(_contexts, out), _CONTEXT))
-             .where(F.col("n") >= min_texts).orderBy(F.desc("n"), "term").limit(8 * max_terms))
-    n_toxic = {r["term"]: r["n"] for r in terms.collect()}
-    wanted = set(n_toxic)
-    if not wanted:
+
+    def odds(n_toxic: int, n_clean: int) -> float:
+        return math.log((n_toxic + 0.5) / toxic) - math.log((n_clean + 0.5) / clean)
+
+    # Terms by the texts that have them; copies still count. exp(odds) is compared without logarithms.
+    likely = (own.select("label", "text").mapInArrow(_counted(output_type(_COUNT)), _COUNT)
+              .groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+              .where((F.col("toxic") >= min_texts) & ((F.col("toxic") + 0.5) * clean
+                                                      >= (F.col("clean") + 0.5) * toxic * math.exp(min_log_odds)))
+              .orderBy(F.desc("toxic"), "term").limit(4 * max_terms))
+    words = [r["term"] for r in likely.collect()]
+    if not words:
         return flat
-    # Only rows of the wanted terms leave these tasks.
-    rows = stored(own.mapInArrow(_each(lambda t: _contexts(t, wanted), out), _CONTEXT))
-    n_clean = {r["term"]: r["n"] for r in texts(rows.where("label = 0")).collect()}
-    weights = {}
-    for t in sorted(wanted, key=lambda t: (-n_toxic[t], t)):
-        odds = math.log((n_toxic[t] + 0.5) / toxic) - math.log((n_clean.get(t, 0) + 0.5) / clean)
-        if odds >= min_log_odds and len(weights) < max_terms:
-            weights[t] = odds
+    stems = Counter(w[:k] + "*" for w in words for k in STEMS if len(w) > k)
+    wanted = set(words) | {s for s, n in stems.items() if n >= STEM_WORDS}
+    rows = stored(own.mapInArrow(_contexts(wanted, output_type(_CONTEXT)), _CONTEXT))
+    # A text counts for a term if it is the first with some context of it.
+    first = rows.groupBy("label", "term", "before", "after").agg(F.min("doc").alias("doc"))
+    n_texts = {(r["term"], r["label"]): r["n"] for r in first.groupBy("label", "term").agg(
+        F.countDistinct("doc").alias("n")).collect()}
+    good = {t: odds(n, n_texts.get((t, 0), 0)) for t in wanted if (n := n_texts.get((t, 1), 0)) >= min_texts}
+    weights: dict[str, float] = {}
+    for t in sorted(good, key=lambda t: (not t.endswith("*"), len(t) if t.endswith("*") else 0, -n_texts[t, 1], t)):
+        covered = any(t[:k] + "*" in weights for k in STEMS if len(t.rstrip("*")) >= k)
+        if good[t] >= min_log_odds and not covered and len(weights) < max_terms:
+            weights[t] = good[t]
     known = F.col("term").isin(*weights) if weights else F.lit(False)
     phrase = F.explode(F.array(F.concat_ws(" ", "before", "term"), F.concat_ws(" ", "term", "after")))
     spared = (rows.where(known).select(phrase.alias("phrase"), "label", "doc")
