@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from tabspark.llm import q_chat, q_decontaminate, q_exact_spans, q_license, q_near_text, q_near_vectors, q_packing, q_pii, q_toxicity
+from tabspark.llm import (
+    q_chat, q_decontaminate, q_exact_spans, q_license, q_near_text, q_near_vectors, q_packing, q_pii, q_quality,
+    q_toxicity,
+)
 
-_MODULES = (q_toxicity, q_exact_spans, q_packing, q_license, q_chat, q_near_vectors, q_near_text, q_decontaminate, q_pii)
+_MODULES = (q_toxicity, q_exact_spans, q_packing, q_license, q_pii, q_quality, q_decontaminate, q_chat,
+            q_near_vectors, q_near_text)
 
 
 def queries() -> dict:
