@@ -295,3 +295,20 @@ def measure(docs: DataFrame, lexicon: Lexicon, id_col: str, text_col: str = "tex
                 yield record_batch(out, *map(list, zip(*rows, strict=True)))
 
     return docs.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
+
+
+def keep_clean(docs: DataFrame, lexicon: Lexicon, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, whose score stays below the threshold; decided where a row lies."""
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = lexicon.automaton()
+        for batch in batches:
+            keep = []
+            for text in batch.column(at).to_pylist():
+                folded = fold(text or "")
+                x = normalised(matched(folded, automaton)[1], folded.count(" ") + (folded != ""))
+                keep.append(lexicon.score(min(x, 20.0)) < threshold)
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
