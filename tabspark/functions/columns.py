@@ -169,8 +169,8 @@ def terms_of(text: ColumnOrName) -> Column:
     return F.regexp_extract_all(F.lower(_c(text)), F.lit(TERM_PATTERN), 0)
 
 
-# Fixed value: the token pattern, words of a-z letters or one of ? . !
-TERM_PATTERN = "[a-z]+|[?.!]"
+# Fixed value: the token pattern, words of letters or one of ? . !
+TERM_PATTERN = r"\p{L}+|[?.!]"
 
 
 def with_count_le(df, sorted_arr: str, x: ColumnOrName, length: int, out: str):

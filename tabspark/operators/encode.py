@@ -9,7 +9,7 @@ order statistics, like ``quantile_cont``) without any unbounded state:
 
 1. unpivot to ``(feature, value)`` and count per distinct value (map-side
    combine: a value that holds a third of all rows becomes one row);
-2. running counts along the values, blocked by approximate-quantile cuts
+2. running counts along the values, blocked by range partitions
    (``ordering.running_sum_by_value``): each distinct value learns the
    ranks it covers;
 3. a broadcast of the wanted ranks (``columns x probabilities x 2`` rows)
@@ -20,7 +20,7 @@ order statistics, like ``quantile_cont``) without any unbounded state:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,26 +89,18 @@ def quantiles_from_counts(counts: DataFrame, probs: Sequence[float]) -> DataFram
     want = (n.select("feature", "n", grid.alias("_p")).select("feature", "n", "_p.idx", "_p.prob")
             .withColumn("rn", (F.col("n") - 1).cast("double") * F.col("prob"))
             .withColumn("lo_rank", F.floor("rn").cast("bigint"))
-            .withColumn("hi_rank", F.ceil("rn").cast("bigint")))
-    ranks = (want.select("feature", "idx", F.col("lo_rank").alias("r"))
-             .union(want.select("feature", "idx", F.col("hi_rank").alias("r"))).distinct())
-    c, rk = cum.alias("c"), F.broadcast(ranks.alias("rk"))
-    hit = c.join(rk, (F.col("c.feature") == F.col("rk.feature"))
-                 & (F.col("rk.r") >= F.col("c.cum_cnt") - F.col("c.cnt"))
-                 & (F.col("rk.r") < F.col("c.cum_cnt")))
-    picked = hit.select(F.col("rk.feature").alias("feature"), F.col("rk.idx").alias("idx"),
-                        F.col("rk.r").alias("r"), F.col("c.value").alias("v"))
-    lo = picked.alias("lo")
-    hi = picked.alias("hi")
-    w = want.alias("w")
-    res = (w.join(lo, (F.col("lo.feature") == F.col("w.feature")) & (F.col("lo.idx") == F.col("w.idx"))
-                  & (F.col("lo.r") == F.col("w.lo_rank")))
-           .join(hi, (F.col("hi.feature") == F.col("w.feature")) & (F.col("hi.idx") == F.col("w.idx"))
-                 & (F.col("hi.r") == F.col("w.hi_rank"))))
-    value = F.when(F.col("w.lo_rank") == F.col("w.hi_rank"), F.col("lo.v")).otherwise(
-        F.col("lo.v") + (F.col("hi.v") - F.col("lo.v")) * (F.col("w.rn") - F.col("w.lo_rank")))
-    return res.select(F.col("w.feature").alias("feature"), F.col("w.idx").alias("idx"),
-                      F.col("w.prob").alias("prob"), value.alias("value"))
+            .withColumn("hi_rank", F.ceil("rn").cast("bigint")).drop("n"))
+    # A distinct value covers the ranks [cum - cnt, cum); lo and hi are neighbours, so one pass over the
+    # running counts finds the value (or the two values) of every probability.
+    first = F.col("cum_cnt") - F.col("cnt")
+    hit = cum.join(F.broadcast(want), "feature").where(
+        (F.col("lo_rank") < F.col("cum_cnt")) & (F.col("hi_rank") >= first))
+    at = lambda r: F.max(F.when((F.col(r) >= first) & (F.col(r) < F.col("cum_cnt")), F.col("value")))
+    picked = hit.groupBy("feature", "idx", "prob", "rn", "lo_rank", "hi_rank").agg(
+        at("lo_rank").alias("lo"), at("hi_rank").alias("hi"))
+    value = F.when(F.col("lo_rank") == F.col("hi_rank"), F.col("lo")).otherwise(
+        F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("rn") - F.col("lo_rank")))
+    return picked.select("feature", "idx", "prob", value.alias("value"))
 
 
 def boundaries_row(q: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -121,7 +113,7 @@ def boundaries_row(q: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def bucketize(df: DataFrame, bounds: DataFrame, cols: Sequence[str], keep: Sequence[str] = ("id",),
-              suffix: str = "", n_bounds: int | None = None) -> DataFrame:
+              suffix: str = "", n_bounds: int | Mapping[str, int] | None = None) -> DataFrame:
     """Bucket id per column = number of boundaries <= x.
 
     With ``n_bounds`` (sorted quantile bounds of known length) each id is a
@@ -132,16 +124,29 @@ def bucketize(df: DataFrame, bounds: DataFrame, cols: Sequence[str], keep: Seque
     if n_bounds is None:
         return j.select(*keep, *[bucket_of(c, f"{c}__bounds").alias(f"{c}{suffix}") for c in cols])
     for c in cols:
-        j = with_count_le(j, f"{c}__bounds", F.col(c).cast("double"), n_bounds, f"__b_{c}")
+        n = n_bounds if isinstance(n_bounds, int) else n_bounds[c]
+        j = with_count_le(j, f"{c}__bounds", F.col(c).cast("double"), n, f"__b_{c}")
     return j.select(*keep, *[F.col(f"__b_{c}").alias(f"{c}{suffix}") for c in cols])
 
 
-def bucketize_by_quantiles(df: DataFrame, cols: Sequence[str], n_buckets: int,
+def bucketize_by_quantiles(df: DataFrame, cols: Sequence[str], n_buckets: int | Mapping[str, int],
                            fit_on: DataFrame | None = None, keep: Sequence[str] = ("id",),
                            approx: bool = False) -> DataFrame:
-    """i/n quantile boundaries from ``fit_on`` (training rows), applied to ``df``."""
-    q = quantiles(fit_on if fit_on is not None else df, cols, probs_i_over_n(n_buckets), approx=approx)
-    return bucketize(df, boundaries_row(q, cols), cols, keep, n_bounds=n_buckets - 1)
+    """i/n quantile boundaries from ``fit_on`` (training rows), applied to ``df``.
+
+    ``n_buckets`` is one number, or one for each column. The value counts
+    are taken once; each bucket count reads its own columns of them.
+    """
+    per = {c: n_buckets if isinstance(n_buckets, int) else n_buckets[c] for c in cols}
+    source = fit_on if fit_on is not None else df
+    counts = None if approx else value_counts(source, cols)
+    q = None
+    for n in sorted(set(per.values())):
+        own = [c for c in cols if per[c] == n]
+        some = (quantiles(source, own, probs_i_over_n(n), approx=True) if approx
+                else quantiles_from_counts(counts.where(F.col("feature").isin(own)), probs_i_over_n(n)))
+        q = some if q is None else q.unionByName(some)
+    return bucketize(df, boundaries_row(q, cols), cols, keep, n_bounds={c: n - 1 for c, n in per.items()})
 
 
 def bucketize_fixed(x: str | Column, bounds: Sequence[float]) -> Column:
@@ -257,13 +262,6 @@ def multi_hot_indices(df: DataFrame, vocab: DataFrame, terms: str = "terms", key
             .select(key, F.coalesce("idx", F.array().cast("array<bigint>")).alias("idx")))
 
 
-def multi_hot_dense(df: DataFrame, vocab_terms: Sequence[str], terms: str = "terms",
-                    key: str = "id") -> DataFrame:
-    """D9 dense form: ``transform(vocab, v -> array_contains(terms, v))``."""
-    v = F.array(*[F.lit(t) for t in vocab_terms])
-    return df.select(key, F.transform(v, lambda t: F.array_contains(terms, t).cast("int")).alias("multi_hot"))
-
-
 def oov_buckets(df: DataFrame, vocab: DataFrame, n_oov: int, terms: str = "terms",
                 key: str = "id", vocab_rows: int | None = None) -> DataFrame:
     """In-vocabulary terms keep their position; other terms hash into

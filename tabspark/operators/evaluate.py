@@ -107,20 +107,26 @@ def score_counts(df: DataFrame, score: str, label: str, groups: Sequence[str] =
 
 
 def auc(df: DataFrame, score: str = "probability", label: str = "label",
-        groups: Sequence[str] = (), groups_bounded: bool = True) -> DataFrame:
+        groups: Sequence[str] = (), groups_bounded: bool = False) -> DataFrame:
     """exact area under ROC with mid-ranks for tied scores.
 
-    ``AUC = sum_s pos_s * (negatives below s + neg_s / 2) / (P * N)``;
-    every term is a multiple of 1/2, so the sum is exact in doubles.
-    With ``groups`` (e.g. the split) all AUCs come from one pass.
+    ``AUC = sum_s pos_s * (negatives below s + neg_s / 2) / (P * N)``, in
+    doubles throughout: exact while the sums stay below 2^53, and without
+    overflow beyond. With ``groups`` (e.g. the split) all AUCs come from one
+    pass; ``groups_bounded`` says that their number is a parameter.
     """
     groups = list(groups)
     c = score_counts(df, score, label, groups)
     cum = running_sum_by_value(c, "score", ["neg"], groups=groups, groups_bounded=groups_bounded)
-    aggs = [F.sum(F.col("pos") * (F.col("cum_neg") - F.col("neg") / 2.0)).alias("_u"),
+    return area(cum, groups)
+
+
+def area(cum: DataFrame, groups: Sequence[str] = ()) -> DataFrame:
+    """F11 from distinct scores with ``pos``, ``neg`` and the running ``cum_neg``."""
+    aggs = [F.sum(F.col("pos").cast("double") * (F.col("cum_neg").cast("double") - F.col("neg") / 2.0)).alias("_u"),
             F.sum("pos").alias("_p"), F.sum("neg").alias("_n")]
     part = cum.groupBy(*groups).agg(*aggs) if groups else cum.agg(*aggs)
-    return part.select(*groups, F.try_divide(F.col("_u"), F.col("_p") * F.col("_n")).alias("auc"),
+    return part.select(*groups, F.try_divide(F.col("_u"), F.col("_p").cast("double") * F.col("_n").cast("double")).alias("auc"),
                        F.col("_p").alias("positives"), F.col("_n").alias("negatives"))
 
 

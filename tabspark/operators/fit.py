@@ -140,13 +140,6 @@ def gradient_descent(df: DataFrame, features: Sequence[str], label: str, lr: flo
 
 # ------------------------------------------------------------------- MLlib
 
-def assemble(df: DataFrame, features: Sequence[str], out: str = "features") -> DataFrame:
-    """Fixed-order ``VectorAssembler`` (nulls rejected, not zero-filled)."""
-    from pyspark.ml.feature import VectorAssembler
-
-    return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="skip").transform(df)
-
-
 def linear_weights(spark, model, names: Sequence[str]) -> DataFrame:
     """``(layer, row, col, name, weight)`` from a linear model."""
     coef = model.coefficients.toArray().tolist()
@@ -155,15 +148,6 @@ def linear_weights(spark, model, names: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, "layer string, row long, col long, name string, weight double")
 
 
-def matrix_weights(spark, model, class_names: Sequence[str] | None = None) -> DataFrame:
-    """Multinomial coefficients ``(layer, row=class, col=feature, weight)``."""
-    m = model.coefficientMatrix.toArray()
-    rows = [("weights", int(r), int(c), f"c{r}_f{c}", float(m[r, c]))
-            for r in range(m.shape[0]) for c in range(m.shape[1])]
-    rows += [("bias", int(r), 0, f"c{r}", float(v)) for r, v in enumerate(model.interceptVector.toArray())]
-    return spark.createDataFrame(rows, "layer string, row long, col long, name string, weight double")
-
-
 def mlp_weights(spark, model) -> DataFrame:
     """The flat MLP weight vector split into per-layer matrices.
 

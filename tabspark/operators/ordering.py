@@ -4,7 +4,7 @@
 into one task. The helpers here cut the order into *blocks* first:
 
 * a block id that is monotone in the order (a hash prefix for seeded
-  orders, approximate-quantile ranges for data-driven orders);
+  orders, the range partition for data-driven orders);
 * a window *within* each block (one shuffle on the block id, each task
   holds about ``rows / blocks`` rows);
 * per-block totals -> a prefix sum over the small ``(group, block)`` table
@@ -20,18 +20,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tabspark.functions.columns import attach_row, seeded_hash, with_count_le
+from tabspark.functions.columns import seeded_hash
 
 # Number of order blocks for seeded hash orders: 16^4 prefixes of the md5
 # hex. The offsets table has at most this many rows per group.
 HASH_BLOCK_HEX_DIGITS = 4
-# Data-driven orders (scores, values): approximate-quantile cuts, sized to
-# about ROWS_PER_BLOCK rows per block, within [MIN_BLOCKS, MAX_BLOCKS].
+# Data-driven orders (scores, values): range partitions of about ROWS_PER_BLOCK rows.
 ROWS_PER_BLOCK = 1_000_000
-MIN_BLOCKS = 32
-MAX_BLOCKS = 65536
+MIN_BLOCKS = 8
 
 
 def _cols(cs: Sequence[str | Column]) -> list[Column]:
@@ -113,58 +110,26 @@ def seeded_rank(df: DataFrame, key: str, seed: int, out: str = "rank") -> DataFr
 
 def blocks_for(rows: int) -> int:
     """Block count for a data-driven order over ``rows`` rows."""
-    return max(MIN_BLOCKS, min(MAX_BLOCKS, -(-rows // ROWS_PER_BLOCK)))
+    return max(MIN_BLOCKS, -(-rows // ROWS_PER_BLOCK))
 
 
 def value_blocks(df: DataFrame, value: str, groups: Sequence[str] = (),
-                 blocks: int | None = None, descending: bool = False,
-                 out: str = "_blk", accuracy: int | None = None, groups_bounded: bool = False) -> DataFrame:
-    """Attach a block id monotone in ``value`` (per group) from approximate
-    quantile cuts; each row finds its block by binary search.
-
-    ``blocks=None`` sizes the blocks from the row count (call on a
-    materialized input); the sketch accuracy follows the block count so a
-    block holds at most about 1.25x its share. The cut table holds ``groups x blocks`` numbers;
-    it is materialized so both consumers below read it once. Rows should
-    be pre-aggregated to distinct values, so a hot value is one row and
-    cannot overload a block.
+                 blocks: int | None = None, descending: bool = False, out: str = "_blk") -> DataFrame:
+    """Attach a block id monotone in ``(groups, value)``: the range partition of each row.
+
+    Spark's range exchange cuts the order at sampled bounds (a bounded
+    sample per partition), so no task merges anything per group. The
+    result is materialized: the block ids are read by several branches and
+    must not be drawn twice. Rows should be pre-aggregated to distinct
+    values, so a hot value is one row and cannot overload a block.
+    ``blocks=None`` sizes the blocks from the row count.
     """
     from tabspark.session import materialize
 
-    groups = list(groups)
-    v = F.col(value).cast("double")
-    cuts = None
-    if blocks is None and groups and not groups_bounded:
-        # arbitrary groups: nothing per group is collected to the driver
-        blocks = blocks_for(df.count())
-    if blocks is None:
-        # One aggregate: rows per group and a MIN_BLOCKS-cut sketch, collected
-        # (groups x MIN_BLOCKS numbers). Only tables needing more blocks
-        # (over MIN_BLOCKS x ROWS_PER_BLOCK rows) pay for a finer second sketch.
-        base = [i / MIN_BLOCKS for i in range(1, MIN_BLOCKS)]
-        probe = df.groupBy(*groups).agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.array_sort(F.percentile_approx(v, base, max(1000, 4 * MIN_BLOCKS))).alias("_cuts")).collect()
-        blocks = blocks_for(max((r["_n"] for r in probe), default=0))
-        if blocks == MIN_BLOCKS:
-            fields = [f for f in df.schema.fields if f.name in groups]
-            schema = T.StructType([*fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
-            cuts = df.sparkSession.createDataFrame([tuple(r[g] for g in groups) + (r["_cuts"],) for r in probe],
-                                                   schema)
-    if accuracy is None:
-        # rank error rows/accuracy must stay well below a block (rows/blocks)
-        accuracy = max(1000, 4 * blocks)
-    if cuts is None:
-        probs = [i / blocks for i in range(1, blocks)]
-        cuts = materialize(df.groupBy(*groups).agg(
-            F.array_sort(F.percentile_approx(v, probs, accuracy)).alias("_cuts")))
-    if groups:
-        joined = df.join(_small(cuts, groups_bounded), on=groups, how="inner")
-    else:
-        joined = attach_row(df, cuts)
-    joined = with_count_le(joined, "_cuts", F.col(value).cast("double"), blocks - 1, "_n_le")
-    blk = (F.lit(blocks - 1) - F.col("_n_le")) if descending else F.col("_n_le")
-    return joined.withColumn(out, blk.cast("int")).drop("_cuts", "_n_le")
+    n = blocks if blocks is not None else blocks_for(df.count())
+    pid = F.spark_partition_id()
+    ranged = df.repartitionByRange(n, *groups, value)
+    return materialize(ranged.withColumn(out, (F.lit(n - 1) - pid if descending else pid).cast("int")))
 
 
 def running_sum_by_value(df: DataFrame, value: str, sums: Sequence[str], groups: Sequence[str] = (),
@@ -174,7 +139,7 @@ def running_sum_by_value(df: DataFrame, value: str, sums: Sequence[str], groups:
 
     ``value`` must be unique within a group (pre-aggregate first).
     """
-    blocked = value_blocks(df, value, groups, blocks=blocks, descending=descending, groups_bounded=groups_bounded)
+    blocked = value_blocks(df, value, groups, blocks=blocks, descending=descending)
     order = [F.col(value).desc()] if descending else [F.col(value).asc()]
     return blocked_running_sum(blocked, order, sums, "_blk", groups, prefix=prefix,
                                groups_bounded=groups_bounded).drop("_blk")

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import attach_row
@@ -70,24 +70,21 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFr
         "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-# Above this many columns the pairwise aggregates are replaced by MLlib's
-# distributed Gram-matrix correlation (one vector per row).
-WIDE_CORR_COLS = 24
+def _corr(a: str, b: str) -> Column:
+    """Pearson r over the rows that have both; null where a column is constant there."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r of every column pair, long ``(col_a, col_b, r)``.
 
-    One pass: ``p(p-1)/2`` ``corr`` aggregates; the diagonal is 1 and the
-    lower triangle mirrors the upper, so only the upper is computed. For
-    wide tables ``ml.stat.Correlation`` aggregates one vector per row
-    instead (rows with a null are skipped there); its ``p x p`` result is
-    bounded by the column count.
+    One pass: ``p(p-1)/2`` ``corr`` aggregates, each over the rows where
+    both columns are present, for any number of columns; the diagonal is 1
+    and the lower triangle mirrors the upper, so only the upper is computed.
     """
-    if len(cols) > WIDE_CORR_COLS:
-        return _corr_matrix_wide(df, cols)
     pairs = list(combinations(cols, 2))
-    row = df.agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
+    row = df.agg(*[_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
     items = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r"))
              for a, b in pairs]
     items += [F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"{a}__{b}").alias("r"))
@@ -97,17 +94,6 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return row.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")
 
 
-def _corr_matrix_wide(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.stat import Correlation
-
-    vec = VectorAssembler(inputCols=list(cols), outputCol="_v", handleInvalid="skip").transform(
-        df.select(*[F.col(c).cast("double") for c in cols]))
-    m = Correlation.corr(vec, "_v").first()[0].toArray()
-    rows = [(a, b, float(m[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols)]
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
-
-
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     """equal-width histogram ``(bin, lo, hi, n)`` over ``[min, max]``.
 

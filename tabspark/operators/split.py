@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import attach_row, hex8_unit, seeded_hash, seeded_key
-from tabspark.operators.ordering import running_sum_by_value, seeded_rank
+from tabspark.operators.ordering import seeded_rank, value_blocks
 
 # Largest n served by a top-n heap; beyond it the distributed rank is used.
 TOP_N_LIMIT = 200_000
@@ -111,9 +111,10 @@ def head_tail_split(df: DataFrame, n_train: int, n_valid: int, key: str = "id",
         raise ValueError(f"train {n_train} + valid {n_valid} > {total} rows: the splits would overlap; "
                          "use fraction_split or allow_overlap=True")
     ranked = permute(df, key, seed, "_rank")
-    train = ranked.where(F.col("_rank") <= n_train).withColumn(out, F.lit("train"))
-    valid = ranked.where(F.col("_rank") > total - n_valid).withColumn(out, F.lit("valid"))
-    return train.unionByName(valid).drop("_rank")
+    # No, one or two labels per row, from one ranked table.
+    labels = F.array_compact(F.array(F.when(F.col("_rank") <= n_train, F.lit("train")),
+                                     F.when(F.col("_rank") > total - n_valid, F.lit("valid"))))
+    return ranked.withColumn(out, F.explode(labels)).drop("_rank")
 
 
 def slice_rows(df: DataFrame, start: int, stop: int, key: str = "id",
@@ -123,41 +124,24 @@ def slice_rows(df: DataFrame, start: int, stop: int, key: str = "id",
     return ranked.where((F.col(out) > start) & (F.col(out) <= stop))
 
 
-# Rank accuracy of the sketch that cuts candidates for a key-ordered prefix.
-_PREFIX_ACCURACY = 100_000
-
-
 def prefix(df: DataFrame, n: int, key: str = "id") -> DataFrame:
     """The ``n`` smallest keys (a cap to a prefix, or a peek).
 
-    Keys are unique. One key-only aggregate returns the row count and
-    approximate quantiles of the key at shares ``0.8^j`` (rank error below
-    ``rows / _PREFIX_ACCURACY``); the smallest share that clears ``n`` plus
-    that error cuts a candidate prefix, a key-only count confirms at least
-    ``n`` candidates, and a top-n heap finishes (three passes, two of them
-    over the key only). If the check fails, the exact blocked rank is used.
+    Keys are unique. The keys alone are cut into range blocks; their counts
+    (one row per block) tell which block holds the n-th key, that block is
+    ordered to find it, and the rows up to it are kept: exact for any n, and
+    no task holds more than one block.
     """
-    shares = [0.8 ** j for j in range(125)]  # down to ~1e-12; candidates <= 1.25x needed
-    row = df.select(key).agg(F.count(F.lit(1)).alias("n"),
-                             F.percentile_approx(F.col(key), shares, _PREFIX_ACCURACY).alias("q")).first()
-    total = row["n"]
-    if n >= total:
-        return df
-    need = n + 2.0 * total / _PREFIX_ACCURACY
-    fits = [j for j in range(len(shares)) if shares[j] * total >= need]
-    if fits and shares[fits[-1]] < 1.0:
-        cut = row["q"][fits[-1]]  # one number, collected
-        cand = df.where(F.col(key) <= F.lit(cut))
-        if cand.select(key).count() >= n:
-            return cand.orderBy(F.col(key)).limit(n)
-    return prefix_by_rank(df, n, key)
-
-
-def prefix_by_rank(df: DataFrame, n: int, key: str = "id") -> DataFrame:
-    """The exact, fully distributed form of ``prefix``: blocked rank by key."""
-    ones = df.withColumn("_one", F.lit(1))
-    ranked = running_sum_by_value(ones, key, ["_one"], prefix="_rank")
-    return ranked.where(F.col("_rank_one") <= n).drop("_one", "_rank_one")
+    if n <= 0:
+        return df.limit(0)
+    keys = value_blocks(df.select(key), key)
+    before = 0
+    for r in keys.groupBy("_blk").agg(F.count(F.lit(1)).alias("c")).orderBy("_blk").collect():
+        if before + r["c"] >= n:
+            block = keys.where(F.col("_blk") == r["_blk"]).orderBy(F.col(key).asc_nulls_first()).limit(n - before)
+            return df.where(F.col(key) <= F.lit(block.agg(F.max(key)).first()[0]))
+        before += r["c"]
+    return df
 
 
 def fraction_split(df: DataFrame, fractions: dict[str, float], key: str = "id",

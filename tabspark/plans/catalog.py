@@ -2,17 +2,9 @@
 
 from __future__ import annotations
 
-from tabspark.plans import q_core  # noqa: F401
+from tabspark.plans import q_batches, q_core, q_encode, q_fit, q_metrics, q_models  # noqa: F401
 from tabspark.plans.registry import REGISTRY, Query, QueryFn
 
-_OPTIONAL = ("q_encode", "q_metrics", "q_fit", "q_models", "q_batches")
-for _m in _OPTIONAL:
-    try:
-        __import__(f"tabspark.plans.{_m}")
-    except ModuleNotFoundError as e:  # module not written yet
-        if e.name != f"tabspark.plans.{_m}":
-            raise
-
 
 def queries() -> dict[str, QueryFn]:
     return {n: q.fn for n, q in REGISTRY.items()}

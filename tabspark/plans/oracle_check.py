@@ -33,7 +33,7 @@ def _norm(v: Any) -> Any:
             return "nan"
         return repr(float(v))
     if isinstance(v, int):
-        return repr(float(v)) if False else str(v)
+        return str(v)
     if hasattr(v, "tolist"):
         return _norm(v.tolist())
     if isinstance(v, (list, tuple)):

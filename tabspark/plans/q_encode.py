@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from tabspark.functions.columns import hex8_unit, round6
 from tabspark.operators import encode, joins, split
-from tabspark.plans.q_core import FEATURES, TRAIN_SQL, ex, train_rows
+from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, TRAIN_SQL, U_SQL, ex, train_rows
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views
+from tabspark.session import materialize
 from tabspark.sources import views
 
-QCOLS = ["n_lines", "total_quantity", "gross", "price_per_unit"]
+QCOLS = list(FEATURES)
 VOCAB_K = 54
 N_OOV = 10
 EMB_DIMS = 2
@@ -128,44 +129,46 @@ def range_bin_join(spark, d):
 
 # --------------------------------------------------------------- vocabulary
 
-VOCAB_CTES = f"""dfreq as (select term, count(*) as df from (select distinct id, unnest(terms) as term from en_terms) t
-  group by term),
+# The vocabulary is built from training rows, so no later fit has seen its validation texts.
+VOCAB_CTES = f"""dfreq as (select term, count(*) as df from (select distinct id, unnest(terms) as term from doc_terms
+  where {U_SQL} < {sqlf(TRAIN_FRAC)}) t group by term),
 vocab as (select term, pos, df from (select term, cast(row_number() over (order by df desc, term) - 1 as bigint) as pos,
   df from dfreq) where pos < {VOCAB_K})"""
 
 
 def vocab(spark, d):
-    return encode.vocab_topk(views.english_terms(spark, d), VOCAB_K)
+    """The top terms of the training documents; k rows, written once for all that read them."""
+    terms = split.fraction_split(views.document_terms(spark, d), split.TRAIN_VALID)
+    return materialize(encode.vocab_topk(terms.where(F.col("split") == "train"), VOCAB_K))
 
 
 def vocab_and_reviews(spark, d):
-    """Vocabulary and labelled reviews from one tokenising pass."""
-    terms, rv = views.english_text_views(spark, d)
-    return encode.vocab_topk(terms, VOCAB_K), rv
+    """Vocabulary (the corpus is streamed for it) and the labelled documents' terms."""
+    return vocab(spark, d), views.reviews(spark, d)
 
 
-@query("vocab_topk", "D17,A5", with_views("en_terms", ctes=VOCAB_CTES, body="select term, pos, df from vocab"))
+@query("vocab_topk", "D17,A5", with_views("doc_terms", ctes=VOCAB_CTES, body="select term, pos, df from vocab"))
 def vocab_topk(spark, d):
     return vocab(spark, d)
 
 
-@query("vocab_distinct", "A4,S1", with_views("en_terms", body="select distinct unnest(terms) as term from en_terms"))
+@query("vocab_distinct", "A4,S1", with_views("doc_terms", body="select distinct unnest(terms) as term from doc_terms"))
 def vocab_distinct(spark, d):
-    return encode.vocab_distinct(views.english_terms(spark, d))
+    return encode.vocab_distinct(views.document_terms(spark, d))
 
 
 HITS_SQL = """hits as (select r.id, v.pos as term_pos, count(*) as n
   from (select id, unnest(terms) as term from reviews) r join vocab v on r.term = v.term group by r.id, v.pos)"""
 
 
-@query("vocab_lookup", "D8", with_views("en_terms", "reviews", ctes=VOCAB_CTES + ",\n" + HITS_SQL,
+@query("vocab_lookup", "D8", with_views("doc_terms", "reviews", ctes=VOCAB_CTES + ",\n" + HITS_SQL,
                                         body="select id, term_pos, n from hits"))
 def vocab_lookup(spark, d):
     voc, rv = vocab_and_reviews(spark, d)
     return encode.vocab_lookup(rv, voc, vocab_rows=VOCAB_K)
 
 
-@query("multi_hot", "D9", with_views("en_terms", "reviews", ctes=VOCAB_CTES + ",\n" + HITS_SQL, body="""
+@query("multi_hot", "D9", with_views("doc_terms", "reviews", ctes=VOCAB_CTES + ",\n" + HITS_SQL, body="""
 select r.id, cast(count(h.term_pos) as bigint) as n_hits,
        coalesce(array_to_string(list_sort(list(h.term_pos) filter (where h.term_pos is not null)), ','), '') as idx
 from reviews r left join hits h on r.id = h.id group by r.id"""))
@@ -175,7 +178,7 @@ def multi_hot(spark, d):
     return mh.select("id", F.size("idx").cast("bigint").alias("n_hits"), F.array_join("idx", ",").alias("idx"))
 
 
-@query("vocab_semi", "E5", with_views("en_terms", "reviews", ctes=VOCAB_CTES, body="""
+@query("vocab_semi", "E5", with_views("doc_terms", "reviews", ctes=VOCAB_CTES, body="""
 select id, count(*) as n_in_vocab from (select id, unnest(terms) as term from reviews) r
 where term in (select term from vocab) group by id"""))
 def vocab_semi(spark, d):
@@ -184,7 +187,7 @@ def vocab_semi(spark, d):
         F.count(F.lit(1)).alias("n_in_vocab"))
 
 
-@query("oov_hash", "D12", with_views("en_terms", "reviews", ctes=VOCAB_CTES, body=f"""
+@query("oov_hash", "D12", with_views("doc_terms", "reviews", ctes=VOCAB_CTES, body=f"""
 select id, coalesce(v.pos, (select count(*) from vocab)
          + cast(('0x' || substr(md5(r.term), 1, 8)) as bigint) % {N_OOV}) as slot, count(*) as n
 from (select id, unnest(terms) as term from reviews) r left join vocab v on r.term = v.term
@@ -200,7 +203,7 @@ def embedding_table(voc):
                                 for i in range(EMB_DIMS)])
 
 
-@query("embed_docs", "D14,D15", with_views("en_terms", "reviews", ctes=VOCAB_CTES, body="""
+@query("embed_docs", "D14,D15", with_views("doc_terms", "reviews", ctes=VOCAB_CTES, body="""
 select id, """ + ", ".join(
     f"round(avg(cast(('0x' || substr(md5('e{i}-' || v.term), 1, 8)) as bigint) / 4294967296.0 * 2.0 - 1.0) * 1e6) / 1e6 as e{i}"
     for i in range(EMB_DIMS)) + """
@@ -212,7 +215,7 @@ def embed_docs(spark, d):
     return e.select("id", *[round6(f"e{i}").alias(f"e{i}") for i in range(EMB_DIMS)])
 
 
-@query("dot_topk", "D16", with_views("en_terms", ctes=VOCAB_CTES + """,
+@query("dot_topk", "D16", with_views("doc_terms", ctes=VOCAB_CTES + """,
 emb as (select term, """ + ", ".join(
     f"cast(('0x' || substr(md5('e{i}-' || term), 1, 8)) as bigint) / 4294967296.0 * 2.0 - 1.0 as e{i}"
     for i in range(EMB_DIMS)) + """ from vocab),

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 from tabspark.functions.columns import attach_row, cap_upper, round6
 from tabspark.operators import fit, split, transform
 from tabspark.operators.evaluate import mse_expr
-from tabspark.plans.q_core import U_SQL, ex
+from tabspark.plans.q_core import FEATURES, U_SQL, ex
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views
 
-GD_FEATURES = ["total_quantity", "gross"]
-GD_STEPS = 3
+GD_FEATURES = list(FEATURES)
+GD_STEPS = 10
 LR_LINEAR = 20.0
 LR_LOGISTIC = 2.0
 CAP = 5000.0
@@ -67,20 +67,21 @@ def linprob_baseline(spark, d):
 
 def _gd_input(spark, d, label: str):
     e = split.fraction_split(ex(spark, d), split.TRAIN_VALID)
-    sc = transform.linear_scale(e, GD_FEATURES, keep=("id", label, "split"))
-    return sc
+    return transform.linear_scale(e, GD_FEATURES, fit_on=e.where(F.col("split") == "train"), keep=("id", label, "split"))
 
 
 def _gd_sql(label: str, lr: float, loss: str) -> str:
     mm = ", ".join(f"min({c}) as {c}__min, max({c}) as {c}__max" for c in GD_FEATURES)
     lin = ", ".join(f"({c} - s.{c}__min) / nullif((s.{c}__max - s.{c}__min) / 2.0, 0) - 1.0 as {c}" for c in GD_FEATURES)
-    ctes = [f"s as (select {mm} from ex)",
-            f"sc as (select {lin}, {label} as y, case when {U_SQL} < {sqlf(split.TRAIN_VALID['train'])} "
+    n = len(GD_FEATURES)
+    is_train = f"{U_SQL} < {sqlf(split.TRAIN_VALID['train'])}"
+    ctes = [f"s as (select {mm} from ex where {is_train})",
+            f"sc as materialized (select {lin}, {label} as y, case when {is_train} "
             f"then 'train' else 'valid' end as split from ex, s)",
-            "w0 as (select 0.0::double as w1, 0.0::double as w2, 0.0::double as b)"]
+            "w0 as (select " + ", ".join(f"0.0::double as w{i}" for i in range(n)) + ", 0.0::double as b)"]
 
     def z(wt: str) -> str:
-        return f"({wt}.b + {wt}.w1 * total_quantity + {wt}.w2 * gross)"
+        return f"({wt}.b + " + " + ".join(f"{wt}.w{i} * {c}" for i, c in enumerate(GD_FEATURES)) + ")"
 
     def err(wt: str) -> str:
         if loss == "squared":
@@ -89,12 +90,14 @@ def _gd_sql(label: str, lr: float, loss: str) -> str:
 
     for k in range(GD_STEPS):
         w = f"w{k}"
-        ctes.append(f"g{k} as (select avg({err(w)} * total_quantity) g1, avg({err(w)} * gross) g2, avg({err(w)}) gb "
-                    f"from sc, {w} where split = 'train')")
-        ctes.append(f"c{k} as (select case when sqrt(g1*g1 + g2*g2 + gb*gb) > 0 "
-                    f"then least(1.0, 5.0 / sqrt(g1*g1 + g2*g2 + gb*gb)) else 1.0 end as k, g1, g2, gb from g{k})")
-        ctes.append(f"w{k + 1} as (select {w}.w1 - {sqlf(lr)} * c.g1 * c.k as w1, {w}.w2 - {sqlf(lr)} * c.g2 * c.k as w2, "
-                    f"{w}.b - {sqlf(lr)} * c.gb * c.k as b from {w}, c{k} c)")
+        ctes.append(f"g{k} as materialized (select "
+                    + ", ".join(f"avg({err(w)} * {c}) g{i}" for i, c in enumerate(GD_FEATURES))
+                    + f", avg({err(w)}) gb from sc, {w} where split = 'train')")
+        norm = "sqrt(" + " + ".join(f"g{i}*g{i}" for i in range(n)) + " + gb*gb)"
+        ctes.append(f"c{k} as (select case when {norm} > 0 then least(1.0, 5.0 / {norm}) else 1.0 end as k, * from g{k})")
+        ctes.append(f"w{k + 1} as materialized (select "
+                    + ", ".join(f"{w}.w{i} - {sqlf(lr)} * c.g{i} * c.k as w{i}" for i in range(n))
+                    + f", {w}.b - {sqlf(lr)} * c.gb * c.k as b from {w}, c{k} c)")
     rows = []
     for k in range(GD_STEPS + 1):
         w = f"w{k}"

@@ -21,7 +21,7 @@ from tabspark.sources import views
 PROB_SCALE = 280000.0          # gross at which the fixed probability is 0.5
 CALIB_BOUNDS = [i / 10 for i in range(1, 10)]
 PROFILE_COLS = FEATURES + ["net_k"]
-CORR_COLS = ["n_lines", "total_quantity", "gross", "net_k"]
+CORR_COLS = PROFILE_COLS
 
 
 def fixed_prob(gross="gross"):

@@ -25,13 +25,13 @@ _VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
          cast(case when cast(net_4 as double)/10000 > 265000 then 1 else 0 end as double) is_high
   from orders join li on k = o_orderkey join customer on c_custkey = o_custkey"""),
     "digits": ((), "select vec_id id, label, embedding v from embeddings"),
-    "reviews": ((), """
-  select d.doc_id id, regexp_extract_all(lower(text), '[a-z]+|[?.!]', 0) terms,
+    "reviews": ((), r"""
+  select d.doc_id id, regexp_extract_all(lower(text), '\p{L}+|[?.!]', 0) terms,
          cast(quality as double) label
-  from documents d join labels l on d.doc_id = l.doc_id where lang = 'en'"""),
-    "en_terms": ((), """
-  select doc_id id, regexp_extract_all(lower(text), '[a-z]+|[?.!]', 0) terms
-  from documents where lang = 'en'"""),
+  from documents d join labels l on d.doc_id = l.doc_id"""),
+    "doc_terms": ((), r"""
+  select doc_id id, regexp_extract_all(lower(text), '\p{L}+|[?.!]', 0) terms
+  from documents"""),
     "skewed": ((), "select event_id id, value from events"),
 }
 

@@ -43,7 +43,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` points at shared storage and is
-    used as is. Only when it is unset (local tests) is a scratch folder made.
+    used as is. Where it is unset, a scratch folder is made on a local master
+    (tests); on a cluster that raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
@@ -51,6 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError(f"{CHECKPOINT_CONF} must name a folder that all executors share")
     path = tempfile.mkdtemp(prefix="tabspark-ckpt-")
     sc.setCheckpointDir(path)
     return path

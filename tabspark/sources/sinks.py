@@ -1,7 +1,8 @@
 """Sinks (A6): metric and feature tables written as Parquet.
 
 A run's metrics are a long DataFrame ``(run, period, split, metric, value)``
-built with ``unionByName`` (S2) and appended per run, partitioned by run.
+built with ``unionByName`` (S2) and written per run, partitioned by run; a
+run that is repeated replaces its own partition.
 """
 
 from __future__ import annotations
@@ -19,5 +20,6 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def append_metrics(metrics: DataFrame, path: str, run: str) -> None:
-    """Append one run's long metrics table under ``run=<name>``."""
-    write_table(metrics.withColumn("run", F.lit(run)), path, ["run"], mode="append")
+    """Write one run's long metrics table under ``run=<name>``, in place of an earlier one of that name."""
+    (metrics.withColumn("run", F.lit(run)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("run").parquet(path))

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,23 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
 
 def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str,
                    header: bool = True, sep: str = ",") -> DataFrame:
-    """A1: delimited file with a header and a declared schema."""
-    return spark.read.schema(schema).option("header", header).option("sep", sep).csv(path)
+    """A1: delimited file with a declared schema; with a header, columns are found by name.
+
+    The first file's header gives the order. A file whose header has another
+    order, or lacks a declared column, raises instead of giving one column
+    the values of another.
+    """
+    declared = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
+    if not header:
+        return spark.read.schema(declared).option("header", False).option("sep", sep).csv(path)
+    names = spark.read.option("header", True).option("sep", sep).csv(path).columns
+    missing = [f.name for f in declared.fields if f.name not in names]
+    if missing:
+        raise ValueError(f"the header of {path} lacks {missing}")
+    types = {f.name: f.dataType for f in declared.fields}
+    stored = T.StructType([T.StructField(n, types.get(n, T.StringType()), True) for n in names])
+    rows = spark.read.schema(stored).option("header", True).option("enforceSchema", False).option("sep", sep).csv(path)
+    return rows.select(*[f.name for f in declared.fields])
 
 
 def numeric_schema(names: Sequence[str]) -> T.StructType:
@@ -56,12 +71,15 @@ def read_headerless_vectors(spark: SparkSession, path: str, width: int,
                             sep: str = ",") -> DataFrame:
     """A2: headerless CSV, column 0 = label, 1..width = features.
 
-    Adds a stable ``id`` from the file position (no positional zip later).
+    ``id`` is a hash of the row and of its ordinal among equal rows, so it
+    doesn't depend on how the files are split (no positional zip later).
     """
     schema = T.StructType([T.StructField(f"_c{i}", T.DoubleType(), True)
                            for i in range(width + 1)])
     raw = spark.read.schema(schema).option("header", False).option("sep", sep).csv(path)
-    raw = raw.withColumn("_id", F.monotonically_increasing_id())
+    cols = [F.col(c) for c in raw.columns]
+    nth = F.row_number().over(Window.partitionBy(*cols).orderBy(F.lit(0)))
+    raw = raw.withColumn("_id", F.xxhash64(*cols, nth))
     return pack_label_vector(raw, "_c0", [f"_c{i}" for i in range(1, width + 1)], id_col="_id")
 
 

@@ -87,39 +87,20 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """English labelled documents: ``(id, terms, label)``."""
-    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
-                  .where(F.col("lang") == "en"), "doc_id")
+    """Labelled documents of all languages: ``(id, terms, label)``; only they are tokenised."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
-    j = docs.join(labels, "doc_id")
+    j = spread(docs.join(labels, "doc_id"), "doc_id")
     return j.select(F.col("doc_id").alias("id"), terms_of("text").alias("terms"),
                     F.col("quality").cast("double").alias("label"))
 
 
-def english_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All English documents as term lists (vocabulary source)."""
-    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang"])
-                  .where(F.col("lang") == "en"), "doc_id")
+def document_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as term lists; a stream for term counts, never written."""
+    docs = spread(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), "doc_id")
     return docs.select(F.col("doc_id").alias("id"), terms_of("text").alias("terms"))
 
 
-def english_text_views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Tokenise the English documents ONCE for queries that need both the
-    vocabulary source and the labelled reviews: ``(terms, reviews)``.
-
-    The term lists are materialized (checkpoint to the shared folder); the
-    reviews are those lists joined to the labels, so the regex pass over
-    whole texts is not repeated.
-    """
-    from tabspark.session import materialize
-
-    terms = materialize(english_terms(spark, sf_dir))
-    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
-    rv = terms.join(labels, terms.id == labels.doc_id).select(
-        "id", "terms", F.col("quality").cast("double").alias("label"))
-    return terms, rv
-
-
 def skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events", ["event_id", "value"]).select(
         F.col("event_id").alias("id"), "value")

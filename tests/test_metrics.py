@@ -61,14 +61,21 @@ def test_quantile_hand_example(spark):
     assert [round(v, 10) for v in q4b] == [2.6, 4.2, 5.8, 7.4]
 
 
-def test_corr_wide_path_matches_pairwise(spark, monkeypatch):
-    rows = [(float(i), float(i * i % 17), float((i * 7) % 11)) for i in range(200)]
-    df = spark.createDataFrame(rows, "a double, b double, c double")
-    narrow = {(r.col_a, r.col_b): r.r for r in profile.corr_matrix(df, ["a", "b", "c"]).collect()}
-    monkeypatch.setattr(profile, "WIDE_CORR_COLS", 1)
-    wide = {(r.col_a, r.col_b): r.r for r in profile.corr_matrix(df, ["a", "b", "c"]).collect()}
-    assert narrow.keys() == wide.keys()
-    assert all(abs(narrow[k] - wide[k]) < 1e-9 for k in narrow)
+def test_corr_does_not_depend_on_other_columns(spark):
+    rows = [tuple((float(i * (j + 3) % 17) if j or i % 3 else None) for j in range(25)) for i in range(120)]
+    cols = [f"c{j}" for j in range(25)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in cols))
+    got = [{(r.col_a, r.col_b): r.r for r in profile.corr_matrix(df, cols[:n]).collect()} for n in (24, 25)]
+    assert all(got[0][k] == got[1][k] for k in got[0]) and len(got[1]) == 625
+
+
+def test_auc_of_very_many_rows(spark):
+    from tabspark.operators import evaluate, ordering  # noqa: F401
+
+    counts = spark.createDataFrame([(0.1, 0, 4_000_000_000), (0.5, 1_000_000_000, 1), (0.9, 4_000_000_000, 0)],
+                                   "score double, pos long, neg long")
+    cum = ordering.running_sum_by_value(counts, "score", ["neg"])
+    assert evaluate.area(cum).first()["auc"] > 0.999999
 
 
 def test_approx_quantiles_within_rank_error(spark):

@@ -3,6 +3,7 @@
 import os
 import tempfile
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabspark.operators import fit
@@ -27,6 +28,37 @@ def test_delimited_with_schema(spark):
     assert abs(got - want) < 1e-6 * abs(want)
 
 
+def test_delimited_columns_are_found_by_name(spark):
+    path = os.path.join(_tmp(), "swapped.csv")
+    with open(path, "w") as f:
+        f.write("b,a,c\n1,2,x\n3,4,y\n")
+    rows = tables.read_delimited(spark, path, "a double, b double").orderBy("a").collect()
+    assert [(r.a, r.b) for r in rows] == [(2.0, 1.0), (4.0, 3.0)]
+    with pytest.raises(ValueError):
+        tables.read_delimited(spark, path, "a double, d double")
+
+
+def test_delimited_files_of_another_order_raise(spark):
+    path = _tmp()
+    for name, head in (("1.csv", "a,b"), ("2.csv", "b,a")):
+        with open(os.path.join(path, name), "w") as f:
+            f.write(head + "\n1,2\n")
+    with pytest.raises(Exception, match="header|Header"):
+        tables.read_delimited(spark, path, "a double, b double").collect()
+
+
+def test_headerless_ids_do_not_depend_on_splits(spark):
+    path = os.path.join(_tmp(), "v.csv")
+    with open(path, "w") as f:
+        f.write("".join(f"{i % 5},{i % 7},{i % 3}\n" for i in range(4000)))
+    ids = []
+    for size in ("134217728", "2000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        ids.append(sorted(r.id for r in tables.read_headerless_vectors(spark, path, 2).select("id").collect()))
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert ids[0] == ids[1] and len(set(ids[0])) == 4000
+
+
 def test_headerless_vectors(spark):
     emb = tables.read_table(spark, SF_SMALL, "embeddings")
     flat = emb.select(F.col("label").cast("double").alias("c0"),
@@ -53,6 +85,7 @@ def test_metrics_sink_roundtrip(spark):
                               "period long, split string, metric string, value double")
     sinks.append_metrics(m, path, "a")
     sinks.append_metrics(m, path, "b")
+    sinks.append_metrics(m, path, "a")  # a repeated run replaces itself
     back = spark.read.parquet(path)
     assert back.count() == 4 and sorted(r.run for r in back.select("run").distinct().collect()) == ["a", "b"]
 
