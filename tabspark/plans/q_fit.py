@@ -166,3 +166,51 @@ def refit_after_cap(spark, d):
         m = m.select(F.lit(variant).alias("variant"), *[round6(c).alias(c) for c in ["slope", "intercept", "rmse"]])
         out = m if out is None else out.unionByName(m)
     return out
+
+
+# ------------------------------------------------- fits on held-out rows
+
+_IS_TRAIN = f"{U_SQL} < {sqlf(split.TRAIN_VALID['train'])}"
+
+
+@query("holdout_fitted", "I24,I2,B12,F6", with_views("ex", ctes=f"""
+e as (select gross / 1000.0 as x1, total_quantity as x2, net_k as y,
+             case when {_IS_TRAIN} then 'train' else 'valid' end as split from ex),
+s as (select var_samp(x1) s11, var_samp(x2) s22, covar_samp(x1, x2) s12, covar_samp(x1, y) s1y, covar_samp(x2, y) s2y,
+             avg(x1) m1, avg(x2) m2, avg(y) my from e where split = 'train'),
+c as (select (s22 * s1y - s12 * s2y) / nullif(s11 * s22 - s12 * s12, 0) b1,
+             (s11 * s2y - s12 * s1y) / nullif(s11 * s22 - s12 * s12, 0) b2, m1, m2, my from s)""", body=f"""
+select split, {_r6('sqrt(avg(power(my + b1 * (x1 - m1) + b2 * (x2 - m2) - y, 2)))')} as rmse, count(*) as n
+from e, c group by split"""))
+def holdout_fitted(spark, d):
+    """A two-feature fit on training rows, judged on the rows it has not seen."""
+    e = split.fraction_split(ex(spark, d).select(
+        "id", (F.col("gross") / 1000.0).alias("x1"), F.col("total_quantity").alias("x2"), F.col("net_k").alias("y")),
+        split.TRAIN_VALID)
+    m = fit.linreg_2d(e.where(F.col("split") == "train"), "x1", "x2", "y")
+    p = attach_row(e, m, ["b1", "b2", "intercept"]).withColumn(
+        "p", F.col("intercept") + F.col("b1") * F.col("x1") + F.col("b2") * F.col("x2"))
+    return p.groupBy("split").agg(round6(F.sqrt(mse_expr("p", "y"))).alias("rmse"), F.count(F.lit(1)).alias("n"))
+
+
+def normal_equation_ctes(features, label: str, train_sql: str) -> str:
+    """CTEs ending in ``sol(x0..xp)``: least squares on min-max scaled training rows by unrolled elimination.
+
+    ``x0`` is the bias. ``sc`` has the scaled features, ``y`` and ``split``.
+    """
+    mm = ", ".join(f"min({c}) as {c}__min, max({c}) as {c}__max" for c in features)
+    lin = ", ".join(f"({c} - s.{c}__min) / nullif((s.{c}__max - s.{c}__min) / 2.0, 0) - 1.0 as {c}" for c in features)
+    xs = ["1.0", *features, "y"]
+    n = len(features) + 1
+    ctes = [f"s as (select {mm} from ex where {train_sql})",
+            f"sc as materialized (select id, {lin}, {label} as y, case when {train_sql} then 'train' else 'valid' end as split "
+            f"from ex, s)",
+            "m0 as materialized (select " + ", ".join(f"sum({xs[i]} * {xs[j]}) as a{i}_{j}" for i in range(n) for j in range(n + 1))
+            + " from sc where split = 'train')"]
+    for k in range(n):
+        cells = [f"a{i}_{j}" if i == k else f"a{i}_{j} - a{i}_{k} / a{k}_{k} * a{k}_{j}" for i in range(n) for j in range(n + 1)]
+        ctes.append(f"m{k + 1} as materialized (select " + ", ".join(
+            f"{c} as a{i}_{j}" for c, (i, j) in zip(cells, [(i, j) for i in range(n) for j in range(n + 1)], strict=True))
+            + f" from m{k})")
+    ctes.append("sol as materialized (select " + ", ".join(f"a{i}_{n} / a{i}_{i} as x{i}" for i in range(n)) + f" from m{n})")
+    return ",\n".join(ctes)

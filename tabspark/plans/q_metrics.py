@@ -7,6 +7,8 @@ anything that is grouped or ranked).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import argmax, round6, sigmoid
@@ -45,16 +47,23 @@ def scored_reg(spark, d):
 SCORED_REG = f"sr as (select id, {FIXED_PRED_SQL} as prediction, net_k as label from ex)"
 
 
+# A fixed class score over the whole vector: weight of position j for class c by rule, to three decimals.
+N_POS, N_CLASSES = 64, 10
+DIGIT_W = [[round(math.cos((j + 1) * (c + 1)), 3) for j in range(N_POS)] for c in range(N_CLASSES)]
+
+
 def digit_scores(spark, d):
-    """Class scores = the first ten vector entries; predicted = arg-max."""
+    """Class scores of a fixed linear model over all vector entries; predicted = arg-max."""
     dg = views.digits(spark, d)
-    s = F.slice("v", 1, 10)
-    return dg.select("id", F.col("label").cast("bigint").alias("label"), s.alias("scores"),
-                     argmax(s).alias("predicted"))
+    s = F.array(*[F.aggregate(F.zip_with("v", F.lit(ws), lambda x, w: x.cast("double") * w), F.lit(0.0), lambda a, x: a + x)
+                  for ws in DIGIT_W])
+    return dg.select("id", F.col("label").cast("bigint").alias("label"), s.alias("scores")).withColumn(
+        "predicted", argmax("scores"))
 
 
-DIGIT_SC = """ds as (select id, cast(label as bigint) as label, v[1:10] as scores,
-  cast(list_position(v[1:10], list_max(v[1:10])) - 1 as bigint) as predicted from digits)"""
+_SCORES_SQL = ", ".join("(" + " + ".join(f"v[{j + 1}] * {sqlf(w)}" for j, w in enumerate(ws)) + ")" for ws in DIGIT_W)
+DIGIT_SC = f"""dv as (select id, cast(label as bigint) as label, [{_SCORES_SQL}] as scores from digits),
+ds as (select *, cast(list_position(scores, list_max(scores)) - 1 as bigint) as predicted from dv)"""
 
 
 # ----------------------------------------------------------------- profiles
@@ -236,7 +245,7 @@ def calibration_bins(spark, d):
 
 @query("argmax_class", "H3", with_views("digits", ctes=DIGIT_SC, body="select id, predicted as class_id from ds"))
 def argmax_class(spark, d):
-    return evaluate.argmax_class(views.digits(spark, d).select("id", F.slice("v", 1, 10).alias("s")), "s")
+    return evaluate.argmax_class(digit_scores(spark, d).select("id", F.col("scores").alias("s")), "s")
 
 
 CM_SQL = DIGIT_SC + """,

@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from tabspark.operators import encode, evaluate, fit, neural, split, transform
 from tabspark.operators.profile import nonzero_count
-from tabspark.plans.q_core import FEATURES, ex
+from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, U_SQL, ex
 from tabspark.plans.q_encode import vocab_and_reviews
-from tabspark.plans.registry import REGISTRY, query
+from tabspark.plans.q_fit import normal_equation_ctes
+from tabspark.plans.registry import REGISTRY, query, sqlf
+from tabspark.plans.sql_views import with_views
 from tabspark.functions.columns import attach_row, round6
 from tabspark.session import materialize
 from tabspark.sources import views
@@ -97,12 +99,19 @@ def _crossed(spark, d, label: str) -> tuple[DataFrame, list[str]]:
 
 # ---------------------------------------------------------------- regression
 
-@query("linreg_multi", "I2,D13,I17")
+_NORMAL = normal_equation_ctes(SCALED, "net_k", f"{U_SQL} < {sqlf(TRAIN_FRAC)}")
+_FITTED = "sol.x0 + " + " + ".join(f"sol.x{i + 1} * sc.{c}" for i, c in enumerate(SCALED))
+
+
+@query("linreg_multi", "I2,D13,I17", with_views("ex", ctes=_NORMAL + f""",
+r as (select split, sqrt(avg(power({_FITTED} - y, 2))) as rmse, count(*) as n from sc, sol group by split)""", body="""
+select 'linear_normal' as model, split, 'rmse' as metric, round(rmse * 1e6) / 1e6 as value from r
+union all select 'linear_normal', split, 'n', cast(n as double) from r"""))
 def linreg_multi(spark, d):
     data = _scaled(spark, d, "net_k")
     m = LinearRegression(featuresCol="features", labelCol="net_k", solver="normal").fit(
         data.where(F.col("split") == "train"))
-    return _reg_metrics(m.transform(data), "net_k", "linear_normal")
+    return _reg_metrics(m.transform(data), "net_k", "linear_normal").withColumn("value", round6("value"))
 
 
 @query("linreg_mllib_2d", "I2,I17", catalog_sql("linreg_2d"))
@@ -120,12 +129,16 @@ def linreg_mllib_2d(spark, d):
                                      round6("bias").alias("intercept"), "n")
 
 
-@query("export_weights", "I17")
+@query("export_weights", "I17", with_views("ex", ctes=_NORMAL, body=" union all ".join(
+    f"select 'weights' as layer, cast({i} as bigint) as row, cast(0 as bigint) as col, '{c}' as name, "
+    f"round(x{i + 1} * 1e4) / 1e4 as weight from sol" for i, c in enumerate(SCALED))
+    + " union all select 'bias', 0, 0, 'bias', round(x0 * 1e4) / 1e4 from sol"))
 def export_weights(spark, d):
     data = _scaled(spark, d, "net_k")
     m = LinearRegression(featuresCol="features", labelCol="net_k", solver="normal").fit(
         data.where(F.col("split") == "train"))
-    return fit.linear_weights(spark, m, SCALED)
+    w = fit.linear_weights(spark, m, SCALED)
+    return w.withColumn("weight", F.round(F.col("weight") * 1e4) / 1e4)
 
 
 @query("linreg_crossed", "I3,D5,D10,D11")
@@ -271,6 +284,16 @@ def softmax_linear(spark, d):
     return _multi_metrics(m.transform(data), "softmax_linear")
 
 
+@query("confusion_fitted", "I24,I7,F13,F14")
+def confusion_fitted(spark, d):
+    """Held-out confusion shares of a fitted multinomial model."""
+    data = _digits(spark, d)
+    m = LogisticRegression(family="multinomial", maxIter=50).fit(data.where(F.col("split") == "train"))
+    p = m.transform(data.where(F.col("split") == "valid")).select(
+        F.col("label").cast("bigint").alias("label"), F.col("prediction").cast("bigint").alias("predicted"))
+    return evaluate.confusion_normalised(evaluate.confusion_matrix(p, "label", "predicted", 10))
+
+
 @query("mlp_classify", "I8,F10")
 def mlp_classify(spark, d):
     data = _digits(spark, d)
