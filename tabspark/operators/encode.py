@@ -286,14 +286,17 @@ def embed(df: DataFrame, table: DataFrame, dims: int, combiner: str = "mean",
     return j.groupBy(key).agg(*[agg(f"e{i}").alias(f"e{i}") for i in range(dims)])
 
 
-def nearest_by_dot(table: DataFrame, dims: int, k: int, key: str = "term") -> DataFrame:
+def nearest_by_dot(table: DataFrame, dims: int, k: int, key: str = "term", max_rows: int = 10_000) -> DataFrame:
     """For each row of a small embedding table, the ``k`` other rows of
     largest dot product ``(key, rank, other, dot)``; ties by ``other``.
 
     The table is a vocabulary (bounded by its top-k parameter): it is
     packed into one broadcast array and every row scores against that
-    array, so no pair table is ever materialized or shuffled.
+    array, so no pair table is ever materialized or shuffled. A table of
+    more than ``max_rows`` rows raises.
     """
+    if table.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"nearest_by_dot is for tables of at most {max_rows} rows")
     vec = F.array(*[F.col(f"e{i}").cast("double") for i in range(dims)])
     packed = table.agg(F.collect_list(F.struct(F.col(key).alias("o"), vec.alias("ov"))).alias("_all"))
     me = table.select(F.col(key), vec.alias("v"))

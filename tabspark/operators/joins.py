@@ -8,22 +8,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Largest side that is hinted for broadcast after a size check.
-BROADCAST_MAX_ROWS = 2_000_000
+# Largest side that is hinted for broadcast, in bytes.
+BROADCAST_MAX_BYTES = 64 << 20
 
 
-def bounded_broadcast(df: DataFrame, known_rows: int | None = None,
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only for a side proven to have ``<= max_rows`` rows.
+def row_bytes(df: DataFrame) -> int | None:
+    """Bytes of a row whose columns all have a fixed width; None if one hasn't."""
+    fixed = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    return 16 * (1 + len(df.columns)) if all(isinstance(f.dataType, fixed) for f in df.schema.fields) else None
+
 
-    ``known_rows`` is a static bound (a top-k, a literal list, a grid);
-    without one the rows are counted (meant for small inputs such as a
-    vocabulary file). Beyond the bound the join is left to the planner:
-    sort-merge, or a broadcast AQE picks from runtime statistics.
+def bounded_broadcast(df: DataFrame, known_rows: int | None = None,
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Broadcast hint only for a side proven to have at most ``max_bytes`` bytes.
+
+    ``known_rows`` is a static bound (a top-k, a literal list, a grid): with
+    columns of fixed width it settles the size. Otherwise the side's bytes
+    are summed (meant for small inputs such as a vocabulary). Beyond the
+    bound the join is left to the planner: sort-merge, or a broadcast AQE
+    picks from runtime statistics.
     """
-    n = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    width = row_bytes(df)
+    if known_rows is not None and width is not None:
+        size = known_rows * width
+    else:
+        size = df.agg(F.sum(F.length(F.to_json(F.struct("*"))) + 16)).first()[0] or 0
+    return F.broadcast(df) if size <= max_bytes else df
 
 
 def attach_target(features: DataFrame, targets: DataFrame, key: str = "id") -> DataFrame:

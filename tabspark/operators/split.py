@@ -151,6 +151,11 @@ def fraction_split(df: DataFrame, fractions: dict[str, float], key: str = "id",
     ``fractions`` are cumulative-ordered shares, e.g. ``{'train': 12/17,
     'valid': 5/17}``; the last split takes the remainder. No shuffle.
     """
+    return df.withColumn(out, split_label(fractions, key, seed))
+
+
+def split_label(fractions: dict[str, float], key: str = "id", seed: int = DEFAULT_SEED) -> Column:
+    """The split name of a row, from the hash draw of its key."""
     u = hex8_unit(seeded_key(seed, key))
     names = list(fractions)
     expr = None
@@ -160,7 +165,7 @@ def fraction_split(df: DataFrame, fractions: dict[str, float], key: str = "id",
         cond = u < F.lit(acc)
         expr = F.when(cond, F.lit(name)) if expr is None else expr.when(cond, F.lit(name))
     last = F.lit(names[-1])
-    return df.withColumn(out, last if expr is None else expr.otherwise(last))
+    return last if expr is None else expr.otherwise(last)
 
 
 def split_of(df: DataFrame, name: str, fractions: dict[str, float], key: str = "id",

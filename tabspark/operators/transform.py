@@ -48,11 +48,24 @@ def apply_linear_scale(df: DataFrame, stats: DataFrame, cols: Sequence[str],
     return j.select(*keep, *[linear_scale_expr(c, f"{c}__min", f"{c}__max").alias(c) for c in cols])
 
 
-def linear_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
+def fit_rows(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | Column | None) -> DataFrame:
+    """What statistics are taken of: another table, the rows of ``df`` that meet a condition, or all of ``df``.
+
+    A condition nulls the other rows' values instead of filtering them, so
+    the statistics read ``df`` just as the transformation does and Spark runs
+    what lies below both once.
+    """
+    if fit_on is None:
+        return df
+    if isinstance(fit_on, Column):
+        return df.select(*[F.when(fit_on, F.col(c)).alias(c) for c in cols])
+    return fit_on
+
+
+def linear_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | Column | None = None,
                  keep: Sequence[str] = ("id",)) -> DataFrame:
-    """Fit on ``fit_on`` (default: ``df`` itself) and scale ``df``."""
-    stats = fit_min_max(fit_on if fit_on is not None else df, cols)
-    return apply_linear_scale(df, stats, cols, keep)
+    """Fit on ``fit_on`` (see ``fit_rows``) and scale ``df``."""
+    return apply_linear_scale(df, fit_min_max(fit_rows(df, cols, fit_on), cols), cols, keep)
 
 
 def fit_mean_std(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -62,10 +75,10 @@ def fit_mean_std(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
-def z_score(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
+def z_score(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | Column | None = None,
             keep: Sequence[str] = ("id",)) -> DataFrame:
     """``(x - mean) / stddev_samp``."""
-    stats = fit_mean_std(fit_on if fit_on is not None else df, cols)
+    stats = fit_mean_std(fit_rows(df, cols, fit_on), cols)
     j = with_stats(df, stats)
     return j.select(*keep, *[z_score_expr(c, f"{c}__mean", f"{c}__std").alias(c) for c in cols])
 
@@ -140,10 +153,10 @@ def apply_recipe(df: DataFrame, stats: DataFrame, recipe: Mapping[str, Step],
     return j.select(*keep, *out)
 
 
-def normalize(df: DataFrame, recipe: Mapping[str, Step], fit_on: DataFrame | None = None,
+def normalize(df: DataFrame, recipe: Mapping[str, Step], fit_on: DataFrame | Column | None = None,
               keep: Sequence[str] = ("id",)) -> DataFrame:
     """C14: fit a per-column recipe and apply it: two stages, one pass each."""
-    stats = fit_recipe(fit_on if fit_on is not None else df, recipe)
+    stats = fit_recipe(fit_rows(df, list(recipe), fit_on), recipe)
     return apply_recipe(df, stats, recipe, keep)
 
 

@@ -11,6 +11,7 @@ from tabspark.operators import split, transform
 from tabspark.operators.transform import Step
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views
+from tabspark.session import materialize
 from tabspark.sources import views
 from tabspark.sources.tables import pack_label_vector, read_table
 
@@ -26,10 +27,19 @@ def ex(spark, d):
     return views.ex(spark, d)
 
 
+def ex_once(spark, d, *cols):
+    """Some columns of ``ex``, written once for queries that read them several times."""
+    return materialize(ex(spark, d).select(*cols))
+
+
 def train_rows(spark, d):
     return split.split_of(ex(spark, d), "train", split.TRAIN_VALID)
 
 
+def is_train():
+    return split.split_label(split.TRAIN_VALID) == "train"
+
+
 TRAIN_SQL = f"select * from ex where {U_SQL} < {sqlf(TRAIN_FRAC)}"
 
 
@@ -73,13 +83,13 @@ def permute_seeded(spark, d):
 @query("split_train_head", "B2,H2", with_views("ex", body=f"""
 select id, {FEAT_SQL}, net_k from ex order by {HASH}, id limit {split.TRAIN_ROWS}"""))
 def split_train_head(spark, d):
-    return split.head(ex(spark, d).select("id", *FEATURES, "net_k"), split.TRAIN_ROWS, "id", SEED)
+    return split.head(ex_once(spark, d, "id", *FEATURES, "net_k"), split.TRAIN_ROWS, "id", SEED)
 
 
 @query("split_valid_tail", "B3", with_views("ex", body=f"""
 select id, {FEAT_SQL}, net_k from ex order by {HASH} desc, id desc limit {split.VALID_ROWS}"""))
 def split_valid_tail(spark, d):
-    return split.tail(ex(spark, d).select("id", *FEATURES, "net_k"), split.VALID_ROWS, "id", SEED)
+    return split.tail(ex_once(spark, d, "id", *FEATURES, "net_k"), split.VALID_ROWS, "id", SEED)
 
 
 @query("split_head_tail", "B2,B3", with_views("ex", ctes=f"""
@@ -88,7 +98,7 @@ select id, 'train' as split from r where rank <= {split.TRAIN_ROWS}
 union all select id, 'valid' from r where rank > n - {split.VALID_ROWS}"""))
 def split_head_tail(spark, d):
     # The reference's sizes; on fewer than 17000 rows the ends overlap.
-    return split.head_tail_split(ex(spark, d).select("id"), split.TRAIN_ROWS, split.VALID_ROWS, "id", SEED,
+    return split.head_tail_split(ex_once(spark, d, "id"), split.TRAIN_ROWS, split.VALID_ROWS, "id", SEED,
                                  allow_overlap=True)
 
 
@@ -101,7 +111,7 @@ def split_slice(spark, d):
 
 @query("prefix_cap", "B5,H1", with_views("ex", body=f"select id, {FEAT_SQL} from ex order by id limit 10000"))
 def prefix_cap(spark, d):
-    return split.prefix(ex(spark, d).select("id", *FEATURES), 10000)
+    return split.prefix(ex_once(spark, d, "id", *FEATURES), 10000)
 
 
 @query("split_fraction", "B6", with_views("ex", body=f"""
@@ -179,7 +189,7 @@ def linear_scale(spark, d):
     body=f"select id, {', '.join(_lin_sql(c) for c in FEATURES)} from ex, s"))
 def linear_scale_all(spark, d):
     # Statistics from the training split only, applied to every row.
-    return transform.linear_scale(ex(spark, d), FEATURES, fit_on=train_rows(spark, d))
+    return transform.linear_scale(ex(spark, d), FEATURES, fit_on=is_train())
 
 
 @query("linear_scale_subset", "C10", with_views(
@@ -242,7 +252,7 @@ def _recipe_sql() -> str:
 
 @query("normalize_recipe", "C14", _recipe_sql())
 def normalize_recipe(spark, d):
-    n = transform.normalize(ex(spark, d), RECIPE, fit_on=train_rows(spark, d))
+    n = transform.normalize(ex(spark, d), RECIPE, fit_on=is_train())
     return n.select("id", *[round6(c).alias(c) if RECIPE[c].kind in ("log", "zscore") else F.col(c)
                             for c in RECIPE])
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tabspark.functions.columns import hex8_unit, round6
 from tabspark.operators import encode, joins, split
-from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, TRAIN_SQL, U_SQL, ex, train_rows
+from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, TRAIN_SQL, U_SQL, ex, ex_once, is_train, train_rows
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views
 from tabspark.session import materialize
@@ -304,8 +304,9 @@ def assemble(spark, d):
 @query("attach_target", "E1,E6", with_views("ex", ctes=f"tr as ({TRAIN_SQL})", body="""
 select ex.id, ex.gross, tr.net_k from ex left join tr on ex.id = tr.id"""))
 def attach_target(spark, d):
-    feats = ex(spark, d).select("id", "gross")
-    targets = train_rows(spark, d).select("id", "net_k")
+    e = ex_once(spark, d, "id", "gross", "net_k")
+    feats = e.select("id", "gross")
+    targets = e.where(is_train()).select("id", "net_k")
     return joins.attach_target(feats, targets)
 
 
@@ -321,7 +322,7 @@ FIXED_PRED_SQL = "gross / 1000.0 * 0.95"
 select p.id, p.prediction, t.net_k as target
 from (select id, {FIXED_PRED_SQL} as prediction from ex) p join (select id, net_k from ex) t on p.id = t.id"""))
 def calibration_table(spark, d):
-    e = ex(spark, d)
+    e = ex_once(spark, d, "id", "gross", "net_k")
     preds = e.select("id", fixed_pred_k().alias("prediction"))
     targets = e.select("id", F.col("net_k").alias("target"))
     return joins.pair_by_key(preds, targets)
@@ -332,7 +333,7 @@ keys as (select id, cast(row_number() over (order by md5('7-' || id), id) as big
          from ex order by md5('7-' || id), id limit 300)""", body="""
 select k.ordinal, ex.id, ex.gross, ex.net_k from keys k join ex on k.id = ex.id"""))
 def gather_by_key(spark, d):
-    e = ex(spark, d)
+    e = ex_once(spark, d, "id", "gross", "net_k")
     keys = split.sample_n(e.select("id"), 300, "id", seed=7)
     order = [F.md5(F.concat(F.lit("7-"), F.col("id").cast("string"))), F.col("id")]
     g = joins.gather_by_key(e.select("id", "gross", "net_k"), keys, order, n_keys=300)

@@ -16,6 +16,10 @@ from tabspark.functions.columns import pad_to, seeded_hash
 from tabspark.operators.ordering import row_number_by_hash
 
 
+# Epochs up to which the offsets (65,536 rows of 16 bytes for each) are hinted for broadcast.
+MAX_EPOCHS = 32
+
+
 def batch_assign(df: DataFrame, size: int, key: str = "id", seed: int = 42) -> DataFrame:
     """Consecutive rows of the seeded permutation grouped by ``size``.
 
@@ -47,13 +51,14 @@ def epoch_plan(df: DataFrame, size: int, epochs: int, key: str = "id", seed: int
             "_h", F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("epoch").cast("string"),
                                     F.col("batch_id").cast("string"))))
         order = row_number_by_hash(bh, "_h", ["batch_id"], out="batch_order", groups=["epoch"],
-                                   groups_bounded=True).drop("_h")
+                                   groups_bounded=epochs <= MAX_EPOCHS).drop("_h")
         return rows.join(order, "batch_id").select("epoch", "batch_order", "batch_id", key)
     if mode == "rows":
         rep = _epochs(df.select(key), epochs)
         rh = rep.withColumn(
             "_h", F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("epoch").cast("string"), F.col(key).cast("string"))))
-        r = row_number_by_hash(rh, "_h", [key], out="_rank", groups=["epoch"], groups_bounded=True).drop("_h")
+        r = row_number_by_hash(rh, "_h", [key], out="_rank", groups=["epoch"],
+                               groups_bounded=epochs <= MAX_EPOCHS).drop("_h")
         r = r.withColumn("batch_id", F.expr(f"(_rank - 1) div {int(size)}"))
         return r.select("epoch", F.col("batch_id").alias("batch_order"), "batch_id", key)
     raise ValueError(f"mode must be 'batches' or 'rows', not {mode!r}")

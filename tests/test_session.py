@@ -9,9 +9,11 @@ from tabspark.sources.views import spread
 
 def test_bounded_broadcast_only_within_bound(spark):
     df = spark.range(100)
-    assert bounded_broadcast(df, known_rows=1000, max_rows=50) is df
-    assert bounded_broadcast(df, max_rows=50) is df          # counted: 100 > 50
-    hinted = bounded_broadcast(df, max_rows=500)
+    assert bounded_broadcast(df, known_rows=1000, max_bytes=500) is df
+    assert bounded_broadcast(df, max_bytes=500) is df  # 100 rows of more than 5 bytes
+    wide = df.select(F.repeat(F.lit("x"), 1000).alias("s"))
+    assert bounded_broadcast(wide, known_rows=100, max_bytes=50_000) is wide  # long rows are measured
+    hinted = bounded_broadcast(df, max_bytes=50_000)
     assert hinted is not df
     assert "broadcast" in hinted._jdf.queryExecution().logical().toString().lower()
 
