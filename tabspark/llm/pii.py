@@ -163,11 +163,19 @@ def graph(text: str, base: list[tuple[str, int, int]]) -> Graph | None:
         return None
     nodes = sorted([(s, e, LABELS.index(k)) for k, s, e in base] + [(s, e, -1) for s, e in free])
     last: dict[str, int] = {}
+    given: dict[str, int] = {}
+    names = [identity(text[s:e]) for s, e, _ in nodes]
+    for i, (_, _, k) in enumerate(nodes):
+        if k >= 0:
+            given.setdefault(names[i], i)
     skip = []
-    for i, (s, e, _) in enumerate(nodes):
-        # Equal mentions form a path: its messages reach all of them, with as many edges as mentions.
-        same = identity(text[s:e])
-        if same in last:
+    for i, same in enumerate(names):
+        # Mentions of what a base span names are tied to it; other equal ones form a path. Either way there are
+        # no more edges than mentions.
+        if same in given:
+            if given[same] != i:
+                skip.append((given[same], i))
+        elif same in last:
             skip.append((last[same], i))
         last[same] = i
     return Graph([(s, e) for s, e, _ in nodes], [columns(node_features(text, s, e)) for s, e, _ in nodes],
@@ -180,7 +188,7 @@ class Field:
 
     node: np.ndarray = field(default_factory=lambda: np.zeros((N_COLUMNS, len(LABELS))))
     chain: np.ndarray = field(default_factory=lambda: np.zeros((len(LABELS), len(LABELS))))
-    skip: float = 6.0
+    skip: float = 10.0
 
     def beliefs(self, g: Graph, rounds: int = 30, damping: float = 0.3) -> np.ndarray:
         """Marginal beliefs of all nodes by loopy sum-product message passing; given labels are clamped."""
@@ -260,7 +268,7 @@ def fit(examples: list[tuple[list[int], int, int, int, int]], steps: int = 200,
         gs = (g[has, linked[has]]).sum()
         node += rate * (grad - ridge * (node - start) / k)
         chain += rate * (gc - ridge * chain)
-        skip += rate * (gs - ridge * (skip - 6.0))
+        skip += rate * (gs - ridge * (skip - 10.0))
     out.node, out.chain, out.skip = node[:N_COLUMNS], chain[:k, :k], float(max(skip, 0.0))
     return out
 
