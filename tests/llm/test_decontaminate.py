@@ -76,10 +76,11 @@ def test_slices_of_a_large_benchmark(spark, make_docs, monkeypatch):
 def test_answer_check(spark, make_docs):
     rng = random.Random(9)
     body, answer = prose(rng, 30), prose(rng, 8)
-    bench = spark.createDataFrame([(0, f"{body}. {answer}.")], "item_id long, text string")
+    bench = spark.createDataFrame([(0, f"{body}. {answer}.")] + [(i, prose(rng, 35)) for i in range(1, 40)],
+                                  "item_id long, text string")
     other = f"{prose(rng, 50)} {paraphrase(rng, body, 0.1)} {prose(rng, 50)}"  # most of the item, but not its answer
     whole = f"{prose(rng, 50)} {paraphrase(rng, body, 0.3)}. {answer}. {prose(rng, 50)}"
-    got = {r.doc_id: r.kind for r in D.leaks(make_docs([other, whole] + [prose(rng, 80) for _ in range(30)]), bench).collect()}
+    got = {r.doc_id: r.kind for r in D.leaks(make_docs([other, whole] + [prose(rng, 80) for _ in range(150)]), bench).collect()}
     assert got == {1: "paraphrase"}
 
 
