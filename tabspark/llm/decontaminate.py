@@ -383,7 +383,7 @@ class Rule:
     """Thresholds: cosine of candidates; share of an item's words for a copy, for a paraphrase; share of its answer."""
 
     min_words: int = 8
-    min_cosine: float = 0.5
+    min_cosine: float = 0.4
     copy: float = 0.8
     paraphrase: float = 0.6
     answer: float = 0.6
