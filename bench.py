@@ -1,6 +1,6 @@
 """Benchmark the headline queries.
 
-Runs each query of ``HEADLINE`` on ``$BENCH_SF_DIR`` (default sf0.1) with
+Runs each query of ``HEADLINE`` (or those named; ``all``: every query) on ``$BENCH_SF_DIR`` (default sf0.1) with
 ``local[$BENCH_CPUS]`` and prints ONE JSON line:
 ``{"metric": "total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}``.
 Each query is executed in full through the ``noop`` sink (no driver collect).
@@ -23,8 +23,8 @@ from tabspark.session import local_session  # noqa: E402
 HEADLINE = [
     "scan_examples", "permute_seeded", "split_train_head", "split_fraction", "linear_scale_all",
     "normalize_recipe", "quantile_bounds", "bucketize_all", "feature_cross", "describe_table",
-    "corr_matrix", "histogram", "vocab_topk", "multi_hot", "embed_docs", "epoch_plan",
-    "auc_exact", "roc_curve", "evaluate_binary", "confusion_normalised", "linreg_2d",
+    "corr_matrix", "histogram", "vocab_topk", "multi_hot", "embed_docs", "prefix_cap", "split_head_tail",
+    "holdout_fitted", "auc_exact", "roc_curve", "evaluate_binary", "confusion_normalised", "linreg_2d",
     "learning_curve_linear", "linreg_multi", "logreg", "softmax_linear",
 ]
 
@@ -37,6 +37,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
+    if names == ["all"]:
+        names = list(catalog.queries())
     spark = local_session(cores=cpus, shuffle_partitions=max(8, int(cpus) * 2), app="tabspark-bench")
     # JVM warm-up on the smallest tables (not timed).
     run(flagship(spark, "/root/testdata/sf0.001"))
