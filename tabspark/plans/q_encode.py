@@ -110,6 +110,26 @@ def bucketize_all(spark, d):
         "bucket", F.col("bucket").cast("bigint"))
 
 
+# Per-column bucket counts: fine for two columns, coarse for the others.
+MIXED_BUCKETS = {c: 50 if c in ("gross", "acctbal") else 10 for c in FEATURES}
+
+
+def _bucketize_mixed_sql() -> str:
+    rows = " union all ".join(f"select id, '{c}' as feature, {_bucket_sql(c)} as bucket from ex" for c in FEATURES)
+    parts = [_quantile_ctes("tr", [c for c in FEATURES if MIXED_BUCKETS[c] == n], encode.probs_i_over_n(n), f"q{n}")
+             for n in (10, 50)]
+    both = "b as (select feature, list(value order by idx) as bounds from (select * from q10 union all select * from q50) group by feature)"
+    return with_views("ex", ctes=",\n".join([f"tr as ({TRAIN_SQL})", *parts, both]), body=rows)
+
+
+@query("bucketize_mixed", "D5", _bucketize_mixed_sql())
+def bucketize_mixed(spark, d):
+    e = ex_once(spark, d, "id", *FEATURES)
+    b = encode.bucketize_by_quantiles(e, FEATURES, MIXED_BUCKETS, fit_on=e.where(is_train()))
+    return encode.unpivot(b, FEATURES, keep=["id"], value="bucket").withColumn(
+        "bucket", F.col("bucket").cast("bigint"))
+
+
 TQ_STARTS = [40.0 * i for i in range(12)]
 
 
