@@ -47,10 +47,10 @@ from tabspark.llm.tasks import output_type, record_batch, stored
 from tabspark.llm.text import span_hashes, utf8
 
 LENGTH, GRAM = 200, 32
-#: Variants of a key that one task orders; keys with more are split.
-MAX_VARIANTS = 1024
 #: Bytes that are scanned, or ordered, at once, about.
 PIECE = 4 << 20
+#: Variants of a key that one task orders, as many as fit a piece; keys with more are split.
+MAX_VARIANTS = PIECE // (2 * LENGTH)
 _POS = np.uint64((1 << 24) - 1)
 
 
@@ -325,28 +325,28 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("keep is none or first")
     own = docs.select(document_key(id_col, text_col).alias("doc"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     count = T.StructType([T.StructField("key", T.LongType()), T.StructField("n", T.LongType())])
-    keys = (own.mapInArrow(_scan(length, output_type(count), True), count)
-            .groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
+    # Sides that are joined on a key lie in files, so a hot key's partition can be split.
+    keys = stored(own.mapInArrow(_scan(length, output_type(count), True), count)
+                  .groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key"))
     found = own.mapInArrow(_scan(length, output_type(_WINDOW), False), _WINDOW)
     members = stored(found.join(keys, "key", "left_semi"))
-    variants = members.groupBy("key", "window").agg(
+    variants = stored(members.groupBy("key", "window").agg(
         F.count("*").alias("copies"), F.min(F.struct("doc", "start")).alias("first"), F.min("n").alias("n"))
-    per_key = variants.groupBy("key").agg(F.count("*").alias("variants"))
-    variants = stored(variants.join(per_key, "key").select(
-        "key", "window", "first.doc", "first.start", "n", "copies", "variants"))
-    many = variants.where("variants > 1")
+        .select("key", "window", "first.doc", "first.start", "n", "copies"))
+    several = stored(variants.groupBy("key").agg(F.count("*").alias("variants")).where("variants > 1"))
+    many = variants.join(several.select("key"), "key")
     wanted = many.groupBy("doc").agg(F.collect_list(F.struct("key", "window", "doc", "start", "n", "copies")).alias("w"))
     raw = own.join(wanted, "doc").dropDuplicates(["doc"]).select("text", "w").mapInArrow(
         _cut(length, output_type(_VARIANT)), _VARIANT)
-    large = variants.where(F.col("variants") > max_variants).select("key").distinct()
-    small = variants.where((F.col("variants") > 1) & (F.col("variants") <= max_variants)).select("key").distinct()
+    large = several.where(F.col("variants") > max_variants).select("key")
+    small = several.where(F.col("variants") <= max_variants).select("key")
     parts = [raw.join(small, "key", "left_semi").repartition("key").sortWithinPartitions("key")
              .mapInArrow(_order(length, output_type(_RESULT)), _RESULT)]
     if not large.isEmpty():
         parts.append(_split_keys(raw.join(large, "key", "left_semi"), length))
     solved = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
     whole = F.array(F.array(F.lit(0), F.col("n")))
-    first = variants.select("key", "window", "variants", F.col("doc").alias("d"), F.col("start").alias("s"), "copies")
+    first = variants.select("key", "window", F.col("doc").alias("d"), F.col("start").alias("s"), "copies")
     rows = members.join(first, ["key", "window"]).join(solved, ["key", "window"], "left")
     is_first = (F.col("doc") == F.col("d")) & (F.col("start") == F.col("s"))
     if keep == "none":
