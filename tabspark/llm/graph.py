@@ -25,11 +25,12 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
             return (cur.select(F.col("u").alias("node"), F.col("v").alias("component"))
                     .unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()))
         seen = state
+        # Both sides of a join are written, so that the partitions of a node with very many links can be split.
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = (both.where(F.col("v") > F.col("u")).join(low, "u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = stored(both.where(F.col("v") > F.col("u")).join(low, "u")
+                       .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = stored(large.groupBy("u").agg(F.min("v").alias("m")))
         small = (large.join(low, "u").where(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         cur = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
