@@ -345,17 +345,20 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not large.isEmpty():
         parts.append(_split_keys(raw.join(large, "key", "left_semi"), length))
     solved = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-    whole = F.array(F.array(F.lit(0), F.col("n")))
-    first = variants.select("key", "window", F.col("doc").alias("d"), F.col("start").alias("s"), "copies")
-    rows = members.join(first, ["key", "window"]).join(solved, ["key", "window"], "left")
-    is_first = (F.col("doc") == F.col("d")) & (F.col("start") == F.col("s"))
-    if keep == "none":
-        hit = F.when(F.col("copies") > 1, whole).otherwise(F.col("elsewhere"))
-    else:
-        hit = F.when(~is_first, whole).otherwise(F.col("earlier"))
-    spans = F.transform(hit, lambda r: F.struct((F.col("start") + r[0]).alias("a"),
-                                                (F.col("start") + r[1] + (length - 1)).alias("b")))
-    return (rows.select("doc", F.explode(spans).alias("s")).groupBy("doc").agg(F.collect_list("s").alias("spans")))
+    # Strings found in variants' first places; and all strings of members that are copies (of another place).
+    # Each is one join, so the partitions of a very common window can be split.
+    found_in = "elsewhere" if keep == "none" else "earlier"
+    own_places = variants.where("copies = 1") if keep == "none" else variants
+    firsts = (own_places.join(solved.select("key", "window", F.explode(found_in).alias("r")), ["key", "window"])
+              .select("doc", F.struct((F.col("start") + F.col("r")[0]).alias("a"),
+                                      (F.col("start") + F.col("r")[1] + (length - 1)).alias("b")).alias("s")))
+    common = variants.where("copies > 1").select("key", "window", F.col("doc").alias("d"), F.col("start").alias("at"))
+    copies = members.join(common, ["key", "window"])
+    if keep == "first":
+        copies = copies.where((F.col("doc") != F.col("d")) | (F.col("start") != F.col("at")))
+    copies = copies.select("doc", F.struct(F.col("start").alias("a"),
+                                           (F.col("start") + F.col("n") + (length - 1)).alias("b")).alias("s"))
+    return firsts.unionByName(copies).groupBy("doc").agg(F.collect_list("s").alias("spans"))
 
 
 def document_key(id_col: str, text_col: str):
