@@ -7,7 +7,10 @@ and its transpose with a random matrix, summed up in Spark) gives the
 latent space, whose axes are divided by their singular values: without
 that, the common words of all passages would make them alike. Passages
 whose cosine with a benchmark passage reaches ``min_cosine`` there are
-candidates. Around each, a longest common subsequence of words decides:
+candidates. So is, for every item, each stretch that holds enough of its
+rarest words: whoever has a share ``paraphrase`` of all its words has them,
+so an item of words that are frequent everywhere, or that itself is, is
+found as well. Around each, a longest common subsequence of words decides:
 
 * a copy: the subsequence covers at least ``copy`` of the item's words;
 * a paraphrase: at least ``paraphrase`` of them and, as an answer check, at
@@ -44,9 +47,9 @@ from tabspark.llm.text import Words
 PASSAGE, STEP, RANK = 32, 16, 48
 #: Random columns beside RANK.
 EXTRA = 16
-#: Words that more than this share of all steps has are stop words: they have no weight.
+#: Words that at most this share of all steps has are an item's rare ones; more frequent ones are taken only as needed.
 COMMON = 0.03
-#: Share of an item passage's words with weight that a candidate has (well below what the subsequence needs).
+#: Share of an item passage's words that aren't frequent that a candidate by cosine has (candidates by rare words need none).
 SHARED = 0.35
 #: Words of the benchmark items that go to the tasks at once (8 bytes each, and RANK + 2 numbers per distinct word).
 MAX_ITEM_WORDS = 20_000
@@ -114,22 +117,39 @@ def steps(n_words: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(n_words)), count), np.concatenate([[0], np.cumsum(count)])
 
 
-def passages(words: Words, column: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def frequent_counts(at: np.ndarray, place: np.ndarray, n: int, n_steps: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """How often each of ``n`` frequent words stands in the steps lo to hi, for all of them in pieces.
+
+    ``at``: the step of each word, sorted; ``place``: which of the words it is, -1 for others.
+    """
+    for lo in range(0, n_steps if n else 0, 4096):
+        hi = min(lo + 4096, n_steps)
+        a, b = np.searchsorted(at, [lo, hi])
+        some = a + np.flatnonzero(place[a:b] >= 0)
+        yield lo, hi, np.bincount((at[some] - lo) * n + place[some], minlength=(hi - lo) * n).reshape(-1, n).astype(np.float32)
+
+
+def passages(words: Words, column: np.ndarray, weight: np.ndarray, frequent: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(vectors, row, first step of the row, words with weight, their step) of a batch.
 
     ``vectors`` has a row for each passage: the sum of the weights of the
     words in PASSAGE // STEP steps from its own on, in its document. Words
-    with column -1 have no weight.
+    with column -1 have no weight. ``frequent``: words that are counted first.
     """
     row, first = steps(np.diff(words.first), STEP)
     known = np.flatnonzero(column >= 0)
     r = words.row[known]
     at = first[r] + (known - words.first[r]) // STEP
     vectors = np.zeros((len(row) + PASSAGE // STEP, weight.shape[1]), np.float32)
-    if len(known):
-        edge = np.flatnonzero(np.diff(at, prepend=-1))
-        left = np.diff(np.append(edge, len(at)))
-        where, own = at[edge], column[known]
+    place = places_of(frequent, len(weight))[column[known]]
+    for lo, hi, counts in frequent_counts(at, place, len(frequent), len(row)):
+        vectors[lo:hi] = counts @ weight[frequent]
+    rest = place < 0
+    if rest.any():
+        to, own = at[rest], column[known][rest]
+        edge = np.flatnonzero(np.diff(to, prepend=-1))
+        left = np.diff(np.append(edge, len(to)))
+        where = to[edge]
         for j in range(STEP):  # the j-th word with weight of every step that has one
             vectors[where] += weight[own[edge + j]]
             more = left > j + 1
@@ -140,6 +160,13 @@ def passages(words: Words, column: np.ndarray, weight: np.ndarray) -> tuple[np.n
     return vectors, row, first, known, at
 
 
+def places_of(frequent: np.ndarray, n_words: int) -> np.ndarray:
+    """For each vocabulary word its index in ``frequent``, or -1."""
+    out = np.full(n_words, -1, np.int64)
+    out[frequent] = np.arange(len(frequent))
+    return out
+
+
 def window_sum(x: np.ndarray, row: np.ndarray, back: bool = False) -> np.ndarray:
     """For each step, the sum over it and the next (or the last) PASSAGE // STEP - 1 steps of its row."""
     out = x.copy()
@@ -197,7 +224,7 @@ def _count(items: Items, schema: pa.Schema):
     return run
 
 
-def _multiply(items: Items, idf: np.ndarray, random: np.ndarray, schema: pa.Schema):
+def _multiply(items: Items, idf: np.ndarray, random: np.ndarray, frequent: np.ndarray, schema: pa.Schema):
     """Rows of the product (passages transposed) x (passages) x random, summed within a task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -206,19 +233,22 @@ def _multiply(items: Items, idf: np.ndarray, random: np.ndarray, schema: pa.Sche
         for batch in batches:
             words = Words(batch.column(0))
             column = items.weighted(words.hash, idf)
-            vectors, row, _, known, at = passages(words, column, weight)
+            vectors, row, _, known, at = passages(words, column, weight, frequent)
             if not len(known):
                 continue
             norm = np.sqrt((vectors * vectors).sum(axis=1, keepdims=True))
             vectors /= np.maximum(norm, 1e-12)  # long runs of common words don't outweigh the rest
             covering = window_sum(vectors, row, back=True)
+            place = places_of(frequent, len(total))[column[known]]
+            for lo, hi, counts in frequent_counts(at, place, len(frequent), len(row)):
+                total[frequent] += counts.T @ covering[lo:hi]
+            known, at = known[place < 0], at[place < 0]
             own = column[known].astype(np.uint16) if len(total) < 1 << 16 else column[known]
             order = np.argsort(own, kind="stable")
             for lo in range(0, len(order), 1 << 16):
                 some = order[lo:lo + (1 << 16)]
                 edge = np.flatnonzero(np.diff(own[some].astype(np.int64), prepend=-1))
-                sums = np.cumsum(covering[at[some]], axis=0, dtype=np.float64)[np.append(edge[1:], len(some)) - 1]
-                total[own[some][edge]] += np.diff(sums, axis=0, prepend=0)
+                total[own[some][edge]] += np.add.reduceat(covering[at[some]], edge, axis=0)
         total *= idf[:, None]
         some = np.flatnonzero(total.any(axis=1))
         yield record_batch(schema, pa.array(some.astype(np.int32)), [r.tolist() for r in total[some]])
@@ -232,6 +262,44 @@ def _gather(rows: DataFrame, width: int) -> dict[int, list[float]]:
     return {r["term"]: [r[f"s{j}"] for j in range(width)] for r in total.collect()}
 
 
+@dataclass
+class Rare:
+    """An item's rarest words, and how often they stand in any stretch that has a given share of all its words."""
+
+    words: np.ndarray  # vocabulary indexes
+    need: int
+    span: int  # steps that such a stretch touches at most
+
+
+def stretch(n: int) -> int:
+    """Words of a document that an item of ``n`` words may be spread over."""
+    return max(n + 4, n * 3 // 2)
+
+
+def rare_words(column: np.ndarray, df: np.ndarray, n_steps: float, share: float) -> Rare:
+    """The rare words of an item (``column``: its words), and more, rarest first, until an eighth of it must be met."""
+    words, count = np.unique(column, return_counts=True)
+    order = np.lexsort((words, df[words]))
+    words, held = words[order], np.cumsum(count[order])
+    n = len(column)
+    spared = n - int(np.ceil(share * n - 1e-9))  # words that may be missing
+    least = min(spared + max(1, n // 8), n)
+    m = max(int(np.searchsorted(held, least)) + 1, int((df[words] <= COMMON * n_steps).sum()))
+    return Rare(words[:m], max(1, int(held[m - 1]) - spared), (stretch(n) + STEP - 2) // STEP + 1)
+
+
+def holding(rare: Rare, at: np.ndarray, row: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The middle steps of all runs of ``rare.span`` steps of a row that hold its words often enough.
+
+    ``at``: the step of each place of one of the words, sorted.
+    """
+    if len(at) < rare.need:
+        return at[:0]
+    begin, end = at[:len(at) - rare.need + 1], at[rare.need - 1:]
+    begin = np.unique(begin[(end - begin < rare.span) & (row[begin] == row[end])])
+    return np.unique(np.minimum(begin + rare.span // 2, first[row[begin] + 1] - 1))
+
+
 @dataclass
 class Space:
     """Latent space: idf of each vocabulary word, its latent vector, and the items' passages there."""
@@ -240,12 +308,15 @@ class Space:
     basis: np.ndarray  # words x rank, singular vectors divided by their singular values
     queries: np.ndarray  # unit rows
     owner: np.ndarray  # the item of each query
-    size: np.ndarray  # how many words with weight each query has
-    member: np.ndarray  # items x words: whether an item has a word
+    size: np.ndarray  # how many words each query has that aren't frequent
+    member: np.ndarray  # items x words: whether an item has a word that isn't frequent
     fewest: int  # words with weight that a passage needs to be like any query
+    rare: list[Rare]  # of each item
+    frequent: np.ndarray  # the words of more than COMMON of the steps
 
 
-def space_of(items: Items, idf: np.ndarray, basis: np.ndarray) -> Space:
+def space_of(items: Items, idf: np.ndarray, basis: np.ndarray, rare: list[Rare],
+             frequent: np.ndarray) -> Space:
     """The space with the items' passages of PASSAGE words (an item's last one ends with it)."""
     vectors, owner, size = [], [], []
     weight = idf[:, None] * basis
@@ -257,15 +328,19 @@ def space_of(items: Items, idf: np.ndarray, basis: np.ndarray) -> Space:
             v = weight[c[c >= 0]].sum(axis=0)
             vectors.append(v / max(float(np.sqrt(v @ v)), 1e-12))
             owner.append(i)
-            size.append(int((c >= 0).sum()))
-        c = items.weighted(w, idf)
-        member[i, c[c >= 0]] = 1
+            size.append(int((~np.isin(c, frequent)).sum()))
+        member[i, items.columns(w)] = 1
+    member[:, frequent] = 0
     return Space(idf, basis, np.array(vectors, np.float32).reshape(-1, weight.shape[1]), np.array(owner, np.int64),
-                 np.array(size, np.int64), member, max(1, int(np.ceil(SHARED * min(size, default=1)))))
+                 np.array(size, np.int64), member, max(1, int(np.ceil(SHARED * min(size, default=1)))), rare, frequent)
 
 
-def latent_space(docs: DataFrame, items: Items, text_col: str = "text", rank: int = RANK, seed: int = 7) -> Space:
-    """Randomised SVD of all passages' TF-IDF vectors over the items' vocabulary."""
+def latent_space(docs: DataFrame, items: Items, text_col: str = "text", share: float = 0.6, rank: int = RANK,
+                 seed: int = 7) -> Space:
+    """Randomised SVD of all passages' TF-IDF vectors over the items' vocabulary.
+
+    ``share``: of an item's words, what a document that holds it has at least.
+    """
     own = docs.select(F.col(text_col).cast("string"))
     n_words = len(items.vocabulary)
     width = min(rank + EXTRA, n_words)
@@ -273,9 +348,10 @@ def latent_space(docs: DataFrame, items: Items, text_col: str = "text", rank: in
     counts = _gather(own.mapInArrow(_count(items, out), _SUMS), 1)
     n = counts.get(-1, [0.0])[0]
     df = np.array([counts.get(t, [0.0])[0] for t in range(n_words)])
-    idf = np.where(df > COMMON * n, 0.0, np.log((n + 1) / (df + 1)).clip(min=0) + 0.1)
+    idf = np.log((n + 1) / (df + 1)).clip(min=0) + 0.1
+    frequent = np.flatnonzero(df > COMMON * n)
     random = np.random.default_rng(seed).normal(size=(n_words, width))
-    product = _gather(own.mapInArrow(_multiply(items, idf, random, out), _SUMS), width)
+    product = _gather(own.mapInArrow(_multiply(items, idf, random, frequent, out), _SUMS), width)
     y = np.zeros((n_words, width))
     for t, s in product.items():
         y[t] = s
@@ -291,21 +367,22 @@ def latent_space(docs: DataFrame, items: Items, text_col: str = "text", rank: in
     good = values > values.max(initial=0.0) * 1e-9
     left, singular, _ = np.linalg.svd((y / scale) @ (turn[:, good] / np.sqrt(values[good])), full_matrices=False)
     basis = left[:, :rank] / np.maximum(singular[:rank], 1e-9)
-    return space_of(items, idf, basis)
+    return space_of(items, idf, basis, [rare_words(items.columns(w), df, n, share) for w in items.words],
+                    frequent)
 
 
 def judge_batch(column: pa.Array, items: Items, space: Space, weight: np.ndarray, min_cosine: float,
                 paraphrase: float, copy: float, answer: float) -> dict[int, list[tuple[float, float, int, int]]]:
     """Row -> its leaked items as (coverage, share of the answer, item, first word of the passage), the best first."""
 
-    def check(p: int, item: int) -> None:
+    def check(p: int, item: int, before: int = 0) -> None:
         r, told = int(row[p]), items.lists[item]
         n = len(told)
         at = int(words.first[r]) + (p - int(first[r])) * STEP
         old = best.get((r, item))
         if old is not None and old[0] == 1:
             return
-        here = words.hash[max(int(words.first[r]), at - n):min(int(words.first[r + 1]), at + PASSAGE + n)].tolist()
+        here = words.hash[max(int(words.first[r]), at - n - before):min(int(words.first[r + 1]), at + PASSAGE + n)].tolist()
         # Words in common bound the subsequence from above.
         if common_words(items.counts[item], here) < paraphrase * n:
             return
@@ -316,7 +393,7 @@ def judge_batch(column: pa.Array, items: Items, space: Space, weight: np.ndarray
 
     words = Words(column)
     own = items.weighted(words.hash, space.idf)
-    vectors, row, first, known, step = passages(words, own, weight)
+    vectors, row, first, known, step = passages(words, own, weight, space.frequent)
     best: dict[tuple[int, int], tuple[float, float, int]] = {}
     if not len(known):
         return {}
@@ -328,13 +405,19 @@ def judge_batch(column: pa.Array, items: Items, space: Space, weight: np.ndarray
     for lo in range(0, len(some), 4096):
         p, q = np.nonzero(vectors[some[lo:lo + 4096]] @ space.queries.T >= min_cosine)
         p, item = some[lo + p], space.owner[q]
-        # Of an item's words with weight, a share must be in the passage at all.
+        # Of an item's words that aren't frequent, a share must be in the passage at all.
         n = end[p] - begin[p]
         pair = np.repeat(np.arange(len(p)), n)
         word = own[begin[p][pair] + np.arange(len(pair)) - np.repeat(np.cumsum(n) - n, n)]
         shared = np.bincount(pair, weights=space.member[item[pair], word], minlength=len(p))
         for i in np.flatnonzero(shared >= SHARED * space.size[q]).tolist():
             check(int(p[i]), int(item[i]))
+    order = np.argsort(own, kind="stable")
+    at, edge = step[order], np.searchsorted(own[order], np.arange(len(items.vocabulary) + 1))
+    for i, rare in enumerate(space.rare):
+        held = [at[edge[c]:edge[c + 1]] for c in rare.words.tolist() if edge[c + 1] > edge[c]]
+        for p in holding(rare, np.sort(np.concatenate(held)), row, first).tolist() if held else ():
+            check(p, i, STEP)
     out: dict[int, list[tuple[float, float, int, int]]] = {}
     for (r, item), (share, told, at) in best.items():
         if share >= copy or told >= answer:
@@ -355,7 +438,7 @@ def common_words(counts: dict[int, int], here: list[int]) -> int:
 
 def lcs_span(n: int, at: dict[int, int], here: list[int]) -> int:
     """Longest common subsequence of an item and any stretch of ``here`` of up to 1.5 times its length, in hops."""
-    width = max(n + 4, n * 3 // 2)
+    width = stretch(n)
     if len(here) <= width:
         return lcs_length(n, at, here)
     hop = max(1, n // 3)
@@ -406,7 +489,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     for items in item_slices(benchmark, item_col, item_text_col, rule.min_words):
         if not items.words:
             continue
-        space = latent_space(docs, items, text_col)
+        space = latent_space(docs, items, text_col, min(rule.paraphrase, rule.copy))
 
         def run(batches: Iterable[pa.RecordBatch], items: Items = items, space: Space = space) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -428,7 +511,7 @@ def remove_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
     for items in item_slices(benchmark, item_col, item_text_col, rule.min_words):
         if not items.words:
             continue
-        space, at = latent_space(docs, items, text_col), docs.columns.index(text_col)
+        space, at = latent_space(docs, items, text_col, min(rule.paraphrase, rule.copy)), docs.columns.index(text_col)
 
         def run(batches: Iterable[pa.RecordBatch], items: Items = items, space: Space = space,
                 at: int = at) -> Iterator[pa.RecordBatch]:

@@ -89,3 +89,37 @@ def test_empty_tables(spark, make_docs):
     assert D.leaks(make_docs([]), bench).count() == 0 and D.remove_leaked(make_docs([]), bench).count() == 0
     docs = make_docs(rows)
     assert D.leaks(docs, bench.limit(0)).count() == 0 and D.remove_leaked(docs, bench.limit(0)).count() == len(rows)
+
+
+def test_frequent_items_and_tiny_tables(spark, make_docs):
+    rng = random.Random(5)
+    items = [f"{prose(rng, 24)}. {prose(rng, 6)}." for _ in range(30)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    found = lambda rows: {(r.doc_id, r.item_id) for r in D.leaks(make_docs(rows), bench).collect()}
+    assert found([items[3]]) == {(0, 3)}  # a table of one document, equal to one item
+    rows = [f"{prose(rng, 40)} {items[7] if i % 3 == 0 else prose(rng, 30)} {prose(rng, 30)}" for i in range(300)]
+    assert found(rows) == {(i, 7) for i in range(0, 300, 3)}  # an item in a third of all rows
+    near = [f"{prose(rng, 40)} {paraphrase(rng, items[7], 0.15) if i % 3 == 0 else ''} {prose(rng, 60)}" for i in range(300)]
+    assert {i for i, _ in found(near)} <= set(range(0, 300, 3)) and len(found(near)) > 90
+
+
+def test_every_stretch_with_the_share_is_a_candidate():
+    rng, few = random.Random(6), [a + b for a in WORDS[:4] for b in WORDS[:4]]  # words that are frequent everywhere
+    items = D.items_of([(i, " ".join(rng.choice(few) for _ in range(rng.randint(8, 40)))) for i in range(40)], 8)
+    texts = [" ".join(rng.choice(few) for _ in range(rng.randint(0, 120))) for _ in range(200)]
+    words = D.Words(D.pa.array(texts))
+    column = items.columns(words.hash)
+    row, first = D.steps(D.np.diff(words.first), D.STEP)
+    step = first[words.row] + (D.np.arange(len(column)) - words.first[words.row]) // D.STEP
+    df = D.np.bincount(column[column >= 0], minlength=len(items.vocabulary))
+    met = 0
+    for w in items.words:
+        rare = D.rare_words(items.columns(w), df, len(row), 0.6)
+        at = D.holding(rare, step[D.np.isin(column, rare.words)], row, first)
+        for r in range(len(texts)):
+            here = words.hash[words.first[r]:words.first[r + 1]].tolist()
+            width = D.stretch(len(w))
+            if any(lcs(w.tolist(), here[s:s + width]) >= 0.6 * len(w) for s in range(max(1, len(here) - width + 1))):
+                met += 1
+                assert r in row[at]
+    assert met > 20
