@@ -1,9 +1,11 @@
 """Licence recognition by sentence rules (DataFrame functions only).
 
-A text is cut into sentences, every sentence is normalised and looked up in
-a table of known licence sentences, and the resulting sequence of sentence
-ids is matched against ordered rules: a licence is reported where its
-sentences stand in the order its rule asks for.
+A text becomes its words with marks where a sentence ends; the sentences of
+a table of known licence sentences are found in it from one end to another,
+and the resulting sequence of sentence ids is matched against ordered rules:
+a licence is reported where its sentences stand in the order its rule asks
+for. A table sentence with a stop inside is known by all its parts, one
+after the other.
 
 Defined cases
 * null text: no sentences, status ``none``.
@@ -88,9 +90,24 @@ def normalised_pieces(sentence: str) -> list[str]:
     return [p for p in (re.sub(r"[\W_]+", " ", s.lower()).strip() for s in parts) if p]
 
 
-def normalise(sentence: Column) -> Column:
-    """Lower case, every run of other characters one space, no space at the ends."""
-    return F.trim(F.regexp_replace(F.lower(sentence), NOT_WORD, " "))
+#: Marks in a lower-cased text: a stop (as in ``SENTENCE_END``, with all up to the next word), a line break without one.
+STOP, BREAK = "S", "B"
+STOP_RUN = r"[.?;][^\p{L}\p{N}\s]*\s[^\p{L}\p{N}]*"
+BREAK_RUN = rf"\n[[^\p{{L}}\p{{N}}]{STOP}]*"
+
+
+def marked(text: Column) -> Column:
+    """The normalised words of a text with a mark at every sentence end, a space at either end."""
+    stops = F.regexp_replace(F.lower(text), STOP_RUN, f" {STOP} ")
+    words = F.regexp_replace(F.regexp_replace(stops, BREAK_RUN, f" {BREAK} "), NOT_WORD, " ")
+    return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
+
+
+def sentence_regex(sentences: Sequence[str]) -> str:
+    """Table sentences in a ``marked`` text, from one sentence end to another; of several, the longest."""
+    known = sorted((normalised_pieces(s) for s in sentences), key=lambda p: (-len(" ".join(p)), p))
+    any_of = "|".join(f" {STOP} ".join(p) for p in known)
+    return f"(?<=^ |[{STOP}{BREAK}] )(?:{any_of})(?= [{STOP}{BREAK}] | $)"
 
 
 def rule_regex(steps: Sequence[str]) -> str:
@@ -108,10 +125,7 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     sentences = SENTENCES if sentences is None else sentences
     rules = RULES if rules is None else rules
-    table: dict[str, str] = {}
-    for sid, s in sentences.items():
-        # A table sentence that has a stop inside is known by its last part.
-        table[normalised_pieces(s)[-1]] = sid
+    table = {" ".join(normalised_pieces(s)): sid for sid, s in sentences.items()}
     lookup = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
     text = F.coalesce(F.col(text_col), F.lit(""))
     lowered = F.lower(text)
@@ -122,9 +136,9 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             hit = hit | F.contains(lowered, F.lit(k))
     else:
         hit = F.lit(True)
-    parts = F.transform(F.split(F.when(hit, text).otherwise(""), SENTENCE_END),
-                        lambda s: F.element_at(lookup, normalise(s)))
-    ids = F.filter(parts, lambda x: x.isNotNull())
+    found_in = F.regexp_extract_all(marked(F.when(hit, text).otherwise("")),
+                                    F.lit(sentence_regex(list(sentences.values()))), F.lit(0))
+    ids = F.transform(found_in, lambda s: F.element_at(lookup, F.regexp_replace(s, f" [{STOP}{BREAK}] ", " ")))
     seq = F.concat(F.lit(" "), F.array_join(F.col("sentence_ids"), "  "), F.lit(" "))
     found = F.array_compact(F.array(*[F.when(F.rlike(seq, F.lit(rule_regex(steps))), F.lit(name))
                                       for name, steps in rules]))

@@ -52,3 +52,12 @@ def test_sql(spark, name):
 def test_no_python_on_the_main_path(spark):
     plan = op4_license_rules(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("text, ids", [
+    ("Copyright 2020.\nLicensed under the Apache License, v. 2.0.", []), ("Copyright 2020\n2.0\nVersion 2.0", []),
+    ("Subject to the GNU Public License, v. 2.0\nAll rights reserved.", ["RESERVED"]),
+    (f"a. {licenses.SENTENCES['MPL_LINE']}. b", ["MPL_LINE"]),
+])
+def test_sentences_with_a_stop_inside_need_all_parts(make_docs, text, ids):
+    assert [r.sentence_ids for r in licenses.recognise(make_docs([text])).collect()] == [ids]
