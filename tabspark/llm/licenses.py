@@ -5,7 +5,9 @@ a table of known licence sentences are found in it from one end to another,
 and the resulting sequence of sentence ids is matched against ordered rules:
 a licence is reported where its sentences stand in the order its rule asks
 for. A table sentence with a stop inside is known by all its parts, one
-after the other.
+after the other. A line break without a stop before it, with all blank lines
+and comment marks of other characters than letters and digits, may end a
+sentence or stand inside one: notices are published wrapped.
 
 Defined cases
 * null text: no sentences, status ``none``.
@@ -104,9 +106,9 @@ def marked(text: Column) -> Column:
 
 
 def sentence_regex(sentences: Sequence[str]) -> str:
-    """Table sentences in a ``marked`` text, from one sentence end to another; of several, the longest."""
+    """Table sentences in a ``marked`` text, from one sentence end to another, wrapped or not; of several, the longest."""
     known = sorted((normalised_pieces(s) for s in sentences), key=lambda p: (-len(" ".join(p)), p))
-    any_of = "|".join(f" {STOP} ".join(p) for p in known)
+    any_of = "|".join(f" {STOP} ".join(x.replace(" ", f"(?: {BREAK})? ") for x in p) for p in known)
     return f"(?<=^ |[{STOP}{BREAK}] )(?:{any_of})(?= [{STOP}{BREAK}] | $)"
 
 
@@ -138,7 +140,7 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         hit = F.lit(True)
     found_in = F.regexp_extract_all(marked(F.when(hit, text).otherwise("")),
                                     F.lit(sentence_regex(list(sentences.values()))), F.lit(0))
-    ids = F.transform(found_in, lambda s: F.element_at(lookup, F.regexp_replace(s, f" [{STOP}{BREAK}] ", " ")))
+    ids = F.transform(found_in, lambda s: F.element_at(lookup, F.regexp_replace(s, f" [{STOP}{BREAK}](?= )", "")))
     seq = F.concat(F.lit(" "), F.array_join(F.col("sentence_ids"), "  "), F.lit(" "))
     found = F.array_compact(F.array(*[F.when(F.rlike(seq, F.lit(rule_regex(steps))), F.lit(name))
                                       for name, steps in rules]))
