@@ -88,3 +88,15 @@ def test_relu_net_beats_constant_predictor(spark):
     curve = {(r["period"], r["split"]): r["rmse"] for r in q_models.relu_net_regress(spark, SF_SMALL).collect()}
     last = max(p for p, _ in curve)
     assert curve[(last, "train")] < std
+
+
+def test_full_text_fit_has_every_training_term(spark):
+    from tabspark.plans import catalog, q_models
+
+    data, terms = q_models._text_full(spark, SF_SMALL)
+    want = {t for r in data.where("split = 'train'").select("terms").collect() for t in r.terms or ()}
+    assert len(terms) == len(want) > 54 and set(terms) == want
+    hits = data.select("terms", "features").collect()
+    assert all(r.features.numNonzeros() == len(set(r.terms or ()) & want) for r in hits)
+    got = {(r.split, r.metric): r.value for r in catalog.get("text_logreg_full").fn(spark, SF_SMALL).collect()}
+    assert got["train", "accuracy"] > 0.95 and set(m for _, m in got) == {"log_loss", "accuracy", "auc"}
