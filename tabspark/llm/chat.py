@@ -81,8 +81,10 @@ LAYOUTS = {
                        i, F.when(m["from"] == "human", "user").when(m["from"] == "gpt", "assistant")
                        .otherwise(m["from"]), m["value"]))),
 }
-TURN_ROWS = fingerprint(["turn", "role", "text"])
+TURN_ROWS = ["turn", "role", "text"]
+#: Fingerprint -> layout; tables may also hold one turn a row.
 REGISTRY = {fingerprint(paths): name for name, (paths, _) in LAYOUTS.items()}
+TABLES = {fingerprint(TURN_ROWS): "turn_rows"} | REGISTRY
 
 # The same layouts inside JSON rows, where arrays are read with a declared type.
 _JSON_TYPES = {"messages": "array<struct<role:string,content:string>>",
@@ -92,15 +94,18 @@ _JSON_TYPES = {"messages": "array<struct<role:string,content:string>>",
 def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
     """``(conv_id, turn, role, text)`` rows of a table in any registered layout.
 
-    Columns that belong to no layout are ignored: the layout with the most
-    fields whose paths the table has is taken.
+    The paths that a layout declares and the table has are fingerprinted and
+    looked up, other columns are ignored; of several, the layout with the
+    most fields is taken.
     """
     have = set(field_paths(T.StructType([f for f in df.schema.fields if f.name != id_col])))
-    known = [(["turn", "role", "text"], None, "turn_rows")] + [(p, get, n) for n, (p, get) in LAYOUTS.items()]
-    fits = [x for x in known if set(x[0]) <= have]
+    declared = [TURN_ROWS, *(paths for paths, _ in LAYOUTS.values())]
+    fits = [(p, TABLES[fingerprint(p)]) for p in ([x for x in paths if x in have] for paths in declared)
+            if fingerprint(p) in TABLES]
     if not fits:
         raise KeyError(f"no mapping for the layout {sorted(have)} ({fingerprint(list(have))})")
-    paths, mapping, _ = max(fits, key=lambda x: len(x[0]))
+    name = max(fits, key=lambda x: len(x[0]))[1]
+    mapping = None if name == "turn_rows" else LAYOUTS[name][1]
     if mapping is None:
         return df.select(F.col(id_col).alias("conv_id"), F.col("turn").cast("long").alias("turn"),
                          F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
@@ -108,28 +113,22 @@ def canonical_turns(df: DataFrame, id_col: str = "conv_id") -> DataFrame:
             .select("conv_id", "t.*"))
 
 
-def json_fingerprint(record: Column) -> Column:
-    """Hash of a JSON value's nested field paths, types left out; null for text that isn't JSON."""
-    shape = F.regexp_replace(F.schema_of_variant(F.try_parse_json(record)),
-                             r": (STRING|BIGINT|DOUBLE|BOOLEAN|VOID|DECIMAL\([0-9,]+\))", "")
-    return F.sha2(shape, 256)
+def _json_has(value: Column, path: str) -> Column:
+    """Whether a JSON value has a path; an empty array has all of its elements' paths."""
+    name, _, inner = path.partition("[].")
+    if not inner:
+        field = F.try_variant_get(value, f"$.{name}", "variant")
+        return field.isNotNull() & ~F.schema_of_variant(field).rlike("^(OBJECT|ARRAY)<")
+    items = F.try_variant_get(value, f"$.{name}", "array<variant>")
+    return items.isNotNull() & ((F.size(items) == 0) | F.exists(
+        items, lambda x: F.try_variant_get(x, f"$.{inner}", "variant").isNotNull()))
 
 
-def _json_shape(paths: list[str]) -> str:
-    tree: dict = {}
-    for p in paths:
-        at = tree
-        for part in p.split("."):
-            at = at.setdefault(part, {})
-
-    def show(node: dict) -> str:
-        out = []
-        for k in sorted(node):
-            inner = show(node[k]) if node[k] else ""
-            out.append((f"{k[:-2]}: ARRAY<{inner}>" if k.endswith("[]") else f"{k}: {inner}") if inner else k)
-        return f"OBJECT<{', '.join(out)}>"
-
-    return show(tree)
+def json_fingerprint(record: Column, paths: list[str]) -> Column:
+    """As ``fingerprint``, of those of the declared ``paths`` that a JSON record has."""
+    value = F.try_parse_json(record)
+    own = F.array_compact(F.array(*[F.when(_json_has(value, p), F.lit(p)) for p in sorted(set(paths))]))
+    return F.substring(F.sha2(F.array_join(own, "\n"), 256), 1, 16)
 
 
 def canonical_json(df: DataFrame, record_col: str, id_col: str = "conv_id") -> DataFrame:
@@ -137,9 +136,10 @@ def canonical_json(df: DataFrame, record_col: str, id_col: str = "conv_id") -> D
 
     Columns ``conv_id, layout, turns`` (array of turn, role, text); a record
     whose fingerprint is not registered keeps its row with layout ``unknown``.
+    Fields that a layout doesn't declare are ignored, as in tables.
     """
     rec = F.col(record_col)
-    out = df.select(F.col(id_col).alias("conv_id"), rec.alias("_record"), json_fingerprint(rec).alias("_print"))
+    out = df.select(F.col(id_col).alias("conv_id"), rec.alias("_record"))
 
     def get(name: str) -> Column:
         if name in _JSON_TYPES:
@@ -147,8 +147,11 @@ def canonical_json(df: DataFrame, record_col: str, id_col: str = "conv_id") -> D
         return F.get_json_object("_record", f"$.{name}")
 
     layout, turns = F.lit("unknown"), F.lit(None)
-    for name, (paths, mapping) in LAYOUTS.items():
-        is_it = F.col("_print") == hashlib.sha256(_json_shape(paths).encode()).hexdigest()
+    # The last that fits decides: the one with the most fields, of equal ones the first.
+    prints = {fingerprint(paths): paths for paths, _ in reversed(LAYOUTS.values())}
+    for key, paths in sorted(prints.items(), key=lambda x: len(x[1])):
+        name, mapping = REGISTRY[key], LAYOUTS[REGISTRY[key]][1]
+        is_it = json_fingerprint(F.col("_record"), paths) == key
         layout = F.when(is_it, F.lit(name)).otherwise(layout)
         turns = F.when(is_it, mapping(get)).otherwise(turns)
     return out.select("conv_id", layout.alias("layout"), turns.alias("turns"))

@@ -77,3 +77,19 @@ def test_control_conversation(spark):
     r = op8_chat_format(spark, "/root/testdata/sf0.001").where(F.col("conv_id") == -1).first()
     text = "</s>[INST] ok [/INST]"
     assert (r.n_turns, r.loss_chars, r.loss_sha256) == (2, len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_the_fingerprint_selects_the_mapping(spark, monkeypatch):
+    df = spark.createDataFrame([(1, "p", "r")], "conv_id long, prompt string, response string")
+    monkeypatch.setattr(chat, "TABLES", {}, raising=False)
+    with pytest.raises(KeyError):
+        chat.canonical_turns(df)
+
+
+def test_json_fields_that_no_layout_declares(spark):
+    data = ['{"id":7,"prompt":"p","response":"r"}', '{"messages":[]}', '{"messages":[{"role":"user","content":"a","n":1}],"id":"x"}',
+            '{"prompt":{"a":1},"response":"r"}', '{"instruction":"i","output":"o","input":"g","id":1}', '{"messages":{"role":"u"}}']
+    df = spark.createDataFrame(list(enumerate(data)), "conv_id long, record string")
+    got = {r.conv_id: (r.layout, r.turns and [(t.role, t.text) for t in r.turns]) for r in chat.canonical_json(df, "record").collect()}
+    assert got == {0: ("prompt_response", [("user", "p"), ("assistant", "r")]), 1: ("messages", []), 2: ("messages", [("user", "a")]),
+                   3: ("unknown", None), 4: ("instruction", [("user", "i\n\ng"), ("assistant", "o")]), 5: ("unknown", None)}
