@@ -4,7 +4,7 @@ import numpy as np
 
 from tabspark.operators import fit
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 
 
 def test_linreg_2d_matches_numpy(spark):

@@ -5,7 +5,7 @@ import pytest
 from tabspark.plans import catalog
 from tabspark.plans.oracle_check import compare, duckdb_connection
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 
 SQL = catalog.oracle_sql()
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tabspark.operators import fit
 from tabspark.sources import sinks, tables, views
 
-from conftest import SF_SMALL
+from fixture_paths import SF_SMALL
 
 
 def _tmp():
