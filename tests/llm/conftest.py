@@ -5,13 +5,6 @@ DOCS = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("text"
                      T.StructField("lang", T.StringType()), T.StructField("source", T.StringType()),
                      T.StructField("n_chars", T.LongType())])
 
-WORDS = ("river stone cloud amber forest candle window marble garden silver copper velvet harbor meadow lantern "
-         "thunder pepper basket saddle mirror hollow timber ribbon pocket walnut kettle anchor feather island tunnel").split()
-
-
-def prose(rng, n):
-    return " ".join(rng.choice(WORDS) for _ in range(n))
-
 
 @pytest.fixture(scope="session")
 def make_docs(spark):

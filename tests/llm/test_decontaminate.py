@@ -3,7 +3,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from conftest import WORDS
+from corpora import WORDS
 from tabspark.llm import decontaminate as D
 
 VOCABULARY = [a + b for a in WORDS for b in WORDS]

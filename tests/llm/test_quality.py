@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 
-from conftest import prose
+from corpora import prose
 from tabspark.llm import quality
 
 

@@ -1,6 +1,6 @@
 import random
 
-from conftest import prose
+from corpora import prose
 from tabspark.llm import toxicity
 
 
