@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from tabspark.llm import (
-    q_chat, q_decontaminate, q_exact_spans, q_license, q_near_text, q_near_vectors, q_packing, q_pii, q_pipeline,
-    q_quality, q_toxicity,
+    q_chat, q_decontaminate, q_exact_spans, q_fill_middle, q_license, q_near_text, q_near_vectors, q_ns_bounds, q_packing,
+    q_pii, q_pipeline, q_quality, q_segment_search, q_toxicity,
 )
 
 _MODULES = (q_toxicity, q_exact_spans, q_packing, q_license, q_pii, q_quality, q_decontaminate, q_chat,
-            q_near_vectors, q_near_text, q_pipeline)
+            q_near_vectors, q_near_text, q_segment_search, q_fill_middle, q_ns_bounds, q_pipeline)
 
 
 def queries() -> dict:
