@@ -14,11 +14,11 @@ hash of id and text, then by position).
    variant with a count; a key with one variant needs no bytes: all its
    strings are repeated.
 3. Variants of the other keys are fetched from their first documents. Those
-   of a key go to one task, whose suffixes are put in order by doubling
-   ranks up to ``length`` bytes. Suffixes that agree that far are neighbours
-   in suffix order, and the previous and next smaller position among them
-   tell whether a suffix occurs before (its longest previous factor reaches
-   ``length``) or after.
+   of a key go to one task, which puts their suffixes in order around the
+   anchors. Strings that agree in ``length`` bytes are neighbours in that
+   order, and the previous and next smaller positions among them tell which
+   have an earlier match (a longest previous factor of at least ``length``)
+   and which are one.
    Keys with more than ``MAX_VARIANTS`` variants are split instead: their
    strings are grouped by hashes, one row each, so no group meets in a task.
 4. The strings found go back to all members of a variant and, merged per
@@ -39,6 +39,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,22 +125,32 @@ def pieces(column: pa.Array, overlap: int) -> Iterator[tuple[np.ndarray, np.ndar
         at = to
 
 
-def suffix_classes(data: np.ndarray, starts: np.ndarray, length: int) -> np.ndarray:
-    """Rank of the ``length`` bytes from each of ``starts`` on, equal for equal bytes, in lexicographic order."""
-    _, rank = np.unique(_eight(data, ">"), return_inverse=True)
-    have = 8
-    while 2 * have <= length:
-        rank = _join_ranks(rank, rank, have)
-        have *= 2
-    if have < length:
-        rank = _join_ranks(rank, rank, length - have)
-    return rank[starts]
+def anchors(data: np.ndarray, offsets: np.ndarray, n: np.ndarray, key: np.ndarray, length: int, gram: int = GRAM) -> np.ndarray:
+    """Place in ``data`` of each window's anchor: the first one common to its strings whose gram has the key's hash."""
+    h = gram_hashes(data, gram)
+    hit = np.flatnonzero(h == np.repeat(key.view(np.uint64), np.diff(offsets))[:len(h)])
+    return hit[np.searchsorted(hit, offsets[:-1] + n - 1)]
+
 
+def contexts(data: np.ndarray, lo: np.ndarray, hi: np.ndarray, width: int, back: bool) -> np.ndarray:
+    """The bytes from lo to hi as rows of ``width``, or those before hi backwards; zeros follow the end."""
+    step = np.arange(width)
+    at = hi[:, None] - 1 - step if back else lo[:, None] + step
+    inside = (at >= lo[:, None]) & (at < hi[:, None])
+    return np.where(inside, data[np.where(inside, at, 0)], np.uint8(0))
 
-def _join_ranks(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
-    pair = a.astype(np.uint64) * np.uint64(len(a) + 1)
-    pair[:len(b) - shift] += b[shift:].astype(np.uint64) + np.uint64(1)
-    return np.unique(pair, return_inverse=True)[1]
+
+def suffix_order(rows: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of bytes in lexicographic order within their group, and how many bytes each shares with the row before.
+
+    -1 where a group begins.
+    """
+    width = rows.shape[1] + 8
+    rows = np.concatenate([group.astype(">u8").view(np.uint8).reshape(-1, 8), rows], axis=1)
+    order = np.argsort(np.ascontiguousarray(rows).view(f"S{width}").ravel(), kind="stable")
+    differ = rows[order[1:]] != rows[order[:-1]]
+    common = np.where(differ.any(axis=1), differ.argmax(axis=1), width) - 8
+    return order, np.concatenate([[-1], np.maximum(common, -1)])
 
 
 def previous_smaller(position: np.ndarray, group: np.ndarray) -> np.ndarray:
@@ -157,31 +168,65 @@ def previous_smaller(position: np.ndarray, group: np.ndarray) -> np.ndarray:
         link[go] = link[link[go]]
 
 
-def occurs(data: np.ndarray, starts: np.ndarray, position: np.ndarray, weight: np.ndarray,
-           length: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each start: whether its string occurs elsewhere, and whether it does at a smaller position.
+def occurs(data: np.ndarray, offsets: np.ndarray, n: np.ndarray, key: np.ndarray, doc: np.ndarray, start: np.ndarray,
+           length: int, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray]:
+    """For each string of windows of whole keys: whether it occurs in another window, and whether it does in an earlier one.
 
-    ``position`` orders the starts in the whole corpus, ``weight`` says how
-    often each start's window occurs there.
+    Equal strings lie alike around equal anchors. So the windows' suffixes
+    are put in order from their anchors on, and their prefixes from the
+    anchors back; the lengths that neighbours share tell, for strings that
+    begin d bytes before the anchor, which agree in d bytes to the left and
+    in the rest to the right. Strings in that order are equal neighbours, and
+    the previous and next smaller positions among them are their earlier
+    matches: a string occurs elsewhere if it has one, or is one.
     """
-    rank = suffix_classes(data, starts, length)
-    order = np.lexsort((np.arange(len(starts)), rank))
-    group, place = rank[order], position[order]
-    before = previous_smaller(place, group)
-    after = (len(place) - 1 - previous_smaller(place[::-1], group[::-1]))[::-1]  # next smaller, from the other end
-    edge = np.flatnonzero(np.diff(group, prepend=-1))
-    total = np.add.reduceat(weight[order], edge) if len(edge) else np.zeros(0)
-    sizes = np.diff(np.append(edge, len(group)))
-    elsewhere, earlier = np.zeros(len(starts), bool), np.zeros(len(starts), bool)
-    elsewhere[order] = np.repeat(total, sizes) > 1
-    earlier[order] = (before >= 0) | (after < len(place))
+    m, first = len(n), np.cumsum(n) - n
+    at = anchors(data, offsets, n, key, length, gram)
+    group = np.unique(key, return_inverse=True)[1]
+    right, shared_right = suffix_order(contexts(data, at, offsets[1:], length, False), group)
+    left, shared_left = suffix_order(contexts(data, offsets[:-1], at, length - gram, True), group)
+    far = at - offsets[:-1]  # of the first string
+    a, b = np.empty(m, np.int64), np.empty(m, np.int64)
+    code, place = [], []
+    for d in range(int(far.max(initial=-1)) + 1):
+        own = np.flatnonzero((d <= far) & (far - n < d))
+        a[left], b[right] = np.cumsum(shared_left < d), np.cumsum(shared_right < length - d)
+        some = (d * (m + 1) + a[own]) * (m + 1) + b[own]
+        code.append(some)
+        place.append(first[own] + far[own] - d)
+    elsewhere, earlier = np.zeros(n.sum(), bool), np.zeros(n.sum(), bool)
+    if not code:
+        return elsewhere, earlier
+    code, place = np.concatenate(code), np.concatenate(place)
+    order = np.argsort(code, kind="stable")
+    code, place = code[order], place[order]
+    same = code[1:] == code[:-1]
+    several = np.concatenate([same, [False]]) | np.concatenate([[False], same])
+    code, place = code[several], place[several]
+    own = np.searchsorted(first, place, side="right") - 1
+    position = np.empty(len(place), np.int64)
+    position[np.lexsort((start[own] + place - first[own], doc[own]))] = np.arange(len(place))
+    before = previous_smaller(position, code)
+    after = len(place) - 1 - previous_smaller(position[::-1], code[::-1])[::-1]  # next smaller, from the other end
+    has_before, has_after = before >= 0, after < len(place)
+    match = np.zeros(len(place), bool)
+    match[before[has_before]] = match[after[has_after]] = True
+    earlier[place] = has_before | has_after
+    elsewhere[place] = has_before | has_after | match
     return elsewhere, earlier
 
 
-def runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    """(start, end) of the stretches of true."""
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return [(int(a), int(b)) for a, b in zip(edge[0::2], edge[1::2], strict=True)]
+def stretches(flags: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    """For each part between offsets the [start, end) of its stretches of true, as a list of pairs."""
+    left = np.concatenate([[False], flags[:-1]])
+    left[offsets[:-1][offsets[:-1] < len(flags)]] = False
+    right = np.concatenate([flags[1:], [False]])
+    right[offsets[1:] - 1] = False
+    lo, hi = np.flatnonzero(flags & ~left), np.flatnonzero(flags & ~right) + 1
+    part = np.searchsorted(offsets, lo, side="right") - 1
+    pairs = np.stack([lo - offsets[part], hi - offsets[part]], axis=1).astype(np.int32).ravel()
+    inner = pa.ListArray.from_arrays(pa.array(np.arange(0, len(pairs) + 1, 2, dtype=np.int32)), pa.array(pairs))
+    return pa.ListArray.from_arrays(pa.array(np.searchsorted(lo, offsets).astype(np.int32)), inner)
 
 
 # -------------------------------------------------------------- Spark jobs
@@ -236,16 +281,11 @@ def _order(length: int, schema: pa.Schema):
         rows = rows.combine_chunks()
         raw, offsets = utf8(rows.column("raw"))
         n = rows.column("n").to_numpy().astype(np.int64)
-        own = np.repeat(np.arange(len(n)), n)
-        nth = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
-        starts = offsets[:-1][own] + nth
-        doc, begin = rows.column("doc").to_numpy(), rows.column("start").to_numpy()
-        rank = np.empty(len(own), np.int64)
-        rank[np.lexsort((begin[own] + nth, doc[own]))] = np.arange(len(own))
-        elsewhere, earlier = occurs(raw, starts, rank, rows.column("copies").to_numpy()[own], length)
-        edge = np.append(np.cumsum(n) - n, len(own))
-        some = [[runs(f[a:b]) for a, b in zip(edge[:-1], edge[1:], strict=True)] for f in (elsewhere, earlier)]
-        return record_batch(schema, rows.column("key").combine_chunks(), rows.column("window").combine_chunks(), *some)
+        key, doc, begin = (rows.column(c).to_numpy() for c in ("key", "doc", "start"))
+        edge = np.append(np.cumsum(n) - n, n.sum())
+        some = [stretches(f, edge) for f in occurs(raw, offsets, n, key, doc, begin, length)]
+        out = record_batch(schema, rows.column("key").combine_chunks(), rows.column("window").combine_chunks(), *some)
+        return out.filter(pc.greater(pc.list_value_length(some[0]), 0))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []

@@ -86,12 +86,49 @@ def test_previous_smaller(entries):
 
 def test_suffix_order():
     rng = np.random.default_rng(1)
-    data = rng.integers(97, 99, 400).astype(np.uint8)
-    starts = np.arange(0, 380)
-    rank = exact_spans.suffix_classes(data, starts, 20)
-    raw = bytes(data)
-    order = sorted(set(raw[s:s + 20] for s in starts))
-    assert [order.index(raw[s:s + 20]) for s in starts] == np.unique(rank, return_inverse=True)[1].tolist()
+    rows = rng.integers(0, 2, (300, 6)).astype(np.uint8)
+    group = rng.integers(0, 4, 300)
+    order, common = exact_spans.suffix_order(rows, group)
+    keys = [(int(g), bytes(r)) for g, r in zip(group, rows, strict=True)]
+    assert [keys[i] for i in order] == sorted(keys)
+    for x, y, c in zip(order[:-1], order[1:], common[1:], strict=True):
+        same = next((i for i in range(6) if rows[x][i] != rows[y][i]), 6)
+        assert c == (same if group[x] == group[y] else -1)
+
+
+@pytest.mark.parametrize("letters", [2, 6])
+def test_matches_of_windows(letters):
+    rng = np.random.default_rng(letters)
+    length, gram = 40, 8
+    base = rng.integers(97, 97 + letters, (5, 160)).astype(np.uint8)
+    texts = []
+    for i in rng.integers(0, 5, 60):
+        t = base[i].copy()
+        t[rng.integers(0, 160, rng.integers(0, 4))] = rng.integers(97, 97 + letters)
+        texts.append(t[rng.integers(0, 40):])
+    data, offsets = np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    row, start, n, key, _ = exact_spans.windows(data, offsets, length, gram)
+    by = np.argsort(key.view(np.int64), kind="stable")
+    row, start, n, key = row[by], start[by], n[by], key[by]
+    raw = [bytes(texts[r][s:s + c + length - 1]) for r, s, c in zip(row, start, n, strict=True)]
+    whole, edges = np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in raw])])
+    elsewhere, earlier = exact_spans.occurs(whole, edges, n, key.view(np.int64), row, start, length, gram)
+    at, seen = 0, collections.defaultdict(list)
+    for r, s, c, x in zip(row, start, n, raw, strict=True):
+        for i in range(c):
+            seen[x[i:i + length]].append((int(r), int(s) + i, at))
+            at += 1
+    assert at == len(elsewhere) and elsewhere.any() and not elsewhere.all()
+    for places in seen.values():
+        for p in places:
+            assert elsewhere[p[2]] == (len(places) > 1) and earlier[p[2]] == (p != min(places))
+    part = np.concatenate([[0], np.cumsum(n)])
+    for a, b, got in zip(part[:-1], part[1:], exact_spans.stretches(elsewhere, part).to_pylist(), strict=True):
+        cover = np.zeros(b - a, bool)
+        for lo, hi in got:
+            assert not cover[max(0, lo - 1):hi + 1].any()
+            cover[lo:hi] = True
+        assert (cover == elsewhere[a:b]).all()
 
 
 def test_long_text_is_read_in_pieces(make_docs, monkeypatch):
