@@ -18,112 +18,139 @@ Defined cases
 * null or repeated ids: every input row is a document of its own; ties keep input order.
 * an empty table gives no pieces; a text of any length is cut, never dropped.
 * columns of the input besides id and text are dropped.
-* a special token's string inside a text is ordinary text.
+* a special token's string inside a text gets that token's id, as the tokenizer itself gives it.
 * the result depends on how the input is dealt to tasks, but not on retries.
 """
 
 from __future__ import annotations
 
 import heapq
-import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabspark.llm.tasks import output_type
+from tabspark.llm.text import utf8
 
-_TWO_SPACES = re.compile(r"\s\s")
-_BEFORE_WORD = re.compile(r"(?<=\S)(?= \S)")
-#: Entries of a worker's table of encoded words, and the longest word kept there.
-CACHE_WORDS, CACHE_CHARS = 600_000, 48
+#: Entries of a worker's table of encoded words, and the longest word kept there, in bytes.
+CACHE_WORDS, CACHE_BYTES = 600_000, 64
 #: New words that are encoded as one string.
 JOINED = 256
-_MARKS = ".,;:!?%&*#$|()"
+_MARKS = b".,;:!?%&*#$|()"
+_WHITE = np.zeros(256, bool)
+_WHITE[[9, 10, 11, 12, 13, 32]] = True
+_PLAIN = np.zeros(256, bool)  # bytes of characters that are surely no white space
+_PLAIN[0x21:0x7F] = True
+_OTHER_WHITE = "[\u0085\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
-class Encoder:
-    """Token ids of texts as little-endian 32-bit bytes; words are encoded once and kept.
+def cuts(data: np.ndarray, offsets: np.ndarray, other_white: np.ndarray) -> np.ndarray:
+    """Places where rows of UTF-8 may be cut so that the parts' token ids are the whole's; rows' ends are among them.
 
     The vocabulary's splitting pattern never crosses from other characters
-    into a single space or line break, so a text may be cut before a space
-    that stands alone between words and around such a line break; texts with
-    longer runs of white space are cut only where that holds.
+    into white space, so a cut may stand before a run of white space; and
+    after a line break that is a run by itself. ``other_white`` marks the
+    rows that hold white space beyond ASCII's.
     """
+    if not len(data):
+        return np.unique(offsets)
+    plain = _PLAIN[data]
+    if (data >= 128).any():
+        plain |= (data >= 128) & np.repeat(~other_white, np.diff(offsets))
+    cut = np.zeros(len(data) + 1, bool)
+    cut[1:-1] = _WHITE[data[1:]] & plain[:-1]
+    alone = np.flatnonzero((data[1:-1] == 10) & plain[:-2] & plain[2:]) + 2
+    cut[alone] = True
+    cut[offsets] = True
+    return np.flatnonzero(cut)
+
+
+class Encoder:
+    """Token ids of texts; the distinct words of a batch are encoded once and kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         # In a byte-level vocabulary a token has one character for each of its bytes.
         vocabulary = self.tokenizer.get_vocab()
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.n_bytes[i] = len(token)
 
-    @staticmethod
-    def cut(text: str) -> list[str]:
-        """Parts that concatenate to the text and are encoded one by one."""
-        if _TWO_SPACES.search(text):
-            return _BEFORE_WORD.split(text)
-        out: list[str] = []
-        for i, line in enumerate(text.split("\n")):
-            if i:
-                out.append("\n")
-            first, *rest = line.split(" ")
-            if first:
-                out.append(first)
-            out.extend([" " + x for x in rest])
-        return out
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        parts = [self.cut(t) for t in texts]
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all rows, offsets of each row's). Null is empty."""
+        data, offsets = utf8(texts)
+        white = pc.fill_null(pc.match_substring_regex(texts, _OTHER_WHITE), False).to_numpy(zero_copy_only=False)
+        at = cuts(data, offsets, white)
+        if len(at) < 2:
+            return np.zeros(0, "<u4"), np.zeros(len(offsets), np.int64)
+        parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1,
+                                                 [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
+        coded = parts.dictionary_encode()
+        ids = self._known(coded.dictionary.to_pylist())
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
+        flat, begin = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        word = coded.indices.to_numpy()
+        n = size[word]
+        ends = np.cumsum(n)
+        out = flat[np.repeat(begin[word] - (ends - n), n) + np.arange(ends[-1])]
+        return out, np.concatenate([[0], ends])[np.searchsorted(at, offsets)]
+
+    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+        """Each text's ids as little-endian 32-bit bytes."""
+        ids, offsets = self.encode_column(pa.array(texts, pa.string()))
+        return [ids[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+
+    def _known(self, words: list[bytes]) -> list[bytes]:
         known = self.known
         if len(known) > CACHE_WORDS:
             known.clear()
-        new = set().union(*parts).difference(known)
+        new = [w for w in words if w not in known]
         if new:
             # Marks after a letter are tokens of their own: words are known by what stands before.
             tails = {w: s for w in new if len(s := w.rstrip(_MARKS)) < len(w) and s[-1:].isalpha()}
-            plain = new.difference(tails).union(tails.values(), [w[len(s):] for w, s in tails.items()])
-            plain = list(plain.difference(known))
+            plain = set(new).difference(tails).union(tails.values(), [w[len(s):] for w, s in tails.items()])
+            plain = [w for w in plain if w not in known]
             known.update(zip(plain, self._ids(plain), strict=True))
             for w, s in tails.items():
                 known[w] = known[s] + known[w[len(s):]]
-        out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        for w in [w for w in new if len(w) > CACHE_CHARS]:
-            del known[w]
+        out = [known[w] for w in words]
+        for w in new:
+            if len(w) > CACHE_BYTES:
+                del known[w]
         return out
 
-    def _ids(self, words: list[str]) -> list[bytes]:
+    def _ids(self, words: list[bytes]) -> list[bytes]:
         """Words that begin with one space are encoded many at a time and told apart by their bytes."""
         spaced, alone = [], []
         for i, w in enumerate(words):
-            (spaced if w[:1] == " " and not w[1:2].isspace() and len(w) > 1 else alone).append(i)
+            (spaced if w[:1] == b" " and len(w) > 1 and _PLAIN[w[1]] and _PLAIN[w[-1]] else alone).append(i)
         out = [b""] * len(words)
         for i, e in zip(alone, self._encoded([words[i] for i in alone]), strict=True):
             out[i] = np.array(e.ids, "<u4").tobytes()
         runs = [spaced[i:i + JOINED] for i in range(0, len(spaced), JOINED)]
-        for own, e in zip(runs, self._encoded(["".join([words[i] for i in run]) for run in runs]), strict=True):
+        for own, e in zip(runs, self._encoded([b"".join([words[i] for i in run]) for run in runs]), strict=True):
             ids = np.array(e.ids, "<u4")
-            ends = np.cumsum([len(words[i].encode()) for i in own])
+            ends = np.cumsum([len(words[i]) for i in own])
             cut = (4 * (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1)).tolist()
             whole = ids.tobytes()
             for i, lo, hi in zip(own, [0, *cut], cut, strict=False):
                 out[i] = whole[lo:hi]
         return out
 
-    def _encoded(self, texts: list[str]) -> list:
-        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+    def _encoded(self, texts: list[bytes]) -> list:
+        return self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False) if texts else []
 
 
 def encoder(path: str) -> Encoder:
@@ -228,15 +255,14 @@ def _packer(tokenizer_path: str, end_id: int, max_len: int, group_tokens: int,
                 [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1)
-            for lo in range(0, len(keys), 256):
-                some = [x or "" for x in texts.slice(lo, 256).to_pylist()]
-                for key, b in zip(keys[lo:lo + 256], enc.encode(some), strict=True):
-                    ids.append(key)
-                    held.append(b + end)
-                    size += len(b) // 4 + 1
-                    if size >= group_tokens:
-                        yield flush()
+            keys, (tokens, edges) = batch.column(0).to_pylist(), enc.encode_column(batch.column(1))
+            tokens = tokens.tobytes()
+            for key, a, b in zip(keys, (4 * edges[:-1]).tolist(), (4 * edges[1:]).tolist(), strict=True):
+                ids.append(key)
+                held.append(tokens[a:b] + end)
+                size += (b - a) // 4 + 1
+                if size >= group_tokens:
+                    yield flush()
         if held:
             yield flush()
 
