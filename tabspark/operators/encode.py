@@ -1,21 +1,6 @@
 """Bucketization, categorical encodings and embeddings.
 
-Exact quantiles at scale
-------------------------
-``percentile`` keeps a value->count map per group and merges all of them
-in one final task: at 100 TB of distinct doubles that task does not fit.
-``quantiles`` computes the same numbers (linear interpolation between
-order statistics, like ``quantile_cont``) without any unbounded state:
-
-1. unpivot to ``(feature, value)`` and count per distinct value (map-side
-   combine: a value that holds a third of all rows becomes one row);
-2. running counts along the values, blocked by range partitions
-   (``ordering.running_sum_by_value``): each distinct value learns the
-   ranks it covers;
-3. a broadcast of the wanted ranks (``columns x probabilities x 2`` rows)
-   picks the two order statistics per probability, then interpolate.
-
-``approx=True`` switches to ``percentile_approx`` (one pass, sketch).
+Exact quantiles are those of ``operators.quantile``.
 """
 
 from __future__ import annotations
@@ -26,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import attach_row, bucket_of, in_range, md5_bucket, with_count_le
+from tabspark.operators import quantile
 from tabspark.operators.joins import bounded_broadcast
-from tabspark.operators.ordering import running_sum_by_value
 from tabspark.session import materialize
 
 
@@ -48,59 +33,15 @@ def unpivot(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
     return df.select(*keep, F.explode(pairs).alias("_kv")).select(*keep, f"_kv.{name}", f"_kv.{value}")
 
 
-def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-              approx: bool = False, accuracy: int = 10000) -> DataFrame:
-    """Per column and probability: ``(feature, idx, prob, value)``.
+def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], approx: bool = False,
+              stored: bool = False) -> DataFrame:
+    """Per column and probability: ``(feature, idx, prob, value)``, exact or read off one pass' sketches.
 
     ``idx`` is the 0-based position of the probability. Nulls are ignored.
-    Exact mode equals ``quantile_cont``: with ``n`` values and
-    ``rn = (n-1)*p``, ``lo + (hi - lo) * (rn - floor(rn))``.
     """
-    spark = df.sparkSession
-    probs = [float(p) for p in probs]
-    long = unpivot(df, cols).where(F.col("value").isNotNull())
-    ptab = spark.createDataFrame([(i, p) for i, p in enumerate(probs)], "idx long, prob double")
     if approx:
-        arr = long.groupBy("feature").agg(
-            F.percentile_approx("value", probs, accuracy).alias("_q"))
-        return (arr.select("feature", F.posexplode("_q").alias("idx", "value"))
-                .withColumn("idx", F.col("idx").cast("bigint"))
-                .join(F.broadcast(ptab), "idx").select("feature", "idx", "prob", "value"))
-
-    return quantiles_from_counts(value_counts(df, cols), probs)
-
-
-def value_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(feature, value, cnt)``: distinct non-null values per column with
-    their counts, materialized (read by several branches downstream)."""
-    long = unpivot(df, cols).where(F.col("value").isNotNull())
-    return materialize(long.groupBy("feature", "value").agg(F.count(F.lit(1)).alias("cnt")))
-
-
-def quantiles_from_counts(counts: DataFrame, probs: Sequence[float]) -> DataFrame:
-    """Exact quantiles from a ``value_counts`` table (see ``quantiles``)."""
-    probs = [float(p) for p in probs]
-    # one group per requested column: a parameter
-    cum = running_sum_by_value(counts, "value", ["cnt"], groups=["feature"], groups_bounded=True)
-    # Wanted 0-based ranks per (column, probability); bounded by cols x probs.
-    n = counts.groupBy("feature").agg(F.sum("cnt").alias("n"))
-    grid = F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("idx"), F.lit(p).alias("prob"))
-                               for i, p in enumerate(probs)]))
-    want = (n.select("feature", "n", grid.alias("_p")).select("feature", "n", "_p.idx", "_p.prob")
-            .withColumn("rn", (F.col("n") - 1).cast("double") * F.col("prob"))
-            .withColumn("lo_rank", F.floor("rn").cast("bigint"))
-            .withColumn("hi_rank", F.ceil("rn").cast("bigint")).drop("n"))
-    # A distinct value covers the ranks [cum - cnt, cum); lo and hi are neighbours, so one pass over the
-    # running counts finds the value (or the two values) of every probability.
-    first = F.col("cum_cnt") - F.col("cnt")
-    hit = cum.join(F.broadcast(want), "feature").where(
-        (F.col("lo_rank") < F.col("cum_cnt")) & (F.col("hi_rank") >= first))
-    at = lambda r: F.max(F.when((F.col(r) >= first) & (F.col(r) < F.col("cum_cnt")), F.col("value")))
-    picked = hit.groupBy("feature", "idx", "prob", "rn", "lo_rank", "hi_rank").agg(
-        at("lo_rank").alias("lo"), at("hi_rank").alias("hi"))
-    value = F.when(F.col("lo_rank") == F.col("hi_rank"), F.col("lo")).otherwise(
-        F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("rn") - F.col("lo_rank")))
-    return picked.select("feature", "idx", "prob", value.alias("value"))
+        return quantile.approximate(quantile.sketches(df, cols), probs)
+    return quantile.quantiles(df, {c: probs for c in cols}, stored)
 
 
 def boundaries_row(q: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -131,21 +72,24 @@ def bucketize(df: DataFrame, bounds: DataFrame, cols: Sequence[str], keep: Seque
 
 def bucketize_by_quantiles(df: DataFrame, cols: Sequence[str], n_buckets: int | Mapping[str, int],
                            fit_on: DataFrame | None = None, keep: Sequence[str] = ("id",),
-                           approx: bool = False) -> DataFrame:
+                           approx: bool = False, stored: bool = False) -> DataFrame:
     """i/n quantile boundaries from ``fit_on`` (training rows), applied to ``df``.
 
-    ``n_buckets`` is one number, or one for each column. The value counts
-    are taken once; each bucket count reads its own columns of them.
+    ``n_buckets`` is one number, or one for each column; all columns'
+    boundaries come from the same passes. ``stored``: ``fit_on`` need not be
+    written before it is read more than once.
     """
     per = {c: n_buckets if isinstance(n_buckets, int) else n_buckets[c] for c in cols}
     source = fit_on if fit_on is not None else df
-    counts = None if approx else value_counts(source, cols)
-    q = None
-    for n in sorted(set(per.values())):
-        own = [c for c in cols if per[c] == n]
-        some = (quantiles(source, own, probs_i_over_n(n), approx=True) if approx
-                else quantiles_from_counts(counts.where(F.col("feature").isin(own)), probs_i_over_n(n)))
-        q = some if q is None else q.unionByName(some)
+    if approx:
+        merged = materialize(quantile.sketches(source, cols))
+        parts = [quantile.approximate(merged.where(F.col("feature").isin([c for c in cols if per[c] == n])), probs_i_over_n(n))
+                 for n in sorted(set(per.values()))]
+        q = parts[0]
+        for part in parts[1:]:
+            q = q.unionByName(part)
+    else:
+        q = quantile.quantiles(source, {c: probs_i_over_n(n) for c, n in per.items()}, stored)
     return bucketize(df, boundaries_row(q, cols), cols, keep, n_bounds={c: n - 1 for c, n in per.items()})
 
 

@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import attach_row
-from tabspark.operators.encode import quantiles, quantiles_from_counts, value_counts
+from tabspark.operators.encode import quantiles
+from tabspark.session import materialize
 
 
 def _long(row: DataFrame, cols: Sequence[str], fields: Sequence[str]) -> DataFrame:
@@ -34,35 +35,20 @@ def min_max_range(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return long.withColumn("range", F.col("max") - F.col("min"))
 
 
-def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFrame:
+def describe(df: DataFrame, cols: Sequence[str], approx: bool = False, stored: bool = False) -> DataFrame:
     """count, mean, std (sample), min, 25 %, 50 %, 75 %, max per column.
 
-    Exact mode makes one pass over ``df``: the materialized distinct-value
-    counts feed both the moments (weighted sums; two-pass variance) and the
-    exact quartiles.
+    Exact quartiles read the columns again; they are written once unless ``df`` is ``stored``.
     """
-    if approx:
-        aggs = []
-        for c in cols:
-            x = F.col(c).cast("double")
-            aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                     F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                     F.max(x).alias(f"{c}__max")]
-        base = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
-        q = quantiles(df, cols, [0.25, 0.5, 0.75], approx=True)
-    else:
-        counts = value_counts(df, cols)
-        m = counts.groupBy("feature").agg(
-            F.sum("cnt").alias("count"),
-            (F.sum(F.col("value") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
-            F.min("value").alias("min"), F.max("value").alias("max"))
-        dev = counts.join(F.broadcast(m.select("feature", "mean")), "feature").groupBy("feature").agg(
-            F.sum(F.col("cnt") * F.pow(F.col("value") - F.col("mean"), 2)).alias("_ss"))
-        base = (m.join(dev, "feature")
-                .select("feature", "count", "mean",
-                        F.sqrt(F.try_divide(F.col("_ss"), (F.col("count") - 1).cast("double"))).alias("std"),
-                        "min", "max"))
-        q = quantiles_from_counts(counts, [0.25, 0.5, 0.75])
+    if not approx and not stored:
+        df = materialize(df.select(*cols))
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
+                 F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+    base = _long(df.agg(*aggs), cols, ["count", "mean", "std", "min", "max"])
+    q = quantiles(df, cols, [0.25, 0.5, 0.75], approx=approx, stored=True)
     qw = q.groupBy("feature").agg(
         *[F.max(F.when(F.col("idx") == i, F.col("value"))).alias(n)
           for i, n in enumerate(["p25", "p50", "p75"])])
@@ -70,27 +56,25 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool = False) -> DataFr
         "feature", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
-def _corr(a: str, b: str) -> Column:
-    """Pearson r over the rows that have both; null where a column is constant there."""
-    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
-
-
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r of every column pair, long ``(col_a, col_b, r)``.
 
-    One pass: ``p(p-1)/2`` ``corr`` aggregates, each over the rows where
-    both columns are present, for any number of columns; the diagonal is 1
-    and the lower triangle mirrors the upper, so only the upper is computed.
+    One pass for any number of columns: the two regression slopes of each
+    pair, over the rows where both columns are present; their product is r
+    squared. null where a column is constant there. The diagonal is 1 and the
+    lower triangle mirrors the upper, so only the upper is computed.
     """
     pairs = list(combinations(cols, 2))
-    row = df.agg(*[_corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
-    items = [F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"{a}__{b}").alias("r"))
-             for a, b in pairs]
-    items += [F.struct(F.lit(b).alias("col_a"), F.lit(a).alias("col_b"), F.col(f"{a}__{b}").alias("r"))
-              for a, b in pairs]
-    items += [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("r"))
-              for c in cols]
+    row = df.agg(*[e.alias(f"{a}__{b}__{s}") for a, b in pairs
+                   for s, e in (("ab", F.regr_slope(F.col(a), F.col(b))), ("ba", F.regr_slope(F.col(b), F.col(a))))])
+
+    def r(a: str, b: str) -> Column:
+        ab, ba = F.col(f"{a}__{b}__ab"), F.col(f"{a}__{b}__ba")
+        return F.when(ab.isNotNull() & ba.isNotNull(), F.signum(ab) * F.sqrt(F.abs(ab * ba)))
+
+    items = [F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), r(a, b).alias("r"))
+             for a, b in pairs for x, y in ((a, b), (b, a))]
+    items += [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("r")) for c in cols]
     return row.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import hex8_unit, round6
-from tabspark.operators import encode, joins, split
-from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, TRAIN_SQL, U_SQL, ex, ex_once, is_train, train_rows
+from tabspark.operators import encode, joins, quantile, split
+from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, TRAIN_SQL, U_SQL, ex, ex_once, is_train
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views
 from tabspark.session import materialize
@@ -31,16 +31,28 @@ def _quantile_ctes(src: str, cols, probs, name: str = "qd") -> str:
     interpolation between the order statistics at ``(n-1)*p``, written
     from the definition (row numbers), not a built-in quantile."""
     n = len(probs)
-    return f"""{name}_long as ({_unpivot_sql(src, cols)}),
-{name}_r as (select feature, value, row_number() over (partition by feature order by value) - 1 as r,
-        count(*) over (partition by feature) as n from {name}_long where value is not null),
+    return f"""{name}_long as materialized ({_unpivot_sql(src, cols)}),
+{name}_r as materialized (select feature, value, row_number() over (partition by feature order by value) - 1 as r
+        from {name}_long where value is not null),
 {name}_p as (select unnest(range(0, {n})) as idx, unnest({_sql_list(probs)}) as prob),
-{name}_w as (select distinct feature, n, idx, prob, (n - 1) * prob as rn from {name}_r, {name}_p),
-{name} as (select w.feature, w.idx, w.prob,
-       case when floor(w.rn) = ceil(w.rn) then lo.value
-            else lo.value + (hi.value - lo.value) * (w.rn - floor(w.rn)) end as value
-  from {name}_w w join {name}_r lo on lo.feature = w.feature and lo.r = floor(w.rn)
-                  join {name}_r hi on hi.feature = w.feature and hi.r = ceil(w.rn))"""
+{name}_w as materialized (select feature, idx, prob, (n - 1) * prob as rn, floor((n - 1) * prob)::bigint as lo,
+        ceil((n - 1) * prob)::bigint as hi
+        from (select feature, count(*) as n from {name}_r group by feature), {name}_p),
+{name} as materialized (select w.feature, w.idx, w.prob,
+       case when lo = hi then max(case when r = lo then value end)
+            else max(case when r = lo then value end)
+                 + (max(case when r = hi then value end) - max(case when r = lo then value end)) * (rn - lo) end as value
+  from {name}_w w join {name}_r v on v.feature = w.feature and (v.r = lo or v.r = hi)
+  group by w.feature, w.idx, w.prob, rn, lo, hi)"""
+
+
+def bucket_bounds_ctes(buckets: dict[str, int], src: str = "tr") -> str:
+    """``tr`` (training rows of ``ex``) and ``b(feature, bounds)`` with a number of buckets for each column."""
+    sizes = sorted(set(buckets.values()))
+    parts = [_quantile_ctes(src, [c for c in buckets if buckets[c] == n], encode.probs_i_over_n(n), f"q{n}") for n in sizes]
+    both = " union all ".join(f"select * from q{n}" for n in sizes)
+    return ",\n".join([f"{src} as materialized ({TRAIN_SQL})", *parts,
+                       f"b as materialized (select feature, list(value order by idx) as bounds from ({both}) group by feature)"])
 
 
 def _bounds_ctes(src: str, cols, probs) -> str:
@@ -68,8 +80,9 @@ def quantile_bounds(spark, d):
 
 @query("quantile_bounds_approx", "D1")
 def quantile_bounds_approx(spark, d):
-    # The one-pass sketch opt-in for very large tables (rank error 1/10000).
-    return encode.quantiles(ex(spark, d), QCOLS, P7, approx=True)
+    # A sketch per part of the table, kept; a later part is added without reading the earlier ones again.
+    parts = materialize(quantile.sketches(ex(spark, d), QCOLS, F.pmod(F.xxhash64("id"), F.lit(8))))
+    return quantile.approximate(quantile.merge(parts), P7)
 
 
 @query("quantile_bounds_alt", "D2", with_views("ex", ctes=_quantile_ctes("ex", QCOLS, P10_ALT),
@@ -81,8 +94,8 @@ def quantile_bounds_alt(spark, d):
 @query("bucketize_quantile", "D3", with_views("ex", ctes=_bounds_ctes("ex", ["n_lines"], P7),
                                               body=f"select id, {_bucket_sql('n_lines')} as n_lines_bucket from ex"))
 def bucketize_quantile(spark, d):
-    e = ex(spark, d)
-    q = encode.quantiles(e, ["n_lines"], P7)
+    e = ex_once(spark, d, "id", "n_lines")
+    q = encode.quantiles(e, ["n_lines"], P7, stored=True)
     b = encode.bucketize(e, encode.boundaries_row(q, ["n_lines"]), ["n_lines"], suffix="_bucket", n_bounds=len(P7))
     return b
 
@@ -105,7 +118,8 @@ def _bucketize_all_sql() -> str:
 
 @query("bucketize_all", "D5", _bucketize_all_sql())
 def bucketize_all(spark, d):
-    b = encode.bucketize_by_quantiles(ex(spark, d), FEATURES, 10, fit_on=train_rows(spark, d))
+    e = ex_once(spark, d, "id", *FEATURES)
+    b = encode.bucketize_by_quantiles(e, FEATURES, 10, fit_on=e.where(is_train()), stored=True)
     return encode.unpivot(b, FEATURES, keep=["id"], value="bucket").withColumn(
         "bucket", F.col("bucket").cast("bigint"))
 
@@ -116,16 +130,13 @@ MIXED_BUCKETS = {c: 50 if c in ("gross", "acctbal") else 10 for c in FEATURES}
 
 def _bucketize_mixed_sql() -> str:
     rows = " union all ".join(f"select id, '{c}' as feature, {_bucket_sql(c)} as bucket from ex" for c in FEATURES)
-    parts = [_quantile_ctes("tr", [c for c in FEATURES if MIXED_BUCKETS[c] == n], encode.probs_i_over_n(n), f"q{n}")
-             for n in (10, 50)]
-    both = "b as (select feature, list(value order by idx) as bounds from (select * from q10 union all select * from q50) group by feature)"
-    return with_views("ex", ctes=",\n".join([f"tr as ({TRAIN_SQL})", *parts, both]), body=rows)
+    return with_views("ex", ctes=bucket_bounds_ctes(MIXED_BUCKETS), body=rows)
 
 
 @query("bucketize_mixed", "D5", _bucketize_mixed_sql())
 def bucketize_mixed(spark, d):
     e = ex_once(spark, d, "id", *FEATURES)
-    b = encode.bucketize_by_quantiles(e, FEATURES, MIXED_BUCKETS, fit_on=e.where(is_train()))
+    b = encode.bucketize_by_quantiles(e, FEATURES, MIXED_BUCKETS, fit_on=e.where(is_train()), stored=True)
     return encode.unpivot(b, FEATURES, keep=["id"], value="bucket").withColumn(
         "bucket", F.col("bucket").cast("bigint"))
 
@@ -288,8 +299,8 @@ def one_hot(spark, d):
 
 
 def _cross_buckets(spark, d):
-    e = ex(spark, d)
-    q = encode.quantiles(e, ["total_quantity", "gross"], P10)
+    e = ex_once(spark, d, "id", "total_quantity", "gross")
+    q = encode.quantiles(e, ["total_quantity", "gross"], P10, stored=True)
     return encode.bucketize(e, encode.boundaries_row(q, ["total_quantity", "gross"]),
                             ["total_quantity", "gross"], suffix="_b", n_bounds=len(P10))
 

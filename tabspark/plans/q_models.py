@@ -17,14 +17,14 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.operators import encode, evaluate, fit, neural, split, transform
+from tabspark.operators import encode, evaluate, fit, gram, neural, split, transform
 from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, U_SQL, ex
-from tabspark.plans.q_encode import vocab_and_reviews
+from tabspark.plans.q_encode import bucket_bounds_ctes, vocab_and_reviews
 from tabspark.plans.q_fit import normal_equation_ctes
 from tabspark.plans.registry import REGISTRY, query, sqlf
 from tabspark.plans.sql_views import with_views
-from tabspark.functions.columns import attach_row, round6
+from tabspark.functions.columns import attach_row, hex8_unit, round6, seeded_key
 from tabspark.session import materialize
 from tabspark.sources import views
 
@@ -79,12 +79,17 @@ def _cls_metrics(pred: DataFrame, label: str, model: str) -> DataFrame:
     return m.select(F.lit(model).alias("model"), "split", "metric", "value")
 
 
-def _crossed(spark, d, label: str) -> tuple[DataFrame, list[str]]:
-    """D5 buckets from training rows + D11 exact cross, one-hot encoded."""
+def _crossed_codes(spark, d, label: str) -> DataFrame:
+    """D5 buckets from training rows + D11 exact cross, as codes."""
     e = _split_ex(spark, d)
     b = encode.bucketize_by_quantiles(e, CROSS_COLS, BUCKETS, fit_on=e.where(F.col("split") == "train"),
-                                      keep=("id", label, "split"))
-    b = b.withColumn("cross", encode.cross_exact("total_quantity", "gross", BUCKETS["gross"]))
+                                      keep=("id", label, "split"), stored=True)
+    return b.withColumn("cross", encode.cross_exact("total_quantity", "gross", BUCKETS["gross"]))
+
+
+def _crossed(spark, d, label: str) -> tuple[DataFrame, list[str]]:
+    """The crossed codes, one-hot encoded."""
+    b = _crossed_codes(spark, d, label)
     sizes = BUCKETS | {"cross": BUCKETS["total_quantity"] * BUCKETS["gross"]}
     cats = list(sizes)
     b = b.select("id", label, "split", *[F.col(c).cast("double").alias(c) for c in cats])
@@ -141,13 +146,65 @@ def export_weights(spark, d):
     return w.withColumn("weight", F.round(F.col("weight") * 1e4) / 1e4)
 
 
-@query("linreg_crossed", "I3,D5,D10,D11")
+RIDGE = 0.01
+CROSSED = {**BUCKETS, "cross": BUCKETS["total_quantity"] * BUCKETS["gross"]}
+CG_STEPS = 250
+
+
+def _crossed_ctes() -> str:
+    """``codes(id, split, y, <codes>)``, ``oh(id, split, y, k)`` with a row per active one-hot column (0: the bias), and
+    ``gram(i, j, v)``, ``rhs(k, b)`` of the training rows."""
+    code = {c: f"cast(len(list_filter((select bounds from b where feature = '{c}'), lambda x: x <= {c})) as bigint)"
+            for c in CROSS_COLS}
+    first, at = {}, 1
+    for c, n in CROSSED.items():
+        first[c], at = at, at + n
+    active = ["0", *[f'{first[c]} + "{c}"' for c in CROSSED]]
+    return bucket_bounds_ctes(BUCKETS) + f""",
+buckets as (select id, net_k as y, case when {U_SQL} < {sqlf(TRAIN_FRAC)} then 'train' else 'valid' end as split,
+            {", ".join(f"{e} as {c}" for c, e in code.items())} from ex),
+codes as materialized (select *, total_quantity * {BUCKETS["gross"]} + gross as "cross" from buckets),
+oh as materialized (select id, split, y, unnest([{", ".join(active)}]) as k from codes),
+gram as materialized (select p.k as i, q.k as j, cast(count(*) as double) as v from oh p join oh q on p.id = q.id
+                      where p.split = 'train' group by all),
+rhs as materialized (select k, sum(y) as b from oh where split = 'train' group by k)"""
+
+
+@query("crossed_counts", "I3,D11", with_views("ex", ctes=_crossed_ctes(), body="""
+select split, count(*) as cells, sum(n)::bigint as pairs, max(n)::bigint as largest from (
+  select p.split, p.k, q.k, count(*) as n from oh p join oh q on p.id = q.id and p.k < q.k group by p.split, p.k, q.k)
+group by split"""))
+def crossed_counts(spark, d):
+    """How many pairs of codes occur together, and how often: the cells of the crossed fit's matrix."""
+    counts = gram.pair_counts(_crossed_codes(spark, d, "net_k"), CROSSED, "net_k", ["split"]).where("b <> ''")
+    return counts.groupBy("split").agg(F.count(F.lit(1)).alias("cells"), F.sum("n").alias("pairs"), F.max("n").alias("largest"))
+
+
+@query("linreg_crossed", "I3,D5,D10,D11", "with recursive " + with_views("ex", ctes=_crossed_ctes() + f""",
+a as materialized (select i, j, case when i = j and i > 0 then v + {sqlf(RIDGE)} * (select v from gram where i = 0 and j = 0)
+                                else v end as v from gram),
+cg(it, k, x, r, p) as (
+  select 0, k, 0.0::double, b, b from rhs
+  union all
+  select it + 1, k, x + alpha * p, r1, r1 + coalesce(sum(r1 * r1) over () / nullif(rr, 0), 0) * p from (
+    select it, k, x, p, rr, alpha, r - alpha * ap as r1 from (
+      select c.it, c.k, c.x, c.r, c.p, m.ap, sum(c.r * c.r) over () as rr,
+             coalesce(sum(c.r * c.r) over () / nullif(sum(c.p * m.ap) over (), 0), 0) as alpha
+      from cg c join (select a.i, sum(a.v * c2.p) as ap from a join cg c2 on a.j = c2.k group by a.i) m on m.i = c.k
+      where c.it < {CG_STEPS}))),
+w as materialized (select k, x from cg where it = {CG_STEPS}),
+r as (select split, sqrt(avg(power(e, 2))) as rmse, count(*) as n
+      from (select id, split, any_value(y) - sum(coalesce(w.x, 0)) as e from oh left join w using (k) group by id, split) group by split)""",
+                                                                       body="""
+select 'linear_crossed' as model, split, 'rmse' as metric, round(rmse * 1e6) / 1e6 as value from r
+union all select 'linear_crossed', split, 'n', cast(n as double) from r""").removeprefix("with "))
 def linreg_crossed(spark, d):
-    data, _ = _crossed(spark, d, "net_k")
-    # All one-hots plus a bias are collinear: a small ridge keeps l-bfgs well posed.
-    m = LinearRegression(featuresCol="features", labelCol="net_k", solver="l-bfgs", regParam=0.01,
-                         maxIter=100).fit(data.where(F.col("split") == "train"))
-    return _reg_metrics(m.transform(data), "net_k", "linear_crossed")
+    """Ridge on all one-hot buckets and a cross, solved from the counts of code pairs; errors from the same sums."""
+    own = gram.contingency(_crossed_codes(spark, d, "net_k"), CROSSED, "net_k", ["split"])
+    w = gram.ridge(own[("train",)], RIDGE)
+    rows = [("linear_crossed", s, metric, float(v)) for (s,), m in own.items() for metric, v in (("rmse", m.rmse(w)), ("n", m.n))]
+    return spark.createDataFrame(rows, "model string, split string, metric string, value double").withColumn(
+        "value", round6("value"))
 
 
 @query("relu_net_regress", "I9,I13")
@@ -192,18 +249,74 @@ def recipe_compare(spark, d):
     return out
 
 
-@query("grid_search", "I20")
+STRENGTHS = [0.0, 0.001, 0.01, 0.1, 1.0]
+FOLDS = 4
+ELASTIC = [(s, share) for s in (0.01, 0.1, 1.0) for share in (0.0, 0.5, 1.0)]
+
+
+def _fold_sql(seed: int = 7) -> str:
+    return f"cast(floor(cast(('0x' || substr(md5('{seed}-' || id), 1, 8)) as bigint) / 4294967296.0 * {FOLDS}) as bigint)"
+
+
+def _ridge_ctes() -> str:
+    """``sol(left_out, s, x0..xp)``: the fit of every strength on the training rows outside a fold (-1: on all)."""
+    xs = ["1.0", *SCALED, "y"]
+    n = len(SCALED) + 1
+    pairs = [(i, j) for i in range(n) for j in range(n + 1)]
+    ctes = [_NORMAL.split("m0 as materialized")[0].rstrip().rstrip(","),
+            f"f as materialized (select *, {_fold_sql()} as fold from sc)",
+            "lo as (select unnest(range(-1, " + str(FOLDS) + ")) as left_out)",
+            "st as (select unnest([" + ", ".join(sqlf(s) for s in STRENGTHS) + "]) as s)",
+            "g as materialized (select left_out, count(*) as n, " + ", ".join(f"sum({xs[i]} * {xs[j]}) as a{i}_{j}" for i, j in pairs)
+            + " from lo, f where split = 'train' and fold <> left_out group by left_out)",
+            "m0 as materialized (select left_out, s, " + ", ".join(
+                f"a{i}_{j}" + (" + s * n" if i == j and i else "") + f" as a{i}_{j}" for i, j in pairs) + " from g, st)"]
+    for k in range(n):
+        ctes.append(f"m{k + 1} as materialized (select left_out, s, " + ", ".join(
+            (f"a{i}_{j}" if i == k else f"a{i}_{j} - a{i}_{k} / a{k}_{k} * a{k}_{j}") + f" as a{i}_{j}" for i, j in pairs)
+            + f" from m{k})")
+    ctes.append("sol as materialized (select left_out, s, " + ", ".join(f"a{i}_{n} / a{i}_{i} as x{i}" for i in range(n))
+                + f" from m{n})")
+    return ",\n".join(ctes)
+
+
+_PREDICTED = "sol.x0 + " + " + ".join(f"sol.x{i + 1} * f.{c}" for i, c in enumerate(SCALED))
+
+
+def _fold_moments(spark, d) -> tuple[dict, gram.Moments]:
+    """Sums of the training rows by fold, and of the validation rows: one scan of the scaled table."""
+    data = _scaled(spark, d, "net_k").withColumn(
+        "fold", F.floor(hex8_unit(seeded_key(7, "id")) * FOLDS).cast("bigint"))
+    own = gram.moments(data, SCALED, "net_k", ["split", "fold"])
+    folds = {f: m for (s, f), m in own.items() if s == "train"}
+    return folds, gram.total([m for (s, _), m in own.items() if s == "valid"] or [gram.Moments.zero(len(SCALED))])
+
+
+@query("grid_search", "I20", with_views("ex", ctes=_ridge_ctes() + f""",
+cv as (select sol.s, sqrt(avg(power({_PREDICTED} - y, 2))) as rmse from f join sol on sol.left_out = f.fold
+       where split = 'train' group by sol.s),
+va as (select sol.s, sqrt(avg(power({_PREDICTED} - y, 2))) as rmse from f join sol on sol.left_out = -1
+       where split = 'valid' group by sol.s)""", body="""
+select cv.s as reg_param, round(cv.rmse * 1e6) / 1e6 as cv_rmse, round(va.rmse * 1e6) / 1e6 as rmse from cv join va on cv.s = va.s"""))
 def grid_search(spark, d):
-    data = _scaled(spark, d, "net_k")
-    train, valid = (data.where(F.col("split") == x).select("features", "net_k") for x in ("train", "valid"))
+    """Cross-validated and validation RMSE of every ridge strength, from the sums of each fold."""
+    folds, valid = _fold_moments(spark, d)
+    every = gram.total(folds.values())
+    rows = [(s, float(cv), valid.rmse(gram.ridge(every, s))) for s, cv in gram.ridge_path(folds, STRENGTHS)]
+    return spark.createDataFrame(rows, "reg_param double, cv_rmse double, rmse double").select(
+        "reg_param", round6("cv_rmse").alias("cv_rmse"), round6("rmse").alias("rmse"))
+
+
+@query("grid_search_elastic", "I20,I6")
+def grid_search_elastic(spark, d):
+    """The same sums, with an L1 share: sizes and validation RMSE by coordinate descent without further scans."""
+    folds, valid = _fold_moments(spark, d)
+    every = gram.total(folds.values())
     rows = []
-    for reg in (0.0, 0.1, 1.0):
-        for net in (0.0, 0.5):
-            m = LinearRegression(featuresCol="features", labelCol="net_k", solver="l-bfgs", maxIter=50, regParam=reg,
-                                 elasticNetParam=net).fit(train)
-            loss = evaluate.rmse(m.transform(valid), "prediction", "net_k").first()["rmse"]
-            rows.append((reg, net, float(loss)))
-    return spark.createDataFrame(rows, "reg_param double, elastic_net double, rmse double")
+    for s, share in ELASTIC:
+        w = gram.elastic_net(every, s, share)
+        rows.append((s, share, int((w[1:] != 0).sum()), valid.rmse(w)))
+    return spark.createDataFrame(rows, "reg_param double, elastic_net_param double, size long, rmse double")
 
 
 # ------------------------------------------------------------ classification
