@@ -25,6 +25,7 @@ Defined cases
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterable, Iterator, Sequence
@@ -40,11 +41,13 @@ from pyspark.sql import types as T
 from tabspark.llm.tasks import output_type
 from tabspark.llm.text import utf8
 
-#: Entries of a worker's table of encoded words, and the longest word kept there, in bytes.
-CACHE_WORDS, CACHE_BYTES = 600_000, 64
-#: New words that are encoded as one string.
+#: Distinct words that are encoded as one string.
 JOINED = 256
-_MARKS = b".,;:!?%&*#$|()"
+#: Marks that are tokens apart from a letter before them (none of a special token's).
+_MARKS = np.zeros(256, bool)
+_MARKS[list(b".,;:!?%&*#$()")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(65, 91), *range(97, 123)]] = True
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 _PLAIN = np.zeros(256, bool)  # bytes of characters that are surely no white space
@@ -57,9 +60,9 @@ def cuts(data: np.ndarray, offsets: np.ndarray, other_white: np.ndarray) -> np.n
     """Places where rows of UTF-8 may be cut so that the parts' token ids are the whole's; rows' ends are among them.
 
     The vocabulary's splitting pattern never crosses from other characters
-    into white space, so a cut may stand before a run of white space; and
-    after a line break that is a run by itself. ``other_white`` marks the
-    rows that hold white space beyond ASCII's.
+    into white space, so a cut may stand before a run of white space; after a
+    line break that is a run by itself; and between a letter and a mark.
+    ``other_white`` marks the rows that hold white space beyond ASCII's.
     """
     if not len(data):
         return np.unique(offsets)
@@ -67,7 +70,7 @@ def cuts(data: np.ndarray, offsets: np.ndarray, other_white: np.ndarray) -> np.n
     if (data >= 128).any():
         plain |= (data >= 128) & np.repeat(~other_white, np.diff(offsets))
     cut = np.zeros(len(data) + 1, bool)
-    cut[1:-1] = _WHITE[data[1:]] & plain[:-1]
+    cut[1:-1] = (_WHITE[data[1:]] & plain[:-1]) | (_MARKS[data[1:]] & _LETTER[data[:-1]])
     alone = np.flatnonzero((data[1:-1] == 10) & plain[:-2] & plain[2:]) + 2
     cut[alone] = True
     cut[offsets] = True
@@ -75,13 +78,13 @@ def cuts(data: np.ndarray, offsets: np.ndarray, other_white: np.ndarray) -> np.n
 
 
 class Encoder:
-    """Token ids of texts; the distinct words of a batch are encoded once and kept."""
+    """Token ids of texts; a batch's distinct words are encoded once."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the threads
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
         # In a byte-level vocabulary a token has one character for each of its bytes.
         vocabulary = self.tokenizer.get_vocab()
         self.n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -98,9 +101,7 @@ class Encoder:
         parts = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1,
                                                  [None, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(data)])
         coded = parts.dictionary_encode()
-        ids = self._known(coded.dictionary.to_pylist())
-        size = np.fromiter(map(len, ids), np.int64, len(ids)) >> 2
-        flat, begin = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(size) - size
+        flat, begin, size = self._words(coded.dictionary, not white.any())
         word = coded.indices.to_numpy()
         n = size[word]
         ends = np.cumsum(n)
@@ -112,45 +113,31 @@ class Encoder:
         ids, offsets = self.encode_column(pa.array(texts, pa.string()))
         return [ids[a:b].tobytes() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
 
-    def _known(self, words: list[bytes]) -> list[bytes]:
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = [w for w in words if w not in known]
-        if new:
-            # Marks after a letter are tokens of their own: words are known by what stands before.
-            tails = {w: s for w in new if len(s := w.rstrip(_MARKS)) < len(w) and s[-1:].isalpha()}
-            plain = set(new).difference(tails).union(tails.values(), [w[len(s):] for w, s in tails.items()])
-            plain = [w for w in plain if w not in known]
-            known.update(zip(plain, self._ids(plain), strict=True))
-            for w, s in tails.items():
-                known[w] = known[s] + known[w[len(s):]]
-        out = [known[w] for w in words]
-        for w in new:
-            if len(w) > CACHE_BYTES:
-                del known[w]
-        return out
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        """Words that begin with one space are encoded many at a time and told apart by their bytes."""
-        spaced, alone = [], []
-        for i, w in enumerate(words):
-            (spaced if w[:1] == b" " and len(w) > 1 and _PLAIN[w[1]] and _PLAIN[w[-1]] else alone).append(i)
-        out = [b""] * len(words)
-        for i, e in zip(alone, self._encoded([words[i] for i in alone]), strict=True):
-            out[i] = np.array(e.ids, "<u4").tobytes()
-        runs = [spaced[i:i + JOINED] for i in range(0, len(spaced), JOINED)]
-        for own, e in zip(runs, self._encoded([b"".join([words[i] for i in run]) for run in runs]), strict=True):
-            ids = np.array(e.ids, "<u4")
-            ends = np.cumsum([len(words[i]) for i in own])
-            cut = (4 * (np.searchsorted(np.cumsum(self.n_bytes[ids]), ends) + 1)).tolist()
-            whole = ids.tobytes()
-            for i, lo, hi in zip(own, [0, *cut], cut, strict=False):
-                out[i] = whole[lo:hi]
-        return out
-
-    def _encoded(self, texts: list[bytes]) -> list:
-        return self.tokenizer.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False) if texts else []
+    def _words(self, words: pa.Array, ascii_white: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, begin, size) of each word.
+
+        Words that begin with one space and end in no white space are encoded
+        many at a time and told apart by their bytes, the others one by one.
+        """
+        data, offsets = utf8(words)
+        first, last = data[offsets[:-1]], data[offsets[1:] - 1]
+        second = data[np.minimum(offsets[:-1] + 1, len(data) - 1)]
+        long = np.diff(offsets) > 1
+        solid = _PLAIN | (np.arange(256) >= 128) if ascii_white else _PLAIN
+        joined = (first == 32) & long & solid[second] & solid[last]
+        order = np.concatenate([np.flatnonzero(joined), np.flatnonzero(~joined)])
+        n = int(joined.sum())
+        raw, ends = utf8(words.take(pa.array(order)))
+        edge = np.unique(np.concatenate([np.arange(0, n, JOINED), np.arange(n, len(order) + 1)]))
+        whole = raw.tobytes()
+        texts = [whole[a:b].decode() for a, b in zip(ends[edge[:-1]].tolist(), ends[edge[1:]].tolist(), strict=True)]
+        ids = [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        flat = np.concatenate(ids)
+        # A word's tokens end where the bytes of the tokens so far reach the word's end.
+        size = np.diff(np.searchsorted(np.cumsum(self.n_bytes[flat]), ends[1:]) + 1, prepend=0)
+        begin, count = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        begin[order], count[order] = np.cumsum(size) - size, size
+        return flat, begin, count
 
 
 def encoder(path: str) -> Encoder:
