@@ -6,8 +6,9 @@ grid of width eps on the leading axes, and cut into blocks of consecutive
 vectors. Intervals of the sequence are joined recursively, level by level:
 a pair of intervals goes on to its parts' pairs only if the boxes around
 them (leading axes, and the norm of the rest) are at most eps apart. What
-is left are pairs of blocks, whose vectors are compared by one matrix
-product in double precision.
+is left are pairs of blocks; parts of them whose caps on the sphere are too far
+apart are skipped, the others' vectors are compared by matrix products in
+double precision.
 
 Equal vectors are one node with a weight, so a group of copies costs its
 distinct vectors only; a block pair returns a degree and a local
@@ -17,6 +18,7 @@ Defined cases
 * null or empty vectors, zero vectors, and those with null or non-finite components link with nothing.
 * vectors of different lengths don't link; a null id links with nothing and is not kept.
 * repeated rows count as vectors of their own; the component is the smallest id.
+* an id that repeats with other vectors: each row has its own vector's links and component.
 * an empty table gives an empty table; columns besides id and vector are dropped.
 """
 
@@ -38,6 +40,8 @@ from tabspark.llm.tasks import output_type, record_batch, stored
 
 #: Leading axes of the grid and the boxes; vectors in a block; how many parts an interval has (a power of two).
 AXES, BLOCK, PARTS_LOG2 = 8, 2048, 3
+#: Vectors in a part of a block.
+PART = 256
 #: Box distances come from turned coordinates; this much is allowed for their rounding.
 SLACK = 1e-6
 
@@ -116,11 +120,11 @@ def principal_axes(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
 def _turned(axes: dict[int, tuple[np.ndarray, np.ndarray]], eps: float, n_axes: int, schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            dims = batch.column(1).to_numpy()
+            dims = batch.column(2).to_numpy()
             for d in np.unique(dims):
                 own = batch.filter(pa.array(dims == d))
                 mean, basis = axes[int(d)]
-                y = (unit(np.frombuffer(b"".join(own.column(2).to_pylist())).reshape(-1, d)) - mean) @ basis
+                y = (unit(np.frombuffer(b"".join(own.column(3).to_pylist())).reshape(-1, d)) - mean) @ basis
                 lead = np.zeros((len(y), n_axes))
                 lead[:, :min(n_axes, d)] = y[:, :n_axes]
                 rest = np.sqrt((y[:, n_axes:] ** 2).sum(axis=1))
@@ -138,11 +142,12 @@ def _blocks(size: int, n_axes: int, schema: pa.Schema):
         task, seq, held, rows = TaskContext.get().partitionId(), 0, [], 0
 
         def cut(table: pa.Table) -> pa.RecordBatch:
-            box = np.stack([table.column(4 + n_axes + k).to_numpy() for k in range(n_axes + 1)], 1)
+            box = np.stack([table.column(5 + n_axes + k).to_numpy() for k in range(n_axes + 1)], 1)
             vec = b"".join(table.column("vec").to_pylist())
             return record_batch(schema, [task], [seq], [table.column("dim")[0].as_py()],
                                 *([x] for x in box.min(axis=0)), *([x] for x in box.max(axis=0)),
-                                [table.column("id").to_pylist()], [table.column("w").to_pylist()], [vec])
+                                [table.column("id").to_pylist()], [table.column("no").to_pylist()], [table.column("w").to_pylist()],
+                                [vec])
 
         def whole(last: bool) -> Iterator[pa.RecordBatch]:
             nonlocal seq, held, rows
@@ -173,39 +178,72 @@ def _blocks(size: int, n_axes: int, schema: pa.Schema):
     return run
 
 
+def caps(x: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(centre, widest angle to it) of each run of ``size`` unit vectors."""
+    edge = np.arange(0, len(x), size)
+    centre = np.add.reduceat(x, edge, axis=0)
+    norm = np.sqrt((centre * centre).sum(axis=1, keepdims=True))
+    centre = np.divide(centre, norm, out=np.zeros_like(centre), where=norm > 0)
+    own = np.repeat(np.arange(len(edge)), np.diff(np.append(edge, len(x))))
+    return centre, np.arccos(np.clip(np.minimum.reduceat((x * centre[own]).sum(axis=1), edge), -1, 1))
+
+
+def near_parts(a: np.ndarray, b: np.ndarray, cosine: float, size: int) -> np.ndarray:
+    """Which pairs of runs of a and b can hold vectors with that cosine: their caps on the sphere come close enough."""
+    (ca, ra), (cb, rb) = caps(a, size), caps(b, size)
+    angle = np.arccos(np.clip(ca @ cb.T, -1, 1))
+    return angle - ra[:, None] - rb[None, :] <= math.acos(max(-1.0, min(1.0, cosine))) + 10 * SLACK
+
+
+def links(a: np.ndarray, b: np.ndarray, cosine: float, size: int = PART) -> tuple[np.ndarray, np.ndarray]:
+    """(row of a, row of b) of all pairs of unit vectors with at least that cosine; distant parts are skipped."""
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    for i, near in enumerate(near_parts(a, b, cosine, size)):
+        cols = np.flatnonzero(np.repeat(near, size)[:len(b)])
+        if len(cols):
+            x, y = np.nonzero(a[i * size:(i + 1) * size] @ b[cols].T >= cosine)
+            out.append((x + i * size, cols[y]))
+    empty = np.zeros(0, np.int64)
+    return tuple(np.concatenate([o[k] for o in out]) if out else empty for k in (0, 1))
+
+
 def _compare(cosine: float, schema: pa.Schema):
     """For a pair of blocks: each linked vector's degree (weights count) and its component in the pair."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in range(batch.num_rows):
-                same, d, ia, wa, va, ib, wb, vb = (batch.column(k)[r] for k in range(8))
-                d = d.as_py()
-                ia, wa, ib, wb = (np.asarray(x.values.to_numpy(zero_copy_only=False)) for x in (ia, wa, ib, wb))
+                same, d, ia, na, wa, va, ib, nb, wb, vb = (batch.column(k)[r] for k in range(10))
+                same, d = same.as_py(), d.as_py()
+                ia, na, wa, ib, nb, wb = (np.asarray(x.values.to_numpy(zero_copy_only=False)) for x in (ia, na, wa, ib, nb, wb))
                 a = unit(np.frombuffer(va.as_py()).reshape(-1, d))
-                b = a if same.as_py() else unit(np.frombuffer(vb.as_py()).reshape(-1, d))
-                linked = a @ b.T >= cosine
-                if same.as_py():
-                    np.fill_diagonal(linked, False)
-                if not linked.any():
+                b = a if same else unit(np.frombuffer(vb.as_py()).reshape(-1, d))
+                i, j = links(a, b, cosine)
+                if same:
+                    i, j = i[i != j], j[i != j]
+                if not len(i):
                     continue
-                da = linked @ wb
-                db = wa @ linked
-                la, lb = ia.copy(), ib.copy()
-                big = np.iinfo(np.int64).max
-                while True:  # smallest id reachable inside the pair
-                    na = np.minimum(la, np.where(linked, lb[None, :], big).min(axis=1))
-                    nb = np.minimum(lb, np.where(linked, na[:, None], big).min(axis=0))
-                    if same.as_py():
-                        na = nb = np.minimum(na, nb)
-                    if (na == la).all() and (nb == lb).all():
+                if same:
+                    ids, nodes, weight = ia, na, wa
+                else:
+                    j = j + len(ia)
+                    i, j = np.concatenate([i, j]), np.concatenate([j, i])
+                    ids, nodes, weight = np.concatenate([ia, ib]), np.concatenate([na, nb]), np.concatenate([wa, wb])
+                degree = np.bincount(i, weight[j], len(ids)).astype(np.int64)
+                by = np.lexsort((nodes, ids))
+                label = np.empty(len(ids), np.int64)
+                label[by] = np.arange(len(ids))
+                while True:  # smallest vector reachable inside the pair
+                    new = label.copy()
+                    np.minimum.at(new, i, label[j])
+                    new = new[by[new]]  # and what that one has reached
+                    if (new == label).all():
                         break
-                    la, lb = na, nb
-                keep = da > 0
-                yield record_batch(schema, pa.array(ia[keep]), pa.array(da[keep]), pa.array(la[keep]))
-                keep = db > 0
-                if not same.as_py() and keep.any():
-                    yield record_batch(schema, pa.array(ib[keep]), pa.array(db[keep]), pa.array(lb[keep]))
+                    label = new
+                keep = degree > 0
+                top = by[label[keep]]
+                yield record_batch(schema, pa.array(ids[keep]), pa.array(nodes[keep]), pa.array(degree[keep]),
+                                   pa.array(ids[top]), pa.array(nodes[top]))
 
     return run
 
@@ -251,39 +289,43 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "
     own = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>"))
     rows = stored(own.mapInArrow(_read(output_type(row)), row))
     nodes = stored(rows.where(F.col("node").isNotNull()).groupBy("node", "dim", "vec")
-                   .agg(F.min("id").alias("id"), F.count("*").alias("w")))
+                   .agg(F.min("id").alias("id"), F.count("*").alias("w")).withColumn("no", F.monotonically_increasing_id()))
     axes = principal_axes(nodes)
     cells, ys = [f"c{k}" for k in range(n_axes)], [f"y{k}" for k in range(n_axes + 1)]
-    turned = T.StructType([T.StructField("id", T.LongType()), T.StructField("dim", T.IntegerType()),
+    turned = T.StructType([T.StructField("id", T.LongType()), T.StructField("no", T.LongType()), T.StructField("dim", T.IntegerType()),
                            T.StructField("vec", T.BinaryType()), T.StructField("w", T.LongType()),
                            *[T.StructField(c, T.LongType()) for c in cells],
                            *[T.StructField(y, T.DoubleType()) for y in ys]])
-    placed = nodes.select("id", "dim", "vec", "w").mapInArrow(_turned(axes, eps, n_axes, output_type(turned)), turned)
+    placed = nodes.select("id", "no", "dim", "vec", "w").mapInArrow(_turned(axes, eps, n_axes, output_type(turned)), turned)
     bounds = [f"{s}{k}" for s in ("lo", "hi") for k in range(n_axes + 1)]
     blocked = T.StructType([T.StructField("task", T.LongType()), T.StructField("seq", T.LongType()),
                             T.StructField("dim", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in bounds],
-                            T.StructField("ids", T.ArrayType(T.LongType())),
+                            T.StructField("ids", T.ArrayType(T.LongType())), T.StructField("nos", T.ArrayType(T.LongType())),
                             T.StructField("ws", T.ArrayType(T.LongType())), T.StructField("vecs", T.BinaryType())])
     n_tasks = max(1, math.ceil(nodes.count() / (8 * block)))
-    order = ["dim", *cells, "id"]
-    sequence = stored(placed.repartitionByRange(n_tasks, *order).sortWithinPartitions(*order)
+    order = ["dim", *cells, "id", "no"]
+    # Sorted ranges next to each other go to one task, so that blocks are full however many ranges there are.
+    sequence = stored(placed.repartitionByRange(n_tasks, *order).sortWithinPartitions(*order).coalesce(n_tasks)
                       .mapInArrow(_blocks(block, n_axes, output_type(blocked)), blocked))
     longest = sequence.agg(F.max("seq").alias("m")).first()["m"] or 0
     pos = F.shiftleft("task", int(longest).bit_length()) + F.col("seq")
     sequence = sequence.withColumn("pos", pos)
     pairs = block_pairs(sequence.select("pos", "dim", *bounds), eps, n_axes)
-    payload = {s: sequence.select(F.col("pos").alias(s), F.col("ids").alias(f"i{s}"), F.col("ws").alias(f"w{s}"),
-                                  F.col("vecs").alias(f"v{s}")) for s in "ab"}
+    payload = {s: sequence.select(F.col("pos").alias(s), F.col("ids").alias(f"i{s}"), F.col("nos").alias(f"n{s}"),
+                                  F.col("ws").alias(f"w{s}"), F.col("vecs").alias(f"v{s}")) for s in "ab"}
     # Each pair is a task's worth of work: they are dealt out before their blocks are fetched.
     todo = pairs.join(payload["a"], "a").join(payload["b"], "b").select(
-        (F.col("a") == F.col("b")).alias("same"), "dim", "ia", "wa", "va", "ib", "wb", "vb")
-    part = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "degree", "local")])
+        (F.col("a") == F.col("b")).alias("same"), "dim", "ia", "na", "wa", "va", "ib", "nb", "wb", "vb")
+    part = T.StructType([T.StructField(c, T.LongType()) for c in ("id", "no", "degree", "to_id", "to_no")])
     found = stored(todo.mapInArrow(_compare(cosine, output_type(part)), part))
-    degree = found.groupBy("id").agg(F.sum("degree").alias("degree"))
-    labels = components(found.select("id", "local"), "id", "local").withColumnRenamed("node", "id")
-    known = (nodes.select("node", "dim", "id", "w").join(degree, "id", "left").join(labels, "id", "left")
+    degree = found.groupBy("no").agg(F.sum("degree").alias("degree"))
+    # A vector's number in the graph has its smallest id in front, so a component's smallest one has its id.
+    point = {c: F.struct(F.col(i).alias("id"), F.col(n).alias("no")) for c, i, n in (("a", "id", "no"), ("b", "to_id", "to_no"))}
+    labels = components(found.select(point["a"].alias("a"), point["b"].alias("b"))).select(
+        F.col("node.no").alias("no"), F.col("component.id").alias("component_id"))
+    known = (nodes.select("node", "no", "id", "w").join(degree, "no", "left").join(labels, "no", "left")
              .select("node", (F.coalesce("degree", F.lit(0)) + F.col("w") - 1).alias("n_links"),
-                     F.coalesce("component", "id").alias("component_id")))
+                     F.coalesce("component_id", "id").alias("component_id")))
     out = rows.select("id", "node").join(known, "node", "left")
     component = F.coalesce("component_id", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),

@@ -44,6 +44,30 @@ def test_equals_brute_force(spark, block, axes):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+def test_an_id_with_several_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (2, [1.0, 0.1]), (3, [0.1, 1.0]), (1, [1.0, 0.0])]
+    got = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == sorted([(1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (1, 1, 1, True),
+                                                    (3, 1, 1, False)])
+    rows = [(5, [1.0, 0.0]), (7, [1.0, 0.1]), (7, [0.0, 1.0]), (6, [0.1, 1.0])]
+    got = near_vectors.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(tuple(r) for r in got) == [(5, 1, 5, True), (6, 1, 6, True), (7, 1, 5, False), (7, 1, 6, False)]
+
+
+def test_distant_parts_are_skipped():
+    rng = np.random.default_rng(7)
+    centres = rng.normal(size=(40, 16))
+    x = near_vectors.unit(np.repeat(centres, 32, axis=0) + rng.normal(size=(1280, 16)) * 0.1)
+    near = near_vectors.near_parts(x, x, 0.9, 32)
+    i, j = near_vectors.links(x, x, 0.9, 32)
+    want = np.nonzero(x @ x.T >= 0.9)
+    assert set(zip(i.tolist(), j.tolist(), strict=True)) == set(zip(want[0].tolist(), want[1].tolist(), strict=True))
+    assert near.mean() < 0.2 and near.diagonal().all()
+    i, j = near_vectors.links(x[:50], x[700:1250], 0.9, 32)  # parts of uneven sizes
+    want = np.nonzero(x[:50] @ x[700:1250].T >= 0.9)
+    assert sorted(zip(i, j, strict=True)) == sorted(zip(*want, strict=True))
+
+
 def test_null_id_and_empty_table(spark):
     df = spark.createDataFrame([(None, [1.0, 0.0]), (1, [1.0, 0.0])], "vec_id long, embedding array<double>")
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in near_vectors.near_vectors(df).collect()}
