@@ -7,16 +7,19 @@ anything that is grouped or ranked).
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import argmax, round6, sigmoid
-from tabspark.operators import evaluate, profile, split, transform
+from tabspark.operators import evaluate, profile, profile_state, quantile, split, transform
 from tabspark.plans.q_core import FEATURES, U_SQL, ex
 from tabspark.plans.q_encode import FIXED_PRED_SQL, _quantile_ctes, fixed_pred_k
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views
+from tabspark.session import materialize
 from tabspark.sources import views
 
 # The closed-form scores the metric checks use.
@@ -55,8 +58,8 @@ DIGIT_W = [[round(math.cos((j + 1) * (c + 1)), 3) for j in range(N_POS)] for c i
 def digit_scores(spark, d):
     """Class scores of a fixed linear model over all vector entries; predicted = arg-max."""
     dg = views.digits(spark, d)
-    s = F.array(*[F.aggregate(F.zip_with("v", F.lit(ws), lambda x, w: x.cast("double") * w), F.lit(0.0), lambda a, x: a + x)
-                  for ws in DIGIT_W])
+    parts = [F.get("v", F.lit(j)).cast("double") for j in range(N_POS)]
+    s = F.array(*[functools.reduce(operator.add, [x * F.lit(w) for x, w in zip(parts, ws, strict=True)]) for ws in DIGIT_W])
     return dg.select("id", F.col("label").cast("bigint").alias("label"), s.alias("scores")).withColumn(
         "predicted", argmax("scores"))
 
@@ -112,6 +115,26 @@ def corr_matrix(spark, d):
     return c.select("col_a", "col_b", round6("r").alias("r"))
 
 
+def _merged_state(spark, d):
+    """The profile state of eight parts of the examples, each computed apart, kept and merged."""
+    parts = profile_state.states(ex(spark, d), PROFILE_COLS, F.pmod(F.col("id"), F.lit(8)))
+    return profile_state.merge(materialize(parts))
+
+
+@query("describe_merged", "F1,F2", with_views("ex", body=" union all ".join(
+    f"select '{c}' as feature, count({c}) as count, round(avg({c}) * 1e6) / 1e6 as mean, round(stddev_samp({c}) * 1e6) / 1e6 as std,"
+    f" cast(min({c}) as double) as min, cast(max({c}) as double) as max, cast(max({c}) as double) - cast(min({c}) as double) as range"
+    f" from ex" for c in PROFILE_COLS)))
+def describe_merged(spark, d):
+    return profile_state.describe(_merged_state(spark, d)).select(
+        "feature", "count", round6("mean").alias("mean"), round6("std").alias("std"), "min", "max", "range")
+
+
+@query("corr_merged", "F3", _corr_sql())
+def corr_merged(spark, d):
+    return profile_state.corr(_merged_state(spark, d)).select("col_a", "col_b", round6("r").alias("r"))
+
+
 @query("histogram", "F4", with_views("skewed", ctes="""
 s as (select min(value) lo, max(value) hi, (max(value) - min(value)) / 10.0 as w from skewed),
 c as (select coalesce(cast(least(floor((value - s.lo) / nullif(s.w, 0)), 9) as bigint), 0) as bin, count(*) as n
@@ -232,11 +255,29 @@ def evaluate_binary(spark, d):
                             "prediction_mean", "log_loss"]])
 
 
-@query("calibration_bins", "F18", with_views("ex", ctes=SCORED_BIN, body=f"""
-select cast(len(list_filter([{', '.join(sqlf(b) for b in CALIB_BOUNDS)}], lambda x: x <= probability)) as bigint) as bin,
+DECILES = [i / 10 for i in range(1, 10)]
+
+
+@query("calibration_bins", "F18", with_views("ex", ctes=SCORED_BIN + """,
+sp as materialized (select probability from sb),
+""" + _quantile_ctes("sp", ["probability"], DECILES) + """,
+b as materialized (select list(value order by idx) as bounds from qd)""", body="""
+select cast(len(list_filter((select bounds from b), lambda x: x <= probability)) as bigint) as bin,
        count(*) as n, round(avg(probability) * 1e6) / 1e6 as mean_score, round(avg(label) * 1e6) / 1e6 as mean_label
 from sb group by 1"""))
 def calibration_bins(spark, d):
+    """Predicted against observed rate in each decile of the score."""
+    scored = materialize(scored_binary(spark, d))
+    bounds = quantile.quantiles(scored, {"probability": DECILES}, stored=True).orderBy("idx").collect()  # nine rows
+    c = evaluate.calibration_bins(scored, "probability", "label", [r["value"] for r in bounds])
+    return c.select("bin", "n", round6("mean_score").alias("mean_score"), round6("mean_label").alias("mean_label"))
+
+
+@query("calibration_fixed", "F18", with_views("ex", ctes=SCORED_BIN, body=f"""
+select cast(len(list_filter([{', '.join(sqlf(b) for b in CALIB_BOUNDS)}], lambda x: x <= probability)) as bigint) as bin,
+       count(*) as n, round(avg(probability) * 1e6) / 1e6 as mean_score, round(avg(label) * 1e6) / 1e6 as mean_label
+from sb group by 1"""))
+def calibration_fixed(spark, d):
     c = evaluate.calibration_bins(scored_binary(spark, d), "probability", "label", CALIB_BOUNDS)
     return c.select("bin", "n", round6("mean_score").alias("mean_score"), round6("mean_label").alias("mean_label"))
 

@@ -17,14 +17,14 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.operators import encode, evaluate, fit, gram, neural, split, transform
+from tabspark.operators import encode, evaluate, fit, gram, neural, one_vs_rest, split, transform
 from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, U_SQL, ex
 from tabspark.plans.q_encode import bucket_bounds_ctes, vocab_and_reviews
 from tabspark.plans.q_fit import normal_equation_ctes
 from tabspark.plans.registry import REGISTRY, query, sqlf
 from tabspark.plans.sql_views import with_views
-from tabspark.functions.columns import attach_row, hex8_unit, round6, seeded_key
+from tabspark.functions.columns import argmax, attach_row, hex8_unit, round6, seeded_key
 from tabspark.session import materialize
 from tabspark.sources import views
 
@@ -397,6 +397,18 @@ def softmax_linear(spark, d):
     return _multi_metrics(m.transform(data), "softmax_linear")
 
 
+@query("one_vs_rest", "I7,F10")
+def one_vs_rest_q(spark, d):
+    """Ten binary fits from the same scans: accuracy over all, and each class's share of found rows."""
+    dg = fit.fit_input(split.fraction_split(views.digits(spark, d), split.TRAIN_VALID).select(
+        "id", F.col("label").cast("bigint").alias("label"), "split", "v"))
+    m = one_vs_rest.fit(dg.where(F.col("split") == "train"), "v", "label", 10)
+    hit = dg.select("split", "label", (argmax(m.scores("v")) == F.col("label")).cast("double").alias("hit"))
+    per = hit.groupBy("split", F.concat(F.lit("accuracy_class_"), F.col("label")).alias("metric")).agg(F.avg("hit").alias("value"))
+    every = hit.groupBy("split").agg(F.avg("hit").alias("value")).select("split", F.lit("accuracy").alias("metric"), "value")
+    return every.unionByName(per).select(F.lit("one_vs_rest").alias("model"), "split", "metric", "value")
+
+
 @query("confusion_fitted", "I24,I7,F13,F14")
 def confusion_fitted(spark, d):
     """Held-out confusion shares of a fitted multinomial model."""
