@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tabspark.functions.columns import hex8_unit, round6
-from tabspark.operators import encode, joins, quantile, split
+from tabspark.operators import encode, frequent, joins, quantile, similarity, split
 from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, TRAIN_SQL, U_SQL, ex, ex_once, is_train
 from tabspark.plans.registry import query, sqlf
 from tabspark.plans.sql_views import with_views
 from tabspark.session import materialize
 from tabspark.sources import views
+from tabspark.sources.tables import read_table
 
 QCOLS = list(FEATURES)
 VOCAB_K = 54
@@ -183,6 +185,17 @@ def vocab_topk(spark, d):
     return vocab(spark, d)
 
 
+@query("vocab_topk_sketch", "D17,A4", with_views("doc_terms", ctes=VOCAB_CTES, body="select term, pos, df from vocab"))
+def vocab_topk_sketch(spark, d):
+    """The same vocabulary without a shuffle of all distinct terms: candidates by a sketch, exact counts of them, a proof."""
+    train = split.fraction_split(views.document_terms(spark, d), split.TRAIN_VALID).where(F.col("split") == "train")
+    terms = materialize(train.select(F.explode(F.array_distinct("terms")).alias("term")))
+    top, _ = frequent.top_counts(terms, "term", VOCAB_K)
+    by = Window.orderBy(F.desc("n"), "value")  # over k rows
+    return top.select(F.col("value").alias("term"), (F.row_number().over(by) - 1).cast("bigint").alias("pos"),
+                      F.col("n").alias("df"))
+
+
 @query("vocab_distinct", "A4,S1", with_views("doc_terms", body="select distinct unnest(terms) as term from doc_terms"))
 def vocab_distinct(spark, d):
     return encode.vocab_distinct(views.document_terms(spark, d))
@@ -259,6 +272,19 @@ def dot_topk(spark, d):
     return nn.select("term", "rank", "other", round6("dot").alias("dot"))
 
 
+@query("dot_topk_vectors", "D16", """
+with e as materialized (
+  select vec_id as id, row_number() over () as no, list_transform(embedding, lambda x: x::double) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x::double))) = 0),
+p as (select a.id, a.no, b.id as other, b.no as other_no, round(list_inner_product(a.v, b.v) * 1e6) / 1e6 as score
+      from e a join e b on a.no <> b.no and len(a.v) = len(b.v)),
+r as (select *, row_number() over (partition by no order by score desc, other, other_no) as rank from p)
+select id, rank, other, score from r where rank <= 5""")
+def dot_topk_vectors(spark, d):
+    """The five rows of largest inner product for every row of ``embeddings``."""
+    return similarity.top_products(read_table(spark, d, "embeddings"), "vec_id", "embedding", 5)
+
+
 # The reference's 54 informative review terms, in its order.
 INFORMATIVE_TERMS = (
     "bad", "great", "best", "worst", "fun", "beautiful",
