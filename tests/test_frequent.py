@@ -22,7 +22,7 @@ def got(df, k, **how):
 
 def test_heavy_values_are_proven(spark):
     values = [f"hot{i}" for i in range(6) for _ in range(400 + 10 * i)] + [f"rare{i}" for i in range(4000)] + [None] * 50
-    assert got(frame(spark, values), 5, tracked=64) == (want(values, 5), 64)
+    assert got(frame(spark, values), 5, tracked=256) == (want(values, 5), 256)
 
 
 def test_flat_counts_widen_and_end_in_a_full_count(spark):
