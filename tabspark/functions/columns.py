@@ -152,6 +152,23 @@ def dot(a: ColumnOrName, b: ColumnOrName) -> Column:
     return F.aggregate(prod, F.lit(0.0), lambda acc, v: acc + v)
 
 
+def linear_scores(v: str, weights: Sequence[Sequence[float]], bias: Sequence[float] | None = None) -> Column:
+    """``weights . v`` for each row of weights, as an array: a sum of products in generated code.
+
+    Given to Spark as one expression text: a column object per product would
+    take longer to build than the scores to compute. A position beyond the
+    vector's end makes the score null.
+    """
+    def text(x: float) -> str:
+        return f"double('{float(x)!r}')"
+
+    sums = []
+    for k, ws in enumerate(weights):
+        terms = ([text(bias[k])] if bias is not None else []) + [f"cast(get(`{v}`, {j}) as double) * {text(w)}" for j, w in enumerate(ws)]
+        sums.append(" + ".join(terms))
+    return F.expr(f"array({', '.join(sums)})")
+
+
 def vector_scale(v: ColumnOrName, divisor: float) -> Column:
     """Element-wise ``v / divisor``."""
     return F.transform(_c(v), lambda x: x.cast("double") / F.lit(float(divisor)))

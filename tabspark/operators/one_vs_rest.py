@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabspark.functions.columns import linear_scores
+
 #: Numbers that the driver holds at most (classes * columns**2).
 MAX_NUMBERS = 20_000_000
 
@@ -32,13 +34,7 @@ class OneVsRest:
 
     def scores(self, vector: str) -> Column:
         """Each class's logit, in generated code: one sum per class."""
-        out = []
-        for w in self.weights.tolist():
-            z = F.lit(w[-1])
-            for j, x in enumerate(w[:-1]):
-                z = z + F.get(F.col(vector), F.lit(j)).cast("double") * F.lit(x)
-            out.append(z)
-        return F.array(*out)
+        return linear_scores(vector, self.weights[:, :-1].tolist(), self.weights[:, -1].tolist())
 
 
 def _sums(weights: np.ndarray):

@@ -59,23 +59,24 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool = False, stored: b
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Pearson r of every column pair, long ``(col_a, col_b, r)``.
 
-    One pass for any number of columns: the two regression slopes of each
-    pair, over the rows where both columns are present; their product is r
-    squared. null where a column is constant there. The diagonal is 1 and the
-    lower triangle mirrors the upper, so only the upper is computed.
+    One pass: each row gives a cell per pair, and co-moments of the cells
+    where both values are present are summed before the shuffle of one row
+    per pair and task. null where a column is constant there. The diagonal is
+    1 and the lower triangle mirrors the upper, so only the upper is computed.
     """
     pairs = list(combinations(cols, 2))
-    row = df.agg(*[e.alias(f"{a}__{b}__{s}") for a, b in pairs
-                   for s, e in (("ab", F.regr_slope(F.col(a), F.col(b))), ("ba", F.regr_slope(F.col(b), F.col(a))))])
-
-    def r(a: str, b: str) -> Column:
-        ab, ba = F.col(f"{a}__{b}__ab"), F.col(f"{a}__{b}__ba")
-        return F.when(ab.isNotNull() & ba.isNotNull(), F.signum(ab) * F.sqrt(F.abs(ab * ba)))
-
-    items = [F.struct(F.lit(x).alias("col_a"), F.lit(y).alias("col_b"), r(a, b).alias("r"))
-             for a, b in pairs for x, y in ((a, b), (b, a))]
-    items += [F.struct(F.lit(c).alias("col_a"), F.lit(c).alias("col_b"), F.lit(1.0).alias("r")) for c in cols]
-    return row.select(F.explode(F.array(*items)).alias("_s")).select("_s.*")
+    if not pairs:
+        return df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, r double")
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                      for i, (a, b) in enumerate(pairs)])
+    sums = df.select(F.explode(cells).alias("_c")).groupBy(F.col("_c.i").alias("i")).agg(
+        F.regr_sxy("_c.y", "_c.x").alias("xy"), F.regr_sxx("_c.y", "_c.x").alias("xx"), F.regr_syy("_c.y", "_c.x").alias("yy"))
+    names = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in pairs])
+    half = sums.select(names[F.col("i")].alias("_n"), F.try_divide("xy", F.sqrt(F.col("xx") * F.col("yy"))).alias("r"))
+    both = F.explode(F.array(F.struct(F.col("_n")[0].alias("col_a"), F.col("_n")[1].alias("col_b"), "r"),
+                             F.struct(F.col("_n")[1].alias("col_a"), F.col("_n")[0].alias("col_b"), "r")))
+    ones = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_a string, col_b string, r double")
+    return half.select(both.alias("_s")).select("_s.*").unionByName(ones)
 
 
 def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:

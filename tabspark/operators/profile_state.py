@@ -21,21 +21,20 @@ _SUMS = ("n", "mean_a", "mean_b", "m2_a", "m2_b", "c_ab")
 
 
 def states(df: DataFrame, cols: Sequence[str], part: str | Column) -> DataFrame:
-    """``(part, col_a, col_b, n, mean_a, mean_b, m2_a, m2_b, c_ab, min_a, max_a)`` for each part and pair of columns, one pass."""
-    own = df.select((F.col(part) if isinstance(part, str) else part).cast("string").alias("_part"),
-                    *[F.col(c).cast("double").alias(f"_x{i}") for i, c in enumerate(cols)])
-    pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    aggs = []
-    for i, j in pairs:
-        a, b = F.col(f"_x{i}"), F.col(f"_x{j}")
-        values = (F.regr_count(b, a), F.regr_avgx(b, a), F.regr_avgy(b, a), F.regr_sxx(b, a), F.regr_syy(b, a), F.regr_sxy(b, a))
-        aggs += [v.alias(f"{name}_{i}_{j}") for name, v in zip(_SUMS, values, strict=True)]
-    aggs += [e.alias(f"{name}_{i}") for i in range(len(cols)) for name, e in (("lo", F.min(f"_x{i}")), ("hi", F.max(f"_x{i}")))]
-    wide = own.groupBy(F.col("_part").alias("part")).agg(*aggs)
-    items = [F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"),
-                      *[F.col(f"{name}_{i}_{j}").alias(name) for name in _SUMS],
-                      F.col(f"lo_{i}").alias("min_a"), F.col(f"hi_{i}").alias("max_a")) for i, j in pairs]
-    return wide.select("part", F.explode(F.array(*items)).alias("_s")).select("part", "_s.*")
+    """``(part, col_a, col_b, n, mean_a, mean_b, m2_a, m2_b, c_ab, min_a, max_a)`` for each part and pair of columns, one pass.
+
+    Each row gives a cell per pair; the sums are partly made before the shuffle of one row per part, pair and task.
+    """
+    pairs = list(combinations_with_replacement(cols, 2))
+    cells = F.array(*[F.struct(F.lit(i).alias("i"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+                      for i, (a, b) in enumerate(pairs)])
+    own = df.select((F.col(part) if isinstance(part, str) else part).cast("string").alias("part"), F.explode(cells).alias("_c"))
+    x, y = F.col("_c.x"), F.col("_c.y")
+    values = (F.regr_count(y, x), F.regr_avgx(y, x), F.regr_avgy(y, x), F.regr_sxx(y, x), F.regr_syy(y, x), F.regr_sxy(y, x))
+    sums = own.groupBy("part", F.col("_c.i").alias("i")).agg(*[v.alias(n) for n, v in zip(_SUMS, values, strict=True)],
+                                                             F.min(x).alias("min_a"), F.max(x).alias("max_a"))
+    names = F.array(*[F.array(F.lit(a), F.lit(b)) for a, b in pairs])
+    return sums.select("part", names[F.col("i")][0].alias("col_a"), names[F.col("i")][1].alias("col_b"), *_SUMS, "min_a", "max_a")
 
 
 def merge(parts: DataFrame, by: Sequence[str] = ()) -> DataFrame:

@@ -7,13 +7,11 @@ anything that is grouped or ranked).
 
 from __future__ import annotations
 
-import functools
 import math
-import operator
 
 from pyspark.sql import functions as F
 
-from tabspark.functions.columns import argmax, round6, sigmoid
+from tabspark.functions.columns import argmax, linear_scores, round6, sigmoid
 from tabspark.operators import evaluate, profile, profile_state, quantile, split, transform
 from tabspark.plans.q_core import FEATURES, U_SQL, ex
 from tabspark.plans.q_encode import FIXED_PRED_SQL, _quantile_ctes, fixed_pred_k
@@ -58,8 +56,7 @@ DIGIT_W = [[round(math.cos((j + 1) * (c + 1)), 3) for j in range(N_POS)] for c i
 def digit_scores(spark, d):
     """Class scores of a fixed linear model over all vector entries; predicted = arg-max."""
     dg = views.digits(spark, d)
-    parts = [F.get("v", F.lit(j)).cast("double") for j in range(N_POS)]
-    s = F.array(*[functools.reduce(operator.add, [x * F.lit(w) for x, w in zip(parts, ws, strict=True)]) for ws in DIGIT_W])
+    s = linear_scores("v", DIGIT_W)
     return dg.select("id", F.col("label").cast("bigint").alias("label"), s.alias("scores")).withColumn(
         "predicted", argmax("scores"))
 
