@@ -22,10 +22,10 @@ is taken in slices that fit. Document counts and the SVD cover all
 documents.
 
 Defined cases
-* null text and text without words: never leaked. Items without words, or with fewer than
-  ``min_words``, are never matched.
+* null text and text without words: never leaked. Items without words are never matched; those with fewer than
+  ``min_words`` words are found where all their words stand one after the other.
 * ties between items: the one with the most words in common, then the smallest id.
-* an item that repeats counts once per row; repeated documents each get a row.
+* an item that repeats counts once per row; documents with null or repeated ids are judged row by row.
 * an empty documents table gives no rows; an empty benchmark leaks nothing.
 * columns besides id and text are dropped.
 """
@@ -33,7 +33,7 @@ Defined cases
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +63,7 @@ class Items:
     words: list[np.ndarray]
     answer: list[int]  # the index of the first word of the last sentence
     vocabulary: np.ndarray  # sorted
+    short: list[np.ndarray] = field(default_factory=list)  # items of few words; their ids follow the others'
 
     def __post_init__(self):
         # The top 16 bits of a hash lead to its place among the sorted ones.
@@ -93,12 +94,14 @@ class Items:
 
 
 def items_of(rows: list[tuple], min_words: int) -> Items:
-    """Items from (id, text) rows; those with fewer than ``min_words`` words are left out."""
-    ids, words, answer = [], [], []
+    """Items from (id, text) rows; those with fewer than ``min_words`` words are matched as they stand, empty ones are left out."""
+    ids, words, answer, short = [], [], [], []
     whole = Words(pa.array([t for _, t in rows], pa.string()))
     for i, (key, text) in enumerate(rows):
         a, b = int(whole.first[i]), int(whole.first[i + 1])
         if b - a < max(1, min_words):
+            if b > a:
+                short.append((key, whole.hash[a:b].copy()))
             continue
         raw = bytes(whole.data[whole.offsets[i]:whole.offsets[i + 1]])
         body = raw.rstrip(b" .!?\n\t\r\"')")
@@ -108,7 +111,7 @@ def items_of(rows: list[tuple], min_words: int) -> Items:
         words.append(whole.hash[a:b].copy())
         answer.append(min(first, b - a - 1))
     vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(0, np.uint64)
-    return Items(ids, words, answer, vocabulary)
+    return Items(ids + [k for k, _ in short], words, answer, vocabulary, [w for _, w in short])
 
 
 def steps(n_words: np.ndarray, step: int) -> tuple[np.ndarray, np.ndarray]:
@@ -427,6 +430,22 @@ def judge_batch(column: pa.Array, items: Items, space: Space, weight: np.ndarray
     return out
 
 
+def short_hits(column: pa.Array, items: Items) -> list[tuple[int, int, int]]:
+    """(row, item, first word) of the first place where a row has all words of a short item, one after the other."""
+    if not items.short:
+        return []
+    words, out = Words(column), []
+    last = words.first[1:][words.row]
+    at = np.arange(len(words.hash))
+    for i, told in enumerate(items.short, len(items.words)):
+        some = at[at + len(told) <= last]
+        for k, w in enumerate(told):
+            some = some[words.hash[some + k] == w]
+        rows, nth = np.unique(words.row[some], return_index=True)
+        out += [(int(r), i, int(p - words.first[r])) for r, p in zip(rows, some[nth], strict=True)]
+    return out
+
+
 def common_words(counts: dict[int, int], here: list[int]) -> int:
     left, common = dict(counts), 0
     for x in here:
@@ -471,9 +490,25 @@ class Rule:
     paraphrase: float = 0.6
     answer: float = 0.6
 
-    def judge(self, column: pa.Array, items: Items, space: Space) -> dict[int, list[tuple[float, float, int, int]]]:
-        weight = (space.idf[:, None] * space.basis).astype(np.float32)
-        return judge_batch(column, items, space, weight, self.min_cosine, self.paraphrase, self.copy, self.answer)
+    def judge(self, column: pa.Array, items: Items, space: Space | None) -> dict[int, list[tuple[float, float, int, int]]]:
+        out: dict[int, list[tuple[float, float, int, int]]] = {}
+        if space is not None:
+            weight = (space.idf[:, None] * space.basis).astype(np.float32)
+            out = judge_batch(column, items, space, weight, self.min_cosine, self.paraphrase, self.copy, self.answer)
+        for r, item, at in short_hits(column, items):
+            out.setdefault(r, []).append((1.0, 1.0, item, at))
+        return out
+
+    def kind(self, share: float) -> str:
+        return "copy" if share >= self.copy else "paraphrase"
+
+
+def spaces(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str,
+           rule: Rule) -> Iterator[tuple[Items, Space | None]]:
+    """The benchmark in slices, each with its latent space over all documents (None where all its items are short)."""
+    for items in item_slices(benchmark, item_col, item_text_col, rule.min_words):
+        if items.ids:
+            yield items, latent_space(docs, items, text_col, min(rule.paraphrase, rule.copy)) if items.words else None
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -486,14 +521,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     arrow = output_type(schema)
     own = docs.select(F.col(id_col), F.col(text_col).cast("string"))
     out = own.limit(0).mapInArrow(lambda batches: iter(()), schema)
-    for items in item_slices(benchmark, item_col, item_text_col, rule.min_words):
-        if not items.words:
-            continue
-        space = latent_space(docs, items, text_col, min(rule.paraphrase, rule.copy))
+    for items, space in spaces(docs, benchmark, text_col, item_col, item_text_col, rule):
 
-        def run(batches: Iterable[pa.RecordBatch], items: Items = items, space: Space = space) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterable[pa.RecordBatch], items: Items = items, space: Space | None = space) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                rows = [(r, items.ids[i], share, told, at, "copy" if share >= rule.copy else "paraphrase")
+                rows = [(r, items.ids[i], share, told, at, rule.kind(share))
                         for r, found in sorted(rule.judge(batch.column(1), items, space).items())
                         for share, told, i, at in found]
                 if rows:
@@ -507,13 +539,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 def remove_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item; decided where a row lies, without a join."""
-    out = docs
-    for items in item_slices(benchmark, item_col, item_text_col, rule.min_words):
-        if not items.words:
-            continue
-        space, at = latent_space(docs, items, text_col, min(rule.paraphrase, rule.copy)), docs.columns.index(text_col)
+    out, at = docs, docs.columns.index(text_col)
+    for items, space in spaces(docs, benchmark, text_col, item_col, item_text_col, rule):
 
-        def run(batches: Iterable[pa.RecordBatch], items: Items = items, space: Space = space,
+        def run(batches: Iterable[pa.RecordBatch], items: Items = items, space: Space | None = space,
                 at: int = at) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 keep = np.ones(batch.num_rows, bool)
@@ -522,3 +551,36 @@ def remove_leaked(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
         out = out.mapInArrow(run, docs.schema)
     return out
+
+
+def judged(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+           item_col: str = "item_id", item_text_col: str = "text", rule: Rule = Rule()) -> DataFrame:
+    """One row per row of ``docs``, decided where it lies: ``id_col, leaked, item_id, coverage, kind, n_items``.
+
+    ``item_id`` is the item with the largest coverage, of equal ones the
+    smallest id; ``n_items`` counts different items.
+    """
+    result = T.StructType([T.StructField("leaked", T.BooleanType()), T.StructField("item_id", benchmark.schema[item_col].dataType),
+                           T.StructField("coverage", T.DoubleType()), T.StructField("kind", T.StringType()),
+                           T.StructField("n_items", T.LongType())])
+    schema = T.StructType([T.StructField(id_col, docs.schema[id_col].dataType), T.StructField("_text", T.StringType()), *result])
+    arrow = output_type(schema)
+    out = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("_text"),
+                      *[F.lit({"leaked": False, "n_items": 0}.get(f.name)).cast(f.dataType).alias(f.name) for f in result])
+    for items, space in spaces(docs, benchmark, text_col, item_col, item_text_col, rule):
+
+        def run(batches: Iterable[pa.RecordBatch], items: Items = items, space: Space | None = space) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                cols = [c.to_pylist() for c in batch.columns[2:]]
+                for r, found in rule.judge(batch.column(1), items, space).items():
+                    best = min((-share, items.ids[i] is None, items.ids[i] or 0) for share, _, i, _ in found)
+                    old = (-(cols[2][r] or 0.0), cols[1][r] is None, cols[1][r] or 0)
+                    cols[0][r] = True
+                    cols[4][r] += len({items.ids[i] for _, _, i, _ in found})  # slices have different items
+                    if best < old:
+                        cols[1][r] = None if best[1] else best[2]
+                        cols[2][r], cols[3][r] = -best[0], rule.kind(-best[0])
+                yield record_batch(arrow, batch.column(0), batch.column(1), *cols)
+
+        out = out.mapInArrow(run, schema)
+    return out.drop("_text")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tabspark.llm import decontaminate
 from tabspark.llm.tasks import bounded_batches
@@ -14,13 +13,7 @@ def op7_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     bounded_batches(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate.leaks(docs, benchmark)
-    best = F.max(F.struct("coverage", (-F.col("item_id")).alias("i"), "kind"))
-    per_doc = found.groupBy("doc_id").agg(best.alias("b"), F.countDistinct("item_id").alias("n_items"))
-    return docs.select("doc_id").join(per_doc, "doc_id", "left").select(
-        "doc_id", F.col("b").isNotNull().alias("leaked"), (-F.col("b.i")).alias("item_id"),
-        F.col("b.coverage").alias("coverage"), F.col("b.kind").alias("kind"),
-        F.coalesce("n_items", F.lit(0).cast("long")).alias("n_items"))
+    return decontaminate.judged(docs, benchmark)
 
 
 QUERIES = {"op7_latent_decontamination": op7_latent_decontamination}

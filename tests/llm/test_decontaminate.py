@@ -4,7 +4,9 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from corpora import WORDS
+from fixture_paths import SF_SMALL
 from tabspark.llm import decontaminate as D
+from tabspark.llm.q_decontaminate import op7_latent_decontamination
 
 VOCABULARY = [a + b for a in WORDS for b in WORDS]
 
@@ -84,6 +86,35 @@ def test_answer_check(spark, make_docs):
     assert got == {1: "paraphrase"}
 
 
+def test_rows_are_judged_where_they_lie(spark, make_docs):
+    rng = random.Random(11)
+    items = [prose(rng, 30) for _ in range(8)] + ["short unlikely phrase", "..."]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    clean = [prose(rng, 60) for _ in range(40)]
+    rows = [(None, items[2]), (None, clean[0]), (5, items[3]), (5, clean[1]), (7, None),
+            (8, f"{clean[2]} Short, unlikely phrase! {clean[3]} {items[4]}"), (9, "short unlikely"), (10, "unlikely phrase short unlikely")]
+    rows += [(20 + i, t) for i, t in enumerate(clean)]
+    got = D.judged(make_docs(rows, extra=True), bench)
+    assert got.columns == ["doc_id", "leaked", "item_id", "coverage", "kind", "n_items"]
+    found = sorted([tuple(r) for r in got.collect() if r.leaked], key=repr)
+    assert found == sorted([(None, True, 2, 1.0, "copy", 1), (5, True, 3, 1.0, "copy", 1), (8, True, 4, 1.0, "copy", 2)], key=repr)
+    assert got.count() == len(rows)
+    kept = D.remove_leaked(make_docs(rows), bench)
+    assert kept.count() == len(rows) - 3 and kept.where("doc_id = 5").count() == 1
+    only = bench.where("item_id >= 8")  # short items alone need no space
+    assert [r.doc_id for r in D.judged(make_docs(rows), only).where("leaked").collect()] == [8]
+
+
+def test_query_function(spark):
+    got = op7_latent_decontamination(spark, SF_SMALL)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    bench = spark.read.parquet(f"{SF_SMALL}/benchmark.parquet")
+    pairs = {(r.doc_id, r.item_id) for r in D.leaks(docs, bench).collect()}
+    rows = got.collect()
+    assert len(rows) == docs.count() and {r.doc_id for r in rows if r.leaked} == {d for d, _ in pairs}
+    assert all((r.doc_id, r.item_id) in pairs for r in rows if r.leaked) and all(r.item_id is None for r in rows if not r.leaked)
+
+
 def test_empty_tables(spark, make_docs):
     bench, rows, _ = setting(spark)
     assert D.leaks(make_docs([]), bench).count() == 0 and D.remove_leaked(make_docs([]), bench).count() == 0
