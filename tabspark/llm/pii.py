@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
@@ -108,12 +109,17 @@ def free_mentions(text: str, base: list[tuple[str, int, int]]) -> list[tuple[int
         out += [m.span() for m in _SPELLED.finditer(text)]
     if not out:
         return []
-    taken = sorted((s, e) for _, s, e in base)
-    free, last = [], 0
+    taken: list[tuple[int, int]] = []  # base spans, merged where they overlap
+    for s, e in sorted((s, e) for _, s, e in base):
+        if taken and s < taken[-1][1]:
+            taken[-1] = taken[-1][0], max(e, taken[-1][1])
+        else:
+            taken.append((s, e))
+    free, at = [], 0
     for s, e in sorted(out):
-        while last < len(taken) and taken[last][1] <= s:
-            last += 1
-        if not any(a < e and s < b for a, b in taken[max(0, last - 4):last + 4]) and (not free or s >= free[-1][1]):
+        while at < len(taken) and taken[at][1] <= s:
+            at += 1
+        if (at == len(taken) or taken[at][0] >= e) and (not free or s >= free[-1][1]):
             free.append((s, e))
     return free
 
@@ -233,8 +239,11 @@ class Field:
 
 
 def fit(examples: list[tuple[list[int], int, int, int, int]], steps: int = 200, rate: float = 0.5,
-        ridge: float = 1e-3) -> Field:
-    """Pseudo-likelihood fit: each example is (columns, label, label before, label after, agreeing or not: -1 none)."""
+        ridge: float = 1e-3, times: list[int] | None = None) -> Field:
+    """Pseudo-likelihood fit: each example is (columns, label, label before, label after, agreeing or not: -1 none).
+
+    ``times``: how often each example stands for itself (once by default).
+    """
     out = Field()
     # Prior: without evidence a mention is nothing.
     out.node[columns(["bias"])[0], 0] = 2.0
@@ -248,7 +257,9 @@ def fit(examples: list[tuple[list[int], int, int, int, int]], steps: int = 200,
     linked = np.array([e[4] for e in examples])
     node = np.concatenate([out.node, np.zeros((1, k))])
     start = node.copy()
-    chain, skip, n = np.zeros((k + 1, k + 1)), out.skip, len(y)
+    chain, skip = np.zeros((k + 1, k + 1)), out.skip
+    share = np.ones(len(y)) if times is None else np.array(times, float)
+    share = (share / share.sum())[:, None]
     goal = np.eye(k)[y]
     for _ in range(steps):
         z = node[x].sum(axis=1) + chain[before, :k] + chain[:k, after].T
@@ -257,7 +268,7 @@ def fit(examples: list[tuple[list[int], int, int, int, int]], steps: int = 200,
         z -= z.max(axis=1, keepdims=True)
         p = np.exp(z)
         p /= p.sum(axis=1, keepdims=True)
-        g = (goal - p) / n
+        g = (goal - p) * share
         grad = np.zeros_like(node)
         np.add.at(grad, x.ravel(), np.repeat(g, width, axis=0))
         grad[N_COLUMNS] = 0
@@ -291,31 +302,39 @@ def _examples(schema: pa.Schema):
                 nodes = sorted([(s, e, LABELS.index(k)) for k, s, e in base] + [(s, e, 0) for s, e in free])
                 kinds: dict[str, set[int]] = {}
                 names = [identity(text[s:e]) for s, e, _ in nodes]
+                times = Counter(names)
                 for name, (_, _, k) in zip(names, nodes, strict=True):
                     kinds.setdefault(name, set()).add(k)
                 for i, (s, e, k) in enumerate(nodes):
                     if k == 0 and len(kinds[names[i]]) > 1:
                         continue
-                    twin = names[:i].count(names[i]) + names[i + 1:].count(names[i]) if len(nodes) < 200 else 0
                     rows.append((columns(node_features(text, s, e)), k, nodes[i - 1][2] if i else none,
-                                 nodes[i + 1][2] if i + 1 < len(nodes) else none, k if twin else -1))
+                                 nodes[i + 1][2] if i + 1 < len(nodes) else none, k if times[names[i]] > 1 else -1))
             if rows:
                 yield record_batch(schema, *map(list, zip(*rows, strict=True)))
 
     return run
 
 
-def train(docs: DataFrame, text_col: str = "text", max_train: int = 2000, max_examples: int = 20_000) -> Field:
-    """Fit the field on mentions of about ``max_train`` documents (taken by a hash of the text)."""
+def train(docs: DataFrame, text_col: str = "text", max_train: int = 2000) -> Field:
+    """Fit the field on the mentions of about ``max_train`` different texts, taken by a hash of the text.
+
+    Equal texts count once, so a text that is copied often is one of them;
+    the same texts are taken whatever task is run again. An example that
+    repeats (same features and neighbours) counts by its number.
+    """
     text = F.col(text_col).cast("string")
     own = docs.select(text.alias("text")).where(F.rlike("text", F.lit("[0-9@]")))
-    n = own.count()
-    if n > max_train:
-        own = own.where(F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < int(max_train / n * (1 << 30)))
-    rows = own.mapInArrow(_examples(output_type(_EXAMPLE)), _EXAMPLE).limit(max_examples).collect()
-    examples = sorted((list(r["x"]), r["y"], r["before"], r["after"], r["linked"]) for r in rows)
-    return fit(examples)
-
+    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30))
+    # The smallest share of all hashes, among the powers of two, that has enough different texts.
+    counts = own.agg(*[F.approx_count_distinct(F.when(draw < (1 << 30 - k), F.xxhash64("text"))).alias(f"n{k}") for k in range(31)]).first()
+    k = max((k for k in range(31) if counts[f"n{k}"] >= max_train), default=0)
+    own = own.where(draw < (1 << 30 - k)).distinct()
+    # Different examples only: what a text repeats, or many texts have alike, is a number.
+    rows = (own.mapInArrow(_examples(output_type(_EXAMPLE)), _EXAMPLE).groupBy(*_EXAMPLE.fieldNames())
+            .agg(F.count(F.lit(1)).alias("times")).collect())
+    examples = sorted((list(r["x"]), r["y"], r["before"], r["after"], r["linked"], r["times"]) for r in rows)
+    return fit([e[:5] for e in examples], times=[e[5] for e in examples])
 
 
 def _joined(spans: list[tuple[str, int, int]]) -> str:

@@ -95,3 +95,29 @@ def test_empty_table(make_docs):
 
 def test_overlapping_spans_are_redacted_once():
     assert pii.redact_text("ab1234cd", [("ip", 2, 5), ("card", 3, 6)]) == "ab[IP]cd"
+
+
+def test_query_columns_follow_the_base_rules(spark):
+    import hashlib
+
+    from fixture_paths import SF_SMALL
+
+    from tabspark.llm.q_pii import op5_skip_chain
+
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").collect()}
+    got = op5_skip_chain(spark, SF_SMALL).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        base = pii.base_spans(texts[r.doc_id])
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == kind for k, _, _ in base) for kind in ("email", "ip", "card", "phone")]
+        joined = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert set(joined.split(",")) <= set(r.spans.split(",")) and len([x for x in r.spans.split(",") if x]) == len(base) + r.n_added
+
+
+def test_training_is_the_same_however_rows_are_dealt(spark):
+    texts = [f"call +1 555 010 {i:04} or mail a{i}@example.org, a{i} at example dot org" for i in range(60)]
+    texts += [texts[0]] * 500  # copies count once
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    a, b = pii.train(df.repartition(1), max_train=20), pii.train(df.repartition(7), max_train=20)
+    assert (a.node == b.node).all() and (a.chain == b.chain).all() and a.skip == b.skip
