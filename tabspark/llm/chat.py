@@ -169,14 +169,13 @@ def unescape(text: Column) -> Column:
 
 
 def _role_out(role: Column) -> Column:
-    return escape(F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")))
+    """A role on one line: a caret becomes ^c, a line break ^n; then control strings are escaped as in texts."""
+    return escape(F.replace(F.replace(role, F.lit("^"), F.lit("^c")), F.lit("\n"), F.lit("^n")))
 
 
 def _role_in(role: Column) -> Column:
-    # A doubled backslash is held as NUL while \n is read; a NUL of the role's own is doubled first.
-    nul, mark = F.lit("\x00"), F.lit("\x00\x00")
-    held = F.replace(F.replace(unescape(role), nul, mark), F.lit("\\\\"), F.lit("\x00b"))
-    return F.replace(F.replace(F.replace(held, F.lit("\\n"), F.lit("\n")), F.lit("\x00b"), F.lit("\\")), mark, nul)
+    # Every caret is followed by c or n, so ^n is a line break wherever it stands.
+    return F.replace(F.replace(unescape(role), F.lit("^n"), F.lit("\n")), F.lit("^c"), F.lit("^"))
 
 
 def format_turns(turns: DataFrame, trained_role: str = "assistant") -> DataFrame:

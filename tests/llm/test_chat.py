@@ -93,3 +93,11 @@ def test_json_fields_that_no_layout_declares(spark):
     got = {r.conv_id: (r.layout, r.turns and [(t.role, t.text) for t in r.turns]) for r in chat.canonical_json(df, "record").collect()}
     assert got == {0: ("prompt_response", [("user", "p"), ("assistant", "r")]), 1: ("messages", []), 2: ("messages", [("user", "a")]),
                    3: ("unknown", None), 4: ("instruction", [("user", "i\n\ng"), ("assistant", "o")]), 5: ("unknown", None)}
+
+
+def test_any_role_is_read_back(spark):
+    odd = ["\x00b", "\x00", "\x00\x00b", "^", "^n", "^c", "^\n", "\n", "\\", "\\n", "\\\n", "<|im_end|>\n", "</s>", "[INST]", "[\\INST]", "^^nc", ""]
+    rows = [(i, 0, r, "text") for i, r in enumerate(odd + [a + b for a in odd for b in odd])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: [(t.role, t.text) for t in r.turns] for r in chat.read_back(chat.format_turns(df)).collect()}
+    assert got == {i: [(r, "text")] for i, _, r, _ in rows}
