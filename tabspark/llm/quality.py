@@ -5,7 +5,8 @@ repetition), view two the page's metadata (language, source, length as
 recorded). Each view has a logistic model (MLlib) fitted on labelled rows.
 In every round each model scores all documents; the ones it is surest of
 become pseudo-labelled training rows of the other model, at most
-``per_round`` of a class, by falling confidence. Afterwards each view is
+``per_round`` of a class, by falling confidence; documents with equal views
+are one such row, however many copies there are. Afterwards each view is
 calibrated on labelled rows that no fit has seen (a line through the
 logits), and the views are combined as independent evidence: calibrated
 logits add up, the prior counts once.
@@ -20,7 +21,7 @@ Defined cases
 * a label that is null or not 0/1, or whose id is null, is ignored; without labels of both
   classes every score is the share of label 1 (0.5 without labels).
 * ids that repeat: every row is scored by its own columns; a label counts for each of its id's rows.
-* ties in confidence are broken by id; an empty table gives an empty table.
+* ties in confidence are broken by a hash of the views; an empty table gives an empty table.
 * other columns are ignored.
 """
 
@@ -81,7 +82,7 @@ def _features(schema: pa.Schema):
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_col: str, size_col: str) -> DataFrame:
-    """``id, row, text_view, meta_view`` of every document, written once."""
+    """``id, kind, text_view, meta_view`` of every document, written once; rows of one kind have equal views."""
     schema = T.StructType([T.StructField("id", docs.schema[id_col].dataType),
                            T.StructField("x", T.ArrayType(T.DoubleType())), T.StructField("lang", T.StringType()),
                            T.StructField("source", T.StringType()), T.StructField("size", T.StringType())])
@@ -90,7 +91,8 @@ def features(docs: DataFrame, id_col: str, text_col: str, lang_col: str, source_
                       F.col(source_col).cast("string"), size)
     rows = stored(own.mapInArrow(_features(output_type(schema)), schema))
     hasher = FeatureHasher(inputCols=["lang", "source", "size"], outputCol="meta_view", numFeatures=256)
-    return hasher.transform(rows).select("id", array_to_vector("x").alias("text_view"), "meta_view")
+    kind = F.xxhash64("x", "lang", "source", "size")
+    return hasher.transform(rows).select("id", kind.alias("kind"), array_to_vector("x").alias("text_view"), "meta_view")
 
 
 VIEWS = ("text_view", "meta_view")
@@ -112,8 +114,8 @@ def surest(scored: DataFrame, view: str, label: int, threshold: float, n: int) -
     """The n rows a view is surest of to have the label, if its logit reaches the threshold."""
     z = F.col(f"{view}_z")
     sure = z >= threshold if label else z <= -threshold
-    return (scored.where(sure).orderBy(z.desc() if label else z.asc(), "id").limit(n)
-            .select("id", *VIEWS, F.lit(float(label)).alias("label")))
+    return (scored.where(sure).orderBy(z.desc() if label else z.asc(), "kind").limit(n)
+            .select(*VIEWS, F.lit(float(label)).alias("label")))
 
 
 def co_train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
@@ -139,10 +141,11 @@ def co_train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     if any(not counts.get((c, y)) for c in (False, True) for y in (0.0, 1.0)):
         return rows.select("id", *[F.lit(prior).alias(c) for c in ("score", "text_score", "meta_score")])
     base = math.log(prior / (1 - prior))
-    train = {v: known.where("not calibrate").select("id", *VIEWS, "label") for v in VIEWS}
+    train = {v: known.where("not calibrate").select(*VIEWS, "label") for v in VIEWS}
     models = {v: fit_view(train[v], v) for v in VIEWS}
-    # Labelled rows keep their labels: pseudo labels go to the others.
-    others = rows.join(F.broadcast(own.select("id")), "id", "left_anti")
+    # Labelled rows keep their labels: pseudo labels go to the others, one for each kind, so that no group of copies fills a round.
+    others = stored(rows.join(F.broadcast(own.select("id")), "id", "left_anti").groupBy("kind")
+                    .agg(*[F.first(v).alias(v) for v in VIEWS]))
     threshold = math.log(confidence / (1 - confidence))
     for _ in range(rounds):
         scored = others
