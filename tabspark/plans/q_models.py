@@ -8,16 +8,18 @@ DataFrame, split by the seeded fraction split.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml.classification import (
     FMClassifier, LogisticRegression, MultilayerPerceptronClassifier,
 )
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, MinMaxScaler, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.operators import encode, evaluate, fit, gram, neural, one_vs_rest, split, transform
+from tabspark.operators import encode, evaluate, fit, gram, neural, one_vs_rest, scoring, split, term_factors, transform
 from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, U_SQL, ex
 from tabspark.plans.q_encode import bucket_bounds_ctes, vocab_and_reviews
@@ -25,7 +27,7 @@ from tabspark.plans.q_fit import normal_equation_ctes
 from tabspark.plans.registry import REGISTRY, query, sqlf
 from tabspark.plans.sql_views import with_views
 from tabspark.functions.columns import argmax, attach_row, hex8_unit, round6, seeded_key
-from tabspark.session import materialize
+from tabspark.session import ensure_checkpoint_dir, materialize
 from tabspark.sources import views
 
 def catalog_sql(name: str) -> str:
@@ -119,6 +121,17 @@ def linreg_multi(spark, d):
     return _reg_metrics(m.transform(data), "net_k", "linear_normal").withColumn("value", round6("value"))
 
 
+@query("linreg_kept", "I17,I24,I2", catalog_sql("linreg_multi"))
+def linreg_kept(spark, d):
+    """The fit of ``linreg_multi`` kept as a pipeline, reloaded, its input columns checked, and scored."""
+    e = _split_ex(spark, d)
+    path = f"{ensure_checkpoint_dir(spark)}/linreg_kept-{uuid.uuid4().hex}"
+    stages = [VectorAssembler(inputCols=SCALED, outputCol="raw"), MinMaxScaler(inputCol="raw", outputCol="features", min=-1.0, max=1.0),
+              LinearRegression(featuresCol="features", labelCol="net_k", solver="normal")]
+    scoring.fit_and_keep(e.where(F.col("split") == "train"), stages, [*SCALED, "net_k"], path)
+    return _reg_metrics(scoring.score(spark, path, e), "net_k", "linear_normal").withColumn("value", round6("value"))
+
+
 @query("linreg_mllib_2d", "I2,I17", catalog_sql("linreg_2d"))
 def linreg_mllib_2d(spark, d):
     """MLlib's distributed normal-equation fit on two features, checked
@@ -495,6 +508,31 @@ def text_factor_model(spark, d):
     return spark.createDataFrame(rows, "term string, pos long, x double, y double, linear double")
 
 
+FACTOR_RANK = 8
+
+
+def _factors(spark, d):
+    rv = fit.fit_input(split.fraction_split(views.reviews(spark, d), split.TRAIN_VALID))
+    return rv, term_factors.fit(rv.where(F.col("split") == "train"), FACTOR_RANK)
+
+
+@query("text_factors", "I12,D14", with_views("reviews", body=f"""
+select count(distinct term) as n_terms from (select unnest(terms) as term from reviews where {U_SQL} < {sqlf(TRAIN_FRAC)})"""))
+def text_factors(spark, d):
+    """How many terms have a learned vector: all of the training documents'."""
+    _, factors = _factors(spark, d)
+    return factors.terms.where(F.size("vector") == FACTOR_RANK).agg(F.count(F.lit(1)).alias("n_terms"))
+
+
+@query("text_embedded", "I11,I12,D15")
+def text_embedded(spark, d):
+    """A small network on the documents' mean term vectors; the vectors are learned over the whole vocabulary."""
+    rv, factors = _factors(spark, d)
+    data = fit.fit_input(term_factors.as_features(factors.embed(rv)).select("id", "split", "label", "features"))
+    m = MultilayerPerceptronClassifier(layers=[FACTOR_RANK, 16, 2], maxIter=100, seed=42).fit(data.where(F.col("split") == "train"))
+    return _cls_metrics(m.transform(data), "label", "text_embedded")
+
+
 @query("evaluate_text", "F16,I24")
 def evaluate_text(spark, d):
     data, _ = _text(spark, d)
