@@ -15,11 +15,11 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, MinMaxScaler, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.operators import encode, evaluate, fit, gram, neural, one_vs_rest, scoring, split, term_factors, transform
+from tabspark.operators import encode, evaluate, fit, gram, one_vs_rest, scoring, split, term_factors, transform
 from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, U_SQL, ex
 from tabspark.plans.q_encode import bucket_bounds_ctes, vocab_and_reviews
@@ -220,12 +220,14 @@ def linreg_crossed(spark, d):
         "value", round6("value"))
 
 
-@query("relu_net_regress", "I9,I13")
-def relu_net_regress(spark, d):
-    e = _split_ex(spark, d)
-    sc = transform.linear_scale(e, SCALED, fit_on=e.where(F.col("split") == "train"), keep=("id", "net_k", "split"))
-    r = neural.train_relu_regressor(sc, SCALED, "net_k", hidden=(10, 10), lr=0.05, periods=10, steps_per_period=5)
-    return r.curve
+@query("gbt_regress", "I9,I13")
+def gbt_regress(spark, d):
+    """A non-linear regressor (boosted trees) and its learning curve: RMSE per split after each of ten trees."""
+    data = _scaled(spark, d, "net_k").select("split", "features", F.col("net_k").alias("label"))
+    m = GBTRegressor(maxIter=10, maxDepth=4, stepSize=0.5, seed=42).fit(data.where(F.col("split") == "train"))
+    rows = [(k + 1, s, float(e) ** 0.5) for s in ("train", "valid")
+            for k, e in enumerate(m.evaluateEachIteration(data.where(F.col("split") == s), "squared"))]
+    return spark.createDataFrame(rows, "period long, split string, rmse double")
 
 
 @query("solver_compare", "I22,I14")

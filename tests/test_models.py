@@ -26,12 +26,14 @@ def test_gradient_descent_loss_falls(spark):
     assert curve[-1][1] < curve[0][1] / 5
 
 
-def test_relu_net_beats_constant(spark):
-    from tabspark.plans import catalog
+def test_boosted_trees_beat_the_constant(spark):
+    from pyspark.sql import functions as F
 
-    curve = catalog.get("relu_net_regress").fn(spark, SF_SMALL).collect()
-    by = {(r["period"], r["split"]): r["rmse"] for r in curve}
-    assert by[(10, "train")] < by[(0, "train")]
+    from tabspark.plans import catalog, q_models
+
+    std = q_models._split_ex(spark, SF_SMALL).where("split = 'train'").agg(F.stddev_pop("net_k")).first()[0]
+    curve = {(r["period"], r["split"]): r["rmse"] for r in catalog.get("gbt_regress").fn(spark, SF_SMALL).collect()}
+    assert len(curve) == 20 and curve[(10, "train")] < curve[(1, "train")] and curve[(10, "train")] < std / 2
 
 
 def test_l1_size_non_increasing(spark):
@@ -78,18 +80,6 @@ def test_mllib_normal_equations_match_numpy(spark):
     assert abs(weights["bias"] - w[5]) < 1e-8 and abs(weights["e"] - w[4]) < 1e-8
 
 
-def test_relu_net_beats_constant_predictor(spark):
-    from pyspark.sql import functions as F
-
-    from tabspark.plans import q_models
-
-    e = q_models._split_ex(spark, SF_SMALL)
-    std = e.where(F.col("split") == "train").agg(F.stddev_pop("net_k")).first()[0]
-    curve = {(r["period"], r["split"]): r["rmse"] for r in q_models.relu_net_regress(spark, SF_SMALL).collect()}
-    last = max(p for p, _ in curve)
-    assert curve[(last, "train")] < std
-
-
 def test_full_text_fit_has_every_training_term(spark):
     from tabspark.plans import catalog, q_models
 
