@@ -241,7 +241,7 @@ def learn(labelled: DataFrame, text_col: str = "text", label_col: str = "toxic",
     phrase = F.explode(F.array(F.concat_ws(" ", "before", "term"), F.concat_ws(" ", "term", "after")))
     spared = (rows.where(known).select(phrase.alias("phrase"), "label", "doc")
               .where(F.rlike("phrase", F.lit("^[^ ]+ [^ ]+$")))
-              .groupBy("phrase").agg(F.max("label").alias("toxic"), F.approx_count_distinct("doc").alias("n"))
+              .groupBy("phrase").agg(F.max("label").alias("toxic"), F.countDistinct("doc").alias("n"))
               .where((F.col("toxic") == 0) & (F.col("n") >= min_texts))
               .orderBy(F.desc("n"), "phrase").limit(max_exceptions).collect())
     lexicon = Lexicon(weights, (*EXCEPTIONS, *(r["phrase"] for r in spared)))
