@@ -13,7 +13,7 @@ import uuid
 from pyspark.ml.classification import (
     FMClassifier, LogisticRegression, MultilayerPerceptronClassifier,
 )
-from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, MinMaxScaler, OneHotEncoder, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel, HashingTF, MinMaxScaler, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
@@ -501,6 +501,35 @@ def text_mlp(spark, d):
     return _cls_metrics(m.transform(data), "label", "text_mlp")
 
 
+#: Columns that all terms are hashed into, for the linear fit and for the network (whose weights grow with them).
+HASHED, HASHED_NET = 1 << 14, 1 << 9
+
+
+def _text_hashed(spark, d, width: int) -> DataFrame:
+    """Reviews as vectors of ``width`` columns that every term of a text falls into by a hash: no vocabulary at all."""
+    rv = fit.fit_input(split.fraction_split(views.reviews(spark, d), split.TRAIN_VALID))
+    whole = rv.withColumn("terms", F.coalesce("terms", F.array().cast("array<string>")))
+    return HashingTF(numFeatures=width, binary=True, inputCol="terms", outputCol="features").transform(whole)
+
+
+@query("text_mlp_hashed", "I11,D12")
+def text_mlp_hashed(spark, d):
+    """The text network over all terms, by hashed columns."""
+    data = _text_hashed(spark, d, HASHED_NET)
+    m = MultilayerPerceptronClassifier(layers=[HASHED_NET, 20, 20, 2], maxIter=60, seed=42).fit(
+        data.where(F.col("split") == "train"))
+    return _cls_metrics(m.transform(data), "label", "text_mlp_hashed")
+
+
+@query("evaluate_text_hashed", "F16,I24,D12")
+def evaluate_text_hashed(spark, d):
+    """A linear text fit over all terms, by hashed columns, judged on both splits."""
+    data = _text_hashed(spark, d, HASHED)
+    m = LogisticRegression(maxIter=50, regParam=FULL_RIDGE).fit(data.where(F.col("split") == "train"))
+    p = m.transform(data).withColumn("p1", vector_to_array("probability")[1])
+    return evaluate.evaluate_binary(p, "p1", "label", groups=["split"])
+
+
 @query("text_factor_model", "I12,D14")
 def text_factor_model(spark, d):
     data, terms = _text(spark, d)

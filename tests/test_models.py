@@ -90,3 +90,12 @@ def test_full_text_fit_has_every_training_term(spark):
     assert all(r.features.numNonzeros() == len(set(r.terms or ()) & want) for r in hits)
     got = {(r.split, r.metric): r.value for r in catalog.get("text_logreg_full").fn(spark, SF_SMALL).collect()}
     assert got["train", "accuracy"] > 0.95 and set(m for _, m in got) == {"log_loss", "accuracy", "auc"}
+
+
+def test_hashed_text_fits(spark):
+    from tabspark.plans import catalog
+
+    net = {(r.split, r.metric): r.value for r in catalog.get("text_mlp_hashed").fn(spark, SF_SMALL).collect()}
+    assert net["train", "accuracy"] > 0.9 and set(m for _, m in net) == {"log_loss", "accuracy", "auc"}
+    rows = {r.split: r for r in catalog.get("evaluate_text_hashed").fn(spark, SF_SMALL).collect()}
+    assert rows["train"].accuracy > 0.95 and rows["valid"].n + rows["train"].n > 50
