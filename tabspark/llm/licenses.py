@@ -1,13 +1,15 @@
 """Licence recognition by sentence rules (DataFrame functions only).
 
-A text becomes its words with marks where a sentence ends; the sentences of
-a table of known licence sentences are found in it from one end to another,
-and the resulting sequence of sentence ids is matched against ordered rules:
-a licence is reported where its sentences stand in the order its rule asks
-for. A table sentence with a stop inside is known by all its parts, one
-after the other. A line break without a stop before it, with all blank lines
-and comment marks of other characters than letters and digits, may end a
-sentence or stand inside one: notices are published wrapped.
+A text becomes its words with marks where a sentence ends, and these are cut
+into pieces. Runs of pieces are normalised sentences, looked up in a table of
+known licence sentences (of the runs from one piece on, the longest known
+one counts), and the resulting sequence of sentence ids is matched against
+ordered rules: a licence is reported where its sentences stand in the order
+its rule asks for. A table sentence with a stop inside is known by all its
+parts, one after the other. A line break without a stop before it, with all
+blank lines and comment marks of other characters than letters and digits,
+may end a sentence or stand inside one: notices are published wrapped. A
+sentence has at most as many pieces as words, which bounds the runs.
 
 Defined cases
 * null text: no sentences, status ``none``.
@@ -105,11 +107,42 @@ def marked(text: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(words), F.lit(" "))
 
 
-def sentence_regex(sentences: Sequence[str]) -> str:
-    """Table sentences in a ``marked`` text, from one sentence end to another, wrapped or not; of several, the longest."""
-    known = sorted((normalised_pieces(s) for s in sentences), key=lambda p: (-len(" ".join(p)), p))
-    any_of = "|".join(f" {STOP} ".join(x.replace(" ", f"(?: {BREAK})? ") for x in p) for p in known)
-    return f"(?<=^ |[{STOP}{BREAK}] )(?:{any_of})(?= [{STOP}{BREAK}] | $)"
+def known_sentences(pieces: Column, table: Mapping[str, str]) -> Column:
+    """Ids of the table's sentences among the pieces of a ``marked`` text, from left to right, none overlapping.
+
+    ``table``: normalised sentence (its parts joined by STOP marks) -> id.
+    """
+    lookup = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    firsts = F.array(*[F.lit(w) for w in sorted({k.split(" ")[0] for k in table})])
+    longest = max(sum(w != STOP for w in k.split(" ")) for k in table)
+
+    def bare(piece: Column) -> Column:
+        return F.regexp_replace(piece, f"^[{STOP}{BREAK}] ", "")
+
+    def sentence(i: Column, n: Column) -> Column:
+        """The id of the n pieces from i on; breaks inside don't count."""
+        run = F.regexp_replace(bare(F.array_join(F.slice(pieces, i, n), " ")), f" {BREAK}(?= )", "")
+        return F.try_element_at(lookup, run)
+
+    def longest_from(i: Column) -> Column:
+        none = F.struct(i.alias("i"), F.lit(0).alias("n"), F.lit(None).cast("string").alias("id"))
+
+        def better(best: Column, n: Column) -> Column:
+            found = sentence(i, n)
+            return F.when(found.isNotNull(), F.struct(i.alias("i"), n.alias("n"), found.alias("id"))).otherwise(best)
+
+        return F.aggregate(F.sequence(F.lit(1), F.least(F.lit(longest), F.size(pieces) - i + 1)), none, better)
+
+    starts = F.filter(F.sequence(F.lit(1), F.size(pieces)), lambda i: F.array_contains(
+        firsts, F.substring_index(bare(F.get(pieces, i - 1)), " ", 1)))
+    hits = F.filter(F.transform(starts, longest_from), lambda h: h["id"].isNotNull())
+
+    def taken(done: Column, h: Column) -> Column:
+        more = F.struct((h["i"] + h["n"]).alias("to"), F.concat(done["ids"], F.array(h["id"])).alias("ids"))
+        return F.when(h["i"] >= done["to"], more).otherwise(done)
+
+    nothing = F.struct(F.lit(0).alias("to"), F.array().cast("array<string>").alias("ids"))
+    return F.aggregate(hits, nothing, taken, lambda done: done["ids"])
 
 
 def rule_regex(steps: Sequence[str]) -> str:
@@ -127,8 +160,7 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     sentences = SENTENCES if sentences is None else sentences
     rules = RULES if rules is None else rules
-    table = {" ".join(normalised_pieces(s)): sid for sid, s in sentences.items()}
-    lookup = F.create_map(*[F.lit(x) for kv in table.items() for x in kv])
+    table = {f" {STOP} ".join(normalised_pieces(s)): sid for sid, s in sentences.items()}
     text = F.coalesce(F.col(text_col), F.lit(""))
     lowered = F.lower(text)
     hit = F.lit(False)
@@ -138,13 +170,13 @@ def recognise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             hit = hit | F.contains(lowered, F.lit(k))
     else:
         hit = F.lit(True)
-    found_in = F.regexp_extract_all(marked(F.when(hit, text).otherwise("")),
-                                    F.lit(sentence_regex(list(sentences.values()))), F.lit(0))
-    ids = F.transform(found_in, lambda s: F.element_at(lookup, F.regexp_replace(s, f" [{STOP}{BREAK}](?= )", "")))
+    pieces = F.split(F.concat(F.trim(marked(text)), F.lit(" ")), f" (?=[{STOP}{BREAK}] | *$)")
     seq = F.concat(F.lit(" "), F.array_join(F.col("sentence_ids"), "  "), F.lit(" "))
     found = F.array_compact(F.array(*[F.when(F.rlike(seq, F.lit(rule_regex(steps))), F.lit(name))
                                       for name, steps in rules]))
-    return (docs.select(F.col(id_col), ids.alias("sentence_ids"))
+    return (docs.select(F.col(id_col), hit.alias("_hit"), F.when(hit, pieces).otherwise(F.array().cast("array<string>")).alias("_pieces"))
+            .select(id_col, F.when(F.col("_hit"), known_sentences(F.col("_pieces"), table))
+                    .otherwise(F.array().cast("array<string>")).alias("sentence_ids"))
             .withColumn("licenses", F.array_distinct(found))
             .withColumn("status", F.when(F.size("licenses") > 0, "matched")
                         .when(F.size("sentence_ids") > 0, "unmatched").otherwise("none")))
