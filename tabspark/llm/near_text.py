@@ -23,11 +23,14 @@ Exact copies (same words in the same order) are one node from the start, so
 a group of copies costs its size once. In a bucket of up to ``SMALL`` nodes
 all are compared, in a larger one each with three members (one by hash,
 smallest and largest), beyond ``HOT`` nodes with the one by hash, which is the
-same in many buckets; so the work is linear in a bucket's size. What many texts
-share (a boilerplate) makes large buckets; pairs that are alike beside it
-share sketches with their own words too, whose buckets are small. A pair
-whose own words have hardly a k-mer in common, alike by the boilerplate
-alone, may be missed unless both are like a third text.
+same in many buckets. That joins a large group of near copies in work linear
+in its size, and it is only the first round: in the second, all nodes of a
+large bucket whose members are not one class by then are compared with each
+other, but for pairs within a class and pairs that an exact bound rules out
+(``prefixes``). So no pair that shares a bucket is lost, whatever its size,
+and ``SMALL`` and ``HOT`` decide only what is compared first. What many texts
+share (a boilerplate) makes large buckets; the bound sets texts apart by their
+own words, so only texts that may well be alike cost a comparison.
 
 Defined cases
 * null text, and a text without words: a class of its own, never linked.
@@ -270,6 +273,14 @@ def _fingerprints(families: tuple, k: int, schema: pa.Schema):
     return run
 
 
+def _node_hashes(schema: pa.Schema):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield record_batch(schema, batch.column(0), sequence_keys(Words(batch.column(1))))
+
+    return run
+
+
 def _sequences(schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,56 +312,190 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("id", id_type), T.StructField("node", T.BinaryType()),
                            T.StructField("keys", T.ArrayType(T.LongType()))])
-    marked = stored(own.mapInArrow(_fingerprints(families, k_words, output_type(schema)), schema))
+    marked = own.mapInArrow(_fingerprints(families, k_words, output_type(schema)), schema)
     # A node is a number from here on: 8 bytes instead of the 16 of its words' hash.
     nodes = stored(marked.where(F.col("node").isNotNull()).groupBy(F.col("node").alias("hash"))
                    .agg(F.min("id").alias("rep"), F.first("keys").alias("keys"))
                    .withColumn("node", F.monotonically_increasing_id()))
-    pairs = stored(candidate_pairs(nodes.select(F.explode("keys").alias("bucket"), "node")))
+    # A repeated id may have other texts besides: the words must be the node's own.
+    repeats = id_repeats(nodes)
+    met = stored(meetings(nodes.select(F.explode("keys").alias("bucket"), "node")))
+    pairs = stored(candidate_pairs(met))
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     ids = wanted.join(nodes.select("node", "rep", "hash"), "node")
-    # A repeated id may have other texts besides: the words must be the node's own.
-    words = T.StructType([T.StructField("node", T.LongType()), T.StructField("words", T.BinaryType())])
-    texts = (own.join(ids.select(F.col("rep").alias("id"), "node"), "id").select("node", "text")
-             .mapInArrow(_sequences(output_type(words)), words))
-    if id_repeats(nodes):
-        texts = _own_words(own, ids.select("node", "hash"), words)
-    for end in "ab":
-        pairs = pairs.join(ids.select(F.col("node").alias(end), named("rep", "node").alias(f"n{end}")), end)
-    point = T.StructType([T.StructField("none", T.BooleanType()), T.StructField("rep", id_type),
-                        T.StructField("node", T.LongType())])
-    link = T.StructType([T.StructField("a", point), T.StructField("b", point), T.StructField("similarity", T.DoubleType())])
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b").select("na", "nb", "wa", "wb"))
-    links = both.mapInArrow(_verify(similarity, output_type(link)), link)
+    links = _links(pairs, ids, node_words(own, ids, repeats), id_type, similarity)
     # Graph nodes carry their smallest id in front (null last), so a component's smallest node has its class.
-    labels = components(links.select("a", "b")).withColumnRenamed("node", "named")
+    labels = stored(components(links.select("a", "b")))
+    apart = stored(unsettled(met, labels.select("node.node", F.col("component.node").alias("class"))))
+    if not apart.isEmpty():
+        ids = apart.join(nodes.select("node", "rep", "hash"), "node")
+        if apart.count() <= AT_HAND:
+            ids = F.broadcast(ids)  # the texts needn't be shuffled for these few
+        texts = stored(node_words(own, ids, repeats).join(apart, "node"))
+        more = further_pairs(texts, k_words, similarity).join(pairs, ["a", "b"], "left_anti")
+        links = _links(more, ids, texts.drop("class"), id_type, similarity).select("a", "b")
+        # A class is its nodes' links to the smallest.
+        labels = components(links.union(labels.select("node", "component")))
+    labels = labels.withColumnRenamed("node", "named")
     classes = nodes.select(named("rep", "node").alias("named"), "hash", "rep").join(labels, "named", "left").select(
         "hash", F.coalesce("component.rep", "rep").alias("class_id"))
-    out = (marked.select("id", F.col("node").alias("hash")).join(classes, "hash", "left")
+    # Hashed again: a table of every row's sketches would be larger than the texts.
+    named_rows = T.StructType([T.StructField("id", id_type), T.StructField("hash", T.BinaryType())])
+    out = (own.mapInArrow(_node_hashes(output_type(named_rows)), named_rows).join(classes, "hash", "left")
            .select("id", F.coalesce("class_id", "id").alias("class_id")))
     return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
                       F.coalesce(F.col("id") == F.col("class_id"), F.lit(False)).alias("kept"))
 
 
-def candidate_pairs(member: DataFrame) -> DataFrame:
-    """``(a, b)``, a < b, from ``(bucket, node)``: all nodes of a small bucket, each node and one or three others of a large one."""
+def meetings(member: DataFrame) -> DataFrame:
+    """``(a, b, bucket)`` from ``(bucket, node)``: the pairs of small buckets (``bucket`` null), and each node ``b`` of a
+    large one with its one or three centres ``a``, itself perhaps."""
+    # Most buckets have one node; both are written, so that partitions of a bucket with very many members can be split.
+    shared = stored(member.groupBy("bucket").agg(F.min("node").alias("c1"), F.max("node").alias("c2"))
+                    .where("c1 < c2").select("bucket"))
+    member = stored(member.join(shared, "bucket", "left_semi"))
     turned = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("node"))
-    # Written, so that the join's partitions of a bucket with very many members can be split.
     buckets = stored(member.groupBy("bucket")
                      .agg(F.count("*").alias("n"), F.min("node").alias("c1"), F.max("node").alias("c2"),
-                          F.min(turned)["node"].alias("c3"))
-                     .where("c1 < c2"))
+                          F.min(turned)["node"].alias("c3")))
     met = member.join(buckets, "bucket")
     few = (met.where(F.col("n") <= SMALL).groupBy("bucket").agg(F.array_sort(F.collect_set("node")).alias("m"))  # SMALL at most
            .select(F.explode(F.flatten(F.transform("m", lambda a: F.transform(
                F.filter("m", lambda b: b > a), lambda b: F.struct(a.alias("a"), b.alias("b")))))).alias("p")).select("p.*"))
     many = (met.where(F.col("n") > SMALL)
-            .select("node", F.explode(F.when(F.col("n") > HOT, F.array("c3")).otherwise(F.array_distinct(F.array("c1", "c2", "c3"))))
-                    .alias("center"))
-            .where(F.col("node") != F.col("center"))
-            .select(F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")))
-    return few.unionByName(many).distinct()
+            .select(F.explode(F.when(F.col("n") > HOT, F.array("c3")).otherwise(F.array_distinct(F.array("c1", "c2", "c3"))))
+                    .alias("a"), F.col("node").alias("b"), "bucket"))
+    return few.select("a", "b", F.lit(None).cast("long").alias("bucket")).unionByName(many)
+
+
+def candidate_pairs(met: DataFrame) -> DataFrame:
+    """The different pairs ``(a, b)``, a < b, of ``meetings``, to be compared first."""
+    return met.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def unsettled(met: DataFrame, classes: DataFrame) -> DataFrame:
+    """``(node, class)`` of the nodes of large buckets that hold more than one class; ``classes`` has the nodes with links."""
+    member = (met.where("bucket is not null").select("bucket", F.col("b").alias("node")).distinct()
+              .join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")))
+    mixed = member.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
+    return member.join(mixed, "bucket", "left_semi").select("node", "class").distinct()
+
+
+#: Nodes whose ids are small enough to be sent to all tasks; more are joined by a shuffle, with the same rows.
+AT_HAND = 500_000
+#: Cells that k-mers fall into by hash, to be counted.
+CELL_BITS = 18
+
+
+class _Sequences:
+    """Word hashes of a column of ``node_words``, in the form of ``Words``."""
+
+    def __init__(self, column: pa.Array):
+        rows = column.to_pylist()
+        self.hash = np.frombuffer(b"".join(rows), np.uint64)
+        self.first = np.concatenate([[0], np.cumsum([len(r) // 8 for r in rows], dtype=np.int64)]).astype(np.int64)
+
+
+def least_shared(n_words: np.ndarray, k: int, similarity: float) -> np.ndarray:
+    """How many labelled k-mers a text of so many words shares at least with any text that is as alike.
+
+    An edit touches k k-mers, so texts at edit distance d, the longer of n
+    words, share n - k + 1 - k d; d and n are what the similarity allows.
+    """
+    n = np.arange(int(n_words.max(initial=1) / similarity) + 3)
+    shared = n - k + 1 - k * ((1 - similarity) * n + 1e-9).astype(np.int64)
+    longest = (n_words / similarity).astype(np.int64) + 2
+    sizes, back = np.unique(np.stack([n_words, longest], 1), axis=0, return_inverse=True)
+    return np.array([shared[a:b].min() for a, b in sizes], np.int64)[back.ravel()] if len(sizes) else np.zeros(0, np.int64)
+
+
+def prefixes(words: _Sequences, k: int, similarity: float, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, offsets): each row's rarest labelled k-mers, so many that texts as alike have one in common.
+
+    Of two texts that share t of their k-mers, put in one order, the first
+    (size - t + 1) of each have one in common. The order is by the cells'
+    counts, then by hash. Where a text need share none, it has the key 0.
+    """
+    kmer, row, first = shingles(words, k)
+    label = occurrence_labelled(kmer, row)
+    size = np.diff(first)
+    t = least_shared(np.diff(words.first), k, similarity)
+    order = np.lexsort((label, counts[label >> np.uint64(64 - CELL_BITS)], row))
+    rank = np.arange(len(row)) - first[:-1][row]
+    keep = rank <= (size - np.maximum(t, 1))[row]
+    none = np.flatnonzero((t <= 0) & (size > 0))
+    keys = np.concatenate([label[order][keep], np.zeros(len(none), np.uint64)])
+    owner = np.concatenate([row[keep], none])
+    back = np.argsort(owner, kind="stable")
+    return keys[back], np.searchsorted(owner[back], np.arange(len(size) + 1))
+
+
+def cell_counts(texts: DataFrame, k: int) -> np.ndarray:
+    """How many labelled k-mers of all ``words`` fall into each cell; as many numbers as cells, whatever the input."""
+    cell = T.StructType([T.StructField("cell", T.LongType()), T.StructField("n", T.LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(1 << CELL_BITS, np.int64)
+        for batch in batches:
+            kmer, row, _ = shingles(_Sequences(batch.column(0)), k)
+            at = (occurrence_labelled(kmer, row) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+            own += np.bincount(at, minlength=len(own))
+        some = np.flatnonzero(own)
+        yield record_batch(output_type(cell), pa.array(some), pa.array(own[some]))
+
+    out = np.zeros(1 << CELL_BITS, np.int64)
+    got = texts.select("words").mapInArrow(run, cell).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    out[got["cell"].to_numpy()] = got["n"].to_numpy()
+    return out
+
+
+def further_pairs(texts: DataFrame, k: int, similarity: float) -> DataFrame:
+    """All pairs ``(a, b)``, a < b, of ``(node, words, class)`` in different classes that the bounds of ``prefixes`` and of
+    the lengths leave."""
+    counts = cell_counts(texts, k)
+    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("class", T.LongType()),
+                           T.StructField("n", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = _Sequences(batch.column(2))
+            keys, offsets = prefixes(words, k, similarity, counts)
+            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.view(np.int64)))
+            yield record_batch(output_type(schema), batch.column(0), batch.column(1), pa.array(np.diff(words.first)), lists)
+
+    keyed = texts.select("node", "class", "words").mapInArrow(run, schema)
+    keyed = keyed.select("node", "class", "n", F.explode("keys").alias("key"))
+    mixed = keyed.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("key")
+    # Written, so that a key with very many nodes can be split. A class meets another one whole; its own pairs never arise.
+    keyed = stored(keyed.join(mixed, "key", "left_semi"))
+    heads = stored(keyed.select("key", "class").distinct())
+    both = (heads.withColumnRenamed("class", "x").join(heads.withColumnRenamed("class", "y"), "key").where("x < y")
+            .join(keyed.select("key", F.col("class").alias("x"), F.col("node").alias("p"), F.col("n").alias("np")), ["key", "x"])
+            .join(keyed.select("key", F.col("class").alias("y"), F.col("node").alias("q"), F.col("n").alias("nq")), ["key", "y"]))
+    longer = F.greatest("np", "nq")
+    near = longer - F.least("np", "nq") <= F.floor((1 - similarity) * longer + 1e-9)
+    return both.where(near).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+
+
+def node_words(own: DataFrame, ids: DataFrame, repeats: bool) -> DataFrame:
+    """``(node, words)`` of the nodes of ``ids`` (node, rep, hash); ``repeats``: an id may have several texts."""
+    words = T.StructType([T.StructField("node", T.LongType()), T.StructField("words", T.BinaryType())])
+    if repeats:
+        return _own_words(own, ids.select("node", "hash"), words)
+    return (own.join(ids.select(F.col("rep").alias("id"), "node"), "id").select("node", "text")  # keeps a broadcast hint
+            .mapInArrow(_sequences(output_type(words)), words))
+
+
+def _links(pairs: DataFrame, ids: DataFrame, texts: DataFrame, id_type: T.DataType, similarity: float) -> DataFrame:
+    """``(a, b, similarity)`` of the pairs that are alike, each end with its smallest id."""
+    for end in "ab":
+        pairs = pairs.join(ids.select(F.col("node").alias(end), named("rep", "node").alias(f"n{end}")), end)
+    point = T.StructType([T.StructField("none", T.BooleanType()), T.StructField("rep", id_type),
+                        T.StructField("node", T.LongType())])
+    link = T.StructType([T.StructField("a", point), T.StructField("b", point), T.StructField("similarity", T.DoubleType())])
+    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a")
+            .join(texts.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b").select("na", "nb", "wa", "wb"))
+    return both.mapInArrow(_verify(similarity, output_type(link)), link)
 
 
 def named(rep: str, node: str) -> Column:

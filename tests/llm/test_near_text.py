@@ -203,6 +203,34 @@ def test_boilerplate(make_docs):
     assert sum(got[i] != want[i] for i in want) == 0
 
 
+def test_pairs_alike_by_a_boilerplate(make_docs):
+    """Pages without an own k-mer in common share only buckets that hold most pages; none of their links is lost."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(4000)]
+    plate = [rng.choice(vocabulary) for _ in range(135)]
+    own = [[rng.choice(vocabulary) for _ in range(54)] for _ in range(160)]
+    pages = own + [spread(rng, p, 0.5) for p in own[:30]]
+    rows = [(i, " ".join(plate[:60] + p + plate[60:])) for i, p in enumerate(pages)]
+    got = {r.doc_id: r.class_id for r in near_text.near_duplicates(make_docs(rows)).collect()}
+    assert [got[i] for i in range(len(rows))] == brute(rows) == [*range(160), *range(30)]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 6), min_size=1, max_size=25), st.lists(st.tuples(st.integers(0, 24), st.integers(0, 9)), max_size=6),
+       st.integers(1, 3), st.sampled_from([0.5, 0.8, 0.9]), st.integers(0, 9))
+def test_alike_texts_share_a_prefix(a, edits, k, similarity, seed):
+    """Whatever order the k-mers are put in, no pair that is alike is ruled out."""
+    b = list(a)
+    for at, x in edits:
+        b[at % len(b):at % len(b) + (x % 3 != 1)] = [x] * (x % 3 != 2) or b[:1]
+    seq = [np.array(x, np.uint64) for x in (a, b)]
+    words = near_text._Sequences(pa.array([x.tobytes() for x in seq]))
+    counts = np.random.default_rng(seed).integers(0, 5, 1 << near_text.CELL_BITS)
+    keys, at = near_text.prefixes(words, k, similarity, counts)
+    if near_text.alike(*seq, similarity) is not None:
+        assert a == b or np.intersect1d(keys[:at[1]], keys[at[1]:]).size
+
+
 def test_short_texts_equal_brute_force(make_docs):
     rng = random.Random(10)
     vocabulary = [f"w{i}" for i in range(300)]
