@@ -99,3 +99,16 @@ def test_hashed_text_fits(spark):
     assert net["train", "accuracy"] > 0.9 and set(m for _, m in net) == {"log_loss", "accuracy", "auc"}
     rows = {r.split: r for r in catalog.get("evaluate_text_hashed").fn(spark, SF_SMALL).collect()}
     assert rows["train"].accuracy > 0.95 and rows["valid"].n + rows["train"].n > 50
+
+
+def test_recipes_share_one_table_and_need_few_jobs(spark, monkeypatch):
+    """The examples are built once, and no fit scans them once per iteration."""
+    from tabspark.plans import catalog, q_models
+
+    built, build = [], q_models._split_ex
+    monkeypatch.setattr(q_models, "_split_ex", lambda *a: built.append(1) or build(*a))
+    solvers, linear = [], q_models.LinearRegression
+    monkeypatch.setattr(q_models, "LinearRegression", lambda **k: solvers.append(k["solver"]) or linear(**k))
+    got = {(r.recipe, r.split): r.rmse for r in catalog.get("recipe_compare").fn(spark, SF_SMALL).collect()}
+    assert len(built) == 1 and solvers == ["normal"] * 3
+    assert len(got) == 6 and got["all_scaled", "train"] < got["minimal", "train"]
