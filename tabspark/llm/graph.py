@@ -15,6 +15,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     two joins over the links, written to the checkpoint folder, until a
     round changes nothing. Links to oneself, repeated links and nulls are
     ignored. A node with many links is a skewed join key, never one group.
+    Joins are by sorting: nodes that are no plain numbers would take a page
+    of 64 MB of the driver for each small table that is broadcast.
     """
     cur = stored(links.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
                  .select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct())
@@ -28,9 +30,9 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         # Both sides of a join are written, so that the partitions of a node with very many links can be split.
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = stored(both.where(F.col("v") > F.col("u")).join(low, "u")
+        large = stored(both.where(F.col("v") > F.col("u")).join(low.hint("merge"), "u")
                        .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = stored(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = (large.join(low, "u").where(F.col("v") != F.col("m"))
+        small = (large.join(low.hint("merge"), "u").where(F.col("v") != F.col("m"))
                  .select(F.col("v").alias("u"), F.col("m").alias("v")))
         cur = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())

@@ -26,8 +26,8 @@ smallest and largest), beyond ``HOT`` nodes with the one by hash, which is the
 same in many buckets. That joins a large group of near copies in work linear
 in its size, and it is only the first round: in the second, all nodes of a
 large bucket whose members are not one class by then are compared with each
-other, but for pairs within a class and pairs that an exact bound rules out
-(``prefixes``). So no pair that shares a bucket is lost, whatever its size,
+other, but for pairs within a class and pairs that exact bounds rule out
+(``prefix_lengths``). So no pair that shares a bucket is lost, whatever its size,
 and ``SMALL`` and ``HOT`` decide only what is compared first. What many texts
 share (a boilerplate) makes large buckets; the bound sets texts apart by their
 own words, so only texts that may well be alike cost a comparison.
@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tabspark.llm.graph import components
-from tabspark.llm.tasks import output_type, record_batch, stored
+from tabspark.llm.tasks import output_type, pieces, record_batch, stored
 from tabspark.llm.text import Words, mix, shingles
 
 K_WORDS, SIMILARITY = 2, 0.8
@@ -264,7 +264,7 @@ def alike(a: np.ndarray, b: np.ndarray, similarity: float) -> float | None:
 
 def _fingerprints(families: tuple, k: int, schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1):
             words = Words(batch.column(1))
             keys, offsets = all_keys(words, k, families)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.view(np.int64)))
@@ -275,7 +275,7 @@ def _fingerprints(families: tuple, k: int, schema: pa.Schema):
 
 def _node_hashes(schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1):
             yield record_batch(schema, batch.column(0), sequence_keys(Words(batch.column(1))))
 
     return run
@@ -283,7 +283,7 @@ def _node_hashes(schema: pa.Schema):
 
 def _sequences(schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 1):
             words = Words(batch.column(1))
             yield record_batch(schema, batch.column(0),
                                [words.hash[words.first[i]:words.first[i + 1]].tobytes() for i in range(len(batch))])
@@ -337,11 +337,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         # A class is its nodes' links to the smallest.
         labels = components(links.union(labels.select("node", "component")))
     labels = labels.withColumnRenamed("node", "named")
-    classes = nodes.select(named("rep", "node").alias("named"), "hash", "rep").join(labels, "named", "left").select(
+    classes = nodes.select(named("rep", "node").alias("named"), "hash", "rep").join(labels.hint("merge"), "named", "left").select(
         "hash", F.coalesce("component.rep", "rep").alias("class_id"))
     # Hashed again: a table of every row's sketches would be larger than the texts.
     named_rows = T.StructType([T.StructField("id", id_type), T.StructField("hash", T.BinaryType())])
-    out = (own.mapInArrow(_node_hashes(output_type(named_rows)), named_rows).join(classes, "hash", "left")
+    out = (own.mapInArrow(_node_hashes(output_type(named_rows)), named_rows).join(classes.hint("merge"), "hash", "left")
            .select("id", F.coalesce("class_id", "id").alias("class_id")))
     return out.select(F.col("id").alias(id_col), F.when(F.col("id").isNotNull(), F.col("class_id")).alias("class_id"),
                       F.coalesce(F.col("id") == F.col("class_id"), F.lit(False)).alias("kept"))
@@ -385,6 +385,8 @@ def unsettled(met: DataFrame, classes: DataFrame) -> DataFrame:
 AT_HAND = 500_000
 #: Cells that k-mers fall into by hash, to be counted.
 CELL_BITS = 18
+#: k-mers that two texts must have in common in their prefixes, and the share of those that they share at least added to it.
+COMMON, COMMON_SHARE = 3, 0.05
 
 
 class _Sequences:
@@ -409,21 +411,34 @@ def least_shared(n_words: np.ndarray, k: int, similarity: float) -> np.ndarray:
     return np.array([shared[a:b].min() for a, b in sizes], np.int64)[back.ravel()] if len(sizes) else np.zeros(0, np.int64)
 
 
-def prefixes(words: _Sequences, k: int, similarity: float, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(keys, offsets): each row's rarest labelled k-mers, so many that texts as alike have one in common.
+def prefix_lengths(n_words: np.ndarray, k: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """(lengths, spare): how many k-mers a prefix of a text of so many words has, and how many fewer than the text (0 or less).
 
     Of two texts that share t of their k-mers, put in one order, the first
-    (size - t + 1) of each have one in common. The order is by the cells'
-    counts, then by hash. Where a text need share none, it has the key 0.
+    (size - t + c) of each have c in common, c at most t. So two texts that
+    share t have the smaller ``spare`` + t in common in their prefixes.
+    """
+    size = np.where(n_words >= k, n_words - k + 1, (n_words > 0).astype(np.int64))
+    t = np.maximum(least_shared(n_words, k, similarity), 1)
+    common = np.minimum(COMMON + (COMMON_SHARE * t).astype(np.int64), t)
+    length = np.minimum(size - t + common, size)
+    return length, length - size
+
+
+def prefixes(words: _Sequences, k: int, similarity: float, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, offsets): each row's rarest labelled k-mers, as many as ``prefix_lengths`` says.
+
+    The order is by the cells' counts, then by hash. Where a text need share
+    none, it has the key 0 besides.
     """
     kmer, row, first = shingles(words, k)
     label = occurrence_labelled(kmer, row)
-    size = np.diff(first)
-    t = least_shared(np.diff(words.first), k, similarity)
+    n_words, size = np.diff(words.first), np.diff(first)
+    length, _ = prefix_lengths(n_words, k, similarity)
     order = np.lexsort((label, counts[label >> np.uint64(64 - CELL_BITS)], row))
     rank = np.arange(len(row)) - first[:-1][row]
-    keep = rank <= (size - np.maximum(t, 1))[row]
-    none = np.flatnonzero((t <= 0) & (size > 0))
+    keep = rank < length[row]
+    none = np.flatnonzero((least_shared(n_words, k, similarity) <= 0) & (size > 0))
     keys = np.concatenate([label[order][keep], np.zeros(len(none), np.uint64)])
     owner = np.concatenate([row[keep], none])
     back = np.argsort(owner, kind="stable")
@@ -436,7 +451,7 @@ def cell_counts(texts: DataFrame, k: int) -> np.ndarray:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
+        for batch in pieces(batches, 0):
             kmer, row, _ = shingles(_Sequences(batch.column(0)), k)
             at = (occurrence_labelled(kmer, row) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
             own += np.bincount(at, minlength=len(own))
@@ -454,27 +469,35 @@ def further_pairs(texts: DataFrame, k: int, similarity: float) -> DataFrame:
     the lengths leave."""
     counts = cell_counts(texts, k)
     schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("class", T.LongType()),
-                           T.StructField("n", T.LongType()), T.StructField("keys", T.ArrayType(T.LongType()))])
+                           T.StructField("n", T.LongType()), T.StructField("spare", T.LongType()),
+                           T.StructField("keys", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 2):
             words = _Sequences(batch.column(2))
             keys, offsets = prefixes(words, k, similarity, counts)
+            n_words = np.diff(words.first)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.view(np.int64)))
-            yield record_batch(output_type(schema), batch.column(0), batch.column(1), pa.array(np.diff(words.first)), lists)
+            spare = prefix_lengths(n_words, k, similarity)[1]
+            yield record_batch(output_type(schema), batch.column(0), batch.column(1), pa.array(n_words), pa.array(spare), lists)
 
     keyed = texts.select("node", "class", "words").mapInArrow(run, schema)
-    keyed = keyed.select("node", "class", "n", F.explode("keys").alias("key"))
+    keyed = keyed.select("node", "class", "n", "spare", F.explode("keys").alias("key"))
     mixed = keyed.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("key")
     # Written, so that a key with very many nodes can be split. A class meets another one whole; its own pairs never arise.
     keyed = stored(keyed.join(mixed, "key", "left_semi"))
     heads = stored(keyed.select("key", "class").distinct())
+    ends = {c: [F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("spare").alias(f"s{c}")] for c in "pq"}
     both = (heads.withColumnRenamed("class", "x").join(heads.withColumnRenamed("class", "y"), "key").where("x < y")
-            .join(keyed.select("key", F.col("class").alias("x"), F.col("node").alias("p"), F.col("n").alias("np")), ["key", "x"])
-            .join(keyed.select("key", F.col("class").alias("y"), F.col("node").alias("q"), F.col("n").alias("nq")), ["key", "y"]))
+            .join(keyed.select("key", F.col("class").alias("x"), *ends["p"]), ["key", "x"])
+            .join(keyed.select("key", F.col("class").alias("y"), *ends["q"]), ["key", "y"]))
     longer = F.greatest("np", "nq")
-    near = longer - F.least("np", "nq") <= F.floor((1 - similarity) * longer + 1e-9)
-    return both.where(near).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    edits = F.floor((1 - similarity) * longer + 1e-9)
+    # So many k-mers are shared at that distance (``least_shared``), and so many of them in both prefixes.
+    need = F.least("sp", "sq") + longer - k + 1 - k * edits
+    met = (both.where(longer - F.least("np", "nq") <= edits).groupBy("p", "q")
+           .agg(F.count("*").alias("common"), F.max(need).alias("need")))
+    return met.where("common >= need").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
 
 
 def node_words(own: DataFrame, ids: DataFrame, repeats: bool) -> DataFrame:
@@ -512,7 +535,7 @@ def _own_words(own: DataFrame, wanted: DataFrame, words: T.StructType) -> DataFr
     keyed = T.StructType([T.StructField("hash", T.BinaryType()), T.StructField("text", T.StringType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in pieces(batches, 0):
             yield record_batch(output_type(keyed), sequence_keys(Words(batch.column(0))), batch.column(0))
 
     rows = own.select("text").mapInArrow(run, keyed).join(wanted, "hash").groupBy("node").agg(

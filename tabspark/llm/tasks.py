@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +14,8 @@ from tabspark.session import ensure_checkpoint_dir
 
 #: Bytes of an Arrow batch that a task is handed at once, about.
 BATCH_BYTES = 8 << 20
+#: Bytes of a column that a step with many arrays per word looks at together, about.
+PIECE_BYTES = 1 << 20
 
 
 def output_type(schema: T.StructType) -> pa.Schema:
@@ -31,6 +35,15 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def pieces(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[pa.RecordBatch]:
+    """The batches' rows in slices of about ``PIECE_BYTES`` of a column, a row at least."""
+    for batch in batches:
+        parts = max(1, -(-batch.column(column).nbytes // PIECE_BYTES))
+        rows = max(1, -(-batch.num_rows // parts))
+        for at in range(0, max(1, batch.num_rows), rows):
+            yield batch.slice(at, rows)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` written once to the shared checkpoint folder and read from there."""
     ensure_checkpoint_dir(df.sparkSession)

@@ -9,7 +9,7 @@ from hypothesis import strategies as st
 
 from corpora import prose
 from fixture_paths import SF_SMALL
-from tabspark.llm import near_text
+from tabspark.llm import near_text, tasks
 from tabspark.llm.graph import components
 from tabspark.llm.q_near_text import op10_order_minhash
 from tabspark.llm.text import Words
@@ -231,6 +231,45 @@ def test_alike_texts_share_a_prefix(a, edits, k, similarity, seed):
         assert a == b or np.intersect1d(keys[:at[1]], keys[at[1]:]).size
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 6), min_size=1, max_size=90), st.lists(st.tuples(st.integers(0, 89), st.integers(0, 9)), max_size=12),
+       st.integers(1, 3), st.sampled_from([0.5, 0.8, 0.9]), st.integers(0, 9))
+def test_alike_texts_share_enough_of_their_prefixes(a, edits, k, similarity, seed):
+    """The number of k-mers that ``further_pairs`` asks for is never more than a pair that is alike has in common."""
+    b = list(a)
+    for at, x in edits:
+        b[at % len(b):at % len(b) + (x % 3 != 1)] = [x] * (x % 3 != 2) or b[:1]
+    seq = [np.array(x, np.uint64) for x in (a, b)]
+    words = near_text._Sequences(pa.array([x.tobytes() for x in seq]))
+    counts = np.random.default_rng(seed).integers(0, 5, 1 << near_text.CELL_BITS)
+    keys, at = near_text.prefixes(words, k, similarity, counts)
+    _, spare = near_text.prefix_lengths(np.diff(words.first), k, similarity)
+    longer = max(len(a), len(b))
+    need = spare.min() + longer - k + 1 - k * int((1 - similarity) * longer + 1e-9)
+    if near_text.alike(*seq, similarity) is not None:
+        assert a == b or np.intersect1d(keys[:at[1]], keys[at[1]:]).size >= max(need, 1)
+
+
+def test_few_rare_words_in_common_make_no_pair(spark):
+    """41 texts, each with a run of five words in common with each other one: no pair can be alike, none is compared."""
+    rows = []
+    for i in range(41):
+        runs = [np.arange(5) + 5 * (min(i, j) * 41 + max(i, j)) for j in range(41) if j != i]
+        rows.append((i, i, bytearray(np.concatenate(runs).astype(np.uint64).tobytes())))
+    texts = spark.createDataFrame(rows, "node long, class long, words binary")
+    assert near_text.further_pairs(texts, 2, 0.8).count() == 0
+    near = bytearray(np.concatenate([np.frombuffer(rows[0][2], np.uint64)[:160], np.arange(40, dtype=np.uint64) + 10**6]).tobytes())
+    more = texts.union(spark.createDataFrame([(41, 41, near)], texts.schema))
+    assert [tuple(r) for r in near_text.further_pairs(more, 2, 0.8).collect()] == [(0, 41)]
+
+
+def test_long_batches_are_looked_at_in_pieces():
+    batch = pa.RecordBatch.from_pydict({"id": list(range(400)), "text": ["x" * 10_000] * 399 + [None]})
+    parts = list(tasks.pieces([batch, batch.slice(0, 0)], 1))
+    assert sum(p.num_rows for p in parts) == 400 and [i for p in parts for i in p.column(0).to_pylist()] == list(range(400))
+    assert all(p.column(1).nbytes <= 2 * tasks.PIECE_BYTES for p in parts)
+
+
 def test_short_texts_equal_brute_force(make_docs):
     rng = random.Random(10)
     vocabulary = [f"w{i}" for i in range(300)]
