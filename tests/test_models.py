@@ -1,6 +1,7 @@
 """Fits: closed forms against numpy, model-size monotonicity, learning curves."""
 
 import numpy as np
+import pytest
 
 from tabspark.operators import fit
 
@@ -44,6 +45,19 @@ def test_l1_size_non_increasing(spark):
     assert all(a >= b for a, b in zip(sizes, sizes[1:]))
 
 
+@pytest.mark.parametrize("name, fits", [("logreg_l1", 1), ("l1_constrained_pick", 4)])
+def test_l1_fits_share_cached_training_rows(spark, monkeypatch, name, fits):
+    """A fit on rows that aren't cached would keep its own copy of them; all rows of the training split take part."""
+    from tabspark.plans import catalog, q_models
+
+    seen, fit_one = [], q_models._l1_fit
+    monkeypatch.setattr(q_models, "_l1_fit", lambda rows, lam: seen.append(
+        (rows.storageLevel.useMemory, rows.count())) or fit_one(rows, lam))
+    catalog.get(name).fn(spark, SF_SMALL).collect()
+    n = q_models._split_ex(spark, SF_SMALL).where("split = 'train'").count()
+    assert seen == [(True, n)] * fits
+
+
 def test_mlp_weight_layout_rescoring(spark):
     from pyspark.ml.classification import MultilayerPerceptronClassifier
     from pyspark.ml.linalg import Vectors
