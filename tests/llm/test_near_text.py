@@ -147,6 +147,17 @@ def test_components(spark, n, m):
     assert len(got) == len(want) and {r.node: r.component for r in got} == want
 
 
+def test_estimated_sizes_stay_small_over_rounds(spark):
+    """A chain takes several rounds; the driver's estimate of the result must not be multiplied by each of their joins."""
+    ids = np.random.default_rng(5).permutation(400).tolist()
+    links = spark.createDataFrame(list(zip(ids, ids[1:])), "a long, b long").repartition(3)
+    got = components(links)
+    size = got._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert size < 1 << 64
+    rows = got.collect()
+    assert {r.node for r in rows} == set(ids) and len(rows) == 400 and {r.component for r in rows} == {0}
+
+
 def spread(rng, words, share):
     """Every 1/share-th word changed, from the middle of each stretch on."""
     words, step = list(words), round(1 / share)
