@@ -76,13 +76,13 @@ def _checkpointed(df: DataFrame) -> DataFrame:
 def fit_input(df: DataFrame) -> DataFrame:
     """Prepare the input of an iterative fit: at least one partition per
     core of the cluster (a small table coalesced by AQE would otherwise run
-    every iteration in one task; large inputs keep their partitioning), then
-    written once to the shared checkpoint folder so every pass and every
+    every iteration in one task; large inputs keep their partitioning),
+    written to the shared checkpoint folder so every pass and every
     iteration reads it instead of replaying the upstream joins."""
     par = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < par:
-        df = df.repartition(par)
-    return _checkpointed(df)
+    # Written before it is asked for its partitions, which would run the upstream shuffles a second time.
+    own = _checkpointed(df)
+    return _checkpointed(own.repartition(par)) if own.rdd.getNumPartitions() < par else own
 
 
 def gradient_descent(df: DataFrame, features: Sequence[str], label: str, lr: float, steps: int,

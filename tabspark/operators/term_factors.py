@@ -38,20 +38,25 @@ class TermFactors:
 
 def numbered(values: DataFrame, col: str) -> DataFrame:
     """``(col, _no)``: the different values, numbered from 0 in the order of a hash, block by block."""
-    own = values.select(col).distinct().withColumn("_h", F.md5(F.col(col).cast("string")))
+    # Written: the numbers need it twice, per block and in order.
+    own = materialize(values.select(col).distinct().withColumn("_h", F.md5(F.col(col).cast("string"))))
     return row_number_by_hash(own, "_h", [col], out="_rank").select(col, (F.col("_rank") - 1).cast("int").alias("_no"))
 
 
 def fit(train: DataFrame, rank: int = 8, iterations: int = 8, reg: float = 0.05, alpha: float = 10.0, terms: str = "terms",
         key: str = "id", seed: int = 42) -> TermFactors:
     """Factors of the training documents' terms. Rows without terms, and null terms, add nothing."""
-    cells = materialize(train.select(F.col(key).alias("_doc"), F.explode(terms).alias("term")).where("term is not null")
-                        .groupBy("_doc", "term").agg(F.count(F.lit(1)).cast("float").alias("n")))
+    docs = train.select(F.col(key).alias("_doc"), F.col(terms).alias("_terms"))
+    # Documents are numbered before their terms are laid out: a row each, not one per cell.
+    doc_no = materialize(numbered(docs.where(F.exists("_terms", lambda t: t.isNotNull())), "_doc").withColumnRenamed("_no", "_row"))
+    cells = materialize(docs.join(doc_no, "_doc", "left").select("_doc", "_row", F.explode("_terms").alias("term"))
+                        .where("term is not null").groupBy("_doc", "_row", "term")
+                        .agg(F.count(F.lit(1)).cast("float").alias("n")).select("_row", "term", "n"))
     term_no = materialize(numbered(cells, "term"))
-    doc_no = materialize(numbered(cells, "_doc").withColumnRenamed("_no", "_row"))
     if term_no.isEmpty():
         return TermFactors(term_no.select("term", F.array().cast("array<float>").alias("vector")), rank)
-    rows = cells.join(term_no, "term").join(doc_no, "_doc").select("_row", "_no", "n")
+    # Written: a fit asks an unwritten table for its partitions first, which runs the join a second time.
+    rows = materialize(cells.where("_row is not null").join(term_no, "term").select("_row", "_no", "n"))
     model = ALS(rank=rank, maxIter=iterations, regParam=reg, alpha=alpha, implicitPrefs=True, userCol="_row", itemCol="_no",
                 ratingCol="n", seed=seed).fit(rows)
     factors = model.itemFactors.select(F.col("id").alias("_no"), F.col("features").alias("vector"))

@@ -126,3 +126,20 @@ def test_recipes_share_one_table_and_need_few_jobs(spark, monkeypatch):
     got = {(r.recipe, r.split): r.rmse for r in catalog.get("recipe_compare").fn(spark, SF_SMALL).collect()}
     assert len(built) == 1 and solvers == ["normal"] * 3
     assert len(got) == 6 and got["all_scaled", "train"] < got["minimal", "train"]
+
+
+def test_fit_input_runs_its_plan_once(spark):
+    """The joins before a fit run once, however many partitions they leave."""
+    from pyspark.sql import functions as F
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(batches):
+        for b in batches:
+            seen.add(len(b))
+            yield b
+
+    df = spark.range(200).repartition(4).mapInPandas(watched, "id long").groupBy("id").agg(F.count("*").alias("n"))
+    got = fit.fit_input(df)
+    assert got.count() == 200 and seen.value == 200
+    assert got.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism

@@ -42,3 +42,19 @@ def test_unknown_terms_nulls_and_empty_tables(spark):
     assert got[1] == got[2] == got[3] == [0.0] * 3 and got[4] == [float(x) for x in own]
     empty = term_factors.fit(odd.where("id < 3"), rank=3)
     assert empty.terms.count() == 0 and empty.embed(odd).where("vector[0] = 0").count() == 4
+
+
+def test_documents_are_numbered_by_rows_of_their_own(spark, monkeypatch):
+    """Numbering reads a row per document, not one per document and term; repeated rows, null terms and null ids count once."""
+    given, number = {}, term_factors.numbered
+
+    def watched(values, col):
+        given[col] = values.count()
+        return number(values, col)
+
+    monkeypatch.setattr(term_factors, "numbered", watched)
+    rows = [(1, ["a", "b", "a"]), (1, ["a", "b", "a"]), (2, ["b", "c", None]), (3, [None]), (4, []), (5, None), (None, ["d", "e"])]
+    df = spark.createDataFrame(rows, "id long, terms array<string>").repartition(2)
+    got = term_factors.fit(df, rank=2, iterations=2)
+    assert given["_doc"] == 4
+    assert {r.term for r in got.terms.collect()} == {"a", "b", "c"}
