@@ -328,12 +328,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = stored(components(links.select("a", "b")))
     apart = stored(unsettled(met, labels.select("node.node", F.col("component.node").alias("class"))))
     if not apart.isEmpty():
-        ids = apart.join(nodes.select("node", "rep", "hash"), "node")
-        if apart.count() <= AT_HAND:
+        wanted = apart.select("node").distinct()
+        ids = wanted.join(nodes.select("node", "rep", "hash"), "node")
+        if wanted.count() <= AT_HAND:
             ids = F.broadcast(ids)  # the texts needn't be shuffled for these few
-        texts = stored(node_words(own, ids, repeats).join(apart, "node"))
-        more = further_pairs(texts, k_words, similarity).join(pairs, ["a", "b"], "left_anti")
-        links = _links(more, ids, texts.drop("class"), id_type, similarity).select("a", "b")
+        more = stored(further_pairs(node_words(own, ids, repeats), k_words, similarity, apart).join(pairs, ["a", "b"], "left_anti"))
+        ids = more.select(F.col("a").alias("node")).union(more.select("b")).distinct().join(nodes.select("node", "rep", "hash"), "node")
+        links = _links(more, ids, node_words(own, ids, repeats), id_type, similarity, -(-more.count() // ALIGNED)).select("a", "b")
         # A class is its nodes' links to the smallest.
         labels = components(links.union(labels.select("node", "component")))
     labels = labels.withColumnRenamed("node", "named")
@@ -374,16 +375,18 @@ def candidate_pairs(met: DataFrame) -> DataFrame:
 
 
 def unsettled(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(node, class)`` of the nodes of large buckets that hold more than one class; ``classes`` has the nodes with links."""
+    """``(bucket, node, class)`` of the large buckets that hold more than one class; ``classes`` has the nodes with links."""
     member = (met.where("bucket is not null").select("bucket", F.col("b").alias("node")).distinct()
               .join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")))
     mixed = member.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
-    return member.join(mixed, "bucket", "left_semi").select("node", "class").distinct()
+    return member.join(mixed, "bucket", "left_semi").select("bucket", "node", "class")
 
 
 #: Nodes whose ids are small enough to be sent to all tasks; more are joined by a shuffle, with the same rows.
 AT_HAND = 500_000
-#: Cells that k-mers fall into by hash, to be counted.
+#: Pairs of the second round that a task aligns.
+ALIGNED = 2000
+#: Cells that k-mers fall into by hash, counted for ``prefixes``.
 CELL_BITS = 18
 #: k-mers that two texts must have in common in their prefixes, and the share of those that they share at least added to it.
 COMMON, COMMON_SHARE = 3, 0.05
@@ -445,59 +448,122 @@ def prefixes(words: _Sequences, k: int, similarity: float, counts: np.ndarray) -
     return keys[back], np.searchsorted(owner[back], np.arange(len(size) + 1))
 
 
-def cell_counts(texts: DataFrame, k: int) -> np.ndarray:
-    """How many labelled k-mers of all ``words`` fall into each cell; as many numbers as cells, whatever the input."""
-    cell = T.StructType([T.StructField("cell", T.LongType()), T.StructField("n", T.LongType())])
+#: Bits of a signature per word, and its least and most bits (powers of two); nodes of a block, about.
+SIGNATURE_BITS, LEAST_BITS, MOST_BITS, BLOCK = 4, 256, 1 << 15, 256
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in pieces(batches, 0):
-            kmer, row, _ = shingles(_Sequences(batch.column(0)), k)
-            at = (occurrence_labelled(kmer, row) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-            own += np.bincount(at, minlength=len(own))
-        some = np.flatnonzero(own)
-        yield record_batch(output_type(cell), pa.array(some), pa.array(own[some]))
-
-    out = np.zeros(1 << CELL_BITS, np.int64)
-    got = texts.select("words").mapInArrow(run, cell).groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    out[got["cell"].to_numpy()] = got["n"].to_numpy()
-    return out
 
+def signatures(words: Words | _Sequences, k: int) -> list[bytes]:
+    """Each row's labelled k-mers as bits: a bit says whether an odd number of them falls there by hash.
 
-def further_pairs(texts: DataFrame, k: int, similarity: float) -> DataFrame:
-    """All pairs ``(a, b)``, a < b, of ``(node, words, class)`` in different classes that the bounds of ``prefixes`` and of
-    the lengths leave."""
-    counts = cell_counts(texts, k)
-    schema = T.StructType([T.StructField("node", T.LongType()), T.StructField("class", T.LongType()),
-                           T.StructField("n", T.LongType()), T.StructField("spare", T.LongType()),
-                           T.StructField("keys", T.ArrayType(T.LongType()))])
+    Two signatures differ in no more bits than the rows have k-mers that are
+    not in both. A longer text has a longer one, which folds to half its bits
+    by xor of its halves.
+    """
+    kmer, row, _ = shingles(words, k)
+    label = occurrence_labelled(kmer, row)
+    n_words = np.diff(words.first)
+    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(SIGNATURE_BITS * n_words, 1))).astype(np.int64))
+    bits = np.clip(bits, LEAST_BITS, MOST_BITS)
+    start = np.concatenate([[0], np.cumsum(bits)])
+    at = start[:-1][row] + (label & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
+    packed = np.packbits((np.bincount(at, minlength=start[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
+    return [packed[i // 8:j // 8] for i, j in zip(start, start[1:])]
+
+
+class _Block:
+    """Nodes with their classes, numbers of words and signatures, sorted by the signatures' length."""
+
+    def __init__(self, rows: Sequence[dict]):
+        rows = sorted(rows, key=lambda r: len(r["words"]))
+        self.node, self.cls, self.n = (np.array([r[c] for r in rows], np.int64) for c in ("node", "class", "n"))
+        width = np.array([len(r["words"]) for r in rows], np.int64)
+        #: For each length: which rows, and their signatures by words and by k-mers.
+        self.parts = {}
+        for w in np.unique(width).tolist():
+            lo, hi = np.searchsorted(width, [w, w + 1])
+            self.parts[w] = (slice(lo, hi), [np.frombuffer(b"".join(r[c] for r in rows[lo:hi]), np.uint64).reshape(hi - lo, -1)
+                                             for c in ("words", "kmers")])
+
+
+def _folded(bits: np.ndarray, width: int) -> np.ndarray:
+    while bits.shape[1] * 8 > width:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] ^ bits[:, half:]
+    return bits
+
+
+def near_in_blocks(x: _Block, y: _Block, k: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (a, b), a < b, of a node of either block that differ in class and that lengths and signatures leave."""
+    left, right = [], []
+    for wx, (ox, sx) in x.parts.items():
+        for wy, (oy, sy) in y.parts.items():
+            width = min(wx, wy)
+            fx, fy = ([_folded(s, width) for s in side] for side in (sx, sy))
+            node, cls, n = y.node[oy], y.cls[oy], y.n[oy]
+            for i, (own, c, m) in enumerate(zip(x.node[ox], x.cls[ox], x.n[ox])):
+                longer = np.maximum(n, m)
+                limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+                some = np.flatnonzero((cls != c) & (longer - np.minimum(n, m) <= limit) & ((node > own) if x is y else True))
+                # An edit touches one word and k k-mers: texts at that distance have so many in common (``least_shared``).
+                for j, size in enumerate((1, k)):
+                    if not len(some):
+                        break
+                    need = np.maximum(longer[some] - size + 1 - size * limit[some], 0)
+                    apart = np.maximum(n[some] - size + 1, 1) + max(m - size + 1, 1) - 2 * need
+                    some = some[np.bitwise_count(fy[j][some] ^ fx[j][i]).sum(axis=1, dtype=np.int64) <= apart]
+                left.append(np.full(len(some), own))
+                right.append(node[some])
+    a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (left, right))
+    return np.minimum(a, b), np.maximum(a, b)
+
+
+def further_pairs(texts: DataFrame, k: int, similarity: float, member: DataFrame | None = None) -> DataFrame:
+    """All pairs ``(a, b)``, a < b, of ``(node, words)`` that share a bucket of ``member`` (bucket, node, class), differ in
+    class and are left by the bounds of ``near_in_blocks``. Without ``member`` all ``texts`` (with a class) are one bucket.
+
+    A bucket's nodes are dealt to blocks of about ``BLOCK``; a class with more nodes in a bucket has blocks of its own,
+    which are not compared with each other. A task compares two blocks, so a bucket of any size is shared by many.
+    """
+    if member is None:
+        member = stored(texts.select(F.lit(0).cast("long").alias("bucket"), "node", "class"))
+    mark = T.StructType([T.StructField("node", T.LongType()), T.StructField("n", T.LongType()),
+                         T.StructField("words", T.BinaryType()), T.StructField("kmers", T.BinaryType())])
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces(batches, 2):
-            words = _Sequences(batch.column(2))
-            keys, offsets = prefixes(words, k, similarity, counts)
-            n_words = np.diff(words.first)
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.view(np.int64)))
-            spare = prefix_lengths(n_words, k, similarity)[1]
-            yield record_batch(output_type(schema), batch.column(0), batch.column(1), pa.array(n_words), pa.array(spare), lists)
-
-    keyed = texts.select("node", "class", "words").mapInArrow(run, schema)
-    keyed = keyed.select("node", "class", "n", "spare", F.explode("keys").alias("key"))
-    mixed = keyed.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y").select("key")
-    # Written, so that a key with very many nodes can be split. A class meets another one whole; its own pairs never arise.
-    keyed = stored(keyed.join(mixed, "key", "left_semi"))
-    heads = stored(keyed.select("key", "class").distinct())
-    ends = {c: [F.col("node").alias(c), F.col("n").alias(f"n{c}"), F.col("spare").alias(f"s{c}")] for c in "pq"}
-    both = (heads.withColumnRenamed("class", "x").join(heads.withColumnRenamed("class", "y"), "key").where("x < y")
-            .join(keyed.select("key", F.col("class").alias("x"), *ends["p"]), ["key", "x"])
-            .join(keyed.select("key", F.col("class").alias("y"), *ends["q"]), ["key", "y"]))
-    longer = F.greatest("np", "nq")
-    edits = F.floor((1 - similarity) * longer + 1e-9)
-    # So many k-mers are shared at that distance (``least_shared``), and so many of them in both prefixes.
-    need = F.least("sp", "sq") + longer - k + 1 - k * edits
-    met = (both.where(longer - F.least("np", "nq") <= edits).groupBy("p", "q")
-           .agg(F.count("*").alias("common"), F.max(need).alias("need")))
-    return met.where("common >= need").select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
+    def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            words = _Sequences(batch.column(1))
+            yield record_batch(output_type(mark), batch.column(0), pa.array(np.diff(words.first)), signatures(words, 1),
+                               signatures(words, k))
+
+    marks = stored(texts.select("node", "words").mapInArrow(signed, mark))
+    sizes = member.groupBy("bucket", "class").agg(F.count("*").alias("size")).withColumn(
+        "own", F.when(F.col("size") > BLOCK, F.col("class")))
+    rest = sizes.groupBy("bucket").agg(F.sum(F.when(F.col("own").isNull(), F.col("size"))).alias("rest"))
+    sizes = sizes.join(rest, "bucket").select(
+        "bucket", "class", "own", F.ceil(F.when(F.col("own").isNull(), F.col("rest")).otherwise(F.col("size")) / BLOCK).alias("of"))
+    # Both sides are written, so that a class with very many nodes in a bucket can be split.
+    dealt = member.join(stored(sizes), ["bucket", "class"]).select(
+        "bucket", "own", F.pmod(F.xxhash64("node"), F.col("of")).alias("no"), "node", "class")
+    blocks = stored(dealt.join(marks, "node").groupBy("bucket", "own", "no")
+                    .agg(F.collect_list(F.struct("node", "class", "n", "words", "kmers")).alias("rows"))  # about BLOCK
+                    .withColumn("block", F.monotonically_increasing_id()))
+    ends = {c: blocks.select(F.col("block").alias(c), "bucket", F.col("own").alias(f"own_{c}")) for c in "xy"}
+    two = ends["x"].join(ends["y"], "bucket").where("x < y and not coalesce(own_x = own_y, false)").select("x", "y")
+    both = (two.join(blocks.select(F.col("block").alias("x"), F.col("rows").alias("left")), "x")
+            .join(blocks.select(F.col("block").alias("y"), F.col("rows").alias("right")), "y").select("left", "right"))
+    alone = blocks.where("own is null").select(F.col("rows").alias("left"), F.lit(None).cast(blocks.schema["rows"].dataType).alias("right"))
+    pair = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                x = _Block(batch.column(0)[at].as_py())
+                y = batch.column(1)[at].as_py()
+                a, b = near_in_blocks(x, x if y is None else _Block(y), k, similarity)
+                if len(a):
+                    yield record_batch(output_type(pair), pa.array(a), pa.array(b))
+
+    return alone.unionByName(both).mapInArrow(compared, pair).distinct()
 
 
 def node_words(own: DataFrame, ids: DataFrame, repeats: bool) -> DataFrame:
@@ -509,8 +575,9 @@ def node_words(own: DataFrame, ids: DataFrame, repeats: bool) -> DataFrame:
             .mapInArrow(_sequences(output_type(words)), words))
 
 
-def _links(pairs: DataFrame, ids: DataFrame, texts: DataFrame, id_type: T.DataType, similarity: float) -> DataFrame:
-    """``(a, b, similarity)`` of the pairs that are alike, each end with its smallest id."""
+def _links(pairs: DataFrame, ids: DataFrame, texts: DataFrame, id_type: T.DataType, similarity: float,
+           tasks: int = 0) -> DataFrame:
+    """``(a, b, similarity)`` of the pairs that are alike, each end with its smallest id; ``tasks``: aligned in so many."""
     for end in "ab":
         pairs = pairs.join(ids.select(F.col("node").alias(end), named("rep", "node").alias(f"n{end}")), end)
     point = T.StructType([T.StructField("none", T.BooleanType()), T.StructField("rep", id_type),
@@ -518,6 +585,7 @@ def _links(pairs: DataFrame, ids: DataFrame, texts: DataFrame, id_type: T.DataTy
     link = T.StructType([T.StructField("a", point), T.StructField("b", point), T.StructField("similarity", T.DoubleType())])
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b").select("na", "nb", "wa", "wb"))
+    both = both.repartition(tasks) if tasks else both  # few bytes may be many alignments
     return both.mapInArrow(_verify(similarity, output_type(link)), link)
 
 

@@ -274,6 +274,53 @@ def test_few_rare_words_in_common_make_no_pair(spark):
     assert [tuple(r) for r in near_text.further_pairs(more, 2, 0.8).collect()] == [(0, 41)]
 
 
+def block_row(node, cls, words, k=2):
+    w = near_text._Sequences(pa.array([np.array(words, np.uint64).tobytes()]))
+    return {"node": node, "class": cls, "n": len(words), "words": near_text.signatures(w, 1)[0],
+            "kmers": near_text.signatures(w, k)[0]}
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.integers(0, 6), min_size=1, max_size=90), st.lists(st.tuples(st.integers(0, 89), st.integers(0, 9)), max_size=12),
+       st.integers(1, 3), st.sampled_from([0.5, 0.8, 0.9]))
+def test_alike_texts_pass_the_signatures(a, edits, k, similarity):
+    """No pair that is alike is ruled out, also if one signature is longer; nothing is paired within a class."""
+    b = list(a)
+    for at, x in edits:
+        b[at % len(b):at % len(b) + (x % 3 != 1)] = [x] * (x % 3 != 2) or b[:1]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(near_text, "LEAST_BITS", 64)
+        rows = [block_row(7, 1, a, k), block_row(3, 2, b, k)]
+    got = [list(zip(*(z.tolist() for z in near_text.near_in_blocks(x, y, k, similarity))))
+           for both in [near_text._Block(rows)] for x, y in [(both, both), tuple(near_text._Block([r]) for r in rows)]]
+    if near_text.alike(np.array(a, np.uint64), np.array(b, np.uint64), similarity) is not None:
+        assert got == [[(3, 7)]] * 2
+    both = near_text._Block([r | {"class": 1} for r in rows])
+    assert not len(near_text.near_in_blocks(both, both, k, similarity)[0])
+
+
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    """Each pair of a bucket that is alike and of two classes is found, however its nodes are dealt; none of other buckets."""
+    rng = np.random.default_rng(3)
+    base, words = rng.integers(0, 10**9, 100), {}
+    for i in range(60):
+        words[i] = base.copy() if i < 40 else rng.integers(0, 10**9, 100)
+        words[i][rng.choice(100, 5, replace=False)] = rng.integers(0, 10**9, 5)
+    words[58][:90], words[59][:90] = words[41][:90], words[41][:90]
+    words[60] = words[41].copy()
+    words[60][:3] = 1
+    cls = {i: 0 if i < 38 else i for i in words}
+    bucket = [(0, i) for i in range(59)] + [(1, 41), (1, 59)] + [(2, 60), (2, 2)]
+    texts = spark.createDataFrame([(i, bytearray(w.astype(np.uint64).tobytes())) for i, w in words.items()], "node long, words binary")
+    member = spark.createDataFrame([(b, i, cls[i]) for b, i in bucket], "bucket long, node long, class long")
+    want = {(a, b) for a in words for b in words if a < b and cls[a] != cls[b] and {x for x, i in bucket if i == a} & {x for x, i in bucket if i == b}
+            and near_text.alike(words[a].astype(np.uint64), words[b].astype(np.uint64), 0.8) is not None}
+    assert {(41, 58), (41, 59), (38, 39)} <= want and len(want) == 2 * 38 + 3
+    for size in (4, 256):
+        monkeypatch.setattr(near_text, "BLOCK", size)
+        assert sorted(tuple(r) for r in near_text.further_pairs(texts, 2, 0.8, member).collect()) == sorted(want)
+
+
 def test_long_batches_are_looked_at_in_pieces():
     batch = pa.RecordBatch.from_pydict({"id": list(range(400)), "text": ["x" * 10_000] * 399 + [None]})
     parts = list(tasks.pieces([batch, batch.slice(0, 0)], 1))
