@@ -268,7 +268,8 @@ def _fingerprints(families: tuple, k: int, schema: pa.Schema):
             words = Words(batch.column(1))
             keys, offsets = all_keys(words, k, families)
             lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(keys.view(np.int64)))
-            yield record_batch(schema, batch.column(0), sequence_keys(words), lists)
+            yield record_batch(schema, batch.column(0), sequence_keys(words), lists, pa.array(np.diff(words.first)),
+                               signatures(words, 1), signatures(words, k))
 
     return run
 
@@ -311,16 +312,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     id_type = docs.schema[id_col].dataType
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("id", id_type), T.StructField("node", T.BinaryType()),
-                           T.StructField("keys", T.ArrayType(T.LongType()))])
+                           T.StructField("keys", T.ArrayType(T.LongType())), *MARK.fields[1:]])
     marked = own.mapInArrow(_fingerprints(families, k_words, output_type(schema)), schema)
     # A node is a number from here on: 8 bytes instead of the 16 of its words' hash.
     nodes = stored(marked.where(F.col("node").isNotNull()).groupBy(F.col("node").alias("hash"))
-                   .agg(F.min("id").alias("rep"), F.first("keys").alias("keys"))
+                   .agg(F.min("id").alias("rep"), *(F.first(c).alias(c) for c in ("keys", *MARK.names[1:])))
                    .withColumn("node", F.monotonically_increasing_id()))
     # A repeated id may have other texts besides: the words must be the node's own.
     repeats = id_repeats(nodes)
     met = stored(meetings(nodes.select(F.explode("keys").alias("bucket"), "node")))
-    pairs = stored(candidate_pairs(met))
+    marks = nodes.select(*MARK.names)
+    pairs = stored(maybe_alike(candidate_pairs(met), marks, k_words, similarity))
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
     ids = wanted.join(nodes.select("node", "rep", "hash"), "node")
     links = _links(pairs, ids, node_words(own, ids, repeats), id_type, similarity)
@@ -328,11 +330,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labels = stored(components(links.select("a", "b")))
     apart = stored(unsettled(met, labels.select("node.node", F.col("component.node").alias("class"))))
     if not apart.isEmpty():
-        wanted = apart.select("node").distinct()
-        ids = wanted.join(nodes.select("node", "rep", "hash"), "node")
-        if wanted.count() <= AT_HAND:
-            ids = F.broadcast(ids)  # the texts needn't be shuffled for these few
-        more = stored(further_pairs(node_words(own, ids, repeats), k_words, similarity, apart).join(pairs, ["a", "b"], "left_anti"))
+        more = stored(pairs_in_blocks(marks, apart, k_words, similarity).join(pairs, ["a", "b"], "left_anti"))
         ids = more.select(F.col("a").alias("node")).union(more.select("b")).distinct().join(nodes.select("node", "rep", "hash"), "node")
         links = _links(more, ids, node_words(own, ids, repeats), id_type, similarity, -(-more.count() // ALIGNED)).select("a", "b")
         # A class is its nodes' links to the smallest.
@@ -352,8 +350,7 @@ def meetings(member: DataFrame) -> DataFrame:
     """``(a, b, bucket)`` from ``(bucket, node)``: the pairs of small buckets (``bucket`` null), and each node ``b`` of a
     large one with its one or three centres ``a``, itself perhaps."""
     # Most buckets have one node; both are written, so that partitions of a bucket with very many members can be split.
-    shared = stored(member.groupBy("bucket").agg(F.min("node").alias("c1"), F.max("node").alias("c2"))
-                    .where("c1 < c2").select("bucket"))
+    shared = stored(member.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"))
     member = stored(member.join(shared, "bucket", "left_semi"))
     turned = F.struct(F.xxhash64("node").alias("h"), F.col("node").alias("node"))
     buckets = stored(member.groupBy("bucket")
@@ -375,15 +372,15 @@ def candidate_pairs(met: DataFrame) -> DataFrame:
 
 
 def unsettled(met: DataFrame, classes: DataFrame) -> DataFrame:
-    """``(bucket, node, class)`` of the large buckets that hold more than one class; ``classes`` has the nodes with links."""
+    """``(bucket, node, class)`` of the large buckets that hold more than one class, numbered; ``classes`` has the nodes with
+    links."""
     member = (met.where("bucket is not null").select("bucket", F.col("b").alias("node")).distinct()
               .join(classes, "node", "left").withColumn("class", F.coalesce("class", "node")))
     mixed = member.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x < y")
-    return member.join(mixed, "bucket", "left_semi").select("bucket", "node", "class")
+    mixed = stored(mixed.select("bucket", F.monotonically_increasing_id().alias("no")))  # most bits alike, unlike a key's
+    return member.join(mixed, "bucket").select(F.col("no").alias("bucket"), "node", "class")
 
 
-#: Nodes whose ids are small enough to be sent to all tasks; more are joined by a shuffle, with the same rows.
-AT_HAND = 500_000
 #: Pairs of the second round that a task aligns.
 ALIGNED = 2000
 #: Cells that k-mers fall into by hash, counted for ``prefixes``.
@@ -448,8 +445,11 @@ def prefixes(words: _Sequences, k: int, similarity: float, counts: np.ndarray) -
     return keys[back], np.searchsorted(owner[back], np.arange(len(size) + 1))
 
 
-#: Bits of a signature per word, and its least and most bits (powers of two); nodes of a block, about.
-SIGNATURE_BITS, LEAST_BITS, MOST_BITS, BLOCK = 4, 256, 1 << 15, 256
+#: Bits of a signature per word at most (half as many at least), and its least and most bits (powers of two); nodes of a block, about.
+SIGNATURE_BITS, LEAST_BITS, MOST_BITS, BLOCK = 4, 64, 1 << 15, 1024
+#: A node's number of words, and its signatures by words and by k-mers.
+MARK = T.StructType([T.StructField("node", T.LongType()), T.StructField("n", T.LongType()),
+                     T.StructField("words", T.BinaryType()), T.StructField("kmers", T.BinaryType())])
 
 
 def signatures(words: Words | _Sequences, k: int) -> list[bytes]:
@@ -462,20 +462,49 @@ def signatures(words: Words | _Sequences, k: int) -> list[bytes]:
     kmer, row, _ = shingles(words, k)
     label = occurrence_labelled(kmer, row)
     n_words = np.diff(words.first)
-    bits = np.left_shift(1, np.ceil(np.log2(np.maximum(SIGNATURE_BITS * n_words, 1))).astype(np.int64))
+    bits = np.left_shift(1, np.floor(np.log2(np.maximum(SIGNATURE_BITS * n_words, 1))).astype(np.int64))
     bits = np.clip(bits, LEAST_BITS, MOST_BITS)
     start = np.concatenate([[0], np.cumsum(bits)])
     at = start[:-1][row] + (label & (bits[row] - 1).astype(np.uint64)).astype(np.int64)
-    packed = np.packbits((np.bincount(at, minlength=start[-1]) & 1).astype(np.uint8), bitorder="little").tobytes()
+    packed = np.zeros(start[-1] // 64, np.uint64)
+    np.bitwise_xor.at(packed, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+    packed = packed.tobytes()
     return [packed[i // 8:j // 8] for i, j in zip(start, start[1:])]
 
 
+def maybe_alike(pairs: DataFrame, marks: DataFrame, k: int, similarity: float) -> DataFrame:
+    """The pairs ``(a, b)`` that the bounds of ``near_in_blocks`` leave, so that others' words needn't be brought together."""
+    for end in "ab":
+        pairs = pairs.join(marks.select(*(F.col(c).alias(end if c == "node" else c + end) for c in MARK.names)), end)
+    pair = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(i).to_numpy() for i in (2, 5))
+            longer = np.maximum(n, m)
+            limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
+            keep = longer - np.minimum(n, m) <= limit
+            for left, right, size in ((3, 6, 1), (4, 7, k)):
+                need = np.maximum(longer - size + 1 - size * limit, 0)
+                most = np.maximum(n - size + 1, 1) + np.maximum(m - size + 1, 1) - 2 * need
+                x, y = (batch.column(i).to_pylist() for i in (left, right))
+                for i in np.flatnonzero(keep):
+                    p, q = (np.frombuffer(z, np.uint64)[None] for z in (x[i], y[i]))
+                    width = 8 * min(p.shape[1], q.shape[1])
+                    keep[i] = np.bitwise_count(_folded(p, width) ^ _folded(q, width)).sum(dtype=np.int64) <= most[i]
+            yield batch.select([0, 1]).filter(pa.array(keep)).cast(output_type(pair))
+
+    return pairs.select("a", "b", *(c + end for end in "ab" for c in MARK.names[1:])).mapInArrow(run, pair)
+
+
 class _Block:
-    """Nodes with their classes, numbers of words and signatures, sorted by the signatures' length."""
+    """Nodes of a bucket with their classes, numbers of words and signatures, sorted by the signatures' length."""
 
-    def __init__(self, rows: Sequence[dict]):
+    def __init__(self, rows: Sequence[dict], bucket: int):
         rows = sorted(rows, key=lambda r: len(r["words"]))
         self.node, self.cls, self.n = (np.array([r[c] for r in rows], np.int64) for c in ("node", "class", "n"))
+        #: Buckets that were compared or will be in another place, of smaller numbers.
+        self.before = [frozenset(b for b in r["buckets"] if b < bucket) for r in rows]
         width = np.array([len(r["words"]) for r in rows], np.int64)
         #: For each length: which rows, and their signatures by words and by k-mers.
         self.parts = {}
@@ -493,14 +522,17 @@ def _folded(bits: np.ndarray, width: int) -> np.ndarray:
 
 
 def near_in_blocks(x: _Block, y: _Block, k: int, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs (a, b), a < b, of a node of either block that differ in class and that lengths and signatures leave."""
+    """The pairs (a, b), a < b, of a node of either block that differ in class and that lengths and signatures leave.
+
+    A pair of several buckets is named in that of the smallest number.
+    """
     left, right = [], []
     for wx, (ox, sx) in x.parts.items():
         for wy, (oy, sy) in y.parts.items():
             width = min(wx, wy)
             fx, fy = ([_folded(s, width) for s in side] for side in (sx, sy))
-            node, cls, n = y.node[oy], y.cls[oy], y.n[oy]
-            for i, (own, c, m) in enumerate(zip(x.node[ox], x.cls[ox], x.n[ox])):
+            node, cls, n, before = y.node[oy], y.cls[oy], y.n[oy], y.before[oy]
+            for i, (own, c, m, seen) in enumerate(zip(x.node[ox], x.cls[ox], x.n[ox], x.before[ox])):
                 longer = np.maximum(n, m)
                 limit = ((1 - similarity) * longer + 1e-9).astype(np.int64)
                 some = np.flatnonzero((cls != c) & (longer - np.minimum(n, m) <= limit) & ((node > own) if x is y else True))
@@ -511,31 +543,37 @@ def near_in_blocks(x: _Block, y: _Block, k: int, similarity: float) -> tuple[np.
                     need = np.maximum(longer[some] - size + 1 - size * limit[some], 0)
                     apart = np.maximum(n[some] - size + 1, 1) + max(m - size + 1, 1) - 2 * need
                     some = some[np.bitwise_count(fy[j][some] ^ fx[j][i]).sum(axis=1, dtype=np.int64) <= apart]
+                if seen:
+                    some = some[[seen.isdisjoint(before[j]) for j in some]]
                 left.append(np.full(len(some), own))
                 right.append(node[some])
     a, b = (np.concatenate(z) if z else np.zeros(0, np.int64) for z in (left, right))
     return np.minimum(a, b), np.maximum(a, b)
 
 
-def further_pairs(texts: DataFrame, k: int, similarity: float, member: DataFrame | None = None) -> DataFrame:
-    """All pairs ``(a, b)``, a < b, of ``(node, words)`` that share a bucket of ``member`` (bucket, node, class), differ in
-    class and are left by the bounds of ``near_in_blocks``. Without ``member`` all ``texts`` (with a class) are one bucket.
-
-    A bucket's nodes are dealt to blocks of about ``BLOCK``; a class with more nodes in a bucket has blocks of its own,
-    which are not compared with each other. A task compares two blocks, so a bucket of any size is shared by many.
-    """
-    if member is None:
-        member = stored(texts.select(F.lit(0).cast("long").alias("bucket"), "node", "class"))
-    mark = T.StructType([T.StructField("node", T.LongType()), T.StructField("n", T.LongType()),
-                         T.StructField("words", T.BinaryType()), T.StructField("kmers", T.BinaryType())])
+def further_pairs(texts: DataFrame, k: int, similarity: float) -> DataFrame:
+    """All pairs ``(a, b)``, a < b, of ``(node, words, class)`` in different classes that the bounds of ``near_in_blocks``
+    leave: all texts are one bucket."""
 
     def signed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, 1):
             words = _Sequences(batch.column(1))
-            yield record_batch(output_type(mark), batch.column(0), pa.array(np.diff(words.first)), signatures(words, 1),
+            yield record_batch(output_type(MARK), batch.column(0), pa.array(np.diff(words.first)), signatures(words, 1),
                                signatures(words, k))
 
-    marks = stored(texts.select("node", "words").mapInArrow(signed, mark))
+    member = texts.select(F.lit(0).cast("long").alias("bucket"), "node", "class")
+    return pairs_in_blocks(texts.select("node", "words").mapInArrow(signed, MARK), stored(member), k, similarity)
+
+
+def pairs_in_blocks(marks: DataFrame, member: DataFrame, k: int, similarity: float) -> DataFrame:
+    """All pairs ``(a, b)``, a < b, of nodes that share a bucket of ``member`` (bucket, node, class; stored), differ in
+    class and are left by the bounds of ``near_in_blocks``, each once.
+
+    A bucket's nodes are dealt to blocks of about ``BLOCK``; a class with more nodes in a bucket has blocks of its own,
+    which are not compared with each other. A task compares two blocks, so a bucket of any size is shared by many.
+    """
+    own = member.groupBy("node").agg(F.collect_list("bucket").alias("buckets"))  # one per sketch at most
+    marks = stored(marks.join(own, "node"))
     sizes = member.groupBy("bucket", "class").agg(F.count("*").alias("size")).withColumn(
         "own", F.when(F.col("size") > BLOCK, F.col("class")))
     rest = sizes.groupBy("bucket").agg(F.sum(F.when(F.col("own").isNull(), F.col("size"))).alias("rest"))
@@ -545,25 +583,25 @@ def further_pairs(texts: DataFrame, k: int, similarity: float, member: DataFrame
     dealt = member.join(stored(sizes), ["bucket", "class"]).select(
         "bucket", "own", F.pmod(F.xxhash64("node"), F.col("of")).alias("no"), "node", "class")
     blocks = stored(dealt.join(marks, "node").groupBy("bucket", "own", "no")
-                    .agg(F.collect_list(F.struct("node", "class", "n", "words", "kmers")).alias("rows"))  # about BLOCK
+                    .agg(F.collect_list(F.struct("class", "buckets", *MARK.names)).alias("rows"))  # about BLOCK
                     .withColumn("block", F.monotonically_increasing_id()))
     ends = {c: blocks.select(F.col("block").alias(c), "bucket", F.col("own").alias(f"own_{c}")) for c in "xy"}
-    two = ends["x"].join(ends["y"], "bucket").where("x < y and not coalesce(own_x = own_y, false)").select("x", "y")
+    two = ends["x"].join(ends["y"], "bucket").where("x < y and not coalesce(own_x = own_y, false)").select("bucket", "x", "y")
     both = (two.join(blocks.select(F.col("block").alias("x"), F.col("rows").alias("left")), "x")
-            .join(blocks.select(F.col("block").alias("y"), F.col("rows").alias("right")), "y").select("left", "right"))
-    alone = blocks.where("own is null").select(F.col("rows").alias("left"), F.lit(None).cast(blocks.schema["rows"].dataType).alias("right"))
+            .join(blocks.select(F.col("block").alias("y"), F.col("rows").alias("right")), "y").select("bucket", "left", "right"))
+    alone = blocks.where("own is null").select("bucket", F.col("rows").alias("left"), F.lit(None).cast(blocks.schema["rows"].dataType).alias("right"))
     pair = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def compared(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                x = _Block(batch.column(0)[at].as_py())
-                y = batch.column(1)[at].as_py()
-                a, b = near_in_blocks(x, x if y is None else _Block(y), k, similarity)
+                bucket, left, right = (column[at].as_py() for column in batch.columns)
+                x = _Block(left, bucket)
+                a, b = near_in_blocks(x, x if right is None else _Block(right, bucket), k, similarity)
                 if len(a):
                     yield record_batch(output_type(pair), pa.array(a), pa.array(b))
 
-    return alone.unionByName(both).mapInArrow(compared, pair).distinct()
+    return alone.unionByName(both).mapInArrow(compared, pair)
 
 
 def node_words(own: DataFrame, ids: DataFrame, repeats: bool) -> DataFrame:
@@ -571,20 +609,20 @@ def node_words(own: DataFrame, ids: DataFrame, repeats: bool) -> DataFrame:
     words = T.StructType([T.StructField("node", T.LongType()), T.StructField("words", T.BinaryType())])
     if repeats:
         return _own_words(own, ids.select("node", "hash"), words)
-    return (own.join(ids.select(F.col("rep").alias("id"), "node"), "id").select("node", "text")  # keeps a broadcast hint
+    return (own.join(ids.select(F.col("rep").alias("id"), "node"), "id").select("node", "text")
             .mapInArrow(_sequences(output_type(words)), words))
 
 
 def _links(pairs: DataFrame, ids: DataFrame, texts: DataFrame, id_type: T.DataType, similarity: float,
            tasks: int = 0) -> DataFrame:
     """``(a, b, similarity)`` of the pairs that are alike, each end with its smallest id; ``tasks``: aligned in so many."""
-    for end in "ab":
-        pairs = pairs.join(ids.select(F.col("node").alias(end), named("rep", "node").alias(f"n{end}")), end)
     point = T.StructType([T.StructField("none", T.BooleanType()), T.StructField("rep", id_type),
                         T.StructField("node", T.LongType())])
     link = T.StructType([T.StructField("a", point), T.StructField("b", point), T.StructField("similarity", T.DoubleType())])
-    both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("words").alias("wa")), "a")
-            .join(texts.select(F.col("node").alias("b"), F.col("words").alias("wb")), "b").select("na", "nb", "wa", "wb"))
+    texts = texts.join(ids.select("node", "rep"), "node").select("node", named("rep", "node").alias("n"), "words")
+    for end in "ab":
+        pairs = pairs.join(texts.select(F.col("node").alias(end), F.col("n").alias(f"n{end}"), F.col("words").alias(f"w{end}")), end)
+    both = pairs.select("na", "nb", "wa", "wb")
     both = both.repartition(tasks) if tasks else both  # few bytes may be many alignments
     return both.mapInArrow(_verify(similarity, output_type(link)), link)
 

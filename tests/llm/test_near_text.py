@@ -276,7 +276,7 @@ def test_few_rare_words_in_common_make_no_pair(spark):
 
 def block_row(node, cls, words, k=2):
     w = near_text._Sequences(pa.array([np.array(words, np.uint64).tobytes()]))
-    return {"node": node, "class": cls, "n": len(words), "words": near_text.signatures(w, 1)[0],
+    return {"node": node, "class": cls, "buckets": [5], "n": len(words), "words": near_text.signatures(w, 1)[0],
             "kmers": near_text.signatures(w, k)[0]}
 
 
@@ -292,13 +292,22 @@ def test_alike_texts_pass_the_signatures(a, edits, k, similarity):
         m.setattr(near_text, "LEAST_BITS", 64)
         rows = [block_row(7, 1, a, k), block_row(3, 2, b, k)]
     got = [list(zip(*(z.tolist() for z in near_text.near_in_blocks(x, y, k, similarity))))
-           for both in [near_text._Block(rows)] for x, y in [(both, both), tuple(near_text._Block([r]) for r in rows)]]
+           for both in [near_text._Block(rows, 5)] for x, y in [(both, both), tuple(near_text._Block([r], 5) for r in rows)]]
     if near_text.alike(np.array(a, np.uint64), np.array(b, np.uint64), similarity) is not None:
         assert got == [[(3, 7)]] * 2
-    both = near_text._Block([r | {"class": 1} for r in rows])
+    both = near_text._Block([r | {"class": 1} for r in rows], 5)
     assert not len(near_text.near_in_blocks(both, both, k, similarity)[0])
 
 
+def test_pairs_ruled_out_bring_no_words_together(spark):
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 10**9, 130)
+    rows = {1: base, 2: np.concatenate([base[:115], rng.integers(0, 10**9, 12)]), 3: rng.integers(0, 10**9, 130), 4: base[:40]}
+    marks = spark.createDataFrame([tuple(block_row(i, 0, w)[c] for c in near_text.MARK.names) for i, w in rows.items()], near_text.MARK)
+    pairs = spark.createDataFrame(list(itertools.combinations(rows, 2)), "a long, b long")
+    assert [tuple(r) for r in near_text.maybe_alike(pairs, marks, 2, 0.8).collect()] == [(1, 2)]
+
+
 def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     """Each pair of a bucket that is alike and of two classes is found, however its nodes are dealt; none of other buckets."""
     rng = np.random.default_rng(3)
@@ -310,15 +319,15 @@ def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
     words[60] = words[41].copy()
     words[60][:3] = 1
     cls = {i: 0 if i < 38 else i for i in words}
-    bucket = [(0, i) for i in range(59)] + [(1, 41), (1, 59)] + [(2, 60), (2, 2)]
-    texts = spark.createDataFrame([(i, bytearray(w.astype(np.uint64).tobytes())) for i, w in words.items()], "node long, words binary")
+    bucket = [(0, i) for i in range(59)] + [(1, 41), (1, 58), (1, 59)] + [(2, 60), (2, 2)]  # 41 and 58 share two, named once
+    marks = spark.createDataFrame([tuple(block_row(i, 0, w)[c] for c in near_text.MARK.names) for i, w in words.items()], near_text.MARK)
     member = spark.createDataFrame([(b, i, cls[i]) for b, i in bucket], "bucket long, node long, class long")
     want = {(a, b) for a in words for b in words if a < b and cls[a] != cls[b] and {x for x, i in bucket if i == a} & {x for x, i in bucket if i == b}
             and near_text.alike(words[a].astype(np.uint64), words[b].astype(np.uint64), 0.8) is not None}
-    assert {(41, 58), (41, 59), (38, 39)} <= want and len(want) == 2 * 38 + 3
-    for size in (4, 256):
+    assert {(41, 58), (41, 59), (58, 59), (38, 39)} <= want and (41, 60) not in want
+    for size in (4, 1024):
         monkeypatch.setattr(near_text, "BLOCK", size)
-        assert sorted(tuple(r) for r in near_text.further_pairs(texts, 2, 0.8, member).collect()) == sorted(want)
+        assert sorted(tuple(r) for r in near_text.pairs_in_blocks(marks, member, 2, 0.8).collect()) == sorted(want)
 
 
 def test_long_batches_are_looked_at_in_pieces():
