@@ -27,7 +27,7 @@ same in many buckets. That joins a large group of near copies in work linear
 in its size, and it is only the first round: in the second, all nodes of a
 large bucket whose members are not one class by then are compared with each
 other, but for pairs within a class and pairs that exact bounds rule out
-(``prefix_lengths``). So no pair that shares a bucket is lost, whatever its size,
+(``near_in_blocks``). So no pair that shares a bucket is lost, whatever its size,
 and ``SMALL`` and ``HOT`` decide only what is compared first. What many texts
 share (a boilerplate) makes large buckets; the bound sets texts apart by their
 own words, so only texts that may well be alike cost a comparison.
