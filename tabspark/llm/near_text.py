@@ -446,7 +446,7 @@ def prefixes(words: _Sequences, k: int, similarity: float, counts: np.ndarray) -
 
 
 #: Bits of a signature per word at most (half as many at least), and its least and most bits (powers of two); nodes of a block, about.
-SIGNATURE_BITS, LEAST_BITS, MOST_BITS, BLOCK = 4, 64, 1 << 15, 1024
+SIGNATURE_BITS, LEAST_BITS, MOST_BITS, BLOCK = 4, 256, 1 << 15, 1024
 #: A node's number of words, and its signatures by words and by k-mers.
 MARK = T.StructType([T.StructField("node", T.LongType()), T.StructField("n", T.LongType()),
                      T.StructField("words", T.BinaryType()), T.StructField("kmers", T.BinaryType())])
@@ -576,19 +576,21 @@ def pairs_in_blocks(marks: DataFrame, member: DataFrame, k: int, similarity: flo
     marks = stored(marks.join(own, "node"))
     sizes = member.groupBy("bucket", "class").agg(F.count("*").alias("size")).withColumn(
         "own", F.when(F.col("size") > BLOCK, F.col("class")))
-    rest = sizes.groupBy("bucket").agg(F.sum(F.when(F.col("own").isNull(), F.col("size"))).alias("rest"))
+    rest = sizes.groupBy("bucket").agg(F.sum(F.when(F.col("own").isNull(), F.col("size"))).alias("rest"),
+                                        (F.sum("size") > BLOCK).alias("several"))
     sizes = sizes.join(rest, "bucket").select(
-        "bucket", "class", "own", F.ceil(F.when(F.col("own").isNull(), F.col("rest")).otherwise(F.col("size")) / BLOCK).alias("of"))
+        "bucket", "class", "own", "several", F.ceil(F.when(F.col("own").isNull(), F.col("rest")).otherwise(F.col("size")) / BLOCK).alias("of"))
     # Both sides are written, so that a class with very many nodes in a bucket can be split.
     dealt = member.join(stored(sizes), ["bucket", "class"]).select(
-        "bucket", "own", F.pmod(F.xxhash64("node"), F.col("of")).alias("no"), "node", "class")
-    blocks = stored(dealt.join(marks, "node").groupBy("bucket", "own", "no")
+        "bucket", "own", "several", F.pmod(F.xxhash64("node"), F.col("of")).alias("no"), "node", "class")
+    blocks = stored(dealt.join(marks, "node").groupBy("bucket", "own", "several", "no")
                     .agg(F.collect_list(F.struct("class", "buckets", *MARK.names)).alias("rows"))  # about BLOCK
                     .withColumn("block", F.monotonically_increasing_id()))
-    ends = {c: blocks.select(F.col("block").alias(c), "bucket", F.col("own").alias(f"own_{c}")) for c in "xy"}
+    more = blocks.where("several")
+    ends = {c: more.select(F.col("block").alias(c), "bucket", F.col("own").alias(f"own_{c}")) for c in "xy"}
     two = ends["x"].join(ends["y"], "bucket").where("x < y and not coalesce(own_x = own_y, false)").select("bucket", "x", "y")
-    both = (two.join(blocks.select(F.col("block").alias("x"), F.col("rows").alias("left")), "x")
-            .join(blocks.select(F.col("block").alias("y"), F.col("rows").alias("right")), "y").select("bucket", "left", "right"))
+    both = (two.join(more.select(F.col("block").alias("x"), F.col("rows").alias("left")), "x")
+            .join(more.select(F.col("block").alias("y"), F.col("rows").alias("right")), "y").select("bucket", "left", "right"))
     alone = blocks.where("own is null").select("bucket", F.col("rows").alias("left"), F.lit(None).cast(blocks.schema["rows"].dataType).alias("right"))
     pair = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
