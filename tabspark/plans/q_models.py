@@ -19,7 +19,7 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabspark.operators import encode, evaluate, fit, gram, one_vs_rest, scoring, split, term_factors, transform
+from tabspark.operators import encode, evaluate, fit, gram, one_vs_rest, scoring, split, term_blocks, term_factors, transform
 from tabspark.operators.profile import nonzero_count
 from tabspark.plans.q_core import FEATURES, TRAIN_FRAC, U_SQL, ex
 from tabspark.plans.q_encode import bucket_bounds_ctes, vocab_and_reviews
@@ -556,9 +556,14 @@ def text_factor_model(spark, d):
 FACTOR_RANK = 8
 
 
+def _review_blocks(spark, d) -> DataFrame:
+    """The labelled documents' terms of both splits, in blocks."""
+    return term_blocks.build(split.fraction_split(views.reviews(spark, d), split.TRAIN_VALID), keep=("id", "split", "label"))
+
+
 def _factors(spark, d):
-    rv = fit.fit_input(split.fraction_split(views.reviews(spark, d), split.TRAIN_VALID))
-    return rv, term_factors.fit(rv.where(F.col("split") == "train"), FACTOR_RANK)
+    rv = _review_blocks(spark, d)
+    return rv, term_factors.fit_blocks(rv, FACTOR_RANK, use=F.transform("split", lambda s: s == "train"))
 
 
 @query("text_factors", "I12,D14", with_views("reviews", body=f"""
@@ -573,7 +578,8 @@ def text_factors(spark, d):
 def text_embedded(spark, d):
     """A small network on the documents' mean term vectors; the vectors are learned over the whole vocabulary."""
     rv, factors = _factors(spark, d)
-    data = fit.fit_input(term_factors.as_features(factors.embed(rv)).select("id", "split", "label", "features"))
+    data = fit.fit_input(term_factors.as_features(factors.embed_blocks(rv, keep=("split", "label"))).select(
+        "id", "split", "label", "features"))
     m = MultilayerPerceptronClassifier(layers=[FACTOR_RANK, 16, 2], maxIter=100, seed=42).fit(data.where(F.col("split") == "train"))
     return _cls_metrics(m.transform(data), "label", "text_embedded")
 

@@ -90,7 +90,10 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents of all languages: ``(id, terms, label)``; only they are tokenised."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
-    j = spread(docs.join(labels, "doc_id"), "doc_id")
+    par = spark.sparkContext.defaultParallelism
+    j = docs.join(labels, "doc_id")
+    # The scan's partitions are asked for, not the join's: that would run its shuffle of whole texts a second time.
+    j = j.repartition(par, "doc_id") if docs.rdd.getNumPartitions() < par else j
     return j.select(F.col("doc_id").alias("id"), terms_of("text").alias("terms"),
                     F.col("quality").cast("double").alias("label"))
 
