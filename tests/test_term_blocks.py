@@ -77,3 +77,21 @@ def test_counts_of_a_repeated_key_are_added(spark, monkeypatch):
     rows = [(1, ["a", "b", "a"]), (2, ["b"]), (1, ["a", "c"]), (1, ["a"])]
     term_factors.fit(spark.createDataFrame(rows, "id long, terms array<string>").repartition(3), rank=2, iterations=1)
     assert sorted(r.n for r in seen[0]) == [1, 1, 1, 4] and len({(r._row, r._no) for r in seen[0]}) == 4
+
+
+def test_mean_vectors_by_block(spark, monkeypatch):
+    """A row per document leaves the blocks, with sums; the means are those of the different known terms."""
+    monkeypatch.setattr(term_blocks, "CELLS", 6)
+    vectors = {"a": [1.0, 2.0], "c": [3.0, -1.0], "é": [0.5, 0.25], "t1": [8.0, 4.0]}
+    factors = term_factors.TermFactors(spark.createDataFrame(list(vectors.items()), "term string, vector array<float>"), 2)
+    hits, want = {}, {}
+    for k, terms, _ in ROWS:
+        if k is not None:
+            hits.setdefault(k, []).extend(vectors[t] for t in set(terms or ()) if t in vectors)
+    for k, v in hits.items():
+        want[k] = [sum(x) / len(v) for x in zip(*v)] if v else [0.0, 0.0]
+    df = frame(spark)
+    for got in (factors.embed(df), factors.embed_blocks(term_blocks.build(df, keep=("id", "split"), cells=6), keep=("split",))):
+        rows = got.collect()
+        assert Counter((r.id, r.split) for r in rows) == Counter((k, s) for k, _, s in ROWS)
+        assert all(r.vector == pytest.approx(want.get(r.id, [0.0, 0.0])) for r in rows)
